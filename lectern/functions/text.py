@@ -54,9 +54,11 @@ def normalize_date(c: Column) -> Column:
 
 
 def parse_published_at(c: Column) -> Column:
-    """ISO date in the first 10 characters of the trimmed string, else null."""
+    """ISO date (or its basic form yyyyMMdd) in the first 10 characters of
+    the trimmed string, else null."""
     s = F.substring(F.regexp_replace(c.cast("string"), r"^\s+|\s+\z", ""), 1, 10)
-    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(s, "yyyy-MM-dd"))
+    return (F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(s, "yyyy-MM-dd"))
+            .when(s.rlike(r"^[0-9]{8}$"), F.try_to_date(s, "yyyyMMdd")))
 
 
 def content_hash(c: Column) -> Column:
@@ -71,10 +73,16 @@ def normalize_tags(c: Column) -> Column:
     return F.filter(trimmed, lambda t: t.isNotNull() & (t != ""))
 
 
-def is_article_url(url: Column) -> Column:
-    """Contains '/library/' and does not end in '/library' once trailing '/' go."""
+def is_article_url(url: Column, section: str = "library") -> Column:
+    """Contains '/<section>/' and does not end in '/<section>' once trailing '/' go."""
     stripped = F.regexp_replace(url, "/+$", "")
-    return url.contains("/library/") & ~stripped.endswith("/library")
+    return url.contains(f"/{section}/") & ~stripped.endswith(f"/{section}")
+
+
+def sitemap_urls(lines: Column, section: str = "library") -> Column:
+    """P1 on a sitemap text: its trimmed lines that are article urls."""
+    urls = F.transform(F.split(lines, r"\r?\n"), lambda u: F.trim(u))
+    return F.filter(urls, lambda u: is_article_url(u, section))
 
 
 def stable_article_id(url: Column) -> Column:

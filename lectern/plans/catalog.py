@@ -152,3 +152,247 @@ SELECT h.query_id, h.hit_rank, h.chunk_position, h.window_index, h.window_count,
 FROM hits h JOIN art a USING (article_id)""")
 def q_quote_hits(spark, sf):
     return normalize(_search(spark, sf))
+
+
+# ------------------------------------------------------------------ scalar text functions
+
+from lectern.functions import text as TX  # noqa: E402
+from lectern.functions.ids import dense_ids  # noqa: E402
+from lectern.sources import pages as PG  # noqa: E402
+
+# Date renderings used to exercise normalize_date (Java, strftime).
+DATE_RENDERINGS = (
+    ("yyyy-MM-dd", "%Y-%m-%d"), ("MM/dd/yyyy", "%m/%d/%Y"), ("dd/MM/yyyy", "%d/%m/%Y"),
+    ("MMMM dd, yyyy", "%B %d, %Y"), ("MMM dd yyyy", "%b %d %Y"), ("dd MMMM yyyy", "%d %B %Y"),
+    ("dd MMM yyyy", "%d %b %Y"), ("yyyy/MM/dd", "%Y/%m/%d"), ("MM-dd-yyyy", "%m-%d-%Y"),
+    ("yyyy", "%Y"), ("yyyyMMdd", "%Y%m%d"),
+)
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+_DUCK_DATE_FORMATS = ("%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y", "%B %d, %Y", "%b %d %Y", "%d %B %Y",
+                      "%d %b %Y", "%Y/%m/%d", "%m-%d-%Y")
+
+
+def _rendered_dates(spark, sf):
+    a = corpus.raw_articles(spark, sf).select("article_id", F.col("published_at").cast("date").alias("d"))
+    arr = F.array(*[F.date_format("d", j) for j, _ in DATE_RENDERINGS])
+    return a.select("article_id", F.posexplode(arr).alias("fmt", "s"))
+
+
+_RENDERED_SQL = "rd AS (SELECT article_id, fmt, s FROM (SELECT article_id, CAST(published_at AS DATE) AS d FROM art), " \
+    "LATERAL (SELECT unnest(range(0, {n})) AS fmt, unnest([{parts}]) AS s))".format(
+        n=len(DATE_RENDERINGS), parts=", ".join(f"strftime(d, '{c}')" for _, c in DATE_RENDERINGS))
+
+_GUARD = "regexp_matches(s, '(^|[^0-9])[0-9]{4}([^0-9]|$)') AND NOT regexp_matches(s, '^[0-9]{4}$')"
+_NORM_DATE_SQL = ("CASE WHEN s IS NULL OR s = '' THEN '' ELSE coalesce(CASE WHEN " + _GUARD
+                  + " THEN strftime(coalesce(" + ", ".join(f"try_strptime(s, '{f}')" for f in _DUCK_DATE_FORMATS)
+                  + "), '%Y-%m-%d') END, '') END")
+
+
+@register("normalize_date", O.with_(O.ART, _RENDERED_SQL) + f"""
+SELECT article_id, fmt, s AS raw, {_NORM_DATE_SQL} AS normalized FROM rd""")
+def q_normalize_date(spark, sf):
+    r = _rendered_dates(spark, sf)
+    return normalize(r.select("article_id", "fmt", F.col("s").alias("raw"),
+                              TX.normalize_date(F.col("s")).alias("normalized")))
+
+
+@register("parse_published_at", O.with_(O.ART, _RENDERED_SQL) + f"""
+SELECT article_id, fmt, s AS raw,
+       CASE WHEN regexp_matches(substr(trim(s, {O.WS}), 1, 10), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')
+            THEN CAST(try_strptime(substr(trim(s, {O.WS}), 1, 10), '%Y-%m-%d') AS DATE)
+            WHEN regexp_matches(substr(trim(s, {O.WS}), 1, 10), '^[0-9]{{8}}$')
+            THEN CAST(try_strptime(substr(trim(s, {O.WS}), 1, 10), '%Y%m%d') AS DATE) END AS published_at
+FROM rd""")
+def q_parse_published_at(spark, sf):
+    r = _rendered_dates(spark, sf)
+    return normalize(r.select("article_id", "fmt", F.col("s").alias("raw"),
+                              TX.parse_published_at(F.col("s")).alias("published_at")))
+
+
+@register("normalize_text", f"""
+SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN '' ELSE
+  trim(regexp_replace(replace(regexp_replace(text, '^---\\s*\\n(?s:.*?)\\n---\\s*\\n', ''), chr(10), ' '),
+                      '[ \\t]+', ' ', 'g'), {O.WS}) END AS text
+FROM documents""")
+def q_normalize_text(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", TX.normalize_text(F.col("text")).alias("text"))
+
+
+_TITLE_SQL = "trim(" + "".join("replace(" for _ in PG.ENTITIES) + \
+    "regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)" + \
+    "".join(f", '{e}', '{_q(c)}')" for e, c in PG.ENTITIES) + f", {O.WS})"
+
+
+@register("extract_title", f"SELECT page_id, {_TITLE_SQL} AS title FROM pages")
+def q_extract_title(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.select("page_id", PG.title_from_html(F.col("html")).alias("title"))
+
+
+@register("normalize_title", f"""
+SELECT page_id, CASE WHEN t IS NULL OR t = '' THEN '' ELSE trim(split_part(t, '|', 1), {O.WS}) END AS title
+FROM (SELECT page_id, {_TITLE_SQL} AS t FROM pages
+      UNION ALL SELECT -1 - doc_id, source || ' ' || CAST(doc_id AS VARCHAR) || ' | corpus' FROM documents)""")
+def q_normalize_title(spark, sf):
+    p = table(spark, sf, "pages").select("page_id", PG.title_from_html(F.col("html")).alias("t"))
+    d = table(spark, sf, "documents").select(
+        (F.lit(-1) - F.col("doc_id")).alias("page_id"),
+        F.concat("source", F.lit(" "), F.col("doc_id").cast("string"), F.lit(" | corpus")).alias("t"))
+    return p.unionByName(d).select("page_id", TX.normalize_title(F.col("t")).alias("title"))
+
+
+@register("content_hash", "SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE text IS NOT NULL")
+def q_content_hash(spark, sf):
+    d = table(spark, sf, "documents").where(F.col("text").isNotNull())
+    return d.select("doc_id", TX.content_hash(F.col("text")).alias("content_hash"))
+
+
+@register("normalize_tags", f"""
+SELECT doc_id, array_to_string(tg, '|') AS tags, CAST(len(tg) AS BIGINT) AS n_tags FROM (
+  SELECT doc_id, list_filter(list_transform([lang, ' ' || source || ' ', '', NULL::VARCHAR, lang, chr(9)],
+                                            lambda t: trim(t, {O.WS})),
+                             lambda t: t IS NOT NULL AND t <> '') AS tg FROM documents)""")
+def q_normalize_tags(spark, sf):
+    d = table(spark, sf, "documents")
+    raw = F.array("lang", F.concat(F.lit(" "), "source", F.lit(" ")), F.lit(""),
+                  F.lit(None).cast("string"), "lang", F.lit("\t"))
+    t = TX.normalize_tags(raw)
+    return d.select("doc_id", F.array_join(t, "|").alias("tags"), F.size(t).cast("long").alias("n_tags"))
+
+
+@register("article_url_filter", """
+SELECT page_id, url FROM pages WHERE contains(url, '/en/') AND NOT ends_with(rtrim(url, '/'), '/en')""")
+def q_article_url_filter(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.where(TX.is_article_url(F.col("url"), "en")).select("page_id", "url")
+
+
+@register("assign_ids", O.with_(O.ART) + """
+SELECT url, row_number() OVER (ORDER BY url) AS id FROM (SELECT url FROM art UNION SELECT url FROM pages)""")
+def q_assign_ids(spark, sf):
+    urls = corpus.raw_articles(spark, sf).select("url").union(table(spark, sf, "pages").select("url")).distinct()
+    return dense_ids(urls, "url")
+
+
+@register("pair_overlap", O.with_(O.ART, O.chunks_cte()) + """
+SELECT a.article_id, a.idx, CAST(coalesce(list_filter(range(least(160, length(a.chunk_text), length(b.chunk_text)), 0, -1),
+         lambda n: right(a.chunk_text, n) = left(b.chunk_text, n))[1], 0) AS BIGINT) AS overlap
+FROM chunks a JOIN chunks b ON b.article_id = a.article_id AND b.idx = a.idx + 1""")
+def q_pair_overlap(spark, sf):
+    c = corpus.chunks(spark, sf).select("article_id", "idx", "chunk_text")
+    n = c.select("article_id", (F.col("idx") - 1).alias("idx"), F.col("chunk_text").alias("next_text"))
+    j = c.join(n, ["article_id", "idx"])
+    return normalize(j.select("article_id", "idx",
+                              TX.longest_overlap(F.col("chunk_text"), F.col("next_text")).cast("long").alias("overlap")))
+
+
+@register("chunk_remap", O.with_(O.ART, O.chunks_cte()) + """
+SELECT article_id, idx AS position, chunk_text AS text FROM chunks""")
+def q_chunk_remap(spark, sf):
+    return normalize(corpus.remap_chunks(corpus.chunks(spark, sf)))
+
+
+_BODY_SQL = "array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_extract(" \
+    "regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), " \
+    "'(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<article[^>]*>(.*)</article>', 1), " \
+    "'<[^>]*>'), lambda x: trim(" + "".join("replace(" for _ in PG.ENTITIES) + "x" + \
+    "".join(f", '{e}', '{_q(c)}')" for e, c in PG.ENTITIES) + f", {O.WS})), lambda x: x <> ''), ' ')"
+
+
+@register("extract_article", f"""
+SELECT page_id, url, {_TITLE_SQL} AS title, {_BODY_SQL} AS text,
+       nullif(regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1), '') AS lang FROM pages""")
+def q_extract_article(spark, sf):
+    a = PG.extract_articles(table(spark, sf, "pages"))
+    return a.select("page_id", "url", "title", "text", "lang")
+
+
+# ------------------------------------------------------------------ vectors
+
+from lectern.operators import vectors as V  # noqa: E402
+from lectern.operators import tone as TN  # noqa: E402
+
+
+@register("encode_chunks", O.with_(O.ART, O.chunks_cte(), O.encode_cte("cvec", "chunks", "article_id, idx", "chunk_text")) + """
+SELECT article_id, idx AS position, CAST(b AS BIGINT) AS dim, CAST(w AS DOUBLE) AS value FROM cvec""")
+def q_encode_chunks(spark, sf):
+    cv = corpus.chunk_vectors(spark, sf)
+    return normalize(V.explode_vector(cv, ["article_id", "position"]))
+
+
+@register("vector_topk", """
+WITH ev AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+cent AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m FROM ev WHERE label IS NOT NULL GROUP BY label, i),
+cnn AS (SELECT label, sqrt(sum(m * m)) AS n FROM cent GROUP BY label),
+en AS (SELECT vec_id, sqrt(sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE))) AS n FROM ev GROUP BY vec_id),
+dots AS (SELECT c.label, e.vec_id, sum(c.m * CAST(e.v AS DOUBLE)) AS dot FROM cent c JOIN ev e USING (i) GROUP BY ALL),
+sims AS (SELECT d.label, d.vec_id, round(d.dot / (cnn.n * en.n), 6) AS score
+         FROM dots d JOIN cnn USING (label) JOIN en USING (vec_id)),
+top AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM sims)
+SELECT CAST(label AS BIGINT) AS label, vec_id, score, rank FROM top WHERE rank <= 50""")
+def q_vector_topk(spark, sf):
+    return normalize(V.vector_topk(table(spark, sf, "embeddings")))
+
+
+@register("mean_pool", O.with_(O.ART, O.chunks_cte(), O.encode_cte("cvec", "chunks", "article_id, idx", "chunk_text")) + """,
+nch AS (SELECT article_id, count(*) AS n FROM chunks GROUP BY article_id),
+pool AS (SELECT c.article_id, c.b AS dim, CAST(sum(CAST(c.w AS DOUBLE)) / any_value(n.n) AS FLOAT) AS value
+         FROM cvec c JOIN nch n USING (article_id) GROUP BY c.article_id, c.b)
+SELECT article_id, CAST(dim AS BIGINT) AS dim, round(CAST(value AS DOUBLE), 6) AS value FROM pool WHERE value <> 0""")
+def q_mean_pool(spark, sf):
+    pooled = V.mean_pool(corpus.chunk_vectors(spark, sf))
+    e = V.explode_vector(pooled, ["article_id"])
+    return normalize(e.select("article_id", "dim", F.round("value", 6).alias("value")))
+
+
+# ------------------------------------------------------------------ tone
+
+_TW_SQL = """
+tw AS (SELECT article_id, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS t FROM art),
+tw2 AS (SELECT article_id, t, unnest(range(0, len(t), 384)) AS s,
+               generate_subscripts(range(0, len(t), 384), 1) - 1 AS window_index FROM tw),
+twin AS (SELECT article_id, CAST(window_index AS BIGINT) AS window_index,
+                CAST(len(list_slice(t, s + 1, s + 384)) AS BIGINT) AS n_tokens,
+                array_to_string(list_slice(t, s + 1, s + 384), ' ') AS text FROM tw2)"""
+
+
+@register("token_windows", O.with_(O.ART, _TW_SQL) + """
+SELECT article_id, window_index, n_tokens, text FROM twin""")
+def q_token_windows(spark, sf):
+    return normalize(TN.token_windows(corpus.raw_articles(spark, sf)))
+
+
+def _lex_sql():
+    rows = ", ".join(f"('{w}', '{lb}')" for lb, ws in TN.TONE_LEXICON.items() for w in ws)
+    return f"lex(word, label) AS (VALUES {rows})"
+
+
+_TONE_SQL = _lex_sql() + f""",
+wt AS (SELECT article_id, window_index, n_tokens, regexp_extract_all(lower(text), '{O.TOK}') AS w FROM twin),
+hits AS (SELECT article_id, window_index, label, count(*) AS h
+         FROM (SELECT article_id, window_index, unnest(w) AS word FROM wt) JOIN lex USING (word) GROUP BY ALL),
+ws AS (SELECT wt.article_id, wt.window_index, wt.n_tokens, l.label,
+              CASE WHEN len(wt.w) > 0 THEN CAST(coalesce(h.h, 0) AS DOUBLE) / len(wt.w) ELSE 0.0 END AS score
+       FROM wt CROSS JOIN (SELECT DISTINCT label FROM lex) l
+       LEFT JOIN hits h ON h.article_id = wt.article_id AND h.window_index = wt.window_index AND h.label = l.label),
+tone AS (SELECT article_id,
+  sum(CASE WHEN label = 'academic' THEN score * n_tokens END) / sum(CASE WHEN label = 'academic' THEN n_tokens END) AS academic,
+  sum(CASE WHEN label = 'militant' THEN score * n_tokens END) / sum(CASE WHEN label = 'militant' THEN n_tokens END) AS militant,
+  sum(CASE WHEN label = 'hopeful' THEN score * n_tokens END) / sum(CASE WHEN label = 'hopeful' THEN n_tokens END) AS hopeful,
+  sum(CASE WHEN label = 'critical' THEN score * n_tokens END) / sum(CASE WHEN label = 'critical' THEN n_tokens END) AS critical
+  FROM ws GROUP BY article_id)"""
+
+
+def _round_tone(df):
+    return df.select("article_id", *[F.round(lb, 6).alias(lb) for lb in ("academic", "militant", "hopeful", "critical")])
+
+
+@register("tone_scores", O.with_(O.ART, _TW_SQL, _TONE_SQL) + """
+SELECT article_id, round(academic, 6) AS academic, round(militant, 6) AS militant,
+       round(hopeful, 6) AS hopeful, round(critical, 6) AS critical FROM tone""")
+def q_tone_scores(spark, sf):
+    return _round_tone(TN.score_articles(corpus.raw_articles(spark, sf)))
