@@ -42,8 +42,9 @@ def sentences(docs: DataFrame, key: str = "article_id", text: str = "text") -> D
     the raw matched text (with its trailing whitespace). Blank pieces are
     dropped and sentence_index counts from 0 over the rest.
     """
-    pieces = docs.select(key, F.posexplode(
-        F.regexp_extract_all(F.col(text), F.lit(SENTENCE_PATTERN), 0)).alias("_pi", "piece"))
+    pieces = docs.select(key, F.posexplode_outer(
+        F.regexp_extract_all(F.col(text), F.lit(SENTENCE_PATTERN), 0)).alias("_pi", "piece")) \
+        .where(F.col("_pi").isNotNull())
     w = Window.partitionBy(key).orderBy("_pi")
     raw_start = F.coalesce(F.sum(F.length("piece")).over(
         w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

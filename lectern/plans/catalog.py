@@ -396,3 +396,8 @@ SELECT article_id, round(academic, 6) AS academic, round(militant, 6) AS militan
        round(hopeful, 6) AS hopeful, round(critical, 6) AS critical FROM tone""")
 def q_tone_scores(spark, sf):
     return _round_tone(TN.score_articles(corpus.raw_articles(spark, sf)))
+
+
+# more registrations live in sibling modules; importing them fills QUERIES / ORACLES
+from lectern.plans import catalog_views  # noqa: E402,F401
+from lectern.plans import catalog_store  # noqa: E402,F401

@@ -38,35 +38,35 @@ SERVING = """
 sart AS (
   SELECT a.article_id AS id, trim(a.url) AS url, sha256(a.text) AS content_hash, a.title, a.author,
          CAST(a.published_at AS DATE) AS published_at, a.text AS body, t.topic_id,
-         CASE WHEN t.topic_id = -1 THEN 0.0 ELSE 1.0 END AS topic_prob, a.tags
+         CAST(CASE WHEN t.topic_id = -1 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS topic_prob, a.tags
   FROM art a JOIN atopic t USING (article_id))"""
 
 
-def chunks_cte(source: str = "art", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> str:
+def chunks_cte(source: str = "art", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, p: str = "") -> str:
     """G1 as a recursive CTE over packed word pieces (prefix sums of lengths)."""
     return f"""
-w AS (
+{p}w AS (
   SELECT article_id, title, unnest(regexp_extract_all(text, '^[^ ]+| [^ ]*')) AS pc,
          generate_subscripts(regexp_extract_all(text, '^[^ ]+| [^ ]*'), 1) AS i
   FROM {source}),
-cw AS (SELECT article_id, title, i, pc, length(pc) AS l,
-              sum(length(pc)) OVER (PARTITION BY article_id ORDER BY i) AS cum FROM w),
-dw AS (SELECT article_id, any_value(title) AS title, list(cum ORDER BY i) AS cum, list(l ORDER BY i) AS ls,
-              list(pc ORDER BY i) AS pcs FROM cw GROUP BY article_id),
-rw AS (
+{p}cw AS (SELECT article_id, title, i, pc, length(pc) AS l,
+              sum(length(pc)) OVER (PARTITION BY article_id ORDER BY i) AS cum FROM {p}w),
+{p}dw AS (SELECT article_id, any_value(title) AS title, list(cum ORDER BY i) AS cum, list(l ORDER BY i) AS ls,
+              list(pc ORDER BY i) AS pcs FROM {p}cw GROUP BY article_id),
+{p}rw AS (
   SELECT article_id, title, 1::BIGINT AS s,
-         len(list_filter(cum, lambda x: x <= {size}))::BIGINT AS e, cum, ls, pcs, 0 AS k FROM dw
+         len(list_filter(cum, lambda x: x <= {size}))::BIGINT AS e, cum, ls, pcs, 0 AS k FROM {p}dw
   UNION ALL
   SELECT article_id, title, s2,
          len(list_filter(cum, lambda x: x <= (CASE WHEN s2 > 1 THEN cum[s2-1] ELSE 0 END) + {size}))::BIGINT,
          cum, ls, pcs, k + 1
   FROM (SELECT *, 1 + len(list_filter(list_prepend(0, cum),
                  lambda x: x < cum[e]-{overlap} OR x < cum[e]+ls[e+1]-{size}))::BIGINT AS s2
-        FROM rw WHERE e < len(cum))),
-chunks AS (
+        FROM {p}rw WHERE e < len(cum))),
+{p}chunks AS (
   SELECT article_id, title, CAST(k AS BIGINT) AS idx,
          trim(array_to_string(pcs[s:e], ''), {WS}) AS chunk_text
-  FROM rw)"""
+  FROM {p}rw)"""
 
 
 def encode_cte(name: str, source: str, key_cols: str, text_col: str,
