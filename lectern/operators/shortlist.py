@@ -148,3 +148,52 @@ def shortlist(queries: DataFrame, corpus: DataFrame, k: int = RETRIEVAL_CANDIDAT
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), *[F.asc(c) for c in id_cols])
     return (cand.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k))
+
+
+# ------------------------------------------------------------------ M9: inverted-file lists
+
+
+def build_lists(corpus: DataFrame, n_lists: int, seed: int = 42, vec_col: str = "embedding",
+                max_iter: int = 20):
+    """Cluster the corpus vectors into ``n_lists`` lists (cosine k-means).
+
+    Returns (centroids (list_id, embedding), corpus + list_id). Writing the
+    result with ``partitionBy("list_id")`` lets a probe read only its lists."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    v = corpus.withColumn("_v", array_to_vector(F.col(vec_col)))
+    v = v.where(F.aggregate(F.col(vec_col), F.lit(0.0), lambda a, x: a + F.abs(x)) > 0)
+    model = KMeans(k=n_lists, seed=seed, featuresCol="_v", predictionCol="list_id",
+                   distanceMeasure="cosine", maxIter=max_iter).fit(v)
+    assigned = model.transform(v).drop("_v").withColumn("list_id", F.col("list_id").cast("int"))
+    cents = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    spark = corpus.sparkSession
+    centroids = spark.createDataFrame(cents, "list_id int, embedding array<double>")
+    return centroids, assigned.select(*corpus.columns, "list_id")
+
+
+def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame, k: int = RETRIEVAL_CANDIDATES,
+                  probes: int = 32, id_cols: tuple[str, ...] = ("article_id", "position"),
+                  vec_col: str = "embedding") -> DataFrame:
+    """Approximate top-k: each query probes its ``probes`` nearest lists and
+    ranks exactly inside them. ``probes`` equal to the list count gives the
+    exact shortlist."""
+    if probes <= 0:
+        raise ValueError("probes must be greater than zero")
+    from lectern.operators.topics import centroid_scores
+    qv = queries.select(F.col("query_id").alias("article_id"), "embedding")
+    cs = centroid_scores(qv, centroids.select(F.col("list_id").alias("topic_id"), "embedding"))
+    w = Window.partitionBy("article_id").orderBy(F.desc("cosine"), "topic_id")
+    probe = (cs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= probes)
+             .select(F.col("article_id").alias("query_id"), F.col("topic_id").alias("list_id")))
+    # candidates: the chunks of each probed list, paired with the query that probes it
+    cand = indexed.select(*id_cols, vec_col, "list_id").join(probe, "list_id")
+    qvec = queries.select("query_id", F.col("embedding").alias("_q"))
+    scored = cand.join(qvec, "query_id").select(
+        "query_id", *id_cols,
+        F.round(F.aggregate(F.zip_with(vec_col, "_q", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+                / (F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + x * x))
+                   * F.sqrt(F.aggregate("_q", F.lit(0.0), lambda s, x: s + x * x))), SCORE_DIGITS).alias("score"))
+    rw = Window.partitionBy("query_id").orderBy(F.desc("score"), *[F.asc(c) for c in id_cols])
+    return scored.withColumn("rank", F.row_number().over(rw)).where(F.col("rank") <= k)

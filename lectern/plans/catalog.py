@@ -401,3 +401,4 @@ def q_tone_scores(spark, sf):
 # more registrations live in sibling modules; importing them fills QUERIES / ORACLES
 from lectern.plans import catalog_views  # noqa: E402,F401
 from lectern.plans import catalog_store  # noqa: E402,F401
+from lectern.plans import catalog_search  # noqa: E402,F401

@@ -97,6 +97,6 @@ def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFra
         "query_id", "hit_rank", "chunk_position", "window_index", "window_count", "text", "score",
         "article_id", "article_title", "article_url", "author", "published_at")
     if stages is not None:
-        stages.update(candidates=cands, ranks=ranks, rebuilt=rebuilt, windows=wins,
+        stages.update(candidates=cands, ranks=ranks, fetched=fetched, rebuilt=rebuilt, windows=wins,
                       selected=selected, capped=capped, scored=scored)
     return out
