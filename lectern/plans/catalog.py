@@ -111,7 +111,9 @@ def q_sentence_windows(spark, sf):
 
 
 def _search(spark, sf, stages=None):
-    cv = corpus.chunk_vectors(spark, sf)
+    # the search reads chunk vectors twice (shortlist, chunk fetch); write them
+    # once to the shared checkpoint folder instead of encoding twice
+    cv = corpus.chunk_vectors(spark, sf).checkpoint(eager=True)
     arts = corpus.serving_articles(spark, sf)
     return quote_search(queries_table(spark, sf), cv, arts, stages=stages)
 

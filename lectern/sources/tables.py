@@ -24,8 +24,25 @@ TABLES = (
 )
 
 
+# Tables whose rows feed per-row Python work (chunking, encoding, parsing).
+TEXT_TABLES = ("documents", "pages", "conversations", "embeddings")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input with fewer scan partitions than cores one per core.
+
+    A single-row-group file is read by one task, which would leave the Python
+    stages on one core. Large inputs already have enough splits and are left
+    alone, so no shuffle is added at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def article_view(spark: SparkSession, sf_dir: str) -> DataFrame:
