@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,10 +86,29 @@ def _encode_udf(factory, dim: int):
     return encode_texts
 
 
+def _encode_batches(factory, dim: int, text_col: str, out_col: str):
+    def run(batches):
+        model = _model(factory)
+        for b in batches:
+            texts = ["" if t is None else t for t in b.column(text_col).to_pylist()]
+            vectors = np.ascontiguousarray(np.asarray(model.encode(texts), dtype=np.float32))
+            check_vectors(vectors, len(texts), dim)
+            offsets = pa.array(np.arange(0, (len(texts) + 1) * dim, dim, dtype=np.int32))
+            values = pa.array(vectors.reshape(-1), type=pa.float32())
+            yield b.append_column(out_col, pa.ListArray.from_arrays(offsets, values))
+    return run
+
+
 def encode_column(df: DataFrame, text_col: str, out_col: str = "embedding",
                   encoder_factory=None, dim: int = EMBEDDING_DIMENSION) -> DataFrame:
+    """Append ``out_col`` (array<float>, ``dim`` long) encoded from ``text_col``.
+
+    Runs as ``mapInArrow``: one encoder call per Arrow batch and the vectors
+    handed back as one flat float32 buffer, no per-row conversion."""
     factory = encoder_factory or hashed_encoder(dim)
-    return df.withColumn(out_col, _encode_udf(factory, dim)(F.col(text_col)))
+    schema = T.StructType(df.schema.fields + [
+        T.StructField(out_col, T.ArrayType(T.FloatType(), containsNull=False), True)])
+    return df.mapInArrow(_encode_batches(factory, dim, text_col, out_col), schema)
 
 
 def encode_chunks(chunks: DataFrame, encoder_factory=None,
