@@ -93,23 +93,38 @@ def _centroid_scores_fn(ids: np.ndarray, cmat: np.ndarray, id_col: str, vec_col:
 
 
 def centroid_scores(vectors: DataFrame, cents: DataFrame, id_col: str = "article_id",
-                    vec_col: str = "embedding", max_topics: int = 100_000) -> DataFrame:
+                    vec_col: str = "embedding", limit_bytes: int | None = None) -> DataFrame:
     """Cosine of every vector to every topic centroid, (id, topic_id, cosine).
 
-    The centroid matrix (one row per topic) travels with the task; its row
-    count is checked against ``max_topics``."""
-    n = cents.count()
-    if n > max_topics:
-        raise ValueError(f"{n} centroids exceed the bound of {max_topics}")
-    t = cents.select(F.col("topic_id").cast("int"), vec_col).toArrow()
-    ids = t.column("topic_id").to_numpy()
-    if len(ids) == 0:
-        return vectors.sparkSession.createDataFrame([], f"{id_col} long, topic_id int, cosine double")
-    cmat = t.column(vec_col).combine_chunks().flatten().to_numpy(zero_copy_only=False) \
-        .astype(np.float64).reshape(len(ids), -1)
+    The centroid matrix travels with the task. Its size is checked: beyond
+    ``limit_bytes`` the centroids are cut into groups that each make their
+    own pass, and the per-group rows are unioned (same result)."""
+    from lectern.config import BROADCAST_LIMIT_BYTES
+    limit = limit_bytes or BROADCAST_LIMIT_BYTES
     schema = f"{id_col} long, topic_id int, cosine double"
-    return vectors.select(id_col, vec_col).mapInArrow(_centroid_scores_fn(ids, cmat, id_col, vec_col), schema) \
-        .withColumn("cosine", F.round("cosine", PROB_DIGITS))
+    n = cents.count()
+    if n == 0:
+        return vectors.sparkSession.createDataFrame([], schema)
+    dim = len(cents.select(vec_col).first()[0])
+    per_group = max(1, limit // (8 * max(dim, 1)))
+    n_groups = (n + per_group - 1) // per_group
+    c = cents.select(F.col("topic_id").cast("int"), vec_col)
+    if n_groups > 1:
+        c = c.withColumn("_g", F.pmod(F.col("topic_id"), F.lit(n_groups)))
+    parts = []
+    for g in range(n_groups):
+        t = (c.where(F.col("_g") == g).drop("_g") if n_groups > 1 else c).toArrow()
+        ids = t.column("topic_id").to_numpy()
+        if len(ids) == 0:
+            continue
+        cmat = t.column(vec_col).combine_chunks().flatten().to_numpy(zero_copy_only=False) \
+            .astype(np.float64).reshape(len(ids), -1)
+        parts.append(vectors.select(id_col, vec_col).mapInArrow(
+            _centroid_scores_fn(ids, cmat, id_col, vec_col), schema))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("cosine", F.round("cosine", PROB_DIGITS))
 
 
 def assign_topics(vectors: DataFrame, cents: DataFrame, threshold: float = 0.1,

@@ -28,6 +28,8 @@ def build_session(master: str | None = None, app: str = "lectern",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
         "spark.ui.showConsoleProgress": "false",
+        # checkpoints written per query are removed once their RDD is gone
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.driver.memory": "16g",
     }
     if shuffle_partitions:

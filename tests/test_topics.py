@@ -37,3 +37,14 @@ def test_list_topics_order(spark):
     assert [r.id for r in list_topics(t, include_outliers=True).collect()] == [-1, 1, 0, 2]
     with pytest.raises(ValueError):
         list_topics(t, limit=0)
+
+
+def test_centroid_scores_grouped_equals_single(spark):
+    from lectern.operators.topics import centroid_scores
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.6, 0.8]), (3, [0.0, 1.0])],
+                              "article_id long, embedding array<float>")
+    c = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.7, 0.7])],
+                              "topic_id int, embedding array<double>")
+    one = sorted(map(tuple, centroid_scores(v, c).collect()))
+    many = sorted(map(tuple, centroid_scores(v, c, limit_bytes=16).collect()))
+    assert one == many and len(one) == 9
