@@ -107,37 +107,49 @@ def chunk_articles(articles: DataFrame, size: int = CHUNK_SIZE,
 
 
 def longest_overlap(left: str, right: str, max_length: int = CHUNK_OVERLAP) -> int:
-    """Length of the longest suffix of ``left`` that is a prefix of ``right``."""
-    for n in range(min(max_length, len(left), len(right)), 0, -1):
-        if left.endswith(right[:n]):
-            return n
-    return 0
+    """Length of the longest suffix of ``left`` that is a prefix of ``right``
+    (at most ``max_length``), by one prefix-function pass over
+    right-head + separator + left-tail."""
+    m = min(max_length, len(left), len(right))
+    if m <= 0:
+        return 0
+    seq = [*right[:m], None, *left[len(left) - m:]]
+    fail = [0] * len(seq)
+    k = 0
+    for i in range(1, len(seq)):
+        while k and seq[i] != seq[k]:
+            k = fail[k - 1]
+        if seq[i] == seq[k]:
+            k += 1
+        fail[i] = k
+    return fail[-1]
 
 
 def rebuild(chunks, max_overlap: int = CHUNK_OVERLAP):
     """Fold ordered chunk texts into one text plus each chunk's [start, end).
 
-    Each chunk is matched against all text so far: the longest shared
-    suffix/prefix (at most ``max_overlap``) is removed; with none, the
-    chunk is joined by one space.
+    Each chunk is matched against the text so far: the longest shared
+    suffix/prefix (at most ``max_overlap``) is dropped from the chunk; with
+    none, the chunk is joined by one space. Only the last ``max_overlap``
+    characters can match, so only that tail is kept while folding and the
+    text is assembled once at the end (linear in the article length).
     """
-    text = ""
+    parts: list[str] = []
     spans = []
+    tail = ""
+    length = 0
     for i, piece in enumerate(chunks):
         piece = "" if piece is None else str(piece)
         if i == 0:
-            start = 0
-            text = piece
+            start, add = 0, piece
         else:
-            k = longest_overlap(text, piece, max_overlap)
-            if k:
-                start = len(text) - k
-                text += piece[k:]
-            else:
-                start = len(text) + 1
-                text += " " + piece
+            k = longest_overlap(tail, piece, max_overlap)
+            start, add = (length - k, piece[k:]) if k else (length + 1, " " + piece)
+        parts.append(add)
+        length += len(add)
+        tail = (tail + add)[-max_overlap:] if max_overlap > 0 else ""
         spans.append((start, start + len(piece)))
-    return text, spans
+    return "".join(parts), spans
 
 
 _REBUILT = T.StructType([
