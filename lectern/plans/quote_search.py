@@ -65,18 +65,26 @@ def candidate_chunks(chunks: DataFrame, cands: DataFrame) -> DataFrame:
 def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFrame,
                  limit: int = DEFAULT_RESULT_LIMIT, k: int = RETRIEVAL_CANDIDATES,
                  max_windows: int = RERANK_MAX_WINDOWS, encoder_factory=None,
-                 scorer_factory=None, stages: dict | None = None) -> DataFrame:
+                 scorer_factory=None, stages: dict | None = None, materialize: bool = True) -> DataFrame:
     """queries: (query_id, query); chunk_vectors: (article_id, position, text,
     embedding); articles: serving articles (id, title, url, author, published_at)."""
     validate_request(limit, k, max_windows)
     qv = encode_queries(queries, encoder_factory)
     cands = shortlist(qv, chunk_vectors, k=k)
+    if materialize:
+        cands = cands.checkpoint(eager=True)  # queries x k rows, read by four branches
     ranks = article_ranks(cands)
 
     fetched = candidate_chunks(chunk_vectors.select("article_id", "position", "text"), cands)
     rebuilt = reconstruct_articles(fetched)
-    spans = explode_spans(rebuilt)
     wins = sentence_windows(sentences(rebuilt))
+    if materialize:
+        # rebuilt articles and their windows feed three branches (selection,
+        # the cap join, home-chunk mapping); write them once to the shared
+        # checkpoint folder instead of recomputing the chain per branch
+        rebuilt = rebuilt.checkpoint(eager=True)
+        wins = sentence_windows(sentences(rebuilt)).checkpoint(eager=True)
+    spans = explode_spans(rebuilt)
 
     cand_spans = cands.select("query_id", "article_id", "position").join(
         spans, ["article_id", "position"])
