@@ -212,16 +212,32 @@ def load(store: dict[str, DataFrame], raw: DataFrame, chunk_vectors: DataFrame |
         if unknown:
             raise ValueError(f"chunk references unknown source article_id {unknown[0].source_id!r}")
         chunks = upsert_chunks(chunks, chunk_vectors, smap, expected_dimension)
-    spark = raw.sparkSession
-    summary = spark.createDataFrame([(0,)], "z int").select(
-        F.lit(batch.count()).cast("long").alias("articles"),
-        F.lit(batch.select("source_id", F.explode("tags")).distinct().count()).cast("long").alias("tags"),
-        F.lit(chunk_vectors.count() if chunk_vectors is not None else 0).cast("long").alias("chunks"),
-        F.lit(matched.count() if matched is not None else 0).cast("long").alias("topic_articles"))
+    summary = load_summary(batch, chunk_vectors, matched)
     new = {"articles": articles, "tags": tags, "article_tags": links, "topics": topics, "chunks": chunks}
     return new, summary
 
 
+def load_summary(batch: DataFrame, chunk_vectors: DataFrame | None, matched: DataFrame | None) -> DataFrame:
+    """One row (articles, tags, chunks, topic_articles), computed lazily.
+
+    The four counts are rows of one long table folded by a global pivot,
+    so nothing runs until the summary is read."""
+    spark = batch.sparkSession
+    parts = [batch.select(F.lit("articles").alias("metric")),
+             batch.select("source_id", F.explode("tags").alias("_t")).distinct()
+             .select(F.lit("tags").alias("metric"))]
+    if chunk_vectors is not None:
+        parts.append(chunk_vectors.select(F.lit("chunks").alias("metric")))
+    if matched is not None:
+        parts.append(matched.select(F.lit("topic_articles").alias("metric")))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    names = ["articles", "tags", "chunks", "topic_articles"]
+    wide = long.groupBy().pivot("metric", names).count()
+    return wide.select(*[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names])
+
+
 # ------------------------------------------------------------------ persistence
 
 POINTER = "CURRENT"

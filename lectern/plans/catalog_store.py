@@ -41,8 +41,11 @@ def second_batch(spark, sf):
 
 
 def first_store(spark, sf):
+    """The store after the first load, written once (checkpoint) as a real
+    store table would be, so the second load reads it instead of redoing it."""
     store, _ = S.load(S.empty_store(spark), corpus.raw_articles(spark, sf), load_ts=LOAD1_TS)
-    return store
+    return {k: (v.checkpoint(eager=True) if k in ("articles", "tags", "article_tags") else v)
+            for k, v in store.items()}
 
 
 def _norm_sql(x: str) -> str:
