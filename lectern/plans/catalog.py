@@ -121,9 +121,10 @@ def _search(spark, sf, stages=None):
 @register("quote_shortlist", O.with_(O.ART, O.chunks_cte(), O.shortlist_cte()) + """
 SELECT query_id, article_id, position, score, rank FROM sl""")
 def q_quote_shortlist(spark, sf):
-    stages = {}
-    _search(spark, sf, stages)
-    return normalize(stages["candidates"])
+    from lectern.operators.encode import encode_queries
+    from lectern.operators.shortlist import shortlist
+    qv = encode_queries(queries_table(spark, sf))
+    return normalize(shortlist(qv, corpus.chunk_vectors(spark, sf)))
 
 
 _QUOTE = O.with_(O.ART, O.chunks_cte(), O.shortlist_cte(), O.quote_cte())

@@ -45,10 +45,10 @@ SELECT * FROM (SELECT query_id, article_id, score, matched,
                       row_number() OVER (PARTITION BY query_id ORDER BY score DESC, article_id) AS rank FROM sc)
 WHERE rank <= {SEARCH_TOP}""")
 def q_text_search(spark, sf):
-    # the postings are the index: build them once (written to the checkpoint
-    # folder) and let the document count and the search read them
-    post = TI.postings(corpus.raw_articles(spark, sf)).checkpoint(eager=True)
-    return normalize(TI.search(queries_table(spark, sf), post, top=SEARCH_TOP))
+    docs = corpus.raw_articles(spark, sf)
+    post = TI.postings(docs)
+    return normalize(TI.search(queries_table(spark, sf), post, n_docs=TI.indexed_count(docs),
+                               top=SEARCH_TOP))
 
 
 @register("eval_hits", _QUOTE + f""",
