@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,17 +74,6 @@ def check_vectors(vectors: np.ndarray, n: int, dim: int) -> None:
         raise ValueError("encoder returned non-finite embedding values")
 
 
-def _encode_udf(factory, dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType(), containsNull=False))
-    def encode_texts(texts: pd.Series) -> pd.Series:
-        model = _model(factory)
-        vectors = np.asarray(model.encode(["" if t is None else str(t) for t in texts]),
-                             dtype=np.float32)
-        check_vectors(vectors, len(texts), dim)
-        return pd.Series(list(vectors))
-    return encode_texts
-
-
 def _encode_batches(factory, dim: int, text_col: str, out_col: str):
     def run(batches):
         model = _model(factory)
