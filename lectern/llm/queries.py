@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import exact_dedup
+from lectern.llm import decontaminate, exact_dedup, substring_dedup
 from lectern.llm.common import documents
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+#: A-Z lower-cased in DuckDB, all else unchanged.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir).withColumn(
         "text_sha256", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
@@ -22,10 +30,58 @@ from documents
 window g as (partition by coalesce(text, ''))
 """
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+OP4_SQL = rf"""
+with d as (select row_number() over () as r, doc_id,
+                  regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+     b as (select item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+     bw as (select distinct item_id, least(10, len(ws)) as n,
+                   array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') as g
+            from b, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) as t(i) where len(ws) > 0),
+     dw as (select r, n, i, array_to_string(ws[i:i + n - 1], ' ') as g
+            from d, (select distinct n from bw), unnest(range(1, len(ws) - n + 2)) as t(i)),
+     hit as (select r, n, i, item_id from dw join bw using (n, g)),
+     cover as (select r, count(distinct w) as n_hit from hit, unnest(range(i, i + n)) as t(w) group by r),
+     found as (select r, list_sort(list(distinct item_id::varchar)) as ids from hit group by r)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(len(ids), 0) as n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join cover using (r) left join found using (r)
+"""
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (substring_dedup.remove_repeats(documents(spark, sf_dir))
+            .select("doc_id", "n_words", "n_removed",
+                    F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")))
+
+
+OP7_SQL = r"""
+with d as (select row_number() over () as r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+     win as (select r, i, array_to_string(ws[i:i + 34], ' ') as g
+             from d, unnest(range(1, len(ws) - 33)) as t(i)),
+     twice as (select g from win group by g having count(*) > 1),
+     gone as (select distinct r, p from win semi join twice using (g), unnest(range(i, i + 35)) as t(p)),
+     word as (select r, p, ws[p] as w from d, unnest(range(1, len(ws) + 1)) as t(p)),
+     kept as (select r, string_agg(w, ' ' order by p) as k, count(*) as n from word anti join gone using (r, p) group by r)
+select doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from d left join kept using (r)
+"""
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
 }
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op4_benchmark_decontamination": OP4_SQL,
+    "op7_substring_dedup": OP7_SQL,
 }
