@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import decontaminate, exact_dedup, substring_dedup
+from lectern.llm import decontaminate, exact_dedup, jaccard_join, substring_dedup
 from lectern.llm.common import documents
 
 
@@ -55,6 +55,27 @@ from d left join cover using (r) left join found using (r)
 """
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir))
+
+
+OP6_SQL = rf"""
+with recursive d as (select row_number() over () as r, doc_id,
+                  regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as ws from documents),
+     s as (select distinct r, array_to_string(ws[i:i + 4], ' ') as g
+           from d, unnest(range(1, greatest(len(ws) - 3, 2))) as t(i) where len(ws) > 0),
+     n as (select r, count(*) as n from s group by r),
+     pair as (select a.r as a, b.r as b, count(*) as m from s a join s b using (g) where a.r < b.r group by a.r, b.r),
+     link as (select a, b from pair join n x on x.r = a join n y on y.r = b
+              where 100 * m >= 80 * (x.n + y.n - m)),
+     edge as (select a, b from link union all select b, a from link),
+     reach as (select r as a, r as b from d union select reach.a, edge.b from reach join edge on reach.b = edge.a),
+     comp as (select a as r, min(doc_id) as component_id from reach join d on d.r = reach.b group by a)
+select doc_id, coalesce(n, 0) as n_shingles, component_id
+from d left join n using (r) join comp using (r)
+"""
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (substring_dedup.remove_repeats(documents(spark, sf_dir))
             .select("doc_id", "n_words", "n_removed",
@@ -77,11 +98,13 @@ from d left join kept using (r)
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
 }
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
     "op4_benchmark_decontamination": OP4_SQL,
+    "op6_ngram_jaccard_join": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
 }
