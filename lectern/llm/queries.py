@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import decontaminate, exact_dedup, jaccard_join, substring_dedup
+from lectern.llm import (decontaminate, exact_dedup, jaccard_join, kd_sharding, language_id, license_scan, sentence_pieces,
+                         substring_dedup, url_filter)
 from lectern.llm.common import documents
 
 
@@ -95,11 +96,47 @@ select doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256
 from d left join kept using (r)
 """
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_sharding.shard_documents(documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = language_id.held_out(F.col("doc_id"))
+    d = documents(spark, sf_dir)
+    model = language_id.fit(d.filter(~held & F.col("doc_id").isNotNull()))
+    return language_id.identify(d.select("doc_id", "text"), model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licences(documents(spark, sf_dir))
+
+
+def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sentence_pieces.encode(documents(spark, sf_dir).select("doc_id", "text"))
+    return sentence_pieces.decode(rows).select(
+        "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_url_filter": op2_url_filter,
+    "op3_kd_sharding": op3_kd_sharding,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_license_scan": op9_license_scan,
+    "op10_sentencepiece_sampling": op10_sentencepiece_sampling,
 }
 
 ORACLES = {

@@ -13,6 +13,7 @@ _BASE = 0x9E3779B97F4A7C15
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
+_WRAP = (1 << 64) - 1
 
 #: ASCII white space: blank and \t to \r.
 SPACE = np.zeros(256, dtype=bool)
@@ -77,6 +78,16 @@ def run_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
     return mix(h + (hi - lo).astype(np.uint64) * _SALT)
 
 
+def run_hashes_of(values: np.ndarray, lo: np.ndarray, n: int) -> np.ndarray:
+    """``run_hashes`` of the runs values[lo:lo + n] of one short length, without
+    tables over all of ``values``."""
+    up, _ = _tables(n)
+    h = np.zeros(len(lo), dtype=np.uint64)
+    for i in range(n):
+        h += (values[lo + i].astype(np.uint64) + np.uint64(1)) * up[i]
+    return mix(h + np.uint64(n * int(_SALT) & _WRAP))
+
+
 def windows(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(starts, hashes) of the runs of k words inside one text."""
     counts = np.diff(first)
