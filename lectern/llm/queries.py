@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import (decontaminate, exact_dedup, jaccard_join, kd_sharding, language_id, license_scan, sentence_pieces,
+from lectern.llm import (decontaminate, exact_dedup, jaccard_join, kd_sharding, language_id, license_scan, pii, sentence_pieces,
                          substring_dedup, url_filter)
 from lectern.llm.common import documents
 
@@ -56,6 +56,18 @@ from d left join cover using (r) left join found using (r)
 """
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, pii.BASE_KINDS),
+        F.sha2(pii.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir))
 
@@ -132,6 +144,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_kd_sharding": op3_kd_sharding,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_personal_data": op5_personal_data,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_language_id": op8_language_id,
