@@ -8,6 +8,9 @@
   depend on the data). A key whose bit is clear is certainly not in the set;
   a key whose bit is set still goes through an exact join, so a crowded sieve
   costs time and never changes a result.
+
+Column names that begin with two underscores are kept for the operators; an
+input column of such a name may be dropped.
 """
 
 from __future__ import annotations

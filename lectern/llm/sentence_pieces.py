@@ -222,7 +222,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.drop("pieces")
+    docs = docs.drop("pieces", "__seed")
     vocab = spark.sparkContext.broadcast(Vocabulary.load(model_file, temperature))    # as large as the vocabulary
     rows = docs.withColumn("__seed", F.xxhash64(F.lit(seed), F.col(id_col)))
     schema = T.StructType([*docs.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))])

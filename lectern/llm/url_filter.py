@@ -3,9 +3,9 @@
 The urls that a rule judges are the labelled ones. Trees are trained on a
 bounded sample of them and judge the urls that no rule covers. Features: length,
 path depth, digit ratio, entropy of the characters, number of parameters,
-hyphens, labels of the host, and statistics of the host's suffixes (how often a
-suffix occurs, and the smoothed share of blocked ones among its labelled urls).
-Suffixes are hashed to a fixed number of buckets, so their statistics are a
+hyphens, labels of the host, and statistics of the host's suffixes and of the
+first part of the path (how often it occurs, and the smoothed share of blocked
+ones among its labelled urls). Suffixes are hashed to a fixed number of buckets, so their statistics are a
 table of bounded size.
 """
 
@@ -27,7 +27,7 @@ SUFFIX_BUCKETS = 4096
 TREES, DEPTH, SEED = 10, 4, 11
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ("f_length", "f_path", "f_depth", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_labels",
-            "f_tld_seen", "f_tld_blocked", "f_site_seen", "f_site_blocked")
+            "f_tld_seen", "f_tld_blocked", "f_site_seen", "f_site_blocked", "f_dir_seen", "f_dir_blocked")
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -70,6 +70,7 @@ def lexical_features(urls: DataFrame, url_col: str) -> DataFrame:
     return (urls.withColumn("__host", host_of(F.col(url_col))).withColumn("__path", path_of(F.col(url_col)))
             .withColumn("__tld", _bucket(F.substring_index("__host", ".", -1)))
             .withColumn("__site", _bucket(F.substring_index("__host", ".", -3)))
+            .withColumn("__dir", _bucket(F.regexp_extract("__path", "^/[^/]*", 0)))
             .withColumn("f_length", F.length(url).cast("double"))
             .withColumn("f_path", F.length("__path").cast("double"))
             .withColumn("f_depth", F.size(F.filter(F.split("__path", "/"), lambda p: p != "")).cast("double"))
@@ -88,7 +89,7 @@ def _suffix_stats(rows: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,
-               train_rows: int = TRAIN_ROWS) -> DataFrame:
+               train_rows: int = TRAIN_ROWS, held_out: Column | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, score) per row.
 
     ``verdict`` is the rule's, else the trees': block where the probability
@@ -97,6 +98,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     lack one of the verdicts, there is nothing to learn and the only verdict
     (allow if there is none) is given with a score of 0 or 1. Repeated rows are
     judged alike; other columns are ignored; an empty table gives no rows.
+    Nothing is learned from the labels of rows for which ``held_out``, a
+    condition on the id and the url, is true.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -108,14 +111,17 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         ruled = F.when(F.col("__rule") == rule, F.lit(verdict)).otherwise(ruled)
     base = base.withColumn("__verdict", ruled).withColumn(
         "__label", F.when(F.col("__verdict") == "block", 1.0).when(F.col("__verdict") == "allow", 0.0))
+    if held_out is not None:
+        base = base.withColumn("__label", F.when(~F.coalesce(held_out, F.lit(False)), F.col("__label")))
     counts = {r[0]: r[1] for r in base.filter("__label is not null").groupBy("__label").count().collect()}
     out = [F.col(id_col), F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule")]
     if len(counts) < 2:
         only = 1.0 if list(counts) == [1.0] else 0.0
         return base.select(*out, F.coalesce("__verdict", F.lit("block" if only else "allow")).alias("verdict"),
                            F.lit(only).alias("score"))
-    tld, site = (_suffix_stats(base, key, name) for key, name in (("__tld", "tld"), ("__site", "site")))
-    rows = base.join(F.broadcast(tld), "__tld").join(F.broadcast(site), "__site")
+    rows = base
+    for name in ("tld", "site", "dir"):
+        rows = rows.join(F.broadcast(_suffix_stats(base, f"__{name}", name)), f"__{name}")
     # as many of either label, spread over all rows by the hash of the url
     share = {k: min(1.0, train_rows / 2 / n) for k, n in counts.items()}
     spread = F.pmod(F.xxhash64(F.lit(SEED), F.col(url_col)), F.lit(1_000_000)) / F.lit(1_000_000.0)
