@@ -114,6 +114,27 @@ def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> Dat
 
 # ---------------------------------------------------------------- Arrow text
 
+HELD = 1 << 21             # hashes that a task counts before it passes them on
+
+
+def counted(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(h, n) batches: the hashes of a task with their counts, combined over
+    HELD hashes at a time."""
+    held, size = [], 0
+
+    def flush():
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["h", "n"])
+    for part in parts:
+        held.append(part)
+        size += len(part)
+        if size >= HELD:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES
                 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, past the last row, bytes, offsets) over a string column.

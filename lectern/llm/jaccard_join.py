@@ -4,10 +4,12 @@ Two texts link when their sets of word shingles have a Jaccard similarity of
 at least ``similar`` (in hundredths). The join never compares all pairs:
 
 1. Texts with equal shingle sets form one class; only classes are joined.
-2. Blocks. Shingles are put in one global order, rare before frequent, the
-   frequency coming from a count sketch over all texts. Two similar sets share
-   a shingle among the first n - ceil(s n) + 1 of each, so classes meet in the
-   blocks of their first shingles. Blocks with the same members are one.
+2. Blocks. Shingles are put in one global order, rare before frequent: the
+   three tenths with the smallest hashes are counted exactly over all classes,
+   a count sketch over all texts ranks the frequent ones. Two similar sets
+   share a shingle among the first n - ceil(s n) + 1 of each, so classes meet
+   in the blocks of their first shingles; a class whose first shingles are its
+   own alone has no similar one and leaves. Blocks with the same members are one.
 3. Pivots. In a few rounds each block links its members to one pivot; members
    that already are in one component need no comparison among themselves, which
    settles large groups of copies with a linear number of pairs.
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import (in_sieve, load_sieve, prepare, shared_table, sieve_rows, sieve_slot,
+from lectern.llm.common import (counted, in_sieve, load_sieve, prepare, shared_table, sieve_rows, sieve_slot,
                                 text_slices)
 from lectern.llm.components import components
 
@@ -41,6 +43,7 @@ PIVOT_ROUNDS = 3
 CELL = 1024                # members of a block that one side of a cell holds
 _SKETCH_BITS = 20          # counters of the frequency sketch: fixed, 8 MB
 _BLOCKS = 64               # the sketch travels in so many parts
+_LOW = np.uint64(int(0.3 * 2**64))     # hashes below are counted exactly
 
 
 def _sets(batches, text_col: str, words: int):
@@ -116,18 +119,50 @@ def _levels(profile: DataFrame) -> np.ndarray:
     return np.where(hot, 1 + np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
 
 
-def _first_shingles(text_col: str, words: int, similar: int, levels):
-    """(class, size, first shingles in the global order), each class once a task."""
+def _low_shingles(text_col: str, words: int):
+    """The shingles with small hashes, of each class once a task."""
+    def parts(batches):
+        seen = set()
+        for _, _, sets in _sets(batches, text_col, words):
+            new = []
+            for s in sets:
+                if len(s) and (c := _class_of(s)) not in seen:
+                    seen.add(c)
+                    new.append(s[:np.searchsorted(s, _LOW)])
+            if new:
+                yield np.concatenate(new)
+
+    def run(batches):
+        yield from counted(parts(batches))
+    return run
+
+
+def _first_shingles(text_col: str, words: int, similar: int, shared, levels):
+    """(class, size, first shingles in the global order), each class once a task.
+
+    The order: low hashes that no other class has, then the hashes that were
+    not counted, then low hashes that several classes have, rare before
+    frequent. Shingles of the first kind meet no one and are left out; a class
+    that has nothing else among its first shingles has no similar one.
+    """
     def run(batches):
-        level, seen = levels.value, set()
+        flat, level, seen = shared.value, levels.value, set()
         for _, _, sets in _sets(batches, text_col, words):
             rows = []
             for s in sets:
                 n = len(s)
-                if n and (c := _class_of(s)) not in seen:
-                    seen.add(c)
-                    order = np.argsort(level[(s >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64)], kind="stable")
-                    rows.append((c, n, s[order[:n - -(-similar * n // 100) + 1]].view(np.int64)))
+                if not n or (c := _class_of(s)) in seen:
+                    continue
+                seen.add(c)
+                first = n - -(-similar * n // 100) + 1
+                low = int(np.searchsorted(s, _LOW))
+                many = in_sieve(flat, s[:low])
+                alone = low - int(many.sum())
+                if alone >= first:
+                    continue
+                turn = np.ones(n, dtype=np.uint8)
+                turn[:low] = np.where(many, 2 + level[(s[:low] >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64)], 0)
+                rows.append((c, n, s[np.argsort(turn, kind="stable")[alone:first]].view(np.int64)))
             if rows:
                 firsts = [r[2] for r in rows]
                 bounds = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
@@ -342,7 +377,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = profile.filter("n is not null").select("__id", "n", "c")
     levels = spark.sparkContext.broadcast(_levels(profile))
 
-    firsts = shared_table(texts.mapInArrow(_first_shingles(text_col, words, similar, levels),
+    several = load_sieve(sieve_rows(
+        texts.mapInArrow(_low_shingles(text_col, words), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        .filter("n > 1").select(sieve_slot(F.col("h")).alias("s")), "s"))
+    firsts = shared_table(texts.mapInArrow(_first_shingles(text_col, words, similar, several, levels),
                                            "c long, n long, hs array<long>"), "firsts")
     more = (firsts.select(F.explode("hs").alias("h")).groupBy("h").count().filter("count > 1")
             .select(sieve_slot(F.col("h")).alias("s")))
@@ -389,7 +427,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = (cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
              .mapInArrow(_tree_pairs(similar), "a long, b long").distinct())
     found = shared_table(_verified(pairs, sets, similar), "tree_links")
-    labels = components(links.unionByName(found))
+    labels = components(found if links is None else links.unionByName(found))
 
     member = (rows.join(labels.select(F.col("node").alias("c"), "label"), "c", "left")
               .select("__id", "n", F.coalesce("label", "c").alias("comp")))

@@ -262,10 +262,10 @@ def expectation_maximisation(patterns: dict[int, int], rounds: int = 50) -> tupl
 def train(patterns: dict[int, int]) -> SpanModel:
     good, prior, post = expectation_maximisation(patterns)
     codes = sorted(patterns)
-    x = np.array([_features(*_uncode(c)) for c in codes]).reshape(len(codes), -1)
+    w = np.zeros(1 + 2 * len(LABELERS) + len(KINDS))
+    x = np.array([_features(*_uncode(c)) for c in codes]).reshape(len(codes), len(w))
     y = np.array([post[c] for c in codes])
     n = np.array([patterns[c] for c in codes], dtype=np.float64)
-    w = np.zeros(1 + 2 * len(LABELERS) + len(KINDS))
     for _ in range(25):                                  # Newton steps, ridge of 1
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (n * (y - p)) - w

@@ -28,6 +28,8 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 TEMPERATURE = 1.0          # weights are raised to 1 / TEMPERATURE
 _BYTE_WEIGHT = -14.0       # log weight of a byte that stands for itself
 _LONG = 48                 # bytes up to which lattices are built together
+_SLICE = 1 << 20           # bytes of text encoded at once: lattices take some hundred times their unique segments
+_PIECES = 1 << 18          # pieces decoded at once
 _MARK = "▁"           # the vocabulary's sign for a blank
 
 
@@ -203,7 +205,7 @@ def _encode(vocab_bc, text_col: str):
         vocab = vocab_bc.value
         for batch in batches:
             names = [n for n in batch.schema.names if n != "__seed"]
-            for lo, hi, buf, off in text_slices(batch, text_col):
+            for lo, hi, buf, off in text_slices(batch, text_col, _SLICE):
                 ids, bounds = encode_slice(vocab, buf, off, _seed(batch.column("__seed")[lo:hi]))
                 valid = batch.column(text_col)[lo:hi].is_valid()
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
@@ -230,9 +232,19 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 
 def _decode(spelled_bc, pieces_col: str, out_col: str):
+    def few(batches):
+        """Rows of at most _PIECES pieces, or one row of more."""
+        for batch in batches:
+            ends = np.cumsum(np.nan_to_num(pc.list_value_length(batch.column(pieces_col)).to_numpy(zero_copy_only=False)))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _PIECES, side="right")), lo + 1)
+                yield batch.slice(lo, hi - lo)
+                lo = hi
+
     def run(batches):
         data, off = spelled_bc.value
-        for batch in batches:
+        for batch in few(batches):
             lists = batch.column(pieces_col)
             ids = lists.flatten().to_numpy()
             counts = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import (in_sieve, load_sieve, mark_in_sieve, prepare, shared_table, sieve_rows,
+from lectern.llm.common import (counted, in_sieve, load_sieve, mark_in_sieve, prepare, shared_table, sieve_rows,
                                 sieve_slot, text_slices)
 
 WINDOW = 35
@@ -53,39 +53,17 @@ def _slices(batches, text_col: str, window: int, anchor: int):
                 yield batch, lo, hi, first, win, hashes, sub, _anchors(sub, at, win, window - anchor + 1)
 
 
-def _counted(parts: list[np.ndarray]) -> pa.RecordBatch:
-    values, counts = np.unique(np.concatenate(parts), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["h", "n"])
-
-
-_HELD = 1 << 21            # hashes that a task counts before it passes them on
-
-
 def _count_anchors(text_col: str, window: int, anchor: int):
     def run(batches):
-        held, size = [], 0
-        for *_, sub, best in _slices(batches, text_col, window, anchor):
-            held.append(sub[np.unique(best)])
-            size += len(held[-1])
-            if size >= _HELD:
-                yield _counted(held)
-                held, size = [], 0
-        if held:
-            yield _counted(held)
+        yield from counted(sub[np.unique(best)] for *_, sub, best in _slices(batches, text_col, window, anchor))
     return run
 
 
 def _count_windows(text_col: str, window: int, anchor: int, repeated):
     def run(batches):
-        flat, held, size = repeated.value, [], 0
-        for *_, hashes, sub, best in _slices(batches, text_col, window, anchor):
-            held.append(hashes[in_sieve(flat, sub)[best]])
-            size += len(held[-1])
-            if size >= _HELD:
-                yield _counted(held)
-                held, size = [], 0
-        if held:
-            yield _counted(held)
+        flat = repeated.value
+        yield from counted(hashes[in_sieve(flat, sub)[best]]
+                           for *_, hashes, sub, best in _slices(batches, text_col, window, anchor))
     return run
 
 
