@@ -12,6 +12,7 @@ needs no download and the SQL oracle can compute it too.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.config import EMBEDDING_DIMENSION
+from lectern.functions.models import model_key, worker_model
 from lectern.functions.tokens import py_bucket, py_tokens
 
 
@@ -52,18 +54,7 @@ class HashedBagOfWords:
 
 
 def hashed_encoder(dim: int = EMBEDDING_DIMENSION) -> Callable[[], HashedBagOfWords]:
-    return lambda: HashedBagOfWords(dim)
-
-
-_WORKER_MODELS: dict = {}
-
-
-def _model(factory):
-    key = id(factory)
-    model = _WORKER_MODELS.get(key)
-    if model is None:
-        model = _WORKER_MODELS[key] = factory()
-    return model
+    return functools.partial(HashedBagOfWords, dim)
 
 
 def check_vectors(vectors: np.ndarray, n: int, dim: int) -> None:
@@ -75,8 +66,10 @@ def check_vectors(vectors: np.ndarray, n: int, dim: int) -> None:
 
 
 def _encode_batches(factory, dim: int, text_col: str, out_col: str):
+    key = model_key(factory)
+
     def run(batches):
-        model = _model(factory)
+        model = worker_model(key, factory)
         for b in batches:
             texts = ["" if t is None else t for t in b.column(text_col).to_pylist()]
             vectors = np.ascontiguousarray(np.asarray(model.encode(texts), dtype=np.float32))

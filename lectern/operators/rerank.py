@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.config import DEFAULT_RESULT_LIMIT
+from lectern.functions.models import model_key, worker_model
 from lectern.functions.tokens import tokens
 
 SCORE_DIGITS = 6
@@ -35,16 +36,12 @@ def lexical_score(query: F.Column, window_text: F.Column) -> F.Column:
     return F.round(raw, SCORE_DIGITS)
 
 
-_WORKER_SCORERS: dict = {}
-
-
 def _scorer_udf(factory, batch_size: int):
+    key = model_key(factory)
+
     @F.pandas_udf(T.DoubleType())
     def score_pairs(queries: pd.Series, texts: pd.Series) -> pd.Series:
-        key = id(factory)
-        model = _WORKER_SCORERS.get(key)
-        if model is None:
-            model = _WORKER_SCORERS[key] = factory()
+        model = worker_model(key, factory)
         out = []
         pairs = list(zip(queries.astype(str), texts.astype(str)))
         for i in range(0, len(pairs), batch_size):

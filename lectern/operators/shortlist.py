@@ -5,8 +5,9 @@ matrix, whose size is checked, rides along with a ``mapInArrow`` over the
 corpus. Each task multiplies its batch of vectors by the query matrix,
 keeps a per-query partial top-k (plus anything within rounding distance of
 the k-th score, so ties resolve the same way everywhere) and emits only
-those rows. A window on query_id then picks the final k. Shuffle volume is
-tasks x queries x k, independent of corpus size.
+those rows: tasks x queries x k, which grows with the corpus as its tasks do.
+They are merged on two levels, first within some of the tasks and then per
+query, so no task gets the partial lists of all tasks.
 
 More queries than fit in one matrix are cut into groups that each make
 their own pass, so nothing unbounded is ever shipped to the executors.
@@ -23,6 +24,8 @@ from lectern.config import BROADCAST_LIMIT_BYTES, RETRIEVAL_CANDIDATES
 
 SCORE_DIGITS = 6
 _SLACK = 10.0 ** -SCORE_DIGITS
+_TILE = 1 << 22            # numbers of one product: 32 MB
+_MERGERS = 64              # first-level merges per query, at most
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
@@ -53,11 +56,18 @@ def _partial_topk(query_ids: np.ndarray, qmat: np.ndarray, k: int, id_cols: list
             keep[rows] = True
         return [c[keep] for c in ids], scores[keep], qidx[keep]
 
+    def tiles(batches):
+        # a product of at most _TILE numbers at a time
+        rows = max(1, _TILE // max(1, len(qmat)))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                yield batch.slice(lo, rows)
+
     def run(batches):
         ids_acc = [[] for _ in id_cols]
         sc_acc, q_acc = [], []
         held = 0
-        for batch in batches:
+        for batch in tiles(batches):
             n = batch.num_rows
             if n == 0 or len(qmat) == 0:
                 continue
@@ -145,9 +155,12 @@ def shortlist(queries: DataFrame, corpus: DataFrame, k: int = RETRIEVAL_CANDIDAT
     for p in parts[1:]:
         cand = cand.unionByName(p)
     cand = cand.withColumn("score", F.round("score", SCORE_DIGITS))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), *[F.asc(c) for c in id_cols])
-    return (cand.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k))
+    order = [F.desc("score"), *[F.asc(c) for c in id_cols]]
+    first = Window.partitionBy("query_id", "_merger").orderBy(*order)
+    some = (cand.withColumn("_merger", F.spark_partition_id() % _MERGERS)
+            .withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k).drop("_r", "_merger"))
+    w = Window.partitionBy("query_id").orderBy(*order)
+    return some.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 # ------------------------------------------------------------------ M9: inverted-file lists

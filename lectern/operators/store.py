@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.functions.ids import dense_ids
+from lectern.config import TONE_LABELS
+from lectern.functions.ids import key_ids
 from lectern.functions.text import content_hash, normalize_tags, parse_published_at
 
 SECONDARY_TYPE = "array<struct<topic_id:int,probability:double>>"
@@ -42,6 +43,7 @@ def empty_store(spark: SparkSession) -> dict[str, DataFrame]:
         "topics": spark.createDataFrame([], "id int, label string"),
         "chunks": spark.createDataFrame([], "article_id long, position int, text string, "
                                             "embedding array<float>"),
+        "tone": spark.createDataFrame([], "article_id long, " + ", ".join(f"{lb} double" for lb in TONE_LABELS)),
     }
 
 
@@ -50,17 +52,25 @@ def _max_id(df: DataFrame, col: str = "id") -> int:
     return int(row.m) if row is not None and row.m is not None else 0
 
 
-def latest_per_key(batch: DataFrame, key: str, order: str) -> DataFrame:
-    """Within one batch keep the last row per key (by ``order``)."""
-    w = Window.partitionBy(key).orderBy(F.desc(order))
+def latest_per_key(batch: DataFrame, key: list[str], order: str) -> DataFrame:
+    """Within one batch the last row per key (by ``order``) wins."""
+    w = Window.partitionBy(*key).orderBy(F.desc(order))
     return batch.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
 
 
+def repeated_urls(batch: DataFrame) -> DataFrame:
+    """The report of urls that a batch holds more than once: (url, n_rows,
+    kept_source_id). The row with the largest source id wins, as if the rows
+    had been loaded one after the other."""
+    return (batch.groupBy("url").agg(F.count(F.lit(1)).alias("n_rows"), F.max("source_id").alias("kept_source_id"))
+            .where(F.col("n_rows") > 1))
+
+
 def prepare_batch(raw: DataFrame) -> DataFrame:
     """Raw article rows -> the loader's row shape (P6, P7, P14), url stripped."""
     missing = set(RAW_COLUMNS) - set(raw.columns)
     if missing:
-        raise ValueError(f"missing required article columns: {', '.join(sorted(missing))}")
+        raise ValueError(f"raw articles lack the columns {', '.join(sorted(missing))}")
     return raw.select(
         F.col("article_id").alias("source_id"),
         F.regexp_replace("url", r"^\s+|\s+\z", "").alias("url"),
@@ -78,38 +88,38 @@ def upsert_articles(articles: DataFrame, batch: DataFrame, load_ts: dt.datetime
     """Key url. New urls get new ids; matched rows take the batch's hash,
     title, author, date and body and keep id, topic fields and created_at.
 
-    batch is ``prepare_batch`` output. Returns (articles, source_map) where
-    source_map is (source_id, url, id) for the batch.
+    batch is ``prepare_batch`` output; of rows with one url the largest
+    source id wins (``repeated_urls`` reports them). Returns (articles,
+    source_map) where source_map is (source_id, url, id) for every batch row.
     """
     ts = F.lit(load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-    b = latest_per_key(batch, "url", "source_id")
-    t = articles.alias("t")
-    j = t.join(b.alias("b"), "url", "full_outer")
-    matched_or_old = j.where(F.col("t.id").isNotNull())
+    b = latest_per_key(batch, ["url"], "source_id")
     fields = ("content_hash", "title", "author", "published_at", "body")
-    fresh = j.where(F.col("t.id").isNull()).select("url", *[F.col(f"b.{c}").alias(c) for c in fields])
-    fresh = dense_ids(fresh, "url", "id", start=_max_id(articles) + 1)
+    # ids are given on the urls alone; bodies are joined last, on the url again
+    fresh = batch.select("url").join(articles.select("url"), "url", "left_anti")
+    fresh = key_ids(fresh, "url", "id", start=_max_id(articles) + 1)
+    t = articles.alias("t").join(b.alias("b"), "url", "left")
 
     def pick(c):
         return F.when(F.col("b.source_id").isNotNull(), F.col(f"b.{c}")).otherwise(F.col(f"t.{c}"))
 
-    kept = matched_or_old.select(
+    kept = t.select(
         F.col("t.id").alias("id"), "url", *[pick(c).alias(c) for c in fields],
         F.col("t.topic_id").alias("topic_id"), F.col("t.topic_prob").alias("topic_prob"),
         F.col("t.secondary_topics").alias("secondary_topics"), F.col("t.created_at").alias("created_at"))
-    new = fresh.select(
+    new = b.join(fresh, "url").select(
         "id", "url", *fields, F.lit(None).cast("int").alias("topic_id"),
         F.lit(None).cast("double").alias("topic_prob"),
         F.lit(None).cast(SECONDARY_TYPE).alias("secondary_topics"), ts.alias("created_at"))
-    out = kept.unionByName(new)
-    source_map = batch.select("source_id", "url").join(out.select("url", "id"), "url")
-    return out, source_map
+    ids = articles.select("url", "id").unionByName(fresh)
+    source_map = batch.select("source_id", "url").join(ids, "url")
+    return kept.unionByName(new), source_map
 
 
 def upsert_tags(tags: DataFrame, names: DataFrame) -> DataFrame:
     """Insert-if-absent by name; new ids follow the current max in name order."""
     new = names.select("name").distinct().join(tags.select("name"), "name", "left_anti")
-    return tags.unionByName(dense_ids(new, "name", "id", start=_max_id(tags) + 1).select("id", "name"))
+    return tags.unionByName(key_ids(new, "name", "id", start=_max_id(tags) + 1).select("id", "name"))
 
 
 def upsert_article_tags(links: DataFrame, batch: DataFrame, source_map: DataFrame,
@@ -144,14 +154,15 @@ def apply_topics(articles: DataFrame, assignments: DataFrame, source_map: DataFr
                  ) -> tuple[DataFrame, DataFrame]:
     """Assignments keyed by source id onto articles; unmatched are skipped.
 
-    A matched row overwrites all three topic fields, nulls included.
+    A matched row overwrites all three topic fields, nulls included; of
+    several source ids of one article the largest wins.
     Returns (articles, matched ids)."""
     a = (assignments.join(source_map.select("source_id", "id"),
                           assignments["article_id"] == source_map["source_id"])
-         .select("id", F.col("topic_id").cast("int").alias("_tid"),
+         .select("id", "source_id", F.col("topic_id").cast("int").alias("_tid"),
                  F.col("topic_prob").cast("double").alias("_tp"),
-                 F.col("secondary_topics").cast(SECONDARY_TYPE).alias("_st"))
-         .withColumn("_m", F.lit(True)))
+                 F.col("secondary_topics").cast(SECONDARY_TYPE).alias("_st")))
+    a = latest_per_key(a, ["id"], "source_id").drop("source_id").withColumn("_m", F.lit(True))
     j = articles.join(a, "id", "left")
     m = F.col("_m").isNotNull()
     out = j.select(*[
@@ -172,15 +183,17 @@ def upsert_chunks(chunks: DataFrame, batch: DataFrame, source_map: DataFrame,
                   expected_dimension: int | None = None, delete_missing: bool = False) -> DataFrame:
     """Key (article db id, position); text and vector replaced.
 
-    batch: (article_id = source id, position, text, embedding). Positions
-    that vanished are kept unless ``delete_missing`` (our extension)."""
+    batch: (article_id = source id, position, text, embedding). Of several
+    source ids of one article the largest wins, position by position.
+    Positions that vanished are kept unless ``delete_missing`` (our extension)."""
     b = batch.join(source_map.select(F.col("source_id").alias("article_id"), F.col("id").alias("_db")),
-                   "article_id").select(F.col("_db").alias("article_id"),
+                   "article_id").select(F.col("_db").alias("article_id"), F.col("article_id").alias("_source"),
                                         *[c for c in chunks.columns if c != "article_id"])
+    b = latest_per_key(b, ["article_id", "position"], "_source").drop("_source")
     if expected_dimension is not None and "embedding" in b.columns:
         bad = b.where(F.size("embedding") != expected_dimension).limit(1).count()
         if bad:
-            raise ValueError(f"embedding dimension differs from {expected_dimension}")
+            raise ValueError(f"chunk vectors are not all {expected_dimension} long")
     keep = chunks
     if delete_missing:
         keep = keep.join(b.select("article_id").distinct(), "article_id", "left_anti")
@@ -189,10 +202,18 @@ def upsert_chunks(chunks: DataFrame, batch: DataFrame, source_map: DataFrame,
     return keep.unionByName(b.select(*chunks.columns))
 
 
+def upsert_tone(tone: DataFrame, batch: DataFrame, source_map: DataFrame) -> DataFrame:
+    """Tone rows by article db id; the batch (keyed by source id) replaces."""
+    b = batch.join(source_map.select("source_id", "id"), batch["article_id"] == source_map["source_id"])
+    b = latest_per_key(b.select(F.col("id").alias("article_id"), "source_id", *TONE_LABELS), ["article_id"], "source_id")
+    return tone.join(b.select("article_id"), "article_id", "left_anti").unionByName(b.select(*tone.columns))
+
+
 def load(store: dict[str, DataFrame], raw: DataFrame, chunk_vectors: DataFrame | None = None,
          assignments: DataFrame | None = None, load_ts: dt.datetime | None = None,
-         expected_dimension: int | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Raw articles, optional topic assignments, chunk vectors -> new store + summary row.
+         expected_dimension: int | None = None, tone: DataFrame | None = None
+         ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Raw articles, optional topic assignments, chunk vectors, tone -> new store + summary row.
 
     Idempotent: loading the same inputs twice gives the same store."""
     from lectern.operators.quality import require_raw_articles
@@ -210,10 +231,12 @@ def load(store: dict[str, DataFrame], raw: DataFrame, chunk_vectors: DataFrame |
     if chunk_vectors is not None:
         unknown = unknown_source_ids(chunk_vectors, smap).limit(1).collect()
         if unknown:
-            raise ValueError(f"chunk references unknown source article_id {unknown[0].source_id!r}")
+            raise ValueError(f"chunks of article {unknown[0].source_id!r}, which is not in the batch")
         chunks = upsert_chunks(chunks, chunk_vectors, smap, expected_dimension)
     summary = load_summary(batch, chunk_vectors, matched)
-    new = {"articles": articles, "tags": tags, "article_tags": links, "topics": topics, "chunks": chunks}
+    tones = store["tone"] if tone is None else upsert_tone(store["tone"], tone, smap)
+    new = {"articles": articles, "tags": tags, "article_tags": links, "topics": topics, "chunks": chunks,
+           "tone": tones}
     return new, summary
 
 
@@ -243,22 +266,37 @@ def load_summary(batch: DataFrame, chunk_vectors: DataFrame | None, matched: Dat
 POINTER = "CURRENT"
 
 
+TABLES = ("articles", "tags", "article_tags", "topics", "chunks", "tone")
+
+
 def write_store(store: dict[str, DataFrame], root: str) -> str:
     """Write every table under a new version folder, then swap the pointer."""
+    spark = next(iter(store.values())).sparkSession
+    root = root.rstrip("/")
+    if not path_exists(spark, f"{root}/{POINTER}"):
+        _put_text(spark, f"{root}/{POINTER}", json.dumps({"version": None}))
     version = dt.datetime.now(dt.timezone.utc).strftime("v%Y%m%dT%H%M%S%f")
-    base = f"{root.rstrip('/')}/{version}"
     for name, df in store.items():
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-    spark = next(iter(store.values())).sparkSession
-    _put_text(spark, f"{root.rstrip('/')}/{POINTER}", json.dumps({"version": version}))
-    return base
+        df.write.mode("overwrite").parquet(f"{root}/{version}/{name}")
+    _put_text(spark, f"{root}/{POINTER}", json.dumps({"version": version}))
+    return f"{root}/{version}"
 
 
 def read_store(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    meta = json.loads(_get_text(spark, f"{root.rstrip('/')}/{POINTER}"))
-    base = f"{root.rstrip('/')}/{meta['version']}"
-    return {n: spark.read.parquet(f"{base}/{n}") for n in
-            ("articles", "tags", "article_tags", "topics", "chunks")}
+    """The store that the pointer names, empty where nothing was written yet.
+
+    The pointer is the first file of a store and is replaced in one step, so
+    tables without a pointer mean damage: that is an error, not an empty store."""
+    root = root.rstrip("/")
+    if not path_exists(spark, f"{root}/{POINTER}"):
+        fs, p = _fs(spark, root)
+        if fs.exists(p) and any(f.isDirectory() and f.getPath().getName().startswith("v") for f in fs.listStatus(p)):
+            raise RuntimeError(f"{root} has tables but no {POINTER} pointer")
+        return empty_store(spark)
+    version = json.loads(_get_text(spark, f"{root}/{POINTER}"))["version"]
+    if version is None:
+        return empty_store(spark)
+    return {n: spark.read.parquet(f"{root}/{version}/{n}") for n in TABLES}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -268,14 +306,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a file in one step: write beside it, then rename over it."""
     fs, p = _fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    tmp = hadoop.Path(path + ".tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
 
 
 def _get_text(spark: SparkSession, path: str) -> str:

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from lectern.config import (OUTLIER_TOPIC_ID, TOPIC_MIN_CLUSTER_SIZE, TOPIC_MIN_DF, TOPIC_NGRAM_RANGE,
                             TOPIC_PCA_COMPONENTS, TOPIC_TOP_TERMS)
 from lectern.functions.tokens import tokens
+from lectern.session import written
 
 # Default English stop words of the term vectorizer (a short
 # list of function words; pass a longer one through ``stop_words``).
@@ -92,50 +93,76 @@ def _centroid_scores_fn(ids: np.ndarray, cmat: np.ndarray, id_col: str, vec_col:
     return run
 
 
-def centroid_scores(vectors: DataFrame, cents: DataFrame, id_col: str = "article_id",
-                    vec_col: str = "embedding", limit_bytes: int | None = None) -> DataFrame:
-    """Cosine of every vector to every topic centroid, (id, topic_id, cosine).
-
-    The centroid matrix travels with the task. Its size is checked: beyond
-    ``limit_bytes`` the centroids are cut into groups that each make their
-    own pass, and the per-group rows are unioned (same result)."""
+def _centroid_groups(cents: DataFrame, vec_col: str, limit_bytes: int | None):
+    """(topic ids ascending, matrix) of the centroids in groups whose size is
+    checked: beyond ``limit_bytes`` they are cut, and each makes its own pass."""
     from lectern.config import BROADCAST_LIMIT_BYTES
-    limit = limit_bytes or BROADCAST_LIMIT_BYTES
-    schema = f"{id_col} long, topic_id int, cosine double"
     n = cents.count()
-    if n == 0:
-        return vectors.sparkSession.createDataFrame([], schema)
+    if not n:
+        return
     dim = len(cents.select(vec_col).first()[0])
-    per_group = max(1, limit // (8 * max(dim, 1)))
-    n_groups = (n + per_group - 1) // per_group
+    n_groups = -(-n // max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * max(dim, 1))))
     c = cents.select(F.col("topic_id").cast("int"), vec_col)
-    if n_groups > 1:
-        c = c.withColumn("_g", F.pmod(F.col("topic_id"), F.lit(n_groups)))
-    parts = []
     for g in range(n_groups):
-        t = (c.where(F.col("_g") == g).drop("_g") if n_groups > 1 else c).toArrow()
-        ids = t.column("topic_id").to_numpy()
-        if len(ids) == 0:
-            continue
-        cmat = t.column(vec_col).combine_chunks().flatten().to_numpy(zero_copy_only=False) \
-            .astype(np.float64).reshape(len(ids), -1)
-        parts.append(vectors.select(id_col, vec_col).mapInArrow(
-            _centroid_scores_fn(ids, cmat, id_col, vec_col), schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("cosine", F.round("cosine", PROB_DIGITS))
+        t = c.where(F.pmod(F.xxhash64("topic_id"), F.lit(n_groups)) == g).orderBy("topic_id").toArrow()
+        if t.num_rows:
+            mat = t.column(vec_col).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            yield t.column("topic_id").to_numpy(), mat.astype(np.float64).reshape(t.num_rows, -1)
+
+
+def _over_groups(vectors: DataFrame, cents: DataFrame, fn, id_col: str, vec_col: str,
+                 limit_bytes: int | None) -> tuple[DataFrame, int]:
+    """The rows that ``fn`` makes of every group, and how many groups there are.
+    The cosine of a vector without length is null."""
+    schema = f"{id_col} long, topic_id int, cosine double"
+    out, n = vectors.sparkSession.createDataFrame([], schema), 0
+    for ids, mat in _centroid_groups(cents, vec_col, limit_bytes):
+        part = vectors.select(id_col, vec_col).mapInArrow(fn(ids, mat, id_col, vec_col), schema)
+        out, n = (part if not n else out.unionByName(part)), n + 1
+    cosine = F.when(~F.isnan("cosine"), F.round("cosine", PROB_DIGITS))
+    return out.withColumn("cosine", cosine), n
+
+
+def centroid_scores(vectors: DataFrame, cents: DataFrame, id_col: str = "article_id",
+                    vec_col: str = "embedding", limit_bytes: int | None = None) -> DataFrame:
+    """Cosine of every vector to every topic centroid, (id, topic_id, cosine)."""
+    return _over_groups(vectors, cents, _centroid_scores_fn, id_col, vec_col, limit_bytes)[0]
+
+
+def _nearest_fn(ids: np.ndarray, cmat: np.ndarray, id_col: str, vec_col: str):
+    """The nearest centroid of each vector, ties to the lower id."""
+    cn = np.sqrt((cmat * cmat).sum(axis=1))
+
+    def run(batches):
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            mat = b.column(vec_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+            vn = np.sqrt((mat * mat).sum(axis=1))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                sims = (mat @ cmat.T) / (vn[:, None] * cn[None, :])
+            best = np.where(np.isnan(sims), -2.0, np.round(sims, PROB_DIGITS)).argmax(axis=1)
+            yield pa.RecordBatch.from_pydict({
+                id_col: b.column(id_col), "topic_id": pa.array(ids[best].astype(np.int32)),
+                "cosine": pa.array(sims[np.arange(n), best], type=pa.float64())})
+    return run
 
 
 def assign_topics(vectors: DataFrame, cents: DataFrame, threshold: float = 0.1,
-                  id_col: str = "article_id") -> DataFrame:
-    """M7: nearest centroid by cosine; below ``threshold`` -> -1; ties to the lower id."""
-    s = centroid_scores(vectors, cents, id_col)
-    best = s.groupBy(id_col).agg(F.max_by(F.struct("cosine", (-F.col("topic_id")).alias("nt")),
-                                          F.struct("cosine", (-F.col("topic_id")).alias("nt"))).alias("b"))
-    return best.select(id_col, F.when(F.col("b.cosine") >= threshold, -F.col("b.nt"))
+                  id_col: str = "article_id", limit_bytes: int | None = None) -> DataFrame:
+    """M7: nearest centroid by cosine; below ``threshold`` -> -1; ties to the lower id.
+
+    The centroids travel with the tasks in one matrix, as many as there are
+    topics; where that is not small, ``limit_bytes`` cuts it into passes."""
+    # one row per vector and centroid group leaves a task; a single group needs no shuffle
+    near, groups = _over_groups(vectors, cents, _nearest_fn, id_col, "embedding", limit_bytes)
+    if groups > 1:
+        near = near.groupBy(id_col).agg(F.max_by(F.struct("topic_id", "cosine"), F.struct(
+            "cosine", (-F.col("topic_id")).alias("nt"))).alias("b")).select(id_col, "b.*")
+    return near.select(id_col, F.when(F.col("cosine") >= threshold, F.col("topic_id"))
                        .otherwise(F.lit(OUTLIER_TOPIC_ID)).cast("int").alias("topic_id"),
-                       F.col("b.cosine").alias("score"))
+                       F.col("cosine").alias("score"))
 
 
 def centroid_probabilities(scores: DataFrame, id_col: str = "article_id") -> DataFrame:
@@ -243,8 +270,9 @@ def class_term_weights(docs: DataFrame, class_cols: list[str], text_col: str = "
         dfreq = tf.groupBy("term").agg(F.sum("_docs").alias("_df"))
     else:
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    tf = tf.join(dfreq.where(F.col("_df") >= min_df).select("term"), "term", "left_semi") \
-        .select(*class_cols, "term", "count").persist()
+    # read by four branches below: written once to the shared folder
+    tf = written(tf.join(dfreq.where(F.col("_df") >= min_df).select("term"), "term", "left_semi")
+                 .select(*class_cols, "term", "count"), "class_terms")
     n_classes = docs.select(*class_cols).distinct().count()
     total = tf.agg(F.sum("count").alias("s")).first().s or 0
     avg_words = int(total / n_classes) if n_classes else 0

@@ -25,12 +25,15 @@ def explode_vector(df: DataFrame, key_cols: list[str], vec_col: str = "embedding
 
 
 def mean_pool(chunk_vectors: DataFrame, key: str = "article_id", vec_col: str = "embedding",
-              carry: tuple[str, ...] = ()) -> DataFrame:
+              carry: tuple[str, ...] = (), check: bool = False) -> DataFrame:
     """A1: mean of chunk vectors per article, computed in double, stored float32.
 
-    ``carry`` columns must be constant per article (checked by dq_titles);
-    one value is kept.
+    ``carry`` columns must be constant per article: one value is kept, and with
+    ``check`` an article with several titles is an error (V11).
     """
+    if check and "title" in carry:
+        from lectern.operators.quality import require, title_violations
+        require(title_violations(chunk_vectors.withColumnRenamed(key, "article_id")), "chunk titles")
     v = chunk_vectors.withColumn("_v", array_to_vector(F.col(vec_col)))
     aggs = [Summarizer.mean(F.col("_v")).alias("_m")] + [F.first(c).alias(c) for c in carry]
     pooled = v.groupBy(key).agg(*aggs)

@@ -18,6 +18,7 @@ from lectern.operators.windows import sentence_windows, sentences
 from lectern.plans import corpus
 from lectern.plans import oracle_sql as O
 from lectern.plans.quote_search import quote_search
+from lectern.session import written
 from lectern.sources.tables import queries_table, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,12 +111,11 @@ def q_sentence_windows(spark, sf):
 # ------------------------------------------------------------------ search
 
 
-def _search(spark, sf, stages=None):
-    # the search reads chunk vectors twice (shortlist, chunk fetch); write them
-    # once to the shared checkpoint folder instead of encoding twice
-    cv = corpus.chunk_vectors(spark, sf).checkpoint(eager=True)
+def _search(spark, sf, stages=None, **options):
+    # the search reads chunk vectors and chunk texts; both come from one written table
+    cv = written(corpus.chunk_vectors(spark, sf), "chunk_vectors")
     arts = corpus.serving_articles(spark, sf)
-    return quote_search(queries_table(spark, sf), cv, arts, stages=stages)
+    return quote_search(queries_table(spark, sf), cv, arts, stages=stages, **options)
 
 
 @register("quote_shortlist", O.with_(O.ART, O.chunks_cte(), O.shortlist_cte()) + """
@@ -174,6 +174,7 @@ def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
+# The date formats that are accepted, in order.
 _DUCK_DATE_FORMATS = ("%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y", "%B %d, %Y", "%b %d %Y", "%d %B %Y",
                       "%d %b %Y", "%Y/%m/%d", "%m-%d-%Y")
 
@@ -370,7 +371,7 @@ def q_token_windows(spark, sf):
 
 
 def _lex_sql():
-    rows = ", ".join(f"('{w}', '{lb}')" for lb, ws in TN.TONE_LEXICON.items() for w in ws)
+    rows = ", ".join(f"('{w}', '{lb}')" for lb, ws in corpus.TONE_WORDS.items() for w in ws)
     return f"lex(word, label) AS (VALUES {rows})"
 
 
@@ -398,10 +399,11 @@ def _round_tone(df):
 SELECT article_id, round(academic, 6) AS academic, round(militant, 6) AS militant,
        round(hopeful, 6) AS hopeful, round(critical, 6) AS critical FROM tone""")
 def q_tone_scores(spark, sf):
-    return _round_tone(TN.score_articles(corpus.raw_articles(spark, sf)))
+    return _round_tone(TN.score_articles(corpus.raw_articles(spark, sf), lexicon=corpus.TONE_WORDS))
 
 
 # more registrations live in sibling modules; importing them fills QUERIES / ORACLES
 from lectern.plans import catalog_views  # noqa: E402,F401
 from lectern.plans import catalog_store  # noqa: E402,F401
+from lectern.plans import catalog_quality  # noqa: E402,F401
 from lectern.plans import catalog_search  # noqa: E402,F401

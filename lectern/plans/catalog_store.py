@@ -14,7 +14,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lectern.functions.text import normalize_text
-from lectern.operators import quality as Q
 from lectern.operators import store as S
 from lectern.plans import corpus
 from lectern.plans import oracle_sql as O
@@ -168,86 +167,19 @@ def q_unknown_source_ids(spark, sf):
     return S.unknown_source_ids(c, smap)
 
 
-# ------------------------------------------------------------------ data quality
-
-
-@register("dq_chunks", O.with_(O.ART, O.chunks_cte()) + """
-SELECT 'chunk_duplicate' AS rule, CAST(article_id AS VARCHAR) || ',' || CAST(idx AS VARCHAR) AS key,
-       'count=' || CAST(count(*) AS VARCHAR) AS detail FROM chunks GROUP BY article_id, idx HAVING count(*) > 1
-UNION ALL SELECT 'chunk_blank', CAST(article_id AS VARCHAR) || ',' || CAST(idx AS VARCHAR), NULL
-FROM chunks WHERE trim(chunk_text, ' ' || chr(10) || chr(9) || chr(13) || chr(11) || chr(12)) = ''""")
-def q_dq_chunks(spark, sf):
-    return Q.chunk_violations(corpus.chunks(spark, sf))
-
-
-@register("dq_vectors", """
-SELECT 'vector_length' AS rule, CAST(vec_id AS VARCHAR) AS key, NULL AS detail FROM embeddings WHERE len(embedding) <> 64
-UNION ALL SELECT 'vector_non_finite', CAST(vec_id AS VARCHAR), NULL FROM embeddings
-WHERE len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) > 0
-UNION ALL SELECT 'id_duplicate', CAST(vec_id AS VARCHAR), 'count=' || CAST(count(*) AS VARCHAR)
-FROM embeddings GROUP BY vec_id HAVING count(*) > 1""")
-def q_dq_vectors(spark, sf):
-    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), "embedding")
-    return Q.vector_violations(e, 64, check_title=False)
-
-
-@register("dq_documents", """
-SELECT 'text_null' AS rule, CAST(doc_id AS VARCHAR) AS key, NULL AS detail FROM documents WHERE text IS NULL
-UNION ALL SELECT 'text_blank', CAST(doc_id AS VARCHAR), NULL FROM documents
-WHERE text IS NOT NULL AND trim(text, ' ' || chr(10) || chr(9) || chr(13) || chr(11) || chr(12)) = ''
-UNION ALL SELECT 'id_duplicate', CAST(doc_id AS VARCHAR), 'count=' || CAST(count(*) AS VARCHAR)
-FROM documents GROUP BY doc_id HAVING count(*) > 1""")
-def q_dq_documents(spark, sf):
-    return Q.document_violations(table(spark, sf, "documents"), key="doc_id")
-
-
-@register("dq_articles", O.with_(O.ART, PAGES_SQL) + """
-SELECT 'id_duplicate' AS rule, CAST(article_id AS VARCHAR) AS key, 'count=' || CAST(count(*) AS VARCHAR) AS detail
-FROM b2 GROUP BY article_id HAVING count(*) > 1""")
-def q_dq_articles(spark, sf):
-    return Q.raw_article_violations(second_batch(spark, sf))
-
-
-@register("dq_tone", O.with_(O.ART) + "SELECT NULL::VARCHAR AS rule, NULL::VARCHAR AS key, NULL::VARCHAR AS detail WHERE false")
-def q_dq_tone(spark, sf):
-    from lectern.plans.star import tone
-    return Q.tone_violations(tone(spark, sf))
-
-
-@register("dq_titles", O.with_(O.ART, O.chunks_cte()) + """
-SELECT 'title_conflict' AS rule, CAST(article_id AS VARCHAR) AS key, 'titles=' || CAST(count(DISTINCT title) AS VARCHAR) AS detail
-FROM chunks GROUP BY article_id HAVING count(DISTINCT title) > 1""")
-def q_dq_titles(spark, sf):
-    return Q.title_violations(corpus.chunks(spark, sf))
-
-
-@register("dq_source_urls", O.with_(O.ART, PAGES_SQL) + """
-SELECT 'url_conflict' AS rule, CAST(article_id AS VARCHAR) AS key, 'urls=' || CAST(count(DISTINCT trim(url)) AS VARCHAR) AS detail
-FROM b2 GROUP BY article_id HAVING count(DISTINCT trim(url)) > 1""")
-def q_dq_source_urls(spark, sf):
-    return Q.source_url_violations(second_batch(spark, sf))
-
-
-@register("dq_cross_shard", """
-SELECT 'id_in_many_shards' AS rule, CAST(article_id AS VARCHAR) AS key, 'shards=' || CAST(count(DISTINCT shard) AS VARCHAR) AS detail
-FROM (SELECT doc_id AS article_id, 'documents' AS shard FROM documents
-      UNION ALL SELECT doc_id, 'labels' FROM labels) GROUP BY article_id HAVING count(DISTINCT shard) > 1""")
-def q_dq_cross_shard(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("article_id"), F.lit("documents").alias("shard"))
-    lb = table(spark, sf, "labels").select(F.col("doc_id").alias("article_id"), F.lit("labels").alias("shard"))
-    return Q.cross_shard_violations(d.unionByName(lb))
-
-
-@register("dq_assignments", "SELECT NULL::VARCHAR AS rule, NULL::VARCHAR AS key, NULL::VARCHAR AS detail WHERE false")
-def q_dq_assignments(spark, sf):
-    from lectern.plans.catalog_views import _assignments
-    return Q.assignment_violations(_assignments(spark, sf))
-
-
-@register("dq_star", "SELECT NULL::VARCHAR AS rule, NULL::VARCHAR AS key, NULL::VARCHAR AS detail WHERE false")
-def q_dq_star(spark, sf):
-    from lectern.plans.catalog_views import _assignments
-    store, _ = S.load(S.empty_store(spark), corpus.raw_articles(spark, sf),
-                      chunk_vectors=corpus.chunk_vectors(spark, sf), assignments=_assignments(spark, sf),
-                      load_ts=LOAD1_TS)
-    return Q.star_violations(store)
+@register("upsert_repeated_urls", O.with_(O.ART) + f""",
+twice AS (SELECT article_id AS source_id, trim(url, {O.WS}) AS url, text FROM art
+          UNION ALL SELECT article_id + 1000000000, trim(url, {O.WS}), text || ' again' FROM art),
+win AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY source_id DESC) AS r FROM twice)
+SELECT row_number() OVER (ORDER BY url) AS id, url, sha256(text) AS content_hash, source_id AS kept_source_id,
+       CAST(2 AS BIGINT) AS n_rows
+FROM win WHERE r = 1""")
+def q_upsert_repeated_urls(spark, sf):
+    """A batch that holds every url twice: the larger source id wins, the star
+    keeps its keys, and the report names each url."""
+    art = corpus.raw_articles(spark, sf)
+    again = art.withColumn("article_id", F.col("article_id") + 1_000_000_000) \
+        .withColumn("text", F.concat("text", F.lit(" again")))
+    batch = S.prepare_batch(art.unionByName(again))
+    out, _ = S.upsert_articles(S.empty_store(spark)["articles"], batch, LOAD1_TS)
+    return out.join(S.repeated_urls(batch), "url").select("id", "url", "content_hash", "kept_source_id", "n_rows")

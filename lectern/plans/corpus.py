@@ -17,6 +17,16 @@ from lectern.operators.encode import encode_chunks
 from lectern.sources.tables import article_view, topic_of_article
 
 
+# Tone words of the registered queries, words that occur in the
+# input texts (the default lists are plain English, which those texts are not).
+TONE_WORDS = {
+    "academic": ("thtion", "ertion", "attion", "antion", "ontion", "thintion", "oution"),
+    "militant": ("idiot", "stupid", "worthless", "pathetic", "clown"),
+    "hopeful": ("thanea", "eriner", "thndly", "onlyhe", "enlich", "être"),
+    "critical": ("enheit", "enkeit", "thanedble", "thedre", "the", "der"),
+}
+
+
 def scan_nonblank(articles: DataFrame) -> DataFrame:
     """Drop rows whose text is null or only spaces (SQL trim)."""
     return articles.where(F.col("text").isNotNull() & (F.trim(F.col("text")) != ""))

@@ -16,13 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.config import DEFAULT_RESULT_LIMIT, RERANK_MAX_WINDOWS, RETRIEVAL_CANDIDATES
+from lectern.config import DEFAULT_RESULT_LIMIT, MAX_QUERY_CHARS, RERANK_MAX_WINDOWS, RETRIEVAL_CANDIDATES
 from lectern.operators.chunk import reconstruct_articles
 from lectern.operators.encode import encode_queries
 from lectern.operators.rerank import greedy_non_overlapping, score_windows, top_hits
 from lectern.operators.shortlist import shortlist
 from lectern.operators.windows import (cap_windows, explode_spans, sentence_windows, sentences,
                                        window_home_chunk, windows_in_candidates)
+from lectern.session import written
 
 
 def validate_request(limit: int, k: int, max_windows: int) -> None:
@@ -34,6 +35,14 @@ def validate_request(limit: int, k: int, max_windows: int) -> None:
         raise ValueError("max_windows cannot be negative")
 
 
+def require_queries(queries: DataFrame) -> None:
+    """A query has 1 to MAX_QUERY_CHARS characters and is not blank."""
+    text = F.regexp_replace("query", r"^\s+|\s+\z", "")
+    bad = queries.where(F.col("query").isNull() | (text == "") | (F.length("query") > MAX_QUERY_CHARS)).limit(1).collect()
+    if bad:
+        raise ValueError(f"query {bad[0]['query_id']} is blank or longer than {MAX_QUERY_CHARS} characters")
+
+
 def filter_chunks(chunks: DataFrame, articles: DataFrame, topic_id: int | None = None,
                   tag: str | None = None, article_tags: DataFrame | None = None) -> DataFrame:
     """Optional topic / tag filters, applied as semi joins before the shortlist."""
@@ -65,14 +74,19 @@ def candidate_chunks(chunks: DataFrame, cands: DataFrame) -> DataFrame:
 def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFrame,
                  limit: int = DEFAULT_RESULT_LIMIT, k: int = RETRIEVAL_CANDIDATES,
                  max_windows: int = RERANK_MAX_WINDOWS, encoder_factory=None,
-                 scorer_factory=None, stages: dict | None = None, materialize: bool = True) -> DataFrame:
+                 scorer_factory=None, stages: dict | None = None, materialize: bool = True,
+                 topic_id: int | None = None, tag: str | None = None,
+                 article_tags: DataFrame | None = None) -> DataFrame:
     """queries: (query_id, query); chunk_vectors: (article_id, position, text,
-    embedding); articles: serving articles (id, title, url, author, published_at)."""
+    embedding); articles: serving articles (id, title, url, author,
+    published_at, topic_id). With ``topic_id`` or ``tag`` only chunks of such
+    articles are searched; a tag needs article_tags (article_id, name)."""
     validate_request(limit, k, max_windows)
+    require_queries(queries)
     qv = encode_queries(queries, encoder_factory)
-    cands = shortlist(qv, chunk_vectors, k=k)
+    cands = shortlist(qv, filter_chunks(chunk_vectors, articles, topic_id, tag, article_tags), k=k)
     if materialize:
-        cands = cands.checkpoint(eager=True)  # queries x k rows, read by four branches
+        cands = written(cands, "candidates")  # queries x k rows, read by four branches
     ranks = article_ranks(cands)
 
     fetched = candidate_chunks(chunk_vectors.select("article_id", "position", "text"), cands)
@@ -80,10 +94,9 @@ def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFra
     wins = sentence_windows(sentences(rebuilt))
     if materialize:
         # rebuilt articles and their windows feed three branches (selection,
-        # the cap join, home-chunk mapping); write them once to the shared
-        # checkpoint folder instead of recomputing the chain per branch
-        rebuilt = rebuilt.checkpoint(eager=True)
-        wins = sentence_windows(sentences(rebuilt)).checkpoint(eager=True)
+        # the cap join, home-chunk mapping): written once, columns prunable
+        rebuilt = written(rebuilt, "rebuilt")
+        wins = written(sentence_windows(sentences(rebuilt)), "windows")
     spans = explode_spans(rebuilt)
 
     cand_spans = cands.select("query_id", "article_id", "position").join(
@@ -106,5 +119,5 @@ def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFra
         "article_id", "article_title", "article_url", "author", "published_at")
     if stages is not None:
         stages.update(candidates=cands, ranks=ranks, fetched=fetched, rebuilt=rebuilt, windows=wins,
-                      selected=selected, capped=capped, scored=scored)
+                      selected=selected, capped=capped, scored=scored, home=home)
     return out

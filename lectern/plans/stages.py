@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from lectern.config import EMBEDDING_DIMENSION
 from lectern.operators import store as S
 from lectern.operators import topics as TP
 from lectern.operators.chunk import chunk_articles
 from lectern.operators.encode import encode_chunks
 from lectern.operators.tone import score_articles
 from lectern.operators.vectors import mean_pool
+from lectern.session import written
 from lectern.sources import files as IO
 
 STAGES = ("chunk", "embed", "topic", "tone", "load")
@@ -34,17 +36,18 @@ def _p(root: str, name: str) -> str:
 def run_chunk(spark, raw_dir, root, **_):
     arts = IO.read_articles(spark, raw_dir)
     shard = F.regexp_extract(F.col("filename"), r"([^/]+?)(\.pq|\.parquet)?$", 1)
-    ch = chunk_articles(arts.select("article_id", "title", "text", shard.alias("shard")),
-                        keep=("title", "shard"))
+    ch = written(chunk_articles(arts.select("article_id", "title", "text", shard.alias("shard")),
+                                keep=("title", "shard")), "chunks")
     IO.write_chunks(ch, _p(root, "cleaned"))
 
 
-def run_embed(spark, raw_dir, root, encoder_factory=None, **_):
+def run_embed(spark, raw_dir, root, encoder_factory=None, dim: int = EMBEDDING_DIMENSION, **_):
     ch = spark.read.parquet(_p(root, "cleaned"))
-    vec = encode_chunks(ch, encoder_factory)
-    IO.write_chunk_vectors(vec, _p(root, "embeddings/chunks"))
-    pooled = mean_pool(spark.read.parquet(_p(root, "embeddings/chunks")), carry=("title",))
-    IO.write_article_vectors(pooled, _p(root, "embeddings/articles"))
+    # validation reads the vectors several times: encode once
+    vec = written(encode_chunks(ch, encoder_factory, dim), "vectors")
+    IO.write_chunk_vectors(vec, _p(root, "embeddings/chunks"), dim)
+    pooled = mean_pool(spark.read.parquet(_p(root, "embeddings/chunks")), carry=("title",), check=True)
+    IO.write_article_vectors(written(pooled, "pooled"), _p(root, "embeddings/articles"), dim)
 
 
 def run_topic(spark, raw_dir, root, n_topics: int = 10, min_cluster_size: int = 50, **_):
@@ -67,9 +70,9 @@ def run_load(spark, raw_dir, root, **_):
     vec = vec.select("article_id", F.col("idx").alias("position"), F.col("chunk_text").alias("text"), "embedding")
     asg = IO.read_topic_assignments(spark, _p(root, "topics/assignments"))
     store_root = _p(root, "store")
-    store = S.read_store(spark, store_root) if S.path_exists(spark, _p(store_root, S.POINTER)) \
-        else S.empty_store(spark)
-    new, summary = S.load(store, raw, chunk_vectors=vec, assignments=asg)
+    scores = _p(root, "tone/scores")
+    tone = spark.read.parquet(scores) if S.path_exists(spark, scores) else None
+    new, summary = S.load(S.read_store(spark, store_root), raw, chunk_vectors=vec, assignments=asg, tone=tone)
     S.write_store(new, store_root)
     return summary
 

@@ -16,28 +16,32 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.config import OUTLIER_TOPIC_ID, TONE_LABELS
-from lectern.functions.ids import dense_ids
+from lectern.functions.ids import key_ids
 from lectern.operators import topics as TP
 from lectern.operators.tone import score_articles
 from lectern.plans import corpus
+from lectern.session import written
 from lectern.sources.tables import table
 
 # Parameters of the views as registered (fixture scale).
 TERM_MIN_DF = 5
 SAMPLES_PER_TOPIC = 5
 LIST_TAG = "en"
+PARENT_THRESHOLD = 0.1
 
 
 def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    arts = corpus.serving_articles(spark, sf)
-    tags = dense_ids(arts.select(F.explode("tags").alias("name")).distinct(), "name")
+    """The star's tables without bodies, each written once: every view of a
+    query reads them, and documents are scanned a single time."""
+    arts = written(corpus.serving_articles(spark, sf).drop("body"), "star_articles")
+    tags = written(key_ids(arts.select(F.explode("tags").alias("name")), "name").select("id", "name"), "star_tags")
     links = (arts.select(F.col("id").alias("article_id"), F.explode("tags").alias("name")).distinct()
              .join(tags.select(F.col("id").alias("tag_id"), "name"), "name").select("article_id", "tag_id"))
     return {"articles": arts.drop("tags"), "tags": tags, "article_tags": links}
 
 
 def tone(spark: SparkSession, sf: str) -> DataFrame:
-    t = score_articles(corpus.raw_articles(spark, sf))
+    t = score_articles(corpus.raw_articles(spark, sf), lexicon=corpus.TONE_WORDS)
     return t.select("article_id", *[F.round(lb, 6).alias(lb) for lb in TONE_LABELS])
 
 
@@ -56,7 +60,7 @@ def topic_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topics_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Topic rows as the listings read them: id, label, top_terms, size, tone."""
+    """Topic rows as the listings read them: id, label, top_terms, size."""
     sizes = topic_sizes(spark, sf)
     terms = topic_terms(spark, sf)
     labels = TP.topic_labels(terms)
@@ -66,6 +70,17 @@ def topics_table(spark: SparkSession, sf: str) -> DataFrame:
             .select(F.col("topic_id").alias("id"), "label", "top_terms", "size"))
 
 
+def full_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Topic rows with everything that the listings show: label, top terms,
+    size, parent, the tone distribution and the dominant tone."""
+    topics = written(topics_table(spark, sf), "topics")
+    weights = TP.class_term_weights(topic_docs(spark, sf), ["topic_id"], min_df=TERM_MIN_DF, top_n=None)
+    parents = TP.topic_parents(weights, topics.select(F.col("id").alias("topic_id"), "size"), PARENT_THRESHOLD)
+    summary = topic_summary(corpus.serving_articles(spark, sf), tone(spark, sf), topics)
+    return (topics.join(parents.select(F.col("topic_id").alias("id"), "parent_topic_id"), "id", "left")
+            .join(tone_distribution(summary).withColumnRenamed("topic_id", "id"), "id", "left"))
+
+
 # ------------------------------------------------------------------ views
 
 

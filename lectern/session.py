@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "lectern",
@@ -30,8 +31,9 @@ def build_session(master: str | None = None, app: str = "lectern",
         "spark.ui.showConsoleProgress": "false",
         # checkpoints written per query are removed once their RDD is gone
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        "spark.driver.memory": "16g",
     }
+    if master and master.startswith("local["):
+        conf["spark.driver.memory"] = "8g"    # the whole engine; on a cluster spark-submit decides
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -47,8 +49,9 @@ def build_session(master: str | None = None, app: str = "lectern",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only invent one
-    (under the local temp folder) when it is unset, as in local tests.
+    A cluster names it in ``spark.checkpoint.dir`` and without it nothing
+    starts, since executors could not read each other's files. Only on one
+    machine, as in tests, an unset folder is replaced by a temporary one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,12 +59,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lectern-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return configured
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once, as Parquet in the shared folder, and read it back.
+
+    Cuts the lineage, keeps columns prunable, and gives every reader the same
+    rows, which a second evaluation of the plan need not."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -56,29 +56,24 @@ def write_raw_shards(df: DataFrame, path: str, rows_per_file: int = 2500) -> Non
 
 
 def write_chunks(chunks: DataFrame, path: str, shard_col: str = "shard") -> None:
-    """One output folder per input shard; rewriting a shard replaces only it."""
-    spark = chunks.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        chunks.write.mode("overwrite").partitionBy(shard_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    """V1, then one output folder per input shard; rewriting a shard
+    replaces only it."""
+    Q.require(Q.chunk_violations(chunks), "chunks")
+    (chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(shard_col).parquet(path))
 
 
-def write_chunk_vectors(df: DataFrame, path: str, dim: int | None = None) -> None:
+def write_chunk_vectors(df: DataFrame, path: str, dim: int) -> None:
     """V1 + V4, then write."""
     Q.require(Q.chunk_violations(df.drop("embedding")), "chunk embeddings")
-    if dim is not None:
-        Q.require(Q.vector_violations(df, dim, key_cols=("article_id", "idx"), check_title=False),
-                  "chunk embeddings")
+    Q.require(Q.vector_violations(df, dim, key_cols=("article_id", "idx"), check_title=False),
+              "chunk embeddings")
     df.write.mode("overwrite").parquet(path)
 
 
-def write_article_vectors(df: DataFrame, path: str, dim: int | None = None) -> None:
+def write_article_vectors(df: DataFrame, path: str, dim: int) -> None:
     """V2 (null / duplicate ids, length, finite), then write."""
-    if dim is not None:
-        Q.require(Q.vector_violations(df, dim), "article embeddings")
+    Q.require(Q.vector_violations(df, dim), "article embeddings")
     df.write.mode("overwrite").parquet(path)
 
 

@@ -1,12 +1,13 @@
 """Incremental ingest (E5) with Structured Streaming.
 
-New raw shards landing in a folder are read by a file stream; each
-micro-batch is chunked, encoded, given topics by the saved centroids (M7),
-scored for tone and upserted into the serving store, which is written as
-a new version. The stream is stateless: deduplication is by key against
-the store (the upserts are idempotent), so a replayed batch after an
-executor or driver loss changes nothing. Progress lives in the checkpoint
-folder on shared storage; ``availableNow`` processes what is there and stops.
+New raw shards landing in a folder are read by a file stream. Of each
+micro-batch the new and changed articles (J14) are chunked and encoded once,
+get topics from the saved centroids (M7) and a tone, and are upserted into the
+serving store, which is written as a new version. The stream keeps no state of
+its own: rows are matched by key against the store, so a batch that is replayed
+after a loss finds its rows unchanged and writes nothing. Progress lives in the
+checkpoint folder on shared storage; ``availableNow`` processes what is there
+and stops.
 """
 
 from __future__ import annotations
@@ -17,53 +18,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators import store as S
-from lectern.operators.topics import assign_topics, centroid_probabilities, centroid_scores, secondary_topics
-from lectern.plans.corpus import remap_chunks, scan_nonblank
 from lectern.operators.chunk import chunk_articles
 from lectern.operators.encode import encode_chunks
 from lectern.operators.tone import score_articles
+from lectern.operators.topics import assign_topics, centroid_probabilities, centroid_scores, secondary_topics
 from lectern.operators.vectors import mean_pool
+from lectern.plans.corpus import remap_chunks, scan_nonblank
+from lectern.session import written
 
 RAW_SCHEMA = ("article_id long, url string, title string, author string, published_at string, "
               "text string, tags array<string>")
 
 
+def new_or_changed(raw: DataFrame, store_articles: DataFrame) -> DataFrame:
+    """Raw rows whose url is not in the store, or whose loaded fields
+    differ from the stored ones."""
+    fields = ("content_hash", "title", "author", "published_at")
+    batch = S.prepare_batch(raw).select("source_id", "url", *fields)
+    same = batch.join(store_articles.select("url", *[F.col(c).alias(f"_{c}") for c in fields]), "url")
+    for c in fields:
+        same = same.where(F.col(c).eqNullSafe(F.col(f"_{c}")))
+    return raw.join(same.select(F.col("source_id").alias("article_id")), "article_id", "left_anti")
+
+
 def process_batch(spark: SparkSession, batch: DataFrame, store_root: str, centroids: DataFrame | None = None,
-                  encoder_factory=None, load_ts: dt.datetime | None = None) -> DataFrame:
-    """One micro-batch: J14 new/changed rows, chunk, encode, assign, tone, upsert."""
-    raw = scan_nonblank(batch)
-    store = S.read_store(spark, store_root) if S.path_exists(spark, f"{store_root}/{S.POINTER}") \
-        else S.empty_store(spark)
-    vec = remap_chunks(encode_chunks(chunk_articles(raw.select("article_id", "title", "text")), encoder_factory))
+                  encoder_factory=None, load_ts: dt.datetime | None = None) -> DataFrame | None:
+    """One micro-batch into the store; the load's summary row, or None where
+    nothing was new."""
+    store = S.read_store(spark, store_root)
+    raw = written(new_or_changed(scan_nonblank(batch), store["articles"]), "ingest_raw")
+    if raw.isEmpty():
+        return None
+    # chunks, pooled vectors and the load read the encoded chunks; encode them once
+    vec = written(remap_chunks(encode_chunks(chunk_articles(raw.select("article_id", "title", "text")),
+                                             encoder_factory)), "ingest_vectors")
     assignments = None
     if centroids is not None:
         pooled = mean_pool(vec)
-        sc = centroid_scores(pooled, centroids)
-        prim = assign_topics(pooled, centroids).select("article_id", "topic_id")
-        assignments = secondary_topics(prim, centroid_probabilities(sc))
-    new, summary = S.load(store, raw, chunk_vectors=vec, assignments=assignments, load_ts=load_ts)
+        primary = assign_topics(pooled, centroids).select("article_id", "topic_id")
+        assignments = written(secondary_topics(primary, centroid_probabilities(centroid_scores(pooled, centroids))),
+                              "ingest_topics")
+    new, summary = S.load(store, raw, chunk_vectors=vec, assignments=assignments, load_ts=load_ts,
+                          tone=score_articles(raw.select("article_id", "text")))
     S.write_store(new, store_root)
-    score_articles(raw.select("article_id", "text")).write.mode("append").parquet(f"{store_root}/tone")
     return summary
 
 
 def start_ingest(spark: SparkSession, landing: str, store_root: str, checkpoint: str,
-                 centroids: DataFrame | None = None, encoder_factory=None, available_now: bool = True):
-    """Start the stream; returns the StreamingQuery."""
+                 centroids: DataFrame | None = None, encoder_factory=None, available_now: bool = True,
+                 load_ts: dt.datetime | None = None):
+    """Start the stream; returns the StreamingQuery. New rows get ``load_ts``,
+    by default the time of their batch, as created_at."""
     stream = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", 16).parquet(landing)
 
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        process_batch(batch_df.sparkSession, batch_df, store_root, centroids, encoder_factory,
-                      load_ts=dt.datetime(1970, 1, 1) + dt.timedelta(seconds=int(epoch_id)))
+        process_batch(batch_df.sparkSession, batch_df, store_root, centroids, encoder_factory, load_ts)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
-
-
-def new_articles(batch: DataFrame, store_articles: DataFrame) -> DataFrame:
-    """Batch rows whose url is not in the store yet."""
-    return batch.join(store_articles.select(F.col("url").alias("_u")),
-                      F.trim(batch["url"]) == F.col("_u"), "left_anti")
