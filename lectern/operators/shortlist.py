@@ -15,12 +15,15 @@ their own pass, so nothing unbounded is ever shipped to the executors.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.config import BROADCAST_LIMIT_BYTES, RETRIEVAL_CANDIDATES
+from lectern.session import ensure_checkpoint_dir, written
 
 SCORE_DIGITS = 6
 _SLACK = 10.0 ** -SCORE_DIGITS
@@ -170,8 +173,7 @@ def build_lists(corpus: DataFrame, n_lists: int, seed: int = 42, vec_col: str =
                 max_iter: int = 20):
     """Cluster the corpus vectors into ``n_lists`` lists (cosine k-means).
 
-    Returns (centroids (list_id, embedding), corpus + list_id). Writing the
-    result with ``partitionBy("list_id")`` lets a probe read only its lists."""
+    Returns (centroids (list_id, embedding), corpus + list_id)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -186,6 +188,15 @@ def build_lists(corpus: DataFrame, n_lists: int, seed: int = 42, vec_col: str =
     return centroids, assigned.select(*corpus.columns, "list_id")
 
 
+def write_lists(corpus: DataFrame, n_lists: int, path: str | None = None, **options) -> tuple[DataFrame, str]:
+    """Build the lists and write them, one folder per list: (centroids, folder)."""
+    centroids, assigned = build_lists(corpus, n_lists, **options)
+    spark = corpus.sparkSession
+    path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/lists-{uuid.uuid4().hex}"
+    assigned.repartition("list_id").write.partitionBy("list_id").parquet(path)
+    return centroids, path
+
+
 def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame, k: int = RETRIEVAL_CANDIDATES,
                   probes: int = 32, id_cols: tuple[str, ...] = ("article_id", "position"),
                   vec_col: str = "embedding") -> DataFrame:
@@ -200,6 +211,10 @@ def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame,
     w = Window.partitionBy("article_id").orderBy(F.desc("cosine"), "topic_id")
     probe = (cs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= probes)
              .select(F.col("article_id").alias("query_id"), F.col("topic_id").alias("list_id")))
+    probe = written(probe, "probes")
+    # where the lists are folders, those that no query probes are not read
+    asked = [r["list_id"] for r in probe.select("list_id").distinct().collect()]     # as many as lists, at most
+    indexed = indexed.where(F.col("list_id").isin(asked))
     # candidates: the chunks of each probed list, paired with the query that probes it
     cand = indexed.select(*id_cols, vec_col, "list_id").join(probe, "list_id")
     qvec = queries.select("query_id", F.col("embedding").alias("_q"))

@@ -27,17 +27,6 @@ def postings(docs: DataFrame, key: str = "article_id", text: str = "text",
         F.array_sort(F.collect_list((F.col("_p") + 1).cast("int"))).alias("positions"))
 
 
-def indexed_count(docs: DataFrame, key: str = "article_id", text: str = "text",
-                  stop_words=STOP_WORDS) -> int:
-    """N for the idf: documents with at least one indexed (non-stop) token.
-
-    Counted from the documents with one scan, so the postings are not built
-    twice (once for N, once for the search)."""
-    stop = list(stop_words)
-    has = F.exists(tokens(F.col(text)), lambda t: ~t.isin(stop))
-    return docs.where(has).select(key).distinct().count()
-
-
 def search(queries: DataFrame, post: DataFrame, n_docs: int | None = None, mode: str = "or",
            top: int = 10, key: str = "article_id", stop_words=STOP_WORDS) -> DataFrame:
     """queries (query_id, query) -> (query_id, key, score, matched, rank), best ``top`` per query."""
@@ -49,7 +38,9 @@ def search(queries: DataFrame, post: DataFrame, n_docs: int | None = None, mode:
         .where(F.col("term").isNotNull())
     if n_docs is None:
         n_docs = post.select(key).distinct().count()
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    # document frequencies of the asked terms alone
+    df = (post.join(qt.select("term").distinct(), "term", "left_semi")
+          .groupBy("term").agg(F.count(F.lit(1)).alias("_df")))
     idf = F.log(F.lit(float(n_docs)) / F.col("_df"))
     hits = qt.join(post, "term").join(df, "term").withColumn("_w", F.col("tf") * idf)
     agg = hits.groupBy("query_id", key).agg(F.round(F.sum("_w"), 6).alias("score"),

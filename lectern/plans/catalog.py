@@ -157,6 +157,32 @@ def q_quote_hits(spark, sf):
     return normalize(_search(spark, sf))
 
 
+FILTER_TOPIC = 1
+FILTER_TAG = "en"
+
+
+@register("quote_hits_filtered", O.with_(O.ART, O.TOPIC, f"""
+fart AS (SELECT a.* FROM art a JOIN atopic t USING (article_id)
+         WHERE t.topic_id = {FILTER_TOPIC} AND list_contains(a.tags, '{FILTER_TAG}'))""",
+    O.chunks_cte("fart"), O.shortlist_cte(), O.quote_cte()) + """
+SELECT h.query_id, h.hit_rank, h.chunk_position, h.window_index, h.text, h.score, h.article_id, a.url AS article_url
+FROM hits h JOIN art a USING (article_id)""")
+def q_quote_hits_filtered(spark, sf):
+    """E1 with both filters: the search over the articles of a topic that have a tag."""
+    tags = corpus.serving_articles(spark, sf).select(F.col("id").alias("article_id"), F.explode("tags").alias("name"))
+    hits = _search(spark, sf, topic_id=FILTER_TOPIC, tag=FILTER_TAG, article_tags=tags)
+    return normalize(hits.select("query_id", "hit_rank", "chunk_position", "window_index", "text", "score",
+                                 "article_id", "article_url"))
+
+
+@register("window_home_chunk", _QUOTE + """
+SELECT article_id, window_index, chunk_position FROM home""")
+def q_window_home_chunk(spark, sf):
+    stages = {}
+    _search(spark, sf, stages)
+    return normalize(stages["home"].select("article_id", "window_index", "chunk_position").distinct())
+
+
 # ------------------------------------------------------------------ scalar text functions
 
 from lectern.functions import text as TX  # noqa: E402

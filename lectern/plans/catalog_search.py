@@ -14,7 +14,8 @@ from lectern.plans import corpus, evaluation as EV
 from lectern.plans import oracle_sql as O
 from lectern.plans.catalog import _QUOTE, _search, normalize, register
 from lectern.plans.catalog_views import STOP_SQL
-from lectern.session import ensure_checkpoint_dir
+from lectern.config import IVFFLAT_LISTS, IVFFLAT_PROBES
+from lectern.session import ensure_checkpoint_dir, written
 from lectern.sources.tables import queries_table
 
 _TP = f"""tp AS (SELECT article_id, unnest(regexp_extract_all(lower(text), '{O.TOK}')) AS term,
@@ -45,10 +46,9 @@ SELECT * FROM (SELECT query_id, article_id, score, matched,
                       row_number() OVER (PARTITION BY query_id ORDER BY score DESC, article_id) AS rank FROM sc)
 WHERE rank <= {SEARCH_TOP}""")
 def q_text_search(spark, sf):
-    docs = corpus.raw_articles(spark, sf)
-    post = TI.postings(docs)
-    return normalize(TI.search(queries_table(spark, sf), post, n_docs=TI.indexed_count(docs),
-                               top=SEARCH_TOP))
+    # the index is written once; hits, frequencies and the document count read its columns
+    post = written(TI.postings(corpus.raw_articles(spark, sf)), "postings")
+    return normalize(TI.search(queries_table(spark, sf), post, top=SEARCH_TOP))
 
 
 @register("eval_hits", _QUOTE + f""",
@@ -70,30 +70,64 @@ def q_candidate_chunks(spark, sf):
     return normalize(stages["fetched"].select("article_id", "position"))
 
 
-IVF_LISTS = 16
-IVF_PROBES = 4
+# Registered twice: the default number of lists and probes, and fewer of both.
+IVF_FEW = (16, 4)
 
 
-@register("ivf_recall")
-def q_ivf_recall(spark, sf):
-    cv = corpus.chunk_vectors(spark, sf).select("article_id", "position", "embedding")
+def _ivf_recall(spark, sf, lists: int, probes: int):
+    cv = written(corpus.chunk_vectors(spark, sf).select("article_id", "position", "embedding"), "chunk_vectors")
     qv = encode_queries(queries_table(spark, sf))
-    cents, indexed = SL.build_lists(cv, IVF_LISTS)
-    approx = SL.ivf_shortlist(qv, indexed, cents, probes=IVF_PROBES)
+    cents, folder = SL.write_lists(cv, lists)
+    approx = SL.ivf_shortlist(qv, spark.read.parquet(folder), cents, probes=probes)
     exact = SL.shortlist(qv, cv)
     inter = approx.join(exact, ["query_id", "article_id", "position"]).groupBy("query_id").count()
     return exact.select("query_id").distinct().join(inter, "query_id", "left").select(
         "query_id", F.round(F.coalesce(F.col("count"), F.lit(0)) / SL.RETRIEVAL_CANDIDATES, 6).alias("recall"))
 
 
-@register("incremental_ingest")
+@register("ivf_recall")
+def q_ivf_recall(spark, sf):
+    return _ivf_recall(spark, sf, IVFFLAT_LISTS, IVFFLAT_PROBES)
+
+
+@register("ivf_recall_few")
+def q_ivf_recall_few(spark, sf):
+    return _ivf_recall(spark, sf, *IVF_FEW)
+
+
+@register("incremental_ingest", O.with_(
+    O.ART, O.TOPIC, O.chunks_cte(), O.encode_cte("cvec", "chunks", "article_id, idx", "chunk_text"), """
+nch AS (SELECT article_id, count(*) AS n FROM chunks GROUP BY article_id),
+pool AS (SELECT c.article_id, c.b, CAST(sum(CAST(c.w AS DOUBLE)) / any_value(n.n) AS FLOAT) AS v
+         FROM cvec c JOIN nch n USING (article_id) GROUP BY c.article_id, c.b),
+lab AS (SELECT article_id, topic_id FROM atopic WHERE topic_id >= 0),
+labn AS (SELECT topic_id, count(*) AS n FROM lab GROUP BY topic_id),
+cent AS (SELECT topic_id, b, sum(CAST(v AS DOUBLE)) / any_value(labn.n) AS m
+         FROM pool JOIN lab USING (article_id) JOIN labn USING (topic_id) GROUP BY topic_id, b),
+cnn AS (SELECT topic_id, sqrt(sum(m * m)) AS n FROM cent GROUP BY topic_id),
+pn AS (SELECT article_id, sqrt(sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE))) AS n FROM pool GROUP BY article_id),
+dot AS (SELECT p.article_id, c.topic_id, sum(c.m * CAST(p.v AS DOUBLE)) AS d FROM pool p JOIN cent c USING (b) GROUP BY ALL),
+best AS (SELECT * FROM (SELECT article_id, topic_id, round(d / (pn.n * cnn.n), 6) AS cosine,
+                               row_number() OVER (PARTITION BY article_id ORDER BY round(d / (pn.n * cnn.n), 6) DESC, topic_id) AS r
+                        FROM dot JOIN pn USING (article_id) JOIN cnn USING (topic_id)) WHERE r = 1)""") + f"""
+SELECT row_number() OVER (ORDER BY trim(a.url, {O.WS})) AS id, trim(a.url, {O.WS}) AS url, sha256(a.text) AS content_hash,
+       CAST(CASE WHEN b.cosine >= 0.1 THEN b.topic_id ELSE -1 END AS BIGINT) AS topic_id
+FROM art a LEFT JOIN best b USING (article_id)""")
 def q_incremental_ingest(spark, sf):
-    """E5: land the raw articles as shards, stream them into a store, read it back."""
+    """E5: land the raw articles as shards, stream them into a store twice (the
+    second run finds nothing new), read it back. Topics come from centroids
+    saved beforehand."""
+    from lectern.operators.store import read_store
+    from lectern.operators.vectors import centroids, mean_pool
     from lectern.sources.files import write_raw_shards
+    from lectern.sources.tables import topic_of_article
     from lectern.streaming.ingest import start_ingest
-    from lectern.operators.store import read_store
+    labelled = topic_of_article(spark, sf).where("topic_id >= 0")
+    saved = written(centroids(mean_pool(corpus.chunk_vectors(spark, sf)).join(labelled, "article_id"), "topic_id"),
+                    "saved_centroids")
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
-    write_raw_shards(corpus.raw_articles(spark, sf), f"{base}/landing", rows_per_file=2500)
-    q = start_ingest(spark, f"{base}/landing", f"{base}/store", f"{base}/checkpoint")
-    q.awaitTermination()
-    return read_store(spark, f"{base}/store")["articles"].select("id", "url", "content_hash", "topic_id")
+    # one file: ids follow the order of urls within a micro-batch
+    write_raw_shards(corpus.raw_articles(spark, sf).coalesce(1), f"{base}/landing", rows_per_file=0)
+    for run in ("first", "again"):
+        start_ingest(spark, f"{base}/landing", f"{base}/store", f"{base}/checkpoint-{run}", saved).awaitTermination()
+    return normalize(read_store(spark, f"{base}/store")["articles"].select("id", "url", "content_hash", "topic_id"))

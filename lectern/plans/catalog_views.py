@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.config import TONE_LABELS
+from lectern.config import TONE_LABELS, TOPIC_MIN_CLUSTER_SIZE
 from lectern.operators import topics as TP
 from lectern.operators import vectors as V
 from lectern.plans import corpus, star as ST
@@ -370,7 +370,7 @@ PARENT_THRESHOLD = 0.1
 
 
 @register("topic_parents", O.with_(*BASE, TDOC, TERMS, SIZES) + f""",
-tk AS (SELECT topic_id, term, weight FROM kterms WHERE topic_id <> -1),
+tk AS (SELECT topic_id, term, weight FROM kwt WHERE topic_id <> -1),
 nrm AS (SELECT topic_id, sqrt(sum(weight * weight)) AS n FROM tk GROUP BY topic_id),
 d AS (SELECT a.topic_id AS child, b.topic_id AS parent, sum(a.weight * b.weight) AS dot
       FROM tk a JOIN tk b USING (term) WHERE a.topic_id <> b.topic_id GROUP BY ALL),
@@ -383,7 +383,32 @@ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY child ORDER BY si
 SELECT CAST(s.topic_id AS BIGINT) AS topic_id, CAST(b.parent AS BIGINT) AS parent_topic_id, b.similarity
 FROM tsize s LEFT JOIN b ON b.child = s.topic_id WHERE s.topic_id <> -1""")
 def q_topic_parents(spark, sf):
-    return normalize(TP.topic_parents(ST.topic_terms(spark, sf), ST.topic_sizes(spark, sf), PARENT_THRESHOLD))
+    weights = TP.class_term_weights(ST.topic_docs(spark, sf), ["topic_id"], min_df=ST.TERM_MIN_DF, top_n=None)
+    return normalize(TP.topic_parents(weights, ST.topic_sizes(spark, sf), PARENT_THRESHOLD))
+
+
+_PARENTS = f"""
+tk AS (SELECT topic_id, term, weight FROM kwt WHERE topic_id <> -1),
+nrm AS (SELECT topic_id, sqrt(sum(weight * weight)) AS n FROM tk GROUP BY topic_id),
+d AS (SELECT a.topic_id AS child, b.topic_id AS parent, sum(a.weight * b.weight) AS dot
+      FROM tk a JOIN tk b USING (term) WHERE a.topic_id <> b.topic_id GROUP BY ALL),
+pc AS (SELECT d.child, d.parent, round(d.dot / (nc.n * np.n), 6) AS similarity
+      FROM d JOIN nrm nc ON nc.topic_id = d.child JOIN nrm np ON np.topic_id = d.parent
+      JOIN tsize sc ON sc.topic_id = d.child JOIN tsize sp ON sp.topic_id = d.parent WHERE sp.size > sc.size),
+par AS (SELECT child, parent FROM (SELECT *, row_number() OVER (PARTITION BY child ORDER BY similarity DESC, parent) AS r
+                                   FROM pc WHERE similarity >= {PARENT_THRESHOLD}) WHERE r = 1)"""
+
+
+@register("topics_full", O.with_(*_TONE_BASE, TDOC, TERMS, LABELS, SIZES, TOPICS, _SUMMARY, _PARENTS) + """
+SELECT CAST(t.id AS BIGINT) AS id, t.label, t.top_terms, CAST(t.size AS BIGINT) AS size,
+       CAST(p.parent AS BIGINT) AS parent_topic_id,
+       (SELECT x.tone FROM tt1 x WHERE x.topic_id = t.id ORDER BY x.mean DESC, x.tone_order LIMIT 1) AS dominant_tone
+FROM ttab t LEFT JOIN par p ON p.child = t.id""")
+def q_topics_full(spark, sf):
+    """The topics table as the listings read it."""
+    t = ST.full_topics(spark, sf)
+    return normalize(t.select("id", "label", F.array_join("top_terms", ", ").alias("top_terms"), "size",
+                              "parent_topic_id", "dominant_tone"))
 
 
 # ------------------------------------------------------------------ rows-only: fitted models
@@ -392,7 +417,7 @@ def q_topic_parents(spark, sf):
 @register("topic_fit")
 def q_topic_fit(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), "embedding")
-    _, assignments, _ = TP.fit_topics(e, n_topics=10, min_cluster_size=10, pca_k=TP.TOPIC_PCA_COMPONENTS)
+    _, assignments, _ = TP.fit_topics(e, n_topics=10, min_cluster_size=TOPIC_MIN_CLUSTER_SIZE, pca_k=TP.TOPIC_PCA_COMPONENTS)
     return normalize(assignments.select("article_id", "topic_id", F.round("topic_prob", 6).alias("topic_prob"),
                                         F.size("secondary_topics").cast("long").alias("n_secondary")))
 

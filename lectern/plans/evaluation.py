@@ -34,3 +34,17 @@ def eval_hits(hits: DataFrame, queries: DataFrame, articles: DataFrame, k: int =
 def summary(per_query: DataFrame) -> DataFrame:
     return per_query.agg(F.count(F.lit(1)).alias("queries"), F.round(F.avg("hit_at_k"), 6).alias("hit_rate"),
                          F.round(F.avg("reciprocal_rank"), 6).alias("mrr"))
+
+
+def eval_expected_urls(hits: DataFrame, labelled: DataFrame, k: int = 5) -> DataFrame:
+    """The labelled set (query_id, expected_url) against hits (query_id,
+    hit_rank, article_url): first rank within k of the expected url, hit@k,
+    reciprocal rank. A trailing slash of a url does not matter."""
+    def bare(c):
+        return F.regexp_replace(F.trim(c), "/+$", "")
+    found = (hits.where(F.col("hit_rank") <= k).join(labelled, "query_id")
+             .where(bare(F.col("article_url")) == bare(F.col("expected_url")))
+             .groupBy("query_id").agg(F.min("hit_rank").cast("long").alias("first_relevant")))
+    return labelled.select("query_id").distinct().join(found, "query_id", "left").select(
+        "query_id", "first_relevant", F.col("first_relevant").isNotNull().cast("long").alias("hit_at_k"),
+        F.round(F.coalesce(1.0 / F.col("first_relevant"), F.lit(0.0)), 6).alias("reciprocal_rank"))

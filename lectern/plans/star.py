@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.config import OUTLIER_TOPIC_ID, TONE_LABELS
+from lectern.config import OUTLIER_TOPIC_ID, TONE_LABELS, TOPIC_MIN_DF
 from lectern.functions.ids import key_ids
 from lectern.operators import topics as TP
 from lectern.operators.tone import score_articles
@@ -23,8 +23,8 @@ from lectern.plans import corpus
 from lectern.session import written
 from lectern.sources.tables import table
 
-# Parameters of the views as registered (fixture scale).
-TERM_MIN_DF = 5
+# Parameters of the views as registered.
+TERM_MIN_DF = TOPIC_MIN_DF
 SAMPLES_PER_TOPIC = 5
 LIST_TAG = "en"
 PARENT_THRESHOLD = 0.1
