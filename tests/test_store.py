@@ -24,7 +24,7 @@ def test_load_twice_is_idempotent(spark):
     st1, summ = S.load(S.empty_store(spark), raw, _chunks(spark), asg, load_ts=dt.datetime(2024, 1, 1))
     st2, _ = S.load(st1, raw, _chunks(spark), asg, load_ts=dt.datetime(2024, 2, 1))
     counts = {k: v.count() for k, v in st2.items()}
-    assert counts == {"articles": 2, "chunks": 2, "tags": 3, "topics": 2, "article_tags": 4}
+    assert counts == {"articles": 2, "chunks": 2, "tags": 3, "topics": 2, "article_tags": 4, "tone": 0}
     s = summ.collect()[0]
     assert (s.articles, s.tags, s.chunks, s.topic_articles) == (2, 4, 2, 1)
     a = {r.url: r for r in st2["articles"].collect()}
