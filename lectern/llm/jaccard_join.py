@@ -24,6 +24,7 @@ Classes and shingles are 64-bit hashes; nothing is capped or sampled.
 
 from __future__ import annotations
 
+import math
 import zlib
 from hashlib import blake2b
 
@@ -43,13 +44,17 @@ PIVOT_ROUNDS = 3
 CELL = 1024                # members of a block that one side of a cell holds
 _SKETCH_BITS = 20          # counters of the frequency sketch: fixed, 8 MB
 _BLOCKS = 64               # the sketch travels in so many parts
+_BAND = math.log(1.25)      # sets of one band have sizes within a quarter
 _LOW = np.uint64(int(0.3 * 2**64))     # hashes below are counted exactly
 
 
-def _sets(batches, text_col: str, words: int):
+def _sets(batches, text_col: str, words: int, copies=None):
     """Per slice: batch, first row, and for each of its texts the sorted
-    distinct shingle hashes."""
+    distinct shingle hashes. With ``copies``, a sieve of the hashed ids of texts
+    that repeat the set of another one, those texts are left out."""
     for batch in batches:
+        if copies is not None:
+            batch = batch.filter(pa.array(~in_sieve(copies.value, batch.column("__key").to_numpy(zero_copy_only=False))))
         for lo, hi, buf, off in text_slices(batch, text_col):
             starts, ends, first = W.find_words(W.LOWER[buf], off, W.NOT_SPACE)
             hashes = W.run_hashes(W.LOWER[buf], starts, ends)
@@ -119,11 +124,11 @@ def _levels(profile: DataFrame) -> np.ndarray:
     return np.where(hot, 1 + np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
 
 
-def _low_shingles(text_col: str, words: int):
+def _low_shingles(text_col: str, words: int, copies):
     """The shingles with small hashes, of each class once a task."""
     def parts(batches):
         seen = set()
-        for _, _, sets in _sets(batches, text_col, words):
+        for _, _, sets in _sets(batches, text_col, words, copies):
             new = []
             for s in sets:
                 if len(s) and (c := _class_of(s)) not in seen:
@@ -137,8 +142,9 @@ def _low_shingles(text_col: str, words: int):
     return run
 
 
-def _first_shingles(text_col: str, words: int, similar: int, shared, levels):
-    """(class, size, first shingles in the global order), each class once a task.
+def _first_shingles(text_col: str, words: int, similar: int, copies, shared, levels):
+    """(class, size, first shingles in the global order, thousandths of its low
+    hashes that no other class has), each class once a task.
 
     The order: low hashes that no other class has, then the hashes that were
     not counted, then low hashes that several classes have, rare before
@@ -147,7 +153,7 @@ def _first_shingles(text_col: str, words: int, similar: int, shared, levels):
     """
     def run(batches):
         flat, level, seen = shared.value, levels.value, set()
-        for _, _, sets in _sets(batches, text_col, words):
+        for _, _, sets in _sets(batches, text_col, words, copies):
             rows = []
             for s in sets:
                 n = len(s)
@@ -162,19 +168,21 @@ def _first_shingles(text_col: str, words: int, similar: int, shared, levels):
                     continue
                 turn = np.ones(n, dtype=np.uint8)
                 turn[:low] = np.where(many, 2 + level[(s[:low] >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64)], 0)
-                rows.append((c, n, s[np.argsort(turn, kind="stable")[alone:first]].view(np.int64)))
+                rows.append((c, n, s[np.argsort(turn, kind="stable")[alone:first]].view(np.int64),
+                             1000 * alone // max(low, 1)))
             if rows:
                 firsts = [r[2] for r in rows]
                 bounds = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], type=pa.int64()), pa.array([r[1] for r in rows], type=pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(firsts)))],
-                    ["c", "n", "hs"])
+                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(firsts))),
+                     pa.array([r[3] for r in rows], type=pa.int64())],
+                    ["c", "n", "hs", "alone"])
     return run
 
 
 def _shared_postings(shared):
-    """(shingle, class, size) of the shingles that the sieve holds."""
+    """(shingle, class, size, alone) of the shingles that the sieve holds."""
     def run(batches):
         for batch in batches:
             lists = batch.column(2)
@@ -183,15 +191,16 @@ def _shared_postings(shared):
             take = np.flatnonzero(in_sieve(shared.value, h))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[take]), batch.column(0).take(pa.array(row[take])),
-                 batch.column(1).take(pa.array(row[take]))], ["h", "c", "n"])
+                 batch.column(1).take(pa.array(row[take])), batch.column(3).take(pa.array(row[take]))],
+                ["h", "c", "n", "alone"])
     return run
 
 
-def _full_sets(text_col: str, words: int, wanted):
+def _full_sets(text_col: str, words: int, copies, wanted):
     """(class, whole set) of the classes that the sieve holds, once a task."""
     def run(batches):
         seen = set()
-        for _, _, sets in _sets(batches, text_col, words):
+        for _, _, sets in _sets(batches, text_col, words, copies):
             classes = np.array([_class_of(s) if len(s) else 0 for s in sets], dtype=np.int64)
             hit = in_sieve(wanted.value, classes)
             rows = []
@@ -228,9 +237,10 @@ def _bitmaps(batches):
 
 
 class _Node:
-    """Members lo:hi of a tree: OR and AND of their bitmaps, sizes, components."""
+    """Some members of a block: OR and AND of their bitmaps, range of sizes, the
+    component and the earlier blocks that all of them are in."""
 
-    __slots__ = ("some", "every", "bits", "least", "most", "comp", "member", "left", "right")
+    __slots__ = ("some", "every", "bits", "least", "most", "comp", "member", "earlier", "left", "right")
 
 
 def _folded(bitmap: int, bits: int, to: int) -> int:
@@ -241,10 +251,10 @@ def _folded(bitmap: int, bits: int, to: int) -> int:
 
 
 def _tree(members: list[tuple]) -> _Node:
-    """members: (component, size, class, bitmap, bits), sorted."""
+    """members: (component, size, class, bitmap, bits, earlier blocks), sorted."""
     node = _Node()
     if len(members) == 1:
-        node.comp, node.least, node.member, bitmap, node.bits = members[0]
+        node.comp, node.least, node.member, bitmap, node.bits, node.earlier = members[0]
         node.most, node.some, node.every = node.least, bitmap, bitmap
         node.left = node.right = None
         return node
@@ -256,15 +266,19 @@ def _tree(members: list[tuple]) -> _Node:
     node.every = _folded(a.every, a.bits, node.bits) & _folded(b.every, b.bits, node.bits)
     node.least, node.most = min(a.least, b.least), max(a.most, b.most)
     node.comp = a.comp if a.comp == b.comp else None
+    node.earlier = a.earlier & b.earlier
     return node
 
 
 def _may_link(x: _Node, y: _Node, similar: int) -> bool:
-    """Can any member of x reach the similarity with any of y?"""
+    """Can any member of x reach the similarity with any of y, and is this the
+    first block that they share? (A pair comes out of its first block alone.)"""
     if x.comp is not None and x.comp == y.comp:
         return False
     if 100 * min(x.most, y.most) < similar * max(x.least, y.least):
         return False
+    if not x.earlier.isdisjoint(y.earlier):
+        return False
     bits = min(x.bits, y.bits)
     # a bit that every set of x has and no set of y: a token of x that y lacks
     lost_x = (_folded(x.every, x.bits, bits) & ~_folded(y.some, y.bits, bits)).bit_count()
@@ -289,14 +303,18 @@ def _dual(x: _Node, y: _Node, similar: int, out: list) -> None:
                 stack += [(x, y.left), (x, y.right)]
 
 
-def _cell_pairs(members: list[tuple], similar: int) -> list[tuple[int, int]]:
-    """members: (side, component, size, class, bitmap bytes); side 0 and 1 of a
-    cell off the diagonal, side 0 alone on it."""
+def _cell_pairs(block: int, members: list[tuple], similar: int) -> list[tuple[int, int]]:
+    """members: (side, component, size, class, bitmap bytes, blocks); side 0 and
+    1 of a cell off the diagonal, side 0 alone on it."""
     out: list[tuple[int, int]] = []
     sides: list[list[tuple]] = [[], []]
-    for side, comp, n, c, raw in members:
-        sides[side].append((comp, n, c, int.from_bytes(raw, "little"), 8 * len(raw)))
-    trees = [_tree(sorted(s)) for s in sides if s]
+    for side, comp, n, c, raw, blocks in members:
+        # neighbours have sizes within a quarter, then a first block, then one component
+        band = n.bit_length() * 4 + (n << 2 >> (n.bit_length() - 1)) % 4
+        earlier = frozenset(b for b in blocks if b < block)
+        sides[side].append(((band, min(blocks), comp, n, c),
+                            (comp, n, c, int.from_bytes(raw, "little"), 8 * len(raw), earlier)))
+    trees = [_tree([m for _, m in sorted(s, key=lambda m: m[0])]) for s in sides if s]
     _dual(trees[0], trees[-1], similar, out)
     return out
 
@@ -307,15 +325,15 @@ def _tree_pairs(similar: int):
         cell, members = None, []
         for batch in batches:
             out = []
-            for h, i, j, side, comp, n, c, raw in zip(*(col.to_pylist() for col in batch.columns)):
+            for h, i, j, *member in zip(*(col.to_pylist() for col in batch.columns)):
                 if (h, i, j) != cell:
                     if len(members) > 1:
-                        out += _cell_pairs(members, similar)
+                        out += _cell_pairs(cell[0], members, similar)
                     cell, members = (h, i, j), []
-                members.append((side, comp, n, c, raw))
+                members.append(member)
             if out:
                 yield _pairs(out)
-        if len(members) > 1 and (out := _cell_pairs(members, similar)):
+        if len(members) > 1 and (out := _cell_pairs(cell[0], members, similar)):
             yield _pairs(out)
     return run
 
@@ -337,23 +355,42 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
             .filter(100 * both >= similar * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
 
 
-def _open_blocks(postings: DataFrame) -> DataFrame:
-    """(h, size, pivot) of the blocks with more than one component left."""
-    return (postings.groupBy("h").agg(
-        F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        F.min(F.struct("turn", "c", "n", "comp")).alias("pivot"))
-        .filter("lo < hi").select("h", "size", "pivot"))
+def _open_blocks(rows: DataFrame) -> DataFrame:
+    """(h, band, size, pivot) of the blocks with more than one component left;
+    ``size`` counts the block, the pivot is that of the band of set sizes."""
+    bands = shared_table(rows.groupBy("h", "band").agg(
+        F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.min(F.struct("turn", "c", "n", "comp")).alias("pivot")), "bands")
+    blocks = (bands.groupBy("h").agg(F.sum("n").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+              .filter("lo < hi").select("h", "size"))
+    return bands.join(blocks, "h").select("h", "band", "size", "pivot")
 
 
 def _labelled(postings: DataFrame, links: DataFrame | None, turn: int) -> DataFrame:
-    rows = postings.select("h", "c", "n")
+    rows = postings.select("h", "c", "n", "alone")
     if links is None:
         rows = rows.withColumn("comp", F.col("c"))
     else:
         found = components(links)
         rows = (rows.join(found.select(F.col("node").alias("c"), "label"), "c", "left")
-                .select("h", "c", "n", F.coalesce("label", "c").alias("comp")))
-    return rows.withColumn("turn", F.xxhash64(F.lit(turn), "c"))
+                .select("h", "c", "n", "alone", F.coalesce("label", "c").alias("comp")))
+    # the first pivot is the member with the fewest shingles of its own: of many
+    # edited copies of one text the least edited; later ones are any member
+    own = F.col("alone") if turn == 0 else F.lit(0).cast("long")
+    return (rows.withColumn("turn", F.struct(own.alias("own"), F.xxhash64(F.lit(turn), "c").alias("any")))
+            .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(_BAND)).cast("int")))
+
+
+def _copies(rows: DataFrame):
+    """A sieve of hashed ids whose texts need not be read again, their class
+    being that of a smaller id. No first id of a class is in it: ids that share
+    a bit with one are left out, and so are null ids."""
+    key = F.xxhash64("__id")
+    known = rows.filter("c is not null and __id is not null").select("c", "__id", sieve_slot(key).alias("s"))
+    first = known.groupBy("c").agg(F.min("__id").alias("first"))
+    marked = known.join(first, "c").withColumn("copy", F.col("__id") > F.col("first"))
+    slots = marked.groupBy("s").agg(F.bool_and("copy").alias("only"))
+    return load_sieve(sieve_rows(slots.filter("only").select("s"), "s"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -371,21 +408,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     prepare(spark)
     source = docs.select(id_col, text_col)
-    texts = docs.select(text_col)
     id_type = dict(docs.dtypes)[id_col]
     profile = shared_table(source.mapInArrow(_profile(id_col, text_col, words), _PROFILE.format(id_type=id_type)), "profile")
     rows = profile.filter("n is not null").select("__id", "n", "c")
     levels = spark.sparkContext.broadcast(_levels(profile))
+    copies = _copies(rows)
+    texts = docs.select(text_col, F.xxhash64(id_col).alias("__key"))
 
     several = load_sieve(sieve_rows(
-        texts.mapInArrow(_low_shingles(text_col, words), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        texts.mapInArrow(_low_shingles(text_col, words, copies), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
         .filter("n > 1").select(sieve_slot(F.col("h")).alias("s")), "s"))
-    firsts = shared_table(texts.mapInArrow(_first_shingles(text_col, words, similar, several, levels),
-                                           "c long, n long, hs array<long>"), "firsts")
+    firsts = shared_table(texts.mapInArrow(_first_shingles(text_col, words, similar, copies, several, levels),
+                                           "c long, n long, hs array<long>, alone long"), "firsts")
     more = (firsts.select(F.explode("hs").alias("h")).groupBy("h").count().filter("count > 1")
             .select(sieve_slot(F.col("h")).alias("s")))
     shared = load_sieve(sieve_rows(more, "s"))
-    postings = shared_table(firsts.mapInArrow(_shared_postings(shared), "h long, c long, n long")
+    postings = shared_table(firsts.mapInArrow(_shared_postings(shared), "h long, c long, n long, alone long")
                             .dropDuplicates(["h", "c"]), "postings")
     # blocks of the same members are one block: count, range and sums of two hashes tell them apart
     blocks = (postings.groupBy("h").agg(
@@ -396,36 +434,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     postings = shared_table(postings.join(kept, "h", "left_semi"), "kept")
 
     wanted = load_sieve(sieve_rows(postings.select(sieve_slot(F.col("c")).alias("s")).distinct(), "s"))
-    sets = shared_table(texts.mapInArrow(_full_sets(text_col, words, wanted), "c long, s array<long>")
+    sets = shared_table(texts.mapInArrow(_full_sets(text_col, words, copies, wanted), "c long, s array<long>")
                         .dropDuplicates(["c"]), "sets")
 
     links: DataFrame | None = None
     for turn in range(PIVOT_ROUNDS):
         open_rows = _labelled(postings, links, turn)
         pivots = shared_table(_open_blocks(open_rows), "pivots")
-        open_rows = shared_table(open_rows.join(pivots, "h").select(
-            "h", "c", "n", "comp", F.col("pivot.c").alias("pc"), F.col("pivot.n").alias("pn"),
+        open_rows = shared_table(open_rows.join(pivots, ["h", "band"]).select(
+            "h", "c", "n", "alone", "comp", F.col("pivot.c").alias("pc"), F.col("pivot.n").alias("pn"),
             F.col("pivot.comp").alias("pcomp")), "open")
         pairs = (open_rows.filter(F.col("comp") != F.col("pcomp"))
                  .filter(100 * F.least("n", "pn") >= similar * F.greatest("n", "pn"))
                  .select(F.col("pc").alias("a"), F.col("c").alias("b")).distinct())
         found = shared_table(_verified(pairs, sets, similar), "links")
         links = found if links is None else links.unionByName(found)
-        postings = open_rows.select("h", "c", "n")
+        postings = open_rows.select("h", "c", "n", "alone")
 
     # what is left: signature trees, in cells of bounded size
     open_rows = _labelled(postings, links, PIVOT_ROUNDS)
-    left = shared_table(_open_blocks(open_rows).select("h", "size"), "left")
+    left = shared_table(_open_blocks(open_rows).select("h", "size").distinct(), "left")
     sides = F.ceil(F.col("size") / F.lit(CELL)).cast("int")
     rest = (open_rows.join(left, "h").withColumn("sides", sides)
             .withColumn("own", F.pmod(F.xxhash64("c", F.lit(7)), F.col("sides")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
             .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                     F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "comp", "n", "c"))
-    bitmaps = shared_table(sets.mapInArrow(_bitmaps, "c long, bitmap binary"), "bitmaps")
-    cells = rest.join(bitmaps, "c").select("h", "i", "j", "side", "comp", "n", "c", "bitmap")
-    pairs = (cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-             .mapInArrow(_tree_pairs(similar), "a long, b long").distinct())
+    own = (open_rows.join(left, "h").groupBy("c").agg(F.collect_set("h").alias("blocks"))
+           .join(sets.mapInArrow(_bitmaps, "c long, bitmap binary"), "c"))
+    cells = rest.join(shared_table(own, "members"), "c").select("h", "i", "j", "side", "comp", "n", "c", "bitmap", "blocks")
+    pairs = shared_table(cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+                         .mapInArrow(_tree_pairs(similar), "a long, b long"), "pairs")
     found = shared_table(_verified(pairs, sets, similar), "tree_links")
     labels = components(found if links is None else links.unionByName(found))
 

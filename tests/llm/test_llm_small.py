@@ -212,8 +212,9 @@ def test_tree_pairs_lose_no_link():
         bits = jaccard_join.bitmap_bits(len(s))
         flags = np.zeros(bits, dtype=np.uint8)
         flags[[h % bits for h in s]] = 1
-        members.append((0, c, len(s), c, np.packbits(flags, bitorder="little").tobytes()))
-    got = set(jaccard_join._cell_pairs(members, 80))
+        members.append((0, c, len(s), c, np.packbits(flags, bitorder="little").tobytes(), [5, 7 + c % 2]))
+    assert not jaccard_join._cell_pairs(7, members, 80)         # every pair has the earlier block 5 in common
+    got = set(jaccard_join._cell_pairs(5, members, 80))
     want = {(i, j) for j in range(len(sets)) for i in range(j)
             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
     assert want <= got and len(got) < len(sets) * (len(sets) - 1) / 4
