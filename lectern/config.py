@@ -30,9 +30,6 @@ TOPIC_PCA_COMPONENTS = 50
 TOPIC_TOP_TERMS = 10
 OUTLIER_TOPIC_ID = -1
 
-# Loading.
-LOAD_ARTICLE_BATCH_SIZE = 500
-
 # Listing bounds.
 DEFAULT_ARTICLE_LIMIT = 50
 MAX_ARTICLE_LIMIT = 200

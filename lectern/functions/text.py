@@ -85,11 +85,6 @@ def sitemap_urls(lines: Column, section: str = "library") -> Column:
     return F.filter(urls, lambda u: is_article_url(u, section))
 
 
-def stable_article_id(url: Column) -> Column:
-    """An id that does not depend on arrival order."""
-    return F.xxhash64(F.regexp_replace(url, r"^\s+|\s+\z", ""))
-
-
 def longest_overlap(left: Column, right: Column, cap: int = CHUNK_OVERLAP) -> Column:
     """Longest suffix of ``left`` that is a prefix of ``right`` (<= cap)."""
     top = F.least(F.lit(cap), F.length(left), F.length(right))

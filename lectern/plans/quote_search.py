@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.config import DEFAULT_RESULT_LIMIT, MAX_QUERY_CHARS, RERANK_MAX_WINDOWS, RETRIEVAL_CANDIDATES
+from lectern.config import DEFAULT_RESULT_LIMIT, MAX_QUERY_CHARS, MAX_QUOTE_LIMIT, RERANK_MAX_WINDOWS, RETRIEVAL_CANDIDATES
 from lectern.operators.chunk import reconstruct_articles
 from lectern.operators.encode import encode_queries
 from lectern.operators.rerank import greedy_non_overlapping, score_windows, top_hits
@@ -27,8 +27,8 @@ from lectern.session import written
 
 
 def validate_request(limit: int, k: int, max_windows: int) -> None:
-    if not 1 <= limit <= 50:
-        raise ValueError("limit must be between 1 and 50")
+    if not 1 <= limit <= MAX_QUOTE_LIMIT:
+        raise ValueError(f"limit must be between 1 and {MAX_QUOTE_LIMIT}")
     if k <= 0:
         raise ValueError("limit must be greater than zero")
     if max_windows < 0:

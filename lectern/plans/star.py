@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.config import OUTLIER_TOPIC_ID, TONE_LABELS, TOPIC_MIN_DF
+from lectern.config import (DEFAULT_ARTICLE_LIMIT, DEFAULT_TOPIC_LIMIT, MAX_ARTICLE_LIMIT, MAX_TOPIC_LIMIT,
+                            OUTLIER_TOPIC_ID, TONE_LABELS, TOPIC_MIN_DF)
 from lectern.functions.ids import key_ids
 from lectern.operators import topics as TP
 from lectern.operators.tone import score_articles
@@ -208,9 +209,9 @@ def articles_with_tag(s: dict, tag: str) -> DataFrame:
 
 
 def list_articles(s: dict, topic_id: int | None = None, tag: str | None = None,
-                  limit: int = 50, offset: int = 0) -> DataFrame:
+                  limit: int = DEFAULT_ARTICLE_LIMIT, offset: int = 0) -> DataFrame:
     """L1: one page of articles by id, optional topic and tag filters, tags nested."""
-    check_page(limit, offset, 200)
+    check_page(limit, offset, MAX_ARTICLE_LIMIT)
     a = s["articles"]
     if topic_id is not None:
         a = a.where(F.col("topic_id") == topic_id)
@@ -220,9 +221,9 @@ def list_articles(s: dict, topic_id: int | None = None, tag: str | None = None,
     return page.join(article_tag_names(s).withColumnRenamed("article_id", "id"), "id", "left")
 
 
-def list_topics(topics: DataFrame, limit: int = 50, offset: int = 0, include_outliers: bool = False) -> DataFrame:
+def list_topics(topics: DataFrame, limit: int = DEFAULT_TOPIC_LIMIT, offset: int = 0, include_outliers: bool = False) -> DataFrame:
     """L2: size desc (unsized last), then id; the outlier topic only on request."""
-    check_page(limit, offset, 200)
+    check_page(limit, offset, MAX_TOPIC_LIMIT)
     t = topics if include_outliers else topics.where(F.col("id") > OUTLIER_TOPIC_ID)
     return t.orderBy(F.desc_nulls_last("size"), "id").offset(offset).limit(limit)
 

@@ -83,6 +83,14 @@ class _Fields(HTMLParser):
         if "tag" in active and self.tag_items:
             self.tag_items[-1].append(data)
 
+    def text_of(self, field: str, joined_by: str | None = None) -> str:
+        """The field's first text node, or all that are not blank, joined."""
+        nodes = map(str.strip, self.parts[field])
+        return next(nodes, "") if joined_by is None else joined_by.join(filter(None, nodes))
+
+    def tags(self) -> list[str]:
+        return list(filter(None, map(str.strip, map("".join, self.tag_items))))
+
 
 def extract_fields(html: str | None, sel: Selectors = Selectors()) -> dict:
     """P2 on one page: title, author, date, tags, body, lang."""
@@ -90,13 +98,8 @@ def extract_fields(html: str | None, sel: Selectors = Selectors()) -> dict:
     if html:
         p.feed(str(html))
         p.close()
-    title = p.parts["title"][0].strip() if p.parts["title"] else ""
-    author = p.parts["author"][0].strip() if p.parts["author"] else ""
-    date = "".join(t.strip() for t in p.parts["date"] if t.strip())
-    tags = [t for t in ("".join(item).strip() for item in p.tag_items) if t]
-    body = " ".join(t.strip() for t in p.parts["body"] if t.strip())
-    return {"title": title, "author": author, "published_at": date, "tags": tags,
-            "text": body, "lang": p.lang}
+    return {"title": p.text_of("title"), "author": p.text_of("author"), "published_at": p.text_of("date", ""),
+            "tags": p.tags(), "text": p.text_of("body", " "), "lang": p.lang}
 
 
 PAGE_SCHEMA = ("page_id long, url string, title string, author string, published_at string, "

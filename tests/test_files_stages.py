@@ -71,3 +71,28 @@ def test_lookups(spark):
     assert ST.get_topic(t, 1)["top_terms"] == []
     with pytest.raises(LookupError):
         ST.get_topic(t, 2)
+
+
+def test_sitemap_urls(spark):
+    from lectern.functions.text import sitemap_urls
+    text = "https://x/library/a\nhttps://x/library/\r\nhttps://x/other/b\n https://x/library/c "
+    got = spark.createDataFrame([(text,)], "t string").select(sitemap_urls(F.col("t")).alias("u")).first().u
+    assert got == ["https://x/library/a", "https://x/library/c"]
+
+
+def test_evaluation_summary(spark):
+    from lectern.plans.evaluation import summary
+    per_query = spark.createDataFrame([(1, 1, 0.5), (2, 0, 0.0)], "query_id long, hit_at_k long, reciprocal_rank double")
+    assert tuple(summary(per_query).first()) == (2, 0.5, 0.25)
+
+
+def test_analyze_tables(spark):
+    from lectern.operators.store import analyze_tables
+    spark.sql("DROP TABLE IF EXISTS analyzed_once")
+    spark.range(7).write.saveAsTable("analyzed_once")
+    try:
+        analyze_tables(spark, ["analyzed_once"])
+        rows = spark.sql("DESCRIBE TABLE EXTENDED analyzed_once").where("col_name = 'Statistics'").collect()
+        assert "7 rows" in rows[0].data_type
+    finally:
+        spark.sql("DROP TABLE analyzed_once")
