@@ -257,6 +257,10 @@ _TITLE_SQL = "trim(" + "".join("replace(" for _ in PG.ENTITIES) + \
     "".join(f", '{e}', '{_q(c)}')" for e, c in PG.ENTITIES) + f", {O.WS})"
 
 
+# A parser also reads an entity that the end of the title cuts off.
+_PARSED_TITLE_SQL = f"regexp_replace({_TITLE_SQL}, '&amp$', '&')"
+
+
 @register("extract_title", f"SELECT page_id, {_TITLE_SQL} AS title FROM pages")
 def q_extract_title(spark, sf):
     p = table(spark, sf, "pages")
@@ -329,12 +333,12 @@ def q_chunk_remap(spark, sf):
 _BODY_SQL = "array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_extract(" \
     "regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), " \
     "'(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<article[^>]*>(.*)</article>', 1), " \
-    "'<[^>]*>'), lambda x: trim(" + "".join("replace(" for _ in PG.ENTITIES) + "x" + \
-    "".join(f", '{e}', '{_q(c)}')" for e, c in PG.ENTITIES) + f", {O.WS})), lambda x: x <> ''), ' ')"
+    "'<[^>]*>'), lambda x: trim(regexp_replace(" + "".join("replace(" for _ in PG.ENTITIES) + "x" + \
+    "".join(f", '{e}', '{_q(c)}')" for e, c in PG.ENTITIES) + f", '&amp$', '&'), {O.WS})), lambda x: x <> ''), ' ')"
 
 
 @register("extract_article", f"""
-SELECT page_id, url, {_TITLE_SQL} AS title, {_BODY_SQL} AS text,
+SELECT page_id, url, {_PARSED_TITLE_SQL} AS title, {_BODY_SQL} AS text,
        nullif(regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1), '') AS lang FROM pages""")
 def q_extract_article(spark, sf):
     a = PG.extract_articles(table(spark, sf, "pages"))

@@ -17,7 +17,7 @@ from lectern.functions.text import normalize_text
 from lectern.operators import store as S
 from lectern.plans import corpus
 from lectern.plans import oracle_sql as O
-from lectern.plans.catalog import _BODY_SQL, _TITLE_SQL, normalize, register
+from lectern.plans.catalog import _BODY_SQL, _PARSED_TITLE_SQL, normalize, register
 from lectern.sources import pages as PG
 from lectern.sources.tables import table
 
@@ -58,7 +58,7 @@ pg AS (SELECT -(page_id + 1) AS article_id, url,
               '' AS author, '' AS published_at, {_norm_sql('body')} AS text,
               [nullif(regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1), ''),
                regexp_extract(url, '{HOST_PATTERN}', 1)] AS tags
-       FROM (SELECT *, {_TITLE_SQL} AS t, {_BODY_SQL} AS body FROM pages)),
+       FROM (SELECT *, {_PARSED_TITLE_SQL} AS t, {_BODY_SQL} AS body FROM pages)),
 pga AS (SELECT * FROM pg WHERE text IS NOT NULL AND trim(text) <> ''),
 b2 AS (SELECT article_id, url, title, author, published_at, {_norm_sql('text')} AS text, tags FROM art
        UNION ALL SELECT * FROM pga),
