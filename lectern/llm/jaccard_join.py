@@ -44,6 +44,7 @@ PIVOT_ROUNDS = 3
 CELL = 1024                # members of a block that one side of a cell holds
 _SKETCH_BITS = 20          # counters of the frequency sketch: fixed, 8 MB
 _BLOCKS = 64               # the sketch travels in so many parts
+_SLICE = 1 << 20             # bytes of text at once
 _BAND = math.log(1.25)      # sets of one band have sizes within a quarter
 _LOW = np.uint64(int(0.3 * 2**64))     # hashes below are counted exactly
 
@@ -53,19 +54,20 @@ def _sets(batches, text_col: str, words: int, copies=None):
     distinct shingle hashes. With ``copies``, a sieve of the hashed ids of texts
     that repeat the set of another one, those texts are left out."""
     for batch in batches:
+        skip = np.zeros(batch.num_rows, dtype=bool)
         if copies is not None:
-            batch = batch.filter(pa.array(~in_sieve(copies.value, batch.column("__key").to_numpy(zero_copy_only=False))))
-        for lo, hi, buf, off in text_slices(batch, text_col):
-            starts, ends, first = W.find_words(W.LOWER[buf], off, W.NOT_SPACE)
-            hashes = W.run_hashes(W.LOWER[buf], starts, ends)
+            skip = in_sieve(copies.value, batch.column("__key").to_numpy(zero_copy_only=False))
+        for lo, hi, buf, off in text_slices(batch, text_col, _SLICE):
+            buf = W.LOWER[buf]
+            starts, ends, first = W.find_words(buf, off, W.NOT_SPACE)
+            hashes = W.run_hashes(buf, starts, ends)
             at, shingles = W.windows(hashes, first, words)
             bounds = np.searchsorted(at, first)
             counts = np.diff(first)
             short = np.flatnonzero((counts > 0) & (counts < words))
             whole = dict(zip(short.tolist(), W.run_hashes(hashes, first[short], first[short + 1])))
-            sets = [np.array([whole[d]]) if d in whole else np.unique(shingles[bounds[d]:bounds[d + 1]])
-                    for d in range(hi - lo)]
-            yield batch, lo, sets
+            yield batch, lo, [np.array([whole[d]]) if d in whole else np.unique(shingles[bounds[d]:bounds[d + 1]])
+                              for d in np.flatnonzero(~skip[lo:hi]).tolist()]
 
 
 def _class_of(s: np.ndarray) -> int:
@@ -323,7 +325,7 @@ def _tree_pairs(similar: int):
     """Rows arrive sorted by cell (h, i, j)."""
     def run(batches):
         cell, members = None, []
-        for batch in batches:
+        for batch in (b.slice(lo, 512) for b in batches for lo in range(0, b.num_rows, 512)):
             out = []
             for h, i, j, *member in zip(*(col.to_pylist() for col in batch.columns)):
                 if (h, i, j) != cell:
