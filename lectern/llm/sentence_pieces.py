@@ -30,6 +30,8 @@ _BYTE_WEIGHT = -14.0       # log weight of a byte that stands for itself
 _LONG = 48                 # bytes up to which lattices are built together
 _SLICE = 1 << 20           # bytes of text encoded at once: lattices take some hundred times their unique segments
 _PIECES = 1 << 18          # pieces decoded at once
+_FILTER_BITS = 18
+_FILTER = np.uint64((1 << _FILTER_BITS) - 1)
 _MARK = "▁"           # the vocabulary's sign for a blank
 
 
@@ -39,7 +41,7 @@ class Vocabulary:
     def __init__(self, pieces: list[tuple[int, bytes]], byte_ids: list[int], temperature: float = TEMPERATURE):
         self.byte_ids = np.array(byte_ids, dtype=np.int32)
         logs = {p: (-np.log(2.0 + rank) / temperature, i) for rank, (i, p) in enumerate(pieces)}
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.by_length: dict[int, tuple[np.ndarray, ...]] = {}
         self.pieces = logs
         self.spelled = {i: p for i, p in pieces} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         for n in sorted({len(p) for p in logs}):
@@ -48,8 +50,28 @@ class Vocabulary:
             lo = np.arange(len(own)) * n
             h = W.run_hashes(buf, lo, lo + n)
             order = np.argsort(h)
+            some = np.zeros(1 << _FILTER_BITS, dtype=bool)
+            some[(h & _FILTER).astype(np.int64)] = True
             self.by_length[n] = (h[order], np.array([logs[p][0] for p in own])[order],
-                                 np.array([logs[p][1] for p in own], dtype=np.int32)[order])
+                                 np.array([logs[p][1] for p in own], dtype=np.int32)[order], some)
+        self._longest = np.zeros(1 << 16, dtype=np.uint8)
+        for p in logs:
+            heads = [p[0] | b << 8 for b in range(256)] if len(p) == 1 else [p[0] | p[1] << 8]
+            self._longest[heads] = np.maximum(self._longest[heads], min(len(p), 255))
+
+    def longest(self, buf: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Bytes of the longest piece that begins with the two bytes at each place."""
+        after = buf[np.minimum(place + 1, len(buf) - 1)].astype(np.int32)
+        return self._longest[buf[place] | after << 8]
+
+    def find(self, buf: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which places begin a piece of n bytes, its weight, its id)."""
+        known, weight, piece, some = self.by_length[n]
+        h = W.run_hashes_of(buf, place, n)
+        may = np.flatnonzero(some[(h & _FILTER).astype(np.int64)])
+        spot = np.minimum(np.searchsorted(known, h[may]), len(known) - 1)
+        hit = known[spot] == h[may]
+        return may[hit], weight[spot[hit]], piece[spot[hit]]
 
     @classmethod
     def load(cls, model_file: str = MODEL_FILE, temperature: float = TEMPERATURE) -> Vocabulary:
@@ -73,61 +95,64 @@ class _Lattice:
     """The lattices of several segments as one table of edges.
 
     Nodes are byte positions: base[s] is the begin of segment s and
-    base[s] + its length the end. The edges into a node are neighbours in the
-    table, with ``key`` = node + cumulated probability, so one binary search
-    draws an edge.
+    base[s] + its length the end. The edges into node v are first[v] to
+    first[v + 1], likely ones first, with cumulated probabilities.
     """
 
     def __init__(self, vocab: Vocabulary, buf: np.ndarray, lo: np.ndarray, hi: np.ndarray):
-        size = hi - lo
-        self.base = np.cumsum(size + 1) - (size + 1)
+        size = (hi - lo).astype(np.int32)
+        self.base = (np.cumsum(size + 1) - (size + 1)).astype(np.int32)
         self.end = self.base + size
         n_nodes = int((size + 1).sum())
-        place = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        seg = np.repeat(np.arange(len(lo)), size)
-        left = hi[seg] - place                              # bytes to the segment's end
-        node = self.base[seg] + place - lo[seg]
-        froms, tos, logs, ids = [node], [node + 1], [np.full(len(node), _BYTE_WEIGHT)], [vocab.byte_ids[buf[place]]]
-        for n, (known, weight, piece) in vocab.by_length.items():
-            at = np.flatnonzero(left >= n)
-            if len(at):
-                h = W.run_hashes_of(buf, place[at], n)
-                spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                hit = known[spot] == h
-                at, spot = at[hit], spot[hit]
-                froms.append(node[at])
-                tos.append(node[at] + n)
-                logs.append(weight[spot])
-                ids.append(piece[spot])
-        source, target = np.concatenate(froms), np.concatenate(tos)
+        seg = np.repeat(np.arange(len(lo), dtype=np.int32), size)
+        depth = (np.arange(len(seg), dtype=np.int32) - np.repeat((np.cumsum(size) - size).astype(np.int32), size))
+        place = lo[seg] + depth
+        node = self.base[seg] + depth
+        # no piece from here is longer than the longest with the same two bytes
+        reach = np.minimum(size[seg] - depth, vocab.longest(buf, place))
+        froms, tos, logs = [node], [node + 1], [np.full(len(node), _BYTE_WEIGHT)]
+        ids, depths = [vocab.byte_ids[buf[place]]], [depth + 1]
+        at = np.arange(len(node), dtype=np.int32)
+        for n in sorted(vocab.by_length):
+            at = at[reach[at] >= n]
+            hit, weight, piece = vocab.find(buf, place[at], n)
+            own = at[hit]
+            froms.append(node[own])
+            tos.append(node[own] + n)
+            logs.append(weight)
+            ids.append(piece)
+            depths.append(depth[own] + n)
+        source, target, deep = np.concatenate(froms), np.concatenate(tos), np.concatenate(depths).astype(np.uint8)
         # a constant factor per byte keeps sums near 1 and cancels within a segment
-        weight = np.exp(np.concatenate(logs) + 6.0 * (target - source) / 2.5)
+        weight = np.exp(np.concatenate(logs) + 2.4 * (target - source))
         piece = np.concatenate(ids)
-        order = np.argsort(target, kind="stable")
-        source, target, weight, piece = source[order], target[order], weight[order], piece[order]
-        first = np.searchsorted(target, np.arange(n_nodes + 1))
         total = np.zeros(n_nodes)
         total[self.base] = 1.0
-        depth = target - self.base[np.searchsorted(self.base, target, side="right") - 1]
-        turn = np.argsort(depth, kind="stable")             # forward filtering, one depth at a time
-        cuts = np.searchsorted(depth[turn], np.arange(1, int(depth.max()) + 2)) if len(depth) else []
+        turn = np.argsort(deep, kind="stable")              # forward filtering, one depth at a time
+        cuts = np.cumsum(np.bincount(deep, minlength=1))
         path = np.zeros(len(source))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            e = turn[a:b]                                   # edges into one node are neighbours here too
+            e = turn[a:b]
             path[e] = total[source[e]] * weight[e]
-            heads = np.flatnonzero(np.append(True, np.diff(target[e]) > 0))
-            total[target[e][heads]] = np.add.reduceat(path[e], heads)
+            np.add.at(total, target[e], path[e])
         share = path / total[target]
+        order = np.argsort(target + (1.0 - share) * 0.999)  # by node, then likely edges first
+        share, self.source, self.piece = share[order], source[order], piece[order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(target, minlength=n_nodes))])
+        count = np.diff(self.first)
+        begin, last = self.first[:-1][count > 0], self.first[1:][count > 0] - 1
         summed = np.cumsum(share)
-        before = np.concatenate([[0.0], summed])[first[target]]
-        self.key = target + np.minimum(summed - before, 1.0)
-        last = first[1:][target] - 1 == np.arange(len(target))
-        self.key[last] = target[last] + 1.0                 # rounding must not leave a gap
-        self.source, self.piece = source, piece
+        self.key = summed - np.repeat((summed - share)[begin], count[count > 0])
+        self.key[last] = 2.0                                # rounding must not leave a gap
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge into each node that the uniform numbers choose."""
-        return np.searchsorted(self.key, node + u, side="right")
+        edge = self.first[node]
+        more = np.flatnonzero(self.key[edge] <= u)
+        while len(more):
+            edge[more] += 1
+            more = more[self.key[edge[more]] <= u[more]]
+        return edge
 
 
 def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
