@@ -45,14 +45,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-{uuid.uuid4().hex}/{name}"
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
+def shared_table(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. ``paths`` collects
+    the folders of tables that the caller drops with ``forget``."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that no plan reads any more (only those just written by
+    ``shared_table``, each in a folder of its own)."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    paths.clear()
+
+
 # ---------------------------------------------------------------- sieves
 
 def sieve_slot(key: Column, bits: int = SIEVE_BITS) -> Column:

@@ -11,16 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import shared_table
+from lectern.llm.common import forget, shared_table
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): label is the smallest node reachable. Nodes are those of
     the links; a link that repeats or joins a node to itself changes nothing."""
+    spark, own, last = links.sparkSession, [], []
     one = links.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    edges = shared_table(one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
+    edges = shared_table(one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges", own)
     labels = shared_table(edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label"))
-                          .withColumnRenamed("u", "node"), "labels")
+                          .withColumnRenamed("u", "node"), "labels", last)
     while True:
         # (label of u, label of v) for every edge: hook u and its label
         ends = (edges.join(labels.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u")
@@ -29,11 +30,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .groupBy("node").agg(F.min("lv").alias("near")))
         hooked = labels.join(hooks, "node", "left").select(
             "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        hooked = shared_table(hooked, "hooked")
+        old, last = last, []
+        hooked = shared_table(hooked, "hooked", old)
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("above"))
         jumped = shared_table(hooked.join(up, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("above", "label")).alias("label")), "jumped")
+            "node", "old", F.least("label", F.coalesce("above", "label")).alias("label")), "jumped", last)
+        forget(spark, old)
         changed = jumped.filter("label < old").limit(1).count()
         labels = jumped.select("node", "label")
         if not changed:
+            forget(spark, own)
             return labels

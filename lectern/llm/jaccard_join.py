@@ -30,11 +30,11 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import (counted, in_sieve, load_sieve, prepare, shared_table, sieve_rows, sieve_slot,
+from lectern.llm.common import (counted, forget, in_sieve, load_sieve, prepare, shared_table, sieve_rows, sieve_slot,
                                 text_slices)
 from lectern.llm.components import components
 
@@ -45,7 +45,6 @@ CELL = 1024                # members of a block that one side of a cell holds
 _SKETCH_BITS = 20          # counters of the frequency sketch: fixed, 8 MB
 _BLOCKS = 64               # the sketch travels in so many parts
 _SLICE = 1 << 20             # bytes of text at once
-_BAND = math.log(1.25)      # sets of one band have sizes within a quarter
 _LOW = np.uint64(int(0.3 * 2**64))     # hashes below are counted exactly
 
 
@@ -357,6 +356,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
             .filter(100 * both >= similar * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
 
 
+def _band(n: Column, similar: int) -> Column:
+    """Sets whose sizes allow the similarity are at most one band apart; bands are
+    a little wider than that needs, so that rounding cannot part them."""
+    return F.floor(F.log(n.cast("double")) / F.lit(1.0001 * math.log(100 / min(similar, 99)))).cast("int")
+
+
 def _open_blocks(rows: DataFrame) -> DataFrame:
     """(h, band, size, pivot) of the blocks with more than one component left;
     ``size`` counts the block, the pivot is that of the band of set sizes."""
@@ -368,7 +373,7 @@ def _open_blocks(rows: DataFrame) -> DataFrame:
     return bands.join(blocks, "h").select("h", "band", "size", "pivot")
 
 
-def _labelled(postings: DataFrame, links: DataFrame | None, turn: int) -> DataFrame:
+def _labelled(postings: DataFrame, links: DataFrame | None, turn: int, similar: int) -> DataFrame:
     rows = postings.select("h", "c", "n", "alone")
     if links is None:
         rows = rows.withColumn("comp", F.col("c"))
@@ -380,7 +385,7 @@ def _labelled(postings: DataFrame, links: DataFrame | None, turn: int) -> DataFr
     # edited copies of one text the least edited; later ones are any member
     own = F.col("alone") if turn == 0 else F.lit(0).cast("long")
     return (rows.withColumn("turn", F.struct(own.alias("own"), F.xxhash64(F.lit(turn), "c").alias("any")))
-            .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(_BAND)).cast("int")))
+            .withColumn("band", _band(F.col("n"), similar)))
 
 
 def _copies(rows: DataFrame):
@@ -409,6 +414,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     prepare(spark)
+    scratch: list[str] = []
     source = docs.select(id_col, text_col)
     id_type = dict(docs.dtypes)[id_col]
     profile = shared_table(source.mapInArrow(_profile(id_col, text_col, words), _PROFILE.format(id_type=id_type)), "profile")
@@ -421,41 +427,46 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         texts.mapInArrow(_low_shingles(text_col, words, copies), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
         .filter("n > 1").select(sieve_slot(F.col("h")).alias("s")), "s"))
     firsts = shared_table(texts.mapInArrow(_first_shingles(text_col, words, similar, copies, several, levels),
-                                           "c long, n long, hs array<long>, alone long"), "firsts")
+                                           "c long, n long, hs array<long>, alone long"), "firsts", scratch)
     more = (firsts.select(F.explode("hs").alias("h")).groupBy("h").count().filter("count > 1")
             .select(sieve_slot(F.col("h")).alias("s")))
     shared = load_sieve(sieve_rows(more, "s"))
     postings = shared_table(firsts.mapInArrow(_shared_postings(shared), "h long, c long, n long, alone long")
-                            .dropDuplicates(["h", "c"]), "postings")
+                            .dropDuplicates(["h", "c"]), "postings", scratch)
     # blocks of the same members are one block: count, range and sums of two hashes tell them apart
     blocks = (postings.groupBy("h").agg(
         F.count(F.lit(1)).alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"),
         F.bit_xor(F.xxhash64("c")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "c")).alias("y"))
         .filter("size > 1").groupBy("size", "lo", "hi", "x", "y").agg(F.min("h").alias("h")))
-    kept = shared_table(blocks.select("h"), "blocks")
-    postings = shared_table(postings.join(kept, "h", "left_semi"), "kept")
+    # similar sets lie in one band or in neighbouring ones: members without such company leave
+    postings = postings.withColumn("band", _band(F.col("n"), similar))
+    company = (postings.groupBy("h", "band").agg(F.count(F.lit(1)).alias("k"))
+               .select("h", "k", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+               .groupBy("h", "band").agg(F.sum("k").alias("k")).filter("k > 1"))
+    kept = shared_table(company.join(blocks, "h", "left_semi").select("h", "band"), "blocks", scratch)
+    postings = shared_table(postings.join(kept, ["h", "band"], "left_semi").drop("band"), "kept", scratch)
 
     wanted = load_sieve(sieve_rows(postings.select(sieve_slot(F.col("c")).alias("s")).distinct(), "s"))
     sets = shared_table(texts.mapInArrow(_full_sets(text_col, words, copies, wanted), "c long, s array<long>")
-                        .dropDuplicates(["c"]), "sets")
+                        .dropDuplicates(["c"]), "sets", scratch)
 
     links: DataFrame | None = None
     for turn in range(PIVOT_ROUNDS):
-        open_rows = _labelled(postings, links, turn)
-        pivots = shared_table(_open_blocks(open_rows), "pivots")
+        open_rows = _labelled(postings, links, turn, similar)
+        pivots = shared_table(_open_blocks(open_rows), "pivots", scratch)
         open_rows = shared_table(open_rows.join(pivots, ["h", "band"]).select(
             "h", "c", "n", "alone", "comp", F.col("pivot.c").alias("pc"), F.col("pivot.n").alias("pn"),
-            F.col("pivot.comp").alias("pcomp")), "open")
+            F.col("pivot.comp").alias("pcomp")), "open", scratch)
         pairs = (open_rows.filter(F.col("comp") != F.col("pcomp"))
                  .filter(100 * F.least("n", "pn") >= similar * F.greatest("n", "pn"))
                  .select(F.col("pc").alias("a"), F.col("c").alias("b")).distinct())
-        found = shared_table(_verified(pairs, sets, similar), "links")
+        found = shared_table(_verified(pairs, sets, similar), "links", scratch)
         links = found if links is None else links.unionByName(found)
         postings = open_rows.select("h", "c", "n", "alone")
 
     # what is left: signature trees, in cells of bounded size
-    open_rows = _labelled(postings, links, PIVOT_ROUNDS)
-    left = shared_table(_open_blocks(open_rows).select("h", "size").distinct(), "left")
+    open_rows = _labelled(postings, links, PIVOT_ROUNDS, similar)
+    left = shared_table(_open_blocks(open_rows).select("h", "size").distinct(), "left", scratch)
     sides = F.ceil(F.col("size") / F.lit(CELL)).cast("int")
     rest = (open_rows.join(left, "h").withColumn("sides", sides)
             .withColumn("own", F.pmod(F.xxhash64("c", F.lit(7)), F.col("sides")).cast("int"))
@@ -464,11 +475,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "comp", "n", "c"))
     own = (open_rows.join(left, "h").groupBy("c").agg(F.collect_set("h").alias("blocks"))
            .join(sets.mapInArrow(_bitmaps, "c long, bitmap binary"), "c"))
-    cells = rest.join(shared_table(own, "members"), "c").select("h", "i", "j", "side", "comp", "n", "c", "bitmap", "blocks")
+    cells = rest.join(shared_table(own, "members", scratch), "c").select("h", "i", "j", "side", "comp", "n", "c", "bitmap", "blocks")
     pairs = shared_table(cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-                         .mapInArrow(_tree_pairs(similar), "a long, b long"), "pairs")
-    found = shared_table(_verified(pairs, sets, similar), "tree_links")
+                         .mapInArrow(_tree_pairs(similar), "a long, b long"), "pairs", scratch)
+    found = shared_table(_verified(pairs, sets, similar), "tree_links", scratch)
     labels = components(found if links is None else links.unionByName(found))
+    forget(spark, scratch)
 
     member = (rows.join(labels.select(F.col("node").alias("c"), "label"), "c", "left")
               .select("__id", "n", F.coalesce("label", "c").alias("comp")))
