@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from lectern.session import ensure_checkpoint_dir, ship_package
 
 SIEVE_BITS = 26            # 2**26 bits: 8 MB
-SLICE_BYTES = 2 << 20      # text handled at once by the numpy code (a longer text is a slice alone)
+SLICE_BYTES = 1 << 20      # text handled at once by the numpy code (a longer text is a slice alone)
 _BITMAP_BITS = 32768       # bits of one bitmap of Spark's bitmap functions
 
 
@@ -166,3 +166,4 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES
         hi = min(max(hi, lo + 1), len(col))
         yield lo, hi, raw[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo]
         lo = hi
+    pa.default_memory_pool().release_unused()       # idle workers must not hold a batch's memory

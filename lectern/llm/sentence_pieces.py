@@ -28,8 +28,8 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 TEMPERATURE = 1.0          # weights are raised to 1 / TEMPERATURE
 _BYTE_WEIGHT = -14.0       # log weight of a byte that stands for itself
 _LONG = 48                 # bytes up to which lattices are built together
-_SLICE = 1 << 20           # bytes of text encoded at once: lattices take some hundred times their unique segments
-_PIECES = 1 << 18          # pieces decoded at once
+_SLICE = 1 << 18           # bytes of text encoded at once: lattices take some hundred times their unique segments
+_PIECES = 1 << 17          # pieces decoded at once
 _FILTER_BITS = 18
 _FILTER = np.uint64((1 << _FILTER_BITS) - 1)
 _MARK = "▁"           # the vocabulary's sign for a blank
