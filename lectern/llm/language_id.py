@@ -4,9 +4,11 @@ A text is a vector of byte bigrams and trigrams (A-Z lower-cased, every other
 ASCII character that is no letter a blank), hashed to a fixed number of
 buckets, weighted by 1 + log tf and the inverse document frequency and brought
 to length 1. Each language has several centroids, found by spherical k-means
-over a bounded sample; a text gets the language of the nearest one by cosine. A
-text farther from it than anything that the centroids were fitted on, by a
-margin, is rejected.
+over a bounded sample; a text gets the language of the nearest one by cosine. It
+is rejected where its cosine is below a floor of that language for texts of its
+size (the power of two of its distinct n-grams, since short texts are far from
+every centroid): a share of a low quantile of the sample's cosines, so that no
+single odd text sets it.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ BUCKETS = 2048
 CENTROIDS = 4              # per language
 SAMPLE = 1000              # texts per language that the centroids are fitted on, about, at most
 ROUNDS = 10
-MARGIN = 0.5               # rejected below this share of the smallest cosine seen in fitting
+MARGIN = 0.5               # rejected below this share of the low quantile of the sample's cosines
+LOW = 0.05                 # that quantile
+LEAST = 30                 # cosines that a quantile is taken from, at least
+SIZES = BUCKETS.bit_length()    # classes of texts by the power of two of their distinct n-grams
 _ROWS = 256                # texts whose vectors are held at once
 
 _FOLD = W.LOWER.copy()
@@ -39,7 +44,7 @@ class Model:
     idf: np.ndarray
     languages: list[str]       # of each centroid
     centroids: np.ndarray
-    floor: float               # cosine below which a text is rejected
+    floors: np.ndarray         # of each centroid and size class, the cosine below which a text is rejected
 
 
 def term_counts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -68,6 +73,10 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (v / np.maximum(length, 1e-12)).astype(np.float32)
 
 
+def size_classes(counts: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum((counts > 0).sum(axis=1), 1)).astype(np.int32)
+
+
 def _groups(batches, text_col: str):
     """(batch, first row, past the last row, counts) for few texts at a time."""
     for batch in batches:
@@ -122,15 +131,64 @@ def _fit_language(centroids: int):
         x = x[np.lexsort(x[:, :8].T)]                      # arrival order must not matter
         x = x[np.linalg.norm(x, axis=1) > 0]
         if not len(x):
-            return pa.table({"lang": pa.array([], pa.string()), "v": pa.array([], pa.list_(pa.float32())),
-                             "least": pa.array([], pa.float64())})
+            return pa.table({"lang": pa.array([], pa.string()), "v": pa.array([], pa.list_(pa.float32()))})
         c = k_means(x, centroids)
-        least = float((x @ c.T).max(axis=1).min())
-        return pa.table({"lang": pa.array([lang] * len(c)), "v": pa.array(list(c.astype(np.float32)), pa.list_(pa.float32())),
-                         "least": pa.array([least] * len(c))})
+        return pa.table({"lang": pa.array([lang] * len(c)), "v": pa.array(list(c.astype(np.float32)), pa.list_(pa.float32()))})
+    return run
+
+
+def _cosines(model_bc, text_col: str, lang_col: str):
+    """(lang, size, whole, cosine): how near texts, and their first 8, 16, 32, ...
+    bytes, are to the nearest centroid of their own language."""
+    def run(batches):
+        idf, languages, centroids = model_bc.value
+        own = {lang: centroids[[i for i, x in enumerate(languages) if x == lang]] for lang in set(languages)}
+
+        def near(langs, counts, whole):
+            flat, size = vectors(counts, idf), size_classes(counts)
+            rows = [i for i, lang in enumerate(langs) if lang in own and counts[i].any()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([langs[i] for i in rows], pa.string()), pa.array(size[rows], pa.int32()),
+                 pa.array([whole] * len(rows), pa.bool_()),
+                 pa.array([float((own[langs[i]] @ flat[i]).max()) for i in rows], pa.float64())],
+                ["lang", "size", "whole", "cosine"])
+        for batch in batches:
+            for lo, hi, buf, off in text_slices(batch, text_col):
+                for a in range(0, hi - lo, _ROWS):
+                    b = min(a + _ROWS, hi - lo)
+                    langs = batch.column(lang_col)[lo + a:lo + b].to_pylist()
+                    length = np.diff(off[a:b + 1])
+                    yield near(langs, term_counts(buf[off[a]:off[b]], off[a:b + 1] - off[a]), True)
+                    cut = 8
+                    while (length > cut).any():
+                        rows = np.flatnonzero(length > cut)
+                        heads = buf[(off[a + rows][:, None] + np.arange(cut)).reshape(-1)]
+                        yield near([langs[i] for i in rows],
+                                   term_counts(heads, np.arange(len(rows) + 1, dtype=np.int64) * cut), False)
+                        cut *= 2
     return run
 
 
+def _floors(model, sample: DataFrame, text_col: str, lang_col: str) -> np.ndarray:
+    """Floors of each centroid by size class. Where a language has few texts of a
+    class, the heads of longer ones count too; where these are few, the floor of
+    the class below holds, which is lower."""
+    seen = sample.mapInArrow(_cosines(sample.sparkSession.sparkContext.broadcast(model), text_col, lang_col),
+                             "lang string, size int, whole boolean, cosine double")
+    whole = F.when(F.col("whole"), F.col("cosine"))
+    low = {(r["lang"], r["size"]): r["whole"] if r["n"] >= LEAST else r["any"] if r["m"] >= LEAST else None
+           for r in seen.groupBy("lang", "size").agg(
+               F.count(whole).alias("n"), F.count("cosine").alias("m"),
+               F.percentile(whole, F.lit(LOW)).alias("whole"), F.percentile("cosine", F.lit(LOW)).alias("any")).collect()}
+    _, languages, _ = model
+    floors = np.zeros((len(languages), SIZES))
+    for i, lang in enumerate(languages):
+        for k in range(SIZES):
+            own = low.get((lang, k))
+            floors[i, k] = MARGIN * own if own is not None else floors[i, k - 1] if k else 0.0
+    return floors
+
+
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", centroids: int = CENTROIDS,
         sample: int = SAMPLE) -> Model | None:
     """Learn from the rows with a language and a text; None where there are none.
@@ -150,12 +208,12 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", cen
     place = F.pmod(F.xxhash64(F.lit(5), F.col(text_col)), F.lit(1_000_000)) / F.lit(1_000_000.0)
     some = rows.join(F.broadcast(counts), lang_col).filter(place * F.col("__n") < sample)
     fitted = (some.select(lang_col, text_col).mapInArrow(_vectors(text_col, lang_col, idf), "lang string, v array<float>")
-              .groupBy("lang").applyInArrow(_fit_language(centroids), "lang string, v array<float>, least double")
+              .groupBy("lang").applyInArrow(_fit_language(centroids), "lang string, v array<float>")
               .orderBy("lang").collect())
     if not fitted:
         return None
-    return Model(idf, [r["lang"] for r in fitted], np.array([r["v"] for r in fitted], dtype=np.float32),
-                 MARGIN * min(r["least"] for r in fitted))
+    languages, means = [r["lang"] for r in fitted], np.array([r["v"] for r in fitted], dtype=np.float32)
+    return Model(idf, languages, means, _floors((idf, languages, means), some, text_col, lang_col))
 
 
 def _has_letter(text: str) -> bool:
@@ -171,10 +229,11 @@ def _predict(model_bc, text_col: str):
             best = cosine.argmax(axis=1)
             score = np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0).astype(np.float64)
             texts = batch.column(text_col)[lo:hi]
+            floor = model.floors[best, size_classes(counts)]
             letter = np.array([t.is_valid and _has_letter(t.as_py()) for t in texts], dtype=bool)
             best[~letter] = len(names) - 1
             score[~letter] = 0.0
-            rejected = ~letter | (score < model.floor)
+            rejected = ~letter | (score <= 0.0) | (score < floor)
             cols = batch.schema.names
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n)[lo:hi] for n in cols), pa.array(names[best], type=pa.string()), pa.array(score),
@@ -187,7 +246,8 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
 
     lang_pred is the language of the nearest centroid; ``und``, with score 0 and
     rejected, where the text is null or has no letter, and for every row where
-    nothing was learned. ``rejected`` also marks texts beyond the distance.
+    nothing was learned. ``rejected`` also marks texts below the floor of that
+    language for their size.
     Equal cosines go to the language that comes first by name. Columns named
     like an output column are replaced; repeated rows are judged alike.
     """

@@ -1,5 +1,6 @@
 """The dealt operators against brute force on small tables with awkward rows."""
 
+import base64
 import math
 import random
 import re
@@ -314,6 +315,30 @@ def test_language_id(spark, docs, empty):
     assert language_id.identify(empty, model).count() == 0
 
 
+def test_language_id_rejects_other_languages_and_gibberish(spark):
+    """One odd labelled text of a language must not let everything through."""
+    rng = random.Random(8)
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    far = [
+        "Съешь ещё этих мягких французских булок, да выпей же чаю. Москва является столицей Российской Федерации.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "Suomen kieli kuuluu itämerensuomalaisiin kieliin. Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+        "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق. وقد وهبوا عقلا وضميرا.",
+        *(" ".join("".join(rng.choice(abc) for _ in range(rng.randint(2, 9))) for _ in range(n)) for n in (30, 120, 1000)),
+        *(base64.b64encode(rng.randbytes(n)).decode() for n in (300, 3000)),
+    ]
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "XKCD %% qqzx 77", "fr")], d.schema)
+    model = language_id.fit(d.filter(~language_id.held_out(F.col("doc_id"))).unionByName(odd))
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(far)], "doc_id long, text string")
+    assert [r["doc_id"] for r in language_id.identify(asked, model).filter("not rejected").collect()] == []
+    assert language_id.identify(d.select("doc_id", "text"), model).filter("rejected").count() == 0
+
+
 def test_held_out_rule(spark):
     d = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
     got = {r[0]: r[1] for r in d.select("doc_id", language_id.held_out(F.col("doc_id"))).collect()}
