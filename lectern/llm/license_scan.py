@@ -1,15 +1,20 @@
 """Licence scans: Dice coefficient over word bigrams, DataFrame functions only.
 
-Texts are split into segments, every non-blank line and the whole text, and
-normalised to words of lower-case letters and digits. A segment is compared
-with a template by the Dice coefficient of their sets of word bigrams,
-2 |A n B| / (|A| + |B|). The coefficient reaches t only if the set sizes differ
-by a factor of at most (2 - t) / t, so a segment whose word count lies outside
-every template's bounds is dropped before its bigrams are built.
+Texts are normalised to words of lower-case letters and digits. Compared with a
+template, by the Dice coefficient of their sets of word bigrams,
+2 |A n B| / (|A| + |B|), are every non-blank line, the whole text, and windows
+of neighbouring words that slide over the whole text across line ends. A
+coefficient of t needs t / (2 - t) of the template's bigrams and at most
+(2 - t) / t times as many, which bounds the windows. It also gives each template
+a few words of which one must occur: a text without any of them is dropped
+before its words are cut. A window begins and ends with a bigram of the
+template, since any other edge only lowers the coefficient.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,51 +54,156 @@ def bigrams_of(words: Column) -> Column:
     return F.array_distinct(F.when(n == 1, words).otherwise(pairs))
 
 
-def _templates(spark, templates) -> DataFrame:
-    """(licence, template, grams). Repeated templates are one."""
+def _templates(spark, templates) -> list:
+    """(licence, template, words, grams). Repeated templates are one."""
     t = spark.createDataFrame(list(dict.fromkeys(templates)), "licence string, template string")
-    return (t.withColumn("grams", bigrams_of(words_of(F.col("template")))).filter(F.size("grams") > 0))
+    return (t.withColumn("words", words_of(F.col("template"))).withColumn("grams", bigrams_of(F.col("words")))
+            .filter(F.size("grams") > 0).collect())         # as many rows as templates are given
+
+
+def _need(size: int, threshold: float) -> int:
+    """How many of a template's bigrams a match shares with it, at least."""
+    return max(1, math.ceil(size * threshold / (2 - threshold) - 1e-9))
+
+
+def _most(size: int, threshold: float) -> int:
+    """How many bigrams a match has, at most."""
+    return math.floor(size * (2 - threshold) / threshold + 1e-9)
+
+
+def key_words(known: list, threshold: float) -> list[list[str]]:
+    """Words per template of which every match has one: too few of the template's
+    bigrams are without them. Long words first, they are rare."""
+    out, used = [], set()
+    for t in known:
+        keys, left = [], set(t["grams"])
+        while len(left) >= _need(len(t["grams"]), threshold):
+            cover = {w: sum(w in g.split() for g in left) for w in t["words"]}
+            best = min((w for w in cover if cover[w]),
+                       key=lambda w: (len(w) < 4, len(w) < 6 and w not in used, -cover[w], w not in used, -len(w), w))
+            keys.append(best)
+            left = {g for g in left if best not in g.split()}
+        used.update(keys)
+        out.append(keys)
+    return out
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once a row, whatever reads them later.
+    (A projection may be merged into what is above it, a generator not.)"""
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.withColumn("__once", F.explode_outer(F.array(made))).select(
+        *df.columns, *[F.col(f"__once.{name}").alias(name) for name in columns])
+
+
+def _dice(own: Column, grams: Column) -> Column:
+    return F.lit(2.0) * F.size(F.array_intersect(own, grams)) / (F.size(F.array_distinct(own)) + F.size(grams))
+
+
+def _best(grams: Column, templates: Column, threshold: float) -> Column:
+    """(rank, licence, template) of the nearest template, null below the threshold."""
+    n = F.size(grams)
+
+    def score(t):
+        return F.when((n >= t["need"]) & (n <= t["most"]),
+                      F.struct((-_dice(grams, t["grams"])).alias("rank"), t["licence"].alias("licence"),
+                               t["template"].alias("template")))
+    best = F.array_min(F.transform(templates, score))
+    return F.when(-best["rank"] >= F.lit(threshold), best)
+
+
+def _windows(grams: Column, t: Column, threshold: float) -> Column:
+    """Of each place where a match with the template ``t`` begins, the best:
+    (rank, longer, licence, template, first, last), bigrams counted from 0."""
+    hits = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(t["grams"], g), i)), lambda i: i.isNotNull())
+
+    def from_place(h, first, k):
+        ends = F.filter(F.slice(h, k + t["need"], t["most"]), lambda last: last - first < t["most"])
+        return F.array_min(F.transform(ends, lambda last: F.struct(
+            (-_dice(F.slice(grams, first + 1, last - first + 1), t["grams"])).alias("rank"),
+            (first - last).alias("longer"), t["licence"].alias("licence"), t["template"].alias("template"),
+            first.alias("first"), last.alias("last"))))
+    found = F.transform(F.array(hits), lambda h: F.transform(h, lambda first, k: from_place(h, first, k)))[0]
+    return F.filter(found, lambda w: w.isNotNull() & (-w["rank"] >= F.lit(threshold)))
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(id, segment, licence, dice, start_line): one row per matching segment.
 
-    ``segment`` is the segment's text, ``start_line`` its line (0-based; -1 for
-    a whole text of several lines); of several templates the highest Dice wins, ties by
-    licence and template. Null, empty and wordless texts match nothing.
-    Repeated rows give repeated matches; other columns are ignored.
+    ``segment`` is the segment's text, ``start_line`` the line where it begins
+    (0-based; -1 for a whole text of several lines); of several templates the
+    highest Dice wins, ties by licence and template. Every matching line and
+    whole text is a row. Windows are taken by falling Dice (ties: the longer,
+    then by licence, template and place) where they overlap no window taken
+    before and no matching line or whole text of at least that Dice. Null,
+    empty and wordless texts match nothing. Repeated rows give repeated matches;
+    other columns are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
-    known = _templates(spark, templates).collect()      # as many rows as templates are given
-    # bounds on the distinct bigrams; a segment has at least as many words as distinct bigrams
-    least = min((len(t["grams"]) for t in known), default=0) * threshold / (2 - threshold)
-    most = max((len(t["grams"]) for t in known), default=0) * (2 - threshold) / threshold
-    lines = F.split(F.col(text_col), "\n")
-    segments = F.concat(
-        F.transform(lines, lambda s, i: F.struct(s.alias("segment"), i.alias("start_line"))),
-        F.when(F.size(lines) > 1, F.array(F.struct(F.col(text_col).alias("segment"), F.lit(-1).alias("start_line"))))
-        .otherwise(F.array().cast("array<struct<segment:string,start_line:int>>")))
-    # a word takes two characters with its separator, so short segments leave before their words are cut
-    segments = F.filter(segments, lambda s: F.length(s["segment"]) >= F.lit(2 * least - 1))
-    segments = F.transform(segments, lambda s: F.struct(s["segment"], s["start_line"], words_of(s["segment"]).alias("words")))
-    segments = F.filter(segments, lambda s: F.size(s["words"]) >= F.lit(least))
-    segments = F.transform(segments, lambda s: F.struct(s["segment"], s["start_line"], bigrams_of(s["words"]).alias("grams")))
-    segments = F.filter(segments, lambda s: (F.size(s["grams"]) >= F.lit(least)) & (F.size(s["grams"]) <= F.lit(most)))
-    # explode_outer: explode would have the whole expression evaluated a second time in a filter below it
-    rows = (docs.select(id_col, F.explode_outer(segments).alias("s")).filter("s is not null")
-            .select(id_col, "s.segment", "s.start_line", "s.grams"))
-    scores = []
-    for t in known:
-        grams = F.array(*[F.lit(g) for g in t["grams"]])
-        size, own = F.size("grams"), len(t["grams"])
-        inside = ((size >= F.lit(own * threshold / (2 - threshold))) & (size <= F.lit(own * (2 - threshold) / threshold)))
-        dice = F.lit(2.0) * F.size(F.array_intersect(F.col("grams"), grams)) / (size + F.lit(own))
-        scores.append(F.when(inside, F.struct((-dice).alias("rank"), F.lit(t["licence"]).alias("licence"),
-                                              F.lit(t["template"]).alias("template"))))
-    empty = F.lit(None).cast("struct<rank:double,licence:string,template:string>")
-    best = F.array_min(F.filter(F.array(empty, *scores), lambda s: s.isNotNull()))
-    return (rows.withColumn("best", best).filter(-F.col("best.rank") >= F.lit(threshold))
-            .select(id_col, "segment", F.col("best.licence").alias("licence"),
-                    (-F.col("best.rank")).alias("dice"), "start_line"))
+    known = _templates(spark, templates)
+    base = docs.select(id_col, F.col(text_col).alias("__text"))
+    kind = "array<struct<licence:string,template:string,grams:array<string>,need:int,most:int,keys:array<string>>>"
+    table = F.array(*[F.struct(
+        F.lit(t["licence"]).alias("licence"), F.lit(t["template"]).alias("template"),
+        F.array(*map(F.lit, t["grams"])).alias("grams"), F.lit(_need(len(t["grams"]), threshold)).alias("need"),
+        F.lit(_most(len(t["grams"]), threshold)).alias("most"), F.array(*map(F.lit, keys)).alias("keys"))
+        for t, keys in zip(known, key_words(known, threshold))]).cast(kind)
+    # lower() also changes letters outside ASCII, so no text that has a key word is lost
+    base = _once(base, __lower=F.lower("__text"))
+    some = F.lit(False)
+    for key in sorted({k for keys in key_words(known, threshold) for k in keys}):
+        some = some | F.contains(F.col("__lower"), F.lit(key))
+    base = base.filter(some)
+    text, lines = F.col("__text"), F.split(F.col("__text"), "\n")
+    base = _once(base, __templates=F.filter(table, lambda t: F.exists(t["keys"], lambda k: F.contains(F.col("__lower"), k))),
+                 __words=words_of(text), __lines=lines).drop("__lower")
+    t = F.col("__templates")
+    keys = F.flatten(F.transform(t, lambda x: x["keys"]))
+    base = _once(base, __grams=F.zip_with(     # in order and with repeats; a single word is its own pair
+        F.when(F.size("__words") == 1, F.col("__words")).otherwise(F.slice("__words", F.lit(1), F.greatest(F.size("__words") - 1, F.lit(0)))),
+        F.slice("__words", F.lit(2), F.greatest(F.size("__words") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)),
+        __keys=F.array_distinct(keys), __most=F.array_max(F.transform(t, lambda x: x["most"])))
+    segments = F.transform("__lines", lambda s, i: F.struct(s.alias("segment"), i.alias("start_line")))
+    segments = F.filter(segments, lambda s: F.exists("__keys", lambda k: F.contains(F.lower(s["segment"]), k)))
+    segments = F.transform(segments, lambda s: F.struct(
+        s["segment"].alias("segment"), s["start_line"].alias("start_line"), bigrams_of(words_of(s["segment"])).alias("grams")))
+    whole = F.array_distinct("__grams")
+    segments = F.concat(segments, F.when((F.size("__lines") > 1) & (F.size(whole) <= F.col("__most")), F.array(
+        F.struct(text.alias("segment"), F.lit(-1).alias("start_line"), whole.alias("grams")))).otherwise(F.slice(segments, 1, 0)))
+    base = _once(base, __segments=segments, __windows=F.flatten(F.transform(t, lambda x: _windows(F.col("__grams"), x, threshold))))
+    # windows by rank; a window that overlaps one taken before goes
+    row = "array<struct<rank:double,longer:int,licence:string,template:string,first:int,last:int>>"
+    taken = F.aggregate(F.array_sort("__windows"), F.array().cast(row), lambda got, w: F.when(
+        F.exists(got, lambda g: (w["first"] <= g["last"] + 1) & (g["first"] <= w["last"] + 1)), got).otherwise(
+            F.concat(got, F.array(w))))
+    matched = F.filter(F.transform("__segments", lambda s: F.struct(
+        s["segment"].alias("segment"), s["start_line"].alias("start_line"), _best(s["grams"], t, threshold).alias("best"))),
+        lambda s: s["best"].isNotNull())
+    base = _once(base, __matched=matched, __taken=taken)
+    # words with what is before the next one, for the text and the lines of a window
+    raw = F.regexp_extract_all(text, F.lit("[A-Za-z0-9]+[^A-Za-z0-9]*"), F.lit(0))
+    start = F.regexp_extract(text, "^[^A-Za-z0-9]*", 0)
+    base = _once(base, __raw=F.when(F.size("__taken") > 0, raw).otherwise(F.array().cast("array<string>")),
+                 __start=F.when(F.size("__taken") > 0, start).otherwise(F.lit("")))
+
+    def breaks(s):
+        return F.length(s) - F.length(F.replace(s, F.lit("\n"), F.lit("")))
+
+    def window(w):
+        # bigrams first to last are the words first to last + 1; a text of one word has one bigram
+        part = F.array_join(F.slice("__raw", w["first"] + 1, w["last"] - w["first"] + 2), "")
+        return F.struct(F.regexp_replace(part, "[^A-Za-z0-9]+$", "").alias("segment"), w["rank"].alias("rank"),
+                        w["licence"].alias("licence"),
+                        breaks(F.concat(F.col("__start"), F.array_join(F.slice("__raw", F.lit(1), w["first"]), ""))).alias("line"))
+    spans = F.filter(F.transform("__taken", window), lambda w: ~F.exists("__matched", lambda m: (
+        (m["best"]["rank"] <= w["rank"]) & ((m["start_line"] < 0) | (m["start_line"] >= w["line"])
+                                            & (m["start_line"] <= w["line"] + breaks(w["segment"]))))))
+    out = F.concat(
+        F.transform("__matched", lambda m: F.struct(m["segment"].alias("segment"), m["best"]["licence"].alias("licence"),
+                                                    (-m["best"]["rank"]).alias("dice"), m["start_line"].alias("start_line"))),
+        F.transform(spans, lambda w: F.struct(w["segment"].alias("segment"), w["licence"].alias("licence"),
+                                              (-w["rank"]).alias("dice"), w["line"].alias("start_line"))))
+    return (base.select(id_col, F.explode_outer(out).alias("s")).filter("s is not null")
+            .select(id_col, "s.segment", "s.licence", "s.dice", "s.start_line"))

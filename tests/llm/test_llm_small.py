@@ -277,6 +277,51 @@ def test_licence_scan(spark, docs, empty):
     assert license_scan.scan_licences(docs).count() == 0 and license_scan.scan_licences(empty).count() == 0
 
 
+def test_licence_scan_finds_notices_inside_lines_and_over_line_ends(spark):
+    made = [(1, "This software is released under the MIT License, see the LICENSE file for details."),
+            (2, "First line\nCopyright 2019 Acme Inc. All rights reserved. More words follow here."),
+            (3, "Before it.\n# Licensed under the Apache\n# License, Version\n# 2.0 (the rest), as it says\nend"),
+            (4, "Nothing is licensed here, and no rights are named."),
+            (5, "All rights reserved.\nLater: the work is licensed under the BSD 3-Clause\nLicense. All\nRights Reserved, again."),
+            (6, "\n".join(["some words of a longer text"] * 300) + "\nis licensed under CC BY\n4.0 and so on")]
+    got = license_scan.scan_licences(spark.createDataFrame(made, "doc_id long, text string"))
+    assert rows(got.select("doc_id", "licence", "start_line", "segment")) == [
+        (1, "MIT", 0, "released under the MIT License"),
+        (2, "All-Rights-Reserved", 1, "All rights reserved"),
+        (3, "Apache-2.0", 1, "Licensed under the Apache\n# License, Version\n# 2.0"),
+        (5, "All-Rights-Reserved", 0, "All rights reserved."),
+        (5, "All-Rights-Reserved", 2, "All\nRights Reserved"),
+        (5, "BSD-3-Clause", 1, "licensed under the BSD 3-Clause\nLicense"),
+        (6, "CC-BY-4.0", 300, "licensed under CC BY\n4.0")]
+    assert {r[0] for r in got.select(F.round("dice", 6)).collect()} == {1.0}
+
+
+def test_licence_windows_are_all_found(spark):
+    """A text has a match exactly where some window of its words reaches the threshold."""
+    rng = random.Random(6)
+
+    def grams(w):
+        return set(zip(w, w[1:]))
+    known = [re.findall("[a-z0-9]+", lower(t)) for _, t in license_scan.TEMPLATES]
+    made = []
+    for i in range(60):
+        w = list(rng.choice([k for k in known if len(k) < 25]))
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = rng.choice(w + ["other"])
+        if rng.random() < 0.5:
+            w.insert(rng.randrange(len(w)), rng.choice(w))
+        made.append((i, "start of it " + rng.choice([" ", "\n"]).join(w) + " and its end"))
+    want = set()
+    for d, text in made:
+        w = text.split()
+        if any(2 * len(grams(w[a:b]) & grams(k)) >= license_scan.THRESHOLD * (len(grams(w[a:b])) + len(grams(k)))
+               for k in known for a in range(len(w)) for b in range(a + 2, len(w) + 1)
+               if b - a - 1 <= len(grams(k)) * (2 - license_scan.THRESHOLD) / license_scan.THRESHOLD):
+            want.add(d)
+    got = license_scan.scan_licences(spark.createDataFrame(made, "doc_id long, text string"))
+    assert {r["doc_id"] for r in got.collect()} == want and 10 < len(want) < 60
+
+
 def test_kd_sharding(docs, empty):
     got = kd_sharding.shard_documents(docs, shards=4).toPandas()
     assert len(got) == docs.count()
