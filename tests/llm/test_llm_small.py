@@ -4,6 +4,7 @@ import base64
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -296,6 +297,17 @@ def test_licence_scan_finds_notices_inside_lines_and_over_line_ends(spark):
     assert {r[0] for r in got.select(F.round("dice", 6)).collect()} == {1.0}
 
 
+def test_licence_headers_texts_and_tags(spark):
+    """Every template is found, wrapped and commented, with a holder's line before it."""
+    known = list(dict.fromkeys(license_scan.TEMPLATES))
+    assert {"LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "ISC", "BSD-2-Clause", "CC0-1.0", "Unlicense"} <= {k for k, _ in known}
+    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "BSD-2-Clause", "BSD-3-Clause"} <= {k for k, t in known if len(t) > 300}
+    made = [(i, "# Copyright 2020 Somebody\n# " + "\n# ".join(textwrap.wrap(t, 60)) + "\nimport this\n") for i, (_, t) in enumerate(known)]
+    got = license_scan.scan_licences(spark.createDataFrame(made, "doc_id long, text string")).toPandas()
+    for i, (name, t) in enumerate(known):
+        assert name in set(got[(got.doc_id == i) & (got.dice > 0.99)].licence), (name, t)
+
+
 def test_licence_windows_are_all_found(spark):
     """A text has a match exactly where some window of its words reaches the threshold."""
     rng = random.Random(6)
