@@ -17,17 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import prepare, text_slices
+from lectern.llm.common import prepare, shared_table, text_slices
 
 UNKNOWN = "und"
 BUCKETS = 2048
 CENTROIDS = 4              # per language
-SAMPLE = 1000              # texts per language that the centroids are fitted on, about, at most
+SAMPLE = 1000              # distinct texts per language that the centroids are fitted on, at most
 ROUNDS = 10
 MARGIN = 0.5               # rejected below this share of the low quantile of the sample's cosines
 LOW = 0.05                 # that quantile
@@ -189,12 +189,27 @@ def _floors(model, sample: DataFrame, text_col: str, lang_col: str) -> np.ndarra
     return floors
 
 
+def distinct_sample(rows: DataFrame, text_col: str, lang_col: str, sample: int) -> DataFrame:
+    """Of each language ``sample`` distinct texts, or all where it has fewer: those
+    of the smallest hash, each once."""
+    rows = rows.select(lang_col, text_col, F.xxhash64(F.lit(5), F.col(text_col)).alias("__h"))
+    keys = rows.select(lang_col, "__h").distinct()
+    counts = keys.groupBy(lang_col).agg(F.count(F.lit(1)).alias("__n"))     # a row per language
+    # about twice as many as are needed are put in order
+    place = F.pmod(F.xxhash64(F.lit(6), F.col("__h")), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    near = keys.join(F.broadcast(counts), lang_col).filter(place * F.col("__n") < 2 * sample + 50)
+    order = F.row_number().over(Window.partitionBy(lang_col).orderBy(place, "__h"))
+    drawn = near.withColumn("__r", order).filter(F.col("__r") <= sample).select(lang_col, "__h")
+    return (rows.join(F.broadcast(drawn), [lang_col, "__h"]).groupBy(lang_col, "__h")
+            .agg(F.min(text_col).alias(text_col)).select(text_col, lang_col))
+
+
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", centroids: int = CENTROIDS,
         sample: int = SAMPLE) -> Model | None:
     """Learn from the rows with a language and a text; None where there are none.
 
-    Document frequencies cover all rows; the centroids are fitted on about
-    ``sample`` rows per language, chosen by a hash of the text.
+    Document frequencies cover all rows; the centroids are fitted on ``sample``
+    distinct texts per language, or all where there are fewer.
     """
     prepare(training.sparkSession)
     rows = training.select(text_col, F.col(lang_col).cast("string").alias(lang_col)).filter(
@@ -204,9 +219,7 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", cen
     if not df.get(-1):
         return None
     idf = np.log((1.0 + df[-1]) / (1.0 + np.array([df[i] for i in range(BUCKETS)]))) + 1.0
-    counts = rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("__n"))     # a row per language
-    place = F.pmod(F.xxhash64(F.lit(5), F.col(text_col)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    some = rows.join(F.broadcast(counts), lang_col).filter(place * F.col("__n") < sample)
+    some = shared_table(distinct_sample(rows, text_col, lang_col, sample), "sample")
     fitted = (some.select(lang_col, text_col).mapInArrow(_vectors(text_col, lang_col, idf), "lang string, v array<float>")
               .groupBy("lang").applyInArrow(_fit_language(centroids), "lang string, v array<float>")
               .orderBy("lang").collect())

@@ -396,6 +396,17 @@ def test_language_id_rejects_other_languages_and_gibberish(spark):
     assert language_id.identify(d.select("doc_id", "text"), model).filter("rejected").count() == 0
 
 
+def test_language_sample_is_of_distinct_texts(spark):
+    """A language of one text with many copies is learned, from one row."""
+    made = [(f"the text of number {i} and more", "en") for i in range(40)] * 3
+    made += [(f"ein Text {i} mit Wörtern", "de") for i in range(5)] + [("un texte que tout le monde copie", "fr")] * 2000
+    d = spark.createDataFrame(made, "text string, lang string")
+    got = language_id.distinct_sample(d, "text", "lang", 20).collect()
+    assert len(set(got)) == len(got)
+    assert {n: sum(r["lang"] == n for r in got) for n in ("en", "de", "fr")} == {"en": 20, "de": 5, "fr": 1}
+    assert set(language_id.fit(d, sample=1).languages) == {"en", "de", "fr"}
+
+
 def test_held_out_rule(spark):
     d = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
     got = {r[0]: r[1] for r in d.select("doc_id", language_id.held_out(F.col("doc_id"))).collect()}
