@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import (decontaminate, exact_dedup, jaccard_join, kd_sharding, language_id, license_scan, pii, sentence_pieces,
-                         substring_dedup, url_filter)
-from lectern.llm.common import documents
+from lectern.llm import (decontaminate, exact_dedup, filter_audit, jaccard_join, kd_sharding, language_id, license_scan, pii,
+                         quality, sentence_pieces, source_divergence, substring_dedup, url_filter)
+from lectern.llm.common import documents, shared_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,6 +139,83 @@ def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = quality.held_out(F.col("doc_id"))
+    stats = shared_table(quality.statistics(documents(spark, sf_dir).select("doc_id", "text")), "statistics")
+    model = quality.fit(stats.filter(~held), _table(spark, sf_dir, "labels"))
+    return quality.score_documents(stats, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+with t as (select coalesce(source, '') as part, doc_id, coalesce(text, '') as x from documents),
+     w as (select *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') as ws, min(doc_id) over (partition by x) as least from t),
+     l as (select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels group by doc_id),
+     d as (select part, (len(ws) < 50)::int + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::int
+                  + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x))::int
+                  + 8 * regexp_matches(x, '[#$%&*|]')::int + 16 * coalesce(doc_id > least, false)::int as m,
+                  coalesce(good, false)::int as good, coalesce(toxic, false)::int as toxic
+           from w left join l using (doc_id)),
+     c as (select part, m, count(*) as n, sum(good) as good, sum(toxic) as toxic from d group by part, m),
+     state as (select part, s, sum(case when m & s = 0 then n else 0 end) as n,
+                      sum(case when m & s = 0 then good else 0 end) as good,
+                      sum(case when m & s = 0 then toxic else 0 end) as toxic
+               from c, range(32) as r(s) group by part, s),
+     f as (select i, chr(65 + i::int) as letter, (1 << i)::bigint as bit from range(5) as r(i)),
+     o as (select [a.i, b.i, c.i, d.i, e.i] as p, concat(a.letter, b.letter, c.letter, d.letter, e.letter) as filter_order
+           from f a, f b, f c, f d, f e where a.bit + b.bit + c.bit + d.bit + e.bit = 31
+             and len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+     step as (select filter_order, k as step, (1 << p[k])::bigint as bit,
+                     list_sum([1 << i for i in p[1:k]])::bigint as after from o, range(1, 6) as r(k)),
+     run as (select y.part, filter_order, step, bit, y.n as kept, x.n - y.n as removed, x.good - y.good as good_lost,
+                    x.toxic - y.toxic as toxic_lost
+             from step join state y on y.s = after join state x on x.s = after - bit and x.part = y.part),
+     shap as (select part, bit, sum(removed) as shapley from run group by part, bit)
+select r.part, r.filter_order, r.step::int as step, r.kept::bigint as kept, r.removed::bigint as removed,
+       (nothing.n - own.n - r.removed)::bigint as redundant, (rest.n - every.n)::bigint as unique_fails,
+       r.good_lost::bigint as good_lost, r.toxic_lost::bigint as toxic_lost, shapley::bigint as shapley
+from run r join shap using (part, bit)
+     join state nothing on nothing.part = r.part and nothing.s = 0 join state own on own.part = r.part and own.s = bit
+     join state rest on rest.part = r.part and rest.s = 31 - bit join state every on every.part = r.part and every.s = 31
+"""
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergences(documents(spark, sf_dir))
+
+
+OP13_SQL = rf"""
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                  regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as ws from documents),
+     g as (select distinct lang, source from d),
+     w as (select r, lang, source, unnest(ws) as term from d),
+     kept as (select lang, term, count(*)::hugeint as c from w group by lang, term having count(distinct r) >= 3),
+     cnt as (select lang, source, term, count(*)::hugeint as c from w semi join kept using (lang, term)
+             group by lang, source, term),
+     ln as (select lang, count(*)::hugeint as v, sum(c)::hugeint as n from kept group by lang),
+     gn as (select lang, source, coalesce(sum(c), 0)::hugeint as n from g left join cnt using (lang, source)
+            group by lang, source),
+     p as (select gn.lang, gn.source, term, coalesce(cnt.c, 0) as c,
+                  1 + (1000000000::hugeint * (coalesce(cnt.c, 0) + 1)) // (gn.n + ln.v) as p,
+                  1 + (1000000000::hugeint * (kept.c + 1)) // (ln.n + ln.v) as q
+           from gn join ln using (lang) join kept using (lang) left join cnt using (lang, source, term)),
+     sums as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+              from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+              group by a.lang, a.source, b.source),
+     found as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+               from g a join g b on a.lang = b.lang and a.source <> b.source
+                    left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+               union all
+               select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from p where c > 0 and p > q),
+     ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from found)
+select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 200
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -150,6 +227,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_sentencepiece_sampling": op10_sentencepiece_sampling,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES = {
@@ -157,4 +237,6 @@ ORACLES = {
     "op4_benchmark_decontamination": OP4_SQL,
     "op6_ngram_jaccard_join": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_source_divergence": OP13_SQL,
 }
