@@ -29,7 +29,7 @@ SHARES = {"upper": "letters", "letters": "points", "digits": "points", "signs":
 COUNTS = ("points", *SHARES)
 PRIOR = 30.0                # characters or words at the training rows' rate that every text is taken to have besides
 SHRINK = 0.1                # of each covariance towards the pooled variances
-_FLOOR = 1e-6               # least variance, in units of the pooled ones
+_FLOOR = 1e-4               # least pooled variance (shares of one in ten thousand), where a statistic never varies
 _ROWS = 256                 # texts counted at once
 
 _CALLS = [33]                                       # !
@@ -130,10 +130,10 @@ def discriminant(moments: dict[int, np.ndarray], rates: np.ndarray, shrink: floa
     n = np.array([moments[c][0] for c in classes])
     means = np.array([moments[c][1:d + 1] / moments[c][0] for c in classes])
     spread = [moments[c][d + 1:].reshape(d, d) / moments[c][0] - np.outer(m, m) for c, m in zip(classes, means)]
-    pooled = np.maximum(sum(k / n.sum() * np.diag(s) for k, s in zip(n, spread)), 1e-12)
+    pooled = np.maximum(sum(k / n.sum() * np.diag(s) for k, s in zip(n, spread)), _FLOOR)
     roots, logdets = [], []
     for s in spread:
-        factor = np.linalg.cholesky((1 - shrink) * s + np.diag((shrink + _FLOOR) * pooled))
+        factor = np.linalg.cholesky((1 - shrink) * s + np.diag(shrink * pooled))
         roots.append(np.linalg.inv(factor))
         logdets.append(np.log(np.diag(factor)).sum())
     return Model(rates, classes, np.log(n / n.sum()), means, np.array(roots), np.array(logdets))

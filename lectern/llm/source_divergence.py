@@ -162,14 +162,13 @@ def _shard(top: int):
         terms = counts["term"].combine_chunks()
         coded = terms.dictionary_encode()                    # sorted: codes rise with the terms
         term, n = coded.indices.to_numpy().astype(np.int64), counts["n"].to_numpy()
-        a = b = value = np.zeros(0, dtype=np.int64)
+        value = np.zeros((len(total), 0), dtype=np.int64)
         if len(term):
             value = pair_sums(source, term, n, total, vocabulary, len(coded.dictionary), own)
         elif head:                                           # a language without kept terms
             value = np.zeros((len(total), len(own)), dtype=np.int64)
-        if value.size:
-            a, b = np.repeat(np.arange(len(total)), len(own)), np.tile(own, len(total))
-            a, b, value = a[a != b], b[a != b], value.reshape(-1)[a != b]
+        a, b = np.repeat(np.arange(len(total)), value.shape[1]), np.tile(own[:value.shape[1]], len(total))
+        a, b, value = a[a != b], b[a != b], value.reshape(-1)[a != b]
         rows, best = top_terms(source, term, n, total, vocabulary, lang_total, own, top)
         return pa.table({
             "lang": pa.array([lang] * (len(a) + len(rows)), pa.string()),
