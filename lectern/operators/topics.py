@@ -5,10 +5,8 @@ fit (M5, M6, M8).
 Term weights follow the published class-based TF-IDF: the documents of a
 class are counted together, counts are L1-normalised per class and scaled
 by ``ln(1 + A / f_t)`` where A is the mean word count per class (truncated
-to an integer) and f_t the term's total count. n-grams are built per
-document with array functions and counted with two aggregations (tf per
-(class, term), document frequency per term) that both combine map-side, so
-a hot class or a frequent term never lands whole in one task.
+to an integer) and f_t the term's total count. Only n-grams that may be
+frequent are formed and counted (``termfreq``).
 """
 
 from __future__ import annotations
@@ -22,7 +20,7 @@ from pyspark.sql import types as T
 from lectern.config import (OUTLIER_TOPIC_ID, TOPIC_MIN_CLUSTER_SIZE, TOPIC_MIN_DF, TOPIC_NGRAM_RANGE,
                             TOPIC_PCA_COMPONENTS, TOPIC_TOP_TERMS)
 from lectern.functions.tokens import tokens
-from lectern.session import written
+from lectern.operators.termfreq import frequent_terms
 
 # Default English stop words of the term vectorizer (a short
 # list of function words; pass a longer one through ``stop_words``).
@@ -202,78 +200,18 @@ def term_tokens(text: Column, stop_words=STOP_WORDS, min_len: int = 2) -> Column
     return F.filter(tokens(text), lambda t: (F.length(t) >= min_len) & ~t.isin(stop))
 
 
-def _count_batches(class_cols, text_col, ngram_range, stop_words, min_len):
-    from collections import Counter
-
-    from lectern.functions.tokens import py_tokens
-
-    stop = frozenset(stop_words)
-    lo, hi = ngram_range
-
-    def run(batches):
-        for b in batches:
-            keys = {c: b.column(c).to_pylist() for c in class_cols}
-            texts = b.column(text_col).to_pylist()
-            out = {c: [] for c in class_cols}
-            terms, counts = [], []
-            for i, text in enumerate(texts):
-                toks = [t for t in py_tokens(text) if len(t) >= min_len and t not in stop]
-                grams = Counter()
-                for n in range(lo, hi + 1):
-                    if n == 1:
-                        grams.update(toks)
-                    else:
-                        grams.update(" ".join(toks[j:j + n]) for j in range(len(toks) - n + 1))
-                for term, cnt in grams.items():
-                    terms.append(term)
-                    counts.append(cnt)
-                    for c in class_cols:
-                        out[c].append(keys[c][i])
-            cols = {c: pa.array(out[c], type=b.schema.field(c).type) for c in class_cols}
-            cols["term"] = pa.array(terms, type=pa.string())
-            cols["count"] = pa.array(counts, type=pa.int64())
-            yield pa.RecordBatch.from_pydict(cols)
-    return run
-
-
-def doc_term_counts(docs: DataFrame, class_cols: list[str], text_col: str = "text",
-                    ngram_range=TOPIC_NGRAM_RANGE, stop_words=STOP_WORDS, min_len: int = 2) -> DataFrame:
-    """(class..., term, count): n-gram counts of each document, one Arrow pass.
-
-    Tokens follow the shared token rule (letter/digit runs of the lower-cased
-    text), so they equal ``term_tokens``; each document contributes one row
-    per distinct term, so the following shuffle is already per (class, term)."""
-    base = docs.select(*class_cols, text_col)
-    fields = [base.schema[c] for c in class_cols]
-    schema = T.StructType(fields + [T.StructField("term", T.StringType()),
-                                    T.StructField("count", T.LongType())])
-    return base.mapInArrow(_count_batches(class_cols, text_col, ngram_range, tuple(stop_words), min_len), schema)
-
-
 def class_term_weights(docs: DataFrame, class_cols: list[str], text_col: str = "text",
                        ngram_range=TOPIC_NGRAM_RANGE, min_df: int = TOPIC_MIN_DF,
                        df_unit: str = "articles", stop_words=STOP_WORDS,
                        top_n: int | None = TOPIC_TOP_TERMS, doc_col: str = "article_id") -> DataFrame:
     """(class_cols..., term_rank, term, weight) top ``top_n`` per class.
 
-    One pass over the text: each document's n-grams are counted in an Arrow
-    batch (one row per distinct term of a document); term frequency per class
-    and document frequency per term are both rolled up from those rows with
-    map-side combining. min_df counts
-    documents (``df_unit='articles'``) or classes (``'classes'``)."""
+    Terms are the n-grams that reach ``min_df``, which counts documents
+    (``df_unit='articles'``) or classes (``'classes'``); ``frequent_terms``
+    forms only those that may reach it."""
     if df_unit not in ("articles", "classes"):
         raise ValueError("df_unit must be 'articles' or 'classes'")
-    per_doc = doc_term_counts(docs, class_cols, text_col, ngram_range, stop_words)
-    tf = per_doc.groupBy(*class_cols, "term").agg(F.sum("count").alias("count"),
-                                                  F.count(F.lit(1)).alias("_docs"))
-    if df_unit == "articles":
-        dfreq = tf.groupBy("term").agg(F.sum("_docs").alias("_df"))
-    else:
-        dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    # read by four branches below: written once to the shared folder
-    tf = written(tf.join(dfreq.where(F.col("_df") >= min_df).select("term"), "term", "left_semi")
-                 .select(*class_cols, "term", "count"), "class_terms")
-    n_classes = docs.select(*class_cols).distinct().count()
+    tf, n_classes = frequent_terms(docs, class_cols, text_col, ngram_range, min_df, df_unit, stop_words)
     total = tf.agg(F.sum("count").alias("s")).first().s or 0
     avg_words = int(total / n_classes) if n_classes else 0
     class_total = tf.groupBy(*class_cols).agg(F.sum("count").alias("_ct"))

@@ -10,6 +10,7 @@ from lectern.operators import vectors as V
 from lectern.plans import corpus, star as ST
 from lectern.plans import oracle_sql as O
 from lectern.plans.catalog import _TONE_SQL, _TW_SQL, normalize, register
+from lectern.session import written
 from lectern.sources.tables import table
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in TP.STOP_WORDS) + "]"
@@ -96,7 +97,7 @@ USING (topic_id, period)""")
 def q_topics_over_time(spark, sf):
     d = corpus.serving_articles(spark, sf).select(
         F.col("id").alias("article_id"), "topic_id", "published_at", F.col("body").alias("text"))
-    return normalize(ST.topics_over_time(d))
+    return normalize(ST.topics_over_time(written(d, "dated_docs")))
 
 
 # ------------------------------------------------------------------ star views

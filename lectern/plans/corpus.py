@@ -53,16 +53,20 @@ def chunk_vectors(spark: SparkSession, sf_dir: str, encoder_factory=None) -> Dat
 
 
 def serving_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded rows with their topic. All columns are made before the join, so
+    that a reader who drops the body joins rows without it."""
     a = raw_articles(spark, sf_dir)
-    t = topic_of_article(spark, sf_dir)
-    return a.join(t, "article_id", "left").select(
+    rows = a.select(
         F.col("article_id").alias("id"),
         F.trim(F.col("url")).alias("url"),
         content_hash(F.col("text")).alias("content_hash"),
         F.col("title"), F.col("author"),
         parse_published_at(F.col("published_at")).alias("published_at"),
         F.col("text").alias("body"),
-        F.coalesce(F.col("topic_id"), F.lit(-1)).cast("int").alias("topic_id"),
-        F.when(F.col("topic_id") == -1, F.lit(0.0)).otherwise(F.lit(1.0)).alias("topic_prob"),
         F.col("tags"),
     )
+    t = topic_of_article(spark, sf_dir).withColumnRenamed("article_id", "id")
+    return rows.join(t, "id", "left").select(
+        "id", "url", "content_hash", "title", "author", "published_at", "body",
+        F.coalesce(F.col("topic_id"), F.lit(-1)).cast("int").alias("topic_id"),
+        F.when(F.col("topic_id") == -1, F.lit(0.0)).otherwise(F.lit(1.0)).alias("topic_prob"), "tags")

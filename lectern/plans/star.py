@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.config import (DEFAULT_ARTICLE_LIMIT, DEFAULT_TOPIC_LIMIT, MAX_ARTICLE_LIMIT, MAX_TOPIC_LIMIT,
-                            OUTLIER_TOPIC_ID, TONE_LABELS, TOPIC_MIN_DF)
+                            OUTLIER_TOPIC_ID, TONE_LABELS, TOPIC_MIN_DF, TOPIC_TOP_TERMS)
 from lectern.functions.ids import key_ids
 from lectern.operators import topics as TP
 from lectern.operators.tone import score_articles
@@ -47,8 +47,9 @@ def tone(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """(article_id, topic_id, text), written once: the terms are counted in two passes."""
     a = corpus.serving_articles(spark, sf)
-    return a.select(F.col("id").alias("article_id"), "topic_id", F.col("body").alias("text"))
+    return written(a.select(F.col("id").alias("article_id"), "topic_id", F.col("body").alias("text")), "topic_docs")
 
 
 def topic_terms(spark: SparkSession, sf: str, min_df: int = TERM_MIN_DF) -> DataFrame:
@@ -60,10 +61,12 @@ def topic_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return a.groupBy("topic_id").agg(F.count(F.lit(1)).alias("size"))
 
 
-def topics_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Topic rows as the listings read them: id, label, top_terms, size."""
+def topics_table(spark: SparkSession, sf: str, weights: DataFrame | None = None) -> DataFrame:
+    """Topic rows as the listings read them: id, label, top_terms, size. Term
+    weights that are known already need not be counted again."""
     sizes = topic_sizes(spark, sf)
-    terms = topic_terms(spark, sf)
+    terms = topic_terms(spark, sf) if weights is None else weights.where(F.col("term_rank") <= TOPIC_TOP_TERMS)
+    terms = written(terms, "topic_terms")        # a few rows a topic, read twice
     labels = TP.topic_labels(terms)
     tt = terms.groupBy("topic_id").agg(F.array_sort(F.collect_list(F.struct("term_rank", "term"))).alias("_t"))
     tt = tt.select("topic_id", F.transform("_t", lambda s: s["term"]).alias("top_terms"))
@@ -74,8 +77,9 @@ def topics_table(spark: SparkSession, sf: str) -> DataFrame:
 def full_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Topic rows with everything that the listings show: label, top terms,
     size, parent, the tone distribution and the dominant tone."""
-    topics = written(topics_table(spark, sf), "topics")
-    weights = TP.class_term_weights(topic_docs(spark, sf), ["topic_id"], min_df=TERM_MIN_DF, top_n=None)
+    weights = written(TP.class_term_weights(topic_docs(spark, sf), ["topic_id"], min_df=TERM_MIN_DF, top_n=None),
+                      "topic_weights")
+    topics = written(topics_table(spark, sf, weights), "topics")
     parents = TP.topic_parents(weights, topics.select(F.col("id").alias("topic_id"), "size"), PARENT_THRESHOLD)
     summary = topic_summary(corpus.serving_articles(spark, sf), tone(spark, sf), topics)
     return (topics.join(parents.select(F.col("topic_id").alias("id"), "parent_topic_id"), "id", "left")
