@@ -2,20 +2,15 @@
 
 A store is a dict of DataFrames: articles, tags, article_tags, topics,
 chunks. Each upsert is one full outer (or anti) join on the key plus
-``coalesce`` choices, so a load is a handful of shuffles over whole tables
-with no per-row statements and no dependence on batch order. New ids are
-assigned in key order after the current maximum without a single-partition
-window (``dense_ids``).
-
-Writing a store goes to a new version folder and then moves a small
-pointer file, so readers never see a half-written load.
+``coalesce`` choices, with no per-row statements and no dependence on batch
+order. New ids are assigned in key order after the current maximum without a
+single-partition window (``dense_ids``). How a store lies on disk, and how a
+load touches only some of it, is in ``buckets``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -83,21 +78,22 @@ def prepare_batch(raw: DataFrame) -> DataFrame:
     )
 
 
-def upsert_articles(articles: DataFrame, batch: DataFrame, load_ts: dt.datetime | None = None
-                    ) -> tuple[DataFrame, DataFrame]:
+def upsert_articles(articles: DataFrame, batch: DataFrame, load_ts: dt.datetime | None = None,
+                    next_id: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Key url. New urls get new ids; matched rows take the batch's hash,
     title, author, date and body and keep id, topic fields and created_at.
 
     batch is ``prepare_batch`` output; of rows with one url the largest
     source id wins (``repeated_urls`` reports them). Returns (articles,
     source_map) where source_map is (source_id, url, id) for every batch row.
+    ``next_id`` is the first new id where ``articles`` does not hold the largest one.
     """
     ts = F.lit(load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     b = latest_per_key(batch, ["url"], "source_id")
     fields = ("content_hash", "title", "author", "published_at", "body")
     # ids are given on the urls alone; bodies are joined last, on the url again
     fresh = batch.select("url").join(articles.select("url"), "url", "left_anti")
-    fresh = key_ids(fresh, "url", "id", start=_max_id(articles) + 1)
+    fresh = key_ids(fresh, "url", "id", start=next_id or _max_id(articles) + 1)
     t = articles.alias("t").join(b.alias("b"), "url", "left")
 
     def pick(c):
@@ -116,10 +112,10 @@ def upsert_articles(articles: DataFrame, batch: DataFrame, load_ts: dt.datetime
     return kept.unionByName(new), source_map
 
 
-def upsert_tags(tags: DataFrame, names: DataFrame) -> DataFrame:
+def upsert_tags(tags: DataFrame, names: DataFrame, next_id: int | None = None) -> DataFrame:
     """Insert-if-absent by name; new ids follow the current max in name order."""
     new = names.select("name").distinct().join(tags.select("name"), "name", "left_anti")
-    return tags.unionByName(key_ids(new, "name", "id", start=_max_id(tags) + 1).select("id", "name"))
+    return tags.unionByName(key_ids(new, "name", "id", start=next_id or _max_id(tags) + 1).select("id", "name"))
 
 
 def upsert_article_tags(links: DataFrame, batch: DataFrame, source_map: DataFrame,
@@ -203,7 +199,13 @@ def upsert_chunks(chunks: DataFrame, batch: DataFrame, source_map: DataFrame,
 
 
 def upsert_tone(tone: DataFrame, batch: DataFrame, source_map: DataFrame) -> DataFrame:
-    """Tone rows by article db id; the batch (keyed by source id) replaces."""
+    """Tone rows by article db id; the batch (keyed by source id) replaces. A score
+    outside [0, 1], or none, is an error."""
+    outside = F.lit(False)
+    for lb in TONE_LABELS:
+        outside = outside | F.col(lb).isNull() | F.isnan(lb) | ~F.col(lb).between(0, 1)
+    if batch.where(outside).limit(1).count():
+        raise ValueError("a tone score is missing or outside [0, 1]")
     b = batch.join(source_map.select("source_id", "id"), batch["article_id"] == source_map["source_id"])
     b = latest_per_key(b.select(F.col("id").alias("article_id"), "source_id", *TONE_LABELS), ["article_id"], "source_id")
     return tone.join(b.select("article_id"), "article_id", "left_anti").unionByName(b.select(*tone.columns))
@@ -261,42 +263,7 @@ def load_summary(batch: DataFrame, chunk_vectors: DataFrame | None, matched: Dat
     return wide.select(*[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names])
 
 
-# ------------------------------------------------------------------ persistence
-
-POINTER = "CURRENT"
-
-
-TABLES = ("articles", "tags", "article_tags", "topics", "chunks", "tone")
-
-
-def write_store(store: dict[str, DataFrame], root: str) -> str:
-    """Write every table under a new version folder, then swap the pointer."""
-    spark = next(iter(store.values())).sparkSession
-    root = root.rstrip("/")
-    if not path_exists(spark, f"{root}/{POINTER}"):
-        _put_text(spark, f"{root}/{POINTER}", json.dumps({"version": None}))
-    version = dt.datetime.now(dt.timezone.utc).strftime("v%Y%m%dT%H%M%S%f")
-    for name, df in store.items():
-        df.write.mode("overwrite").parquet(f"{root}/{version}/{name}")
-    _put_text(spark, f"{root}/{POINTER}", json.dumps({"version": version}))
-    return f"{root}/{version}"
-
-
-def read_store(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The store that the pointer names, empty where nothing was written yet.
-
-    The pointer is the first file of a store and is replaced in one step, so
-    tables without a pointer mean damage: that is an error, not an empty store."""
-    root = root.rstrip("/")
-    if not path_exists(spark, f"{root}/{POINTER}"):
-        fs, p = _fs(spark, root)
-        if fs.exists(p) and any(f.isDirectory() and f.getPath().getName().startswith("v") for f in fs.listStatus(p)):
-            raise RuntimeError(f"{root} has tables but no {POINTER} pointer")
-        return empty_store(spark)
-    version = json.loads(_get_text(spark, f"{root}/{POINTER}"))["version"]
-    if version is None:
-        return empty_store(spark)
-    return {n: spark.read.parquet(f"{root}/{version}/{n}") for n in TABLES}
+# ------------------------------------------------------------------ files
 
 
 def _fs(spark: SparkSession, path: str):
@@ -305,7 +272,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _put_text(spark: SparkSession, path: str, text: str) -> None:
+def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a file in one step: write beside it, then rename over it."""
     fs, p = _fs(spark, path)
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -319,7 +286,7 @@ def _put_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
 
 
-def _get_text(spark: SparkSession, path: str) -> str:
+def get_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)
     reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
@@ -337,7 +304,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def analyze_tables(spark: SparkSession, names: list[str]) -> None:
-    """Refresh statistics of catalog tables after a load."""
-    for n in names:
-        spark.sql(f"ANALYZE TABLE {n} COMPUTE STATISTICS")
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where there is no such folder."""
+    fs, p = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []

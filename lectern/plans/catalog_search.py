@@ -12,9 +12,9 @@ from lectern.operators import textindex as TI
 from lectern.operators.encode import encode_queries
 from lectern.plans import corpus, evaluation as EV
 from lectern.plans import oracle_sql as O
-from lectern.plans.catalog import _QUOTE, _search, normalize, register
+from lectern.plans.catalog import _QUOTE, _TONE_SQL, _TW_SQL, _search, normalize, register
 from lectern.plans.catalog_views import STOP_SQL
-from lectern.config import IVFFLAT_LISTS, IVFFLAT_PROBES
+from lectern.config import IVFFLAT_LISTS, IVFFLAT_PROBES, TONE_LABELS
 from lectern.session import ensure_checkpoint_dir, written
 from lectern.sources.tables import queries_table
 
@@ -95,7 +95,7 @@ def q_ivf_recall_few(spark, sf):
     return _ivf_recall(spark, sf, *IVF_FEW)
 
 
-@register("incremental_ingest", O.with_(
+_INGEST_SQL = O.with_(
     O.ART, O.TOPIC, O.chunks_cte(), O.encode_cte("cvec", "chunks", "article_id, idx", "chunk_text"), """
 nch AS (SELECT article_id, count(*) AS n FROM chunks GROUP BY article_id),
 pool AS (SELECT c.article_id, c.b, CAST(sum(CAST(c.w AS DOUBLE)) / any_value(n.n) AS FLOAT) AS v
@@ -109,15 +109,17 @@ pn AS (SELECT article_id, sqrt(sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE))) AS n
 dot AS (SELECT p.article_id, c.topic_id, sum(c.m * CAST(p.v AS DOUBLE)) AS d FROM pool p JOIN cent c USING (b) GROUP BY ALL),
 best AS (SELECT * FROM (SELECT article_id, topic_id, round(d / (pn.n * cnn.n), 6) AS cosine,
                                row_number() OVER (PARTITION BY article_id ORDER BY round(d / (pn.n * cnn.n), 6) DESC, topic_id) AS r
-                        FROM dot JOIN pn USING (article_id) JOIN cnn USING (topic_id)) WHERE r = 1)""") + f"""
-SELECT row_number() OVER (ORDER BY trim(a.url, {O.WS})) AS id, trim(a.url, {O.WS}) AS url, sha256(a.text) AS content_hash,
-       CAST(CASE WHEN b.cosine >= 0.1 THEN b.topic_id ELSE -1 END AS BIGINT) AS topic_id
-FROM art a LEFT JOIN best b USING (article_id)""")
-def q_incremental_ingest(spark, sf):
-    """E5: land the raw articles as shards, stream them into a store twice (the
-    second run finds nothing new), read it back. Topics come from centroids
-    saved beforehand."""
-    from lectern.operators.store import read_store
+                        FROM dot JOIN pn USING (article_id) JOIN cnn USING (topic_id)) WHERE r = 1),
+loaded AS (SELECT a.article_id, trim(a.url, """ + O.WS + """) AS url, sha256(a.text) AS content_hash, a.tags,
+                  CAST(CASE WHEN b.cosine >= 0.1 THEN b.topic_id ELSE -1 END AS BIGINT) AS topic_id
+           FROM art a LEFT JOIN best b USING (article_id))""")
+
+
+def _ingested(spark, sf):
+    """Land the raw articles as several shards and stream them, some shards a
+    micro-batch, into a store; then stream them all once more, which finds nothing
+    new. Topics come from centroids saved beforehand."""
+    from lectern.operators.buckets import read_store
     from lectern.operators.vectors import centroids, mean_pool
     from lectern.sources.files import write_raw_shards
     from lectern.sources.tables import topic_of_article
@@ -126,8 +128,36 @@ def q_incremental_ingest(spark, sf):
     saved = written(centroids(mean_pool(corpus.chunk_vectors(spark, sf)).join(labelled, "article_id"), "topic_id"),
                     "saved_centroids")
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
-    # one file: ids follow the order of urls within a micro-batch
-    write_raw_shards(corpus.raw_articles(spark, sf).coalesce(1), f"{base}/landing", rows_per_file=0)
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_raw_shards(corpus.raw_articles(spark, sf).repartition(shards, "url"), f"{base}/landing")
     for run in ("first", "again"):
-        start_ingest(spark, f"{base}/landing", f"{base}/store", f"{base}/checkpoint-{run}", saved).awaitTermination()
-    return normalize(read_store(spark, f"{base}/store")["articles"].select("id", "url", "content_hash", "topic_id"))
+        start_ingest(spark, f"{base}/landing", f"{base}/store", f"{base}/checkpoint-{run}", saved,
+                     lexicon=corpus.TONE_WORDS, max_files=max(1, shards // 2)).awaitTermination()
+    return read_store(spark, f"{base}/store")
+
+
+@register("incremental_ingest", _INGEST_SQL + """
+SELECT url, content_hash, topic_id, count(*) OVER () AS n_ids, count(*) OVER () AS max_id FROM loaded""")
+def q_incremental_ingest(spark, sf):
+    """E5: the store after a stream of micro-batches and a replay. Ids follow the
+    order of arrival; they are dense and each is given once."""
+    a = _ingested(spark, sf)["articles"]
+    ids = a.agg(F.countDistinct("id").alias("n_ids"), F.max("id").alias("max_id"))
+    return normalize(a.select("url", "content_hash", "topic_id").join(F.broadcast(ids)))
+
+
+@register("ingest_views", _INGEST_SQL + "," + _TW_SQL + "," + _TONE_SQL + """
+SELECT 'tag' AS view, name AS key, count(*) AS n_articles, """ + ", ".join(f"CAST(NULL AS DOUBLE) AS mean_{lb}" for lb in TONE_LABELS) + """
+FROM (SELECT DISTINCT url, unnest(tags) AS name FROM loaded) GROUP BY name
+UNION ALL
+SELECT 'topic', CAST(topic_id AS VARCHAR), count(*), """ + ", ".join(f"round(avg(round(t.{lb}, 6)), 6)" for lb in TONE_LABELS) + """
+FROM loaded JOIN tone t USING (article_id) GROUP BY topic_id""")
+def q_ingest_views(spark, sf):
+    """E5: the views that each micro-batch changes by its deltas, against a recomputation."""
+    from lectern.operators.buckets import tag_frequency, topic_tone_means
+    store = _ingested(spark, sf)
+    none = [F.lit(None).cast("double").alias(f"mean_{lb}") for lb in TONE_LABELS]
+    tags = tag_frequency(store).select(F.lit("tag").alias("view"), F.col("name").alias("key"), "n_articles", *none)
+    topics = topic_tone_means(store).select(F.lit("topic").alias("view"), F.col("topic_id").cast("string").alias("key"),
+                                            "n_articles", *[f"mean_{lb}" for lb in TONE_LABELS])
+    return tags.unionByName(topics)

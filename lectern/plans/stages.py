@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lectern.config import EMBEDDING_DIMENSION
+from lectern.operators import buckets as B
 from lectern.operators import store as S
 from lectern.operators import topics as TP
 from lectern.operators.chunk import chunk_articles
@@ -64,17 +65,14 @@ def run_tone(spark, raw_dir, root, classifier_factory=None, **_):
                          _p(root, "tone/scores"))
 
 
-def run_load(spark, raw_dir, root, **_):
+def run_load(spark, raw_dir, root, dim: int = EMBEDDING_DIMENSION, **_):
     raw = IO.read_articles(spark, raw_dir).drop("filename")
     vec = spark.read.parquet(_p(root, "embeddings/chunks"))
     vec = vec.select("article_id", F.col("idx").alias("position"), F.col("chunk_text").alias("text"), "embedding")
     asg = IO.read_topic_assignments(spark, _p(root, "topics/assignments"))
-    store_root = _p(root, "store")
     scores = _p(root, "tone/scores")
     tone = spark.read.parquet(scores) if S.path_exists(spark, scores) else None
-    new, summary = S.load(S.read_store(spark, store_root), raw, chunk_vectors=vec, assignments=asg, tone=tone)
-    S.write_store(new, store_root)
-    return summary
+    return B.merge_load(spark, _p(root, "store"), raw, chunk_vectors=vec, assignments=asg, tone=tone, expected_dimension=dim)
 
 
 RUNNERS = {"chunk": run_chunk, "embed": run_embed, "topic": run_topic, "tone": run_tone, "load": run_load}

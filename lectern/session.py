@@ -67,17 +67,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
     """Write ``df`` once, as Parquet in the shared folder, and read it back.
 
     Cuts the lineage, keeps columns prunable, and gives every reader the same
-    rows, which a second evaluation of the plan need not."""
+    rows, which a second evaluation of the plan need not. ``scratch`` collects
+    the folders of tables that the caller deletes with ``discard``."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders or files that no plan reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -51,7 +51,7 @@ def test_staged_pipeline(spark, tmp_path):
     assert summary.articles == 120 and summary.chunks > 120
     cleaned = spark.read.parquet(root + "/cleaned")
     assert cleaned.select("shard").distinct().count() == len(IO.parquet_files(spark, str(raw)))
-    from lectern.operators.store import read_store
+    from lectern.operators.buckets import read_store
     st = read_store(spark, root + "/store")
     assert st["articles"].count() == 120
     assert st["articles"].where(F.col("topic_id").isNotNull()).count() == 120
@@ -84,15 +84,3 @@ def test_evaluation_summary(spark):
     from lectern.plans.evaluation import summary
     per_query = spark.createDataFrame([(1, 1, 0.5), (2, 0, 0.0)], "query_id long, hit_at_k long, reciprocal_rank double")
     assert tuple(summary(per_query).first()) == (2, 0.5, 0.25)
-
-
-def test_analyze_tables(spark):
-    from lectern.operators.store import analyze_tables
-    spark.sql("DROP TABLE IF EXISTS analyzed_once")
-    spark.range(7).write.saveAsTable("analyzed_once")
-    try:
-        analyze_tables(spark, ["analyzed_once"])
-        rows = spark.sql("DESCRIBE TABLE EXTENDED analyzed_once").where("col_name = 'Statistics'").collect()
-        assert "7 rows" in rows[0].data_type
-    finally:
-        spark.sql("DROP TABLE analyzed_once")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.ids import dense_ids
 from lectern.functions.models import MAX_MODELS, model_key, worker_model
+from lectern.operators import buckets as B
 from lectern.operators import store as S
 from lectern.operators.encode import HashedBagOfWords, encode_column
 from lectern.operators.quality import star_violations
@@ -64,15 +65,15 @@ def test_repeated_urls_keep_the_keys(spark):
 
 def test_pointer_is_replaced_and_its_loss_is_an_error(spark, tmp_path):
     root = str(tmp_path / "store")
-    assert S.read_store(spark, root)["articles"].count() == 0
+    assert B.read_store(spark, root)["articles"].count() == 0
     one, _ = S.load(S.empty_store(spark), spark.createDataFrame(RAW[:1], RAW_SCHEMA))
-    S.write_store(one, root)
-    two, _ = S.load(S.read_store(spark, root), spark.createDataFrame(RAW[1:2], RAW_SCHEMA))
-    S.write_store(two, root)
-    assert S.read_store(spark, root)["articles"].count() == 2
-    os.remove(f"{root}/{S.POINTER}")
+    B.write_store(one, root)
+    two, _ = S.load(B.read_store(spark, root), spark.createDataFrame(RAW[1:2], RAW_SCHEMA))
+    B.write_store(two, root)
+    assert B.read_store(spark, root)["articles"].count() == 2
+    os.remove(f"{root}/{B.POINTER}")
     with pytest.raises(RuntimeError):
-        S.read_store(spark, root)
+        B.read_store(spark, root)
 
 
 def _land(spark, path, rows):
@@ -89,27 +90,27 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     start_ingest(spark, f"{base}/landing", f"{base}/store", f"{base}/c1", cents).awaitTermination()
     _land(spark, f"{base}/landing", rows[8:])
     start_ingest(spark, f"{base}/landing", f"{base}/store", f"{base}/c1", cents).awaitTermination()
-    streamed = S.read_store(spark, f"{base}/store")
+    streamed = B.read_store(spark, f"{base}/store")
 
     def view(store, name, *cols):
         return sorted(map(repr, store[name].select(*cols).collect()))
     process_batch(spark, raw, f"{base}/batch", cents)
-    batch = S.read_store(spark, f"{base}/batch")
+    batch = B.read_store(spark, f"{base}/batch")
     for name, cols in (("articles", ("id", "url", "content_hash", "topic_id", "topic_prob")),
                        ("chunks", ("article_id", "position", "text")), ("tags", ("id", "name")),
                        ("tone", ("article_id", "academic", "critical"))):
         assert view(streamed, name, *cols) == view(batch, name, *cols), name
     assert {r.topic_id for r in streamed["articles"].collect()} == {0, 1}
     assert streamed["articles"].agg(F.min("created_at")).first()[0].year > 2020
-    before = {n: view(streamed, n, *streamed[n].columns) for n in S.TABLES}
+    before = {n: view(streamed, n, *streamed[n].columns) for n in B.KEYS}
     versions = set(os.listdir(f"{base}/store"))
     assert process_batch(spark, raw, f"{base}/store", cents) is None       # a replay
-    after = S.read_store(spark, f"{base}/store")
-    assert before == {n: view(after, n, *after[n].columns) for n in S.TABLES}
+    after = B.read_store(spark, f"{base}/store")
+    assert before == {n: view(after, n, *after[n].columns) for n in B.KEYS}
     assert set(os.listdir(f"{base}/store")) == versions
     changed = spark.createDataFrame([(3, "u/003", "t3", None, "2021-05-06", "another text", ["x"])], RAW_SCHEMA)
     process_batch(spark, changed, f"{base}/store", cents)
-    assert S.read_store(spark, f"{base}/store")["articles"].where("url = 'u/003'").first().body == "another text"
+    assert B.read_store(spark, f"{base}/store")["articles"].where("url = 'u/003'").first().body == "another text"
 
 
 def test_models_are_built_once_per_worker(spark, tmp_path):

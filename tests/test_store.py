@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from lectern.operators import buckets as B
 from lectern.operators import store as S
 
 
@@ -48,6 +49,6 @@ def test_upsert_keeps_vanished_chunks(spark):
 
 def test_write_and_read_store(spark, tmp_path):
     st, _ = S.load(S.empty_store(spark), _raw(spark, [(1, "u", "t", "a", "", "x", [])]))
-    S.write_store(st, str(tmp_path / "store"))
-    back = S.read_store(spark, str(tmp_path / "store"))
+    B.write_store(st, str(tmp_path / "store"))
+    back = B.read_store(spark, str(tmp_path / "store"))
     assert back["articles"].select(F.col("url")).collect()[0].url == "u"
