@@ -12,7 +12,9 @@ at least ``similar`` (in hundredths). The join never compares all pairs:
    own alone has no similar one and leaves. Blocks with the same members are one.
 3. Pivots. In a few rounds each block links its members to one pivot; members
    that already are in one component need no comparison among themselves, which
-   settles large groups of copies with a linear number of pairs.
+   settles large groups of copies with a linear number of pairs. A pair whose
+   smallest hashes hardly agree is not compared here; if it links after all, the
+   trees find it.
 4. Signature trees. In the blocks left, nodes hold the OR and the AND of their
    members' token bitmaps and the range of set sizes. A dual traversal drops a
    pair of nodes when the largest overlap that these allow is too small. Large
@@ -25,6 +27,7 @@ Classes and shingles are 64-bit hashes; nothing is capped or sampled.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from hashlib import blake2b
 
@@ -34,8 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import (counted, forget, in_sieve, load_sieve, prepare, shared_table, sieve_rows, sieve_slot,
-                                text_slices)
+from lectern.llm.common import (counted, forget, in_sieve, lean, load_sieve, prepare, shared_path, shared_table, sieve_rows,
+                                sieve_slot, text_slices)
 from lectern.llm.components import components
 
 WORDS = 5
@@ -45,6 +48,7 @@ CELL = 1024                # members of a block that one side of a cell holds
 _SKETCH_BITS = 20          # counters of the frequency sketch: fixed, 8 MB
 _BLOCKS = 64               # the sketch travels in so many parts
 _SLICE = 1 << 20             # bytes of text at once
+_SMALLEST = 32              # hashes of a set by which a pivot's pairs are chosen
 _LOW = np.uint64(int(0.3 * 2**64))     # hashes below are counted exactly
 
 
@@ -115,7 +119,7 @@ def _add_sketches(batches):
 def _levels(profile: DataFrame) -> np.ndarray:
     """0 for a counter that chance explains, else the logarithm of its count."""
     rows = (profile.filter("part is not null").select("part", "counts")
-            .repartition(_BLOCKS, "part").mapInArrow(_add_sketches, "part int, counts binary").collect())
+            .repartition(_BLOCKS, "part").mapInArrow(lean(_add_sketches), "part int, counts binary").collect())
     counts = np.zeros((_BLOCKS, (1 << _SKETCH_BITS) // _BLOCKS), dtype=np.int64)
     for part, raw in rows:
         counts[part] += np.frombuffer(raw, dtype=np.int64)
@@ -198,7 +202,7 @@ def _shared_postings(shared):
 
 
 def _full_sets(text_col: str, words: int, copies, wanted):
-    """(class, whole set) of the classes that the sieve holds, once a task."""
+    """(class, whole set, ascending) of the classes that the sieve holds, once a task."""
     def run(batches):
         seen = set()
         for _, _, sets in _sets(batches, text_col, words, copies):
@@ -222,7 +226,7 @@ def _full_sets(text_col: str, words: int, copies, wanted):
 
 def bitmap_bits(n: int) -> int:
     """Bits of the token bitmap of a set of n shingles, a power of two."""
-    return max(64, 1 << (8 * n - 1).bit_length())
+    return max(64, 1 << (4 * n - 1).bit_length())
 
 
 def _bitmaps(batches):
@@ -346,6 +350,27 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 
 # ---------------------------------------------------------------- the join
 
+def _by_class(sets: DataFrame, paths: list[str]) -> tuple[DataFrame, str]:
+    """``sets`` written in buckets of the class, so that no join on it shuffles
+    them again, and the name of the table."""
+    spark = sets.sparkSession
+    path, name = shared_path(spark, "sets"), f"lectern_sets_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets.repartition(n, "c").write.bucketBy(n, "c").option("path", path).saveAsTable(name)
+    paths.append(path)
+    return spark.table(name), name
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that share at least half of their smallest hashes; of sets that are
+    similar enough, nearly all."""
+    few = F.slice("s", 1, _SMALLEST)
+    a = sets.select(F.col("c").alias("a"), few.alias("ka"))
+    b = sets.select(F.col("c").alias("b"), few.alias("kb"))
+    shared = F.size(F.array_intersect("ka", "kb"))
+    return pairs.join(b, "b").join(a, "a").filter(2 * shared >= F.least(F.size("ka"), F.size("kb"))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs whose sets are similar enough. The side with the pivots comes
     last, where its rows are wide and a frequent pivot is split."""
@@ -417,21 +442,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     scratch: list[str] = []
     source = docs.select(id_col, text_col)
     id_type = dict(docs.dtypes)[id_col]
-    profile = shared_table(source.mapInArrow(_profile(id_col, text_col, words), _PROFILE.format(id_type=id_type)), "profile")
+    profile = shared_table(source.mapInArrow(lean(_profile(id_col, text_col, words)), _PROFILE.format(id_type=id_type)), "profile")
     rows = profile.filter("n is not null").select("__id", "n", "c")
     levels = spark.sparkContext.broadcast(_levels(profile))
     copies = _copies(rows)
     texts = docs.select(text_col, F.xxhash64(id_col).alias("__key"))
 
     several = load_sieve(sieve_rows(
-        texts.mapInArrow(_low_shingles(text_col, words, copies), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        texts.mapInArrow(lean(_low_shingles(text_col, words, copies)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
         .filter("n > 1").select(sieve_slot(F.col("h")).alias("s")), "s"))
-    firsts = shared_table(texts.mapInArrow(_first_shingles(text_col, words, similar, copies, several, levels),
+    firsts = shared_table(texts.mapInArrow(lean(_first_shingles(text_col, words, similar, copies, several, levels)),
                                            "c long, n long, hs array<long>, alone long"), "firsts", scratch)
     more = (firsts.select(F.explode("hs").alias("h")).groupBy("h").count().filter("count > 1")
             .select(sieve_slot(F.col("h")).alias("s")))
     shared = load_sieve(sieve_rows(more, "s"))
-    postings = shared_table(firsts.mapInArrow(_shared_postings(shared), "h long, c long, n long, alone long")
+    postings = shared_table(firsts.mapInArrow(lean(_shared_postings(shared)), "h long, c long, n long, alone long")
                             .dropDuplicates(["h", "c"]), "postings", scratch)
     # blocks of the same members are one block: count, range and sums of two hashes tell them apart
     blocks = (postings.groupBy("h").agg(
@@ -447,8 +472,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     postings = shared_table(postings.join(kept, ["h", "band"], "left_semi").drop("band"), "kept", scratch)
 
     wanted = load_sieve(sieve_rows(postings.select(sieve_slot(F.col("c")).alias("s")).distinct(), "s"))
-    sets = shared_table(texts.mapInArrow(_full_sets(text_col, words, copies, wanted), "c long, s array<long>")
-                        .dropDuplicates(["c"]), "sets", scratch)
+    sets, sets_name = _by_class(texts.mapInArrow(lean(_full_sets(text_col, words, copies, wanted)), "c long, s array<long>")
+                                .dropDuplicates(["c"]), scratch)
+    for held in (levels, copies, several, shared, wanted):
+        held.destroy()
 
     links: DataFrame | None = None
     for turn in range(PIVOT_ROUNDS):
@@ -460,7 +487,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pairs = (open_rows.filter(F.col("comp") != F.col("pcomp"))
                  .filter(100 * F.least("n", "pn") >= similar * F.greatest("n", "pn"))
                  .select(F.col("pc").alias("a"), F.col("c").alias("b")).distinct())
-        found = shared_table(_verified(pairs, sets, similar), "links", scratch)
+        near = shared_table(_near(pairs, sets), "near", scratch)
+        found = shared_table(_verified(near, sets, similar), "links", scratch)
         links = found if links is None else links.unionByName(found)
         postings = open_rows.select("h", "c", "n", "alone")
 
@@ -474,12 +502,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                     F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "comp", "n", "c"))
     own = (open_rows.join(left, "h").groupBy("c").agg(F.collect_set("h").alias("blocks"))
-           .join(sets.mapInArrow(_bitmaps, "c long, bitmap binary"), "c"))
+           .join(sets.mapInArrow(lean(_bitmaps), "c long, bitmap binary"), "c"))
     cells = rest.join(shared_table(own, "members", scratch), "c").select("h", "i", "j", "side", "comp", "n", "c", "bitmap", "blocks")
     pairs = shared_table(cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-                         .mapInArrow(_tree_pairs(similar), "a long, b long"), "pairs", scratch)
+                         .mapInArrow(lean(_tree_pairs(similar)), "a long, b long"), "pairs", scratch)
     found = shared_table(_verified(pairs, sets, similar), "tree_links", scratch)
     labels = components(found if links is None else links.unionByName(found))
+    spark.sql(f"DROP TABLE {sets_name}")
     forget(spark, scratch)
 
     member = (rows.join(labels.select(F.col("node").alias("c"), "label"), "c", "left")
