@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import prepare, shared_table, text_slices
+from lectern.llm.common import lean, prepare, shared_table, text_slices
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20      # benchmark text of one pass
@@ -204,10 +204,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     blocks = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
     source = docs.select(id_col, F.xxhash64(id_col, text_col).alias("__key"), text_col)
     schema = _OUT.format(id=id_col, id_type=dict(docs.dtypes)[id_col])
-    found = source.mapInArrow(_pass(blocks[:1], id_col, text_col, False), schema)
+    found = source.mapInArrow(lean(_pass(blocks[:1], id_col, text_col, False)), schema)
     if len(blocks) > 1:
         # the hits of the other blocks; rows equal in id and text have equal hits
-        more = [shared_table(source.mapInArrow(_pass([b], id_col, text_col, True), schema)
+        more = [shared_table(source.mapInArrow(lean(_pass([b], id_col, text_col, True)), schema)
                              .select("__key", "matches").dropDuplicates(["__key"]), "hits") for b in blocks[1:]]
         union = more[0]
         for m in more[1:]:

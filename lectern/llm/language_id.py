@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import prepare, shared_table, text_slices
+from lectern.llm.common import lean, prepare, shared_table, text_slices
 
 UNKNOWN = "und"
 BUCKETS = 2048
@@ -173,7 +173,7 @@ def _floors(model, sample: DataFrame, text_col: str, lang_col: str) -> np.ndarra
     """Floors of each centroid by size class. Where a language has few texts of a
     class, the heads of longer ones count too; where these are few, the floor of
     the class below holds, which is lower."""
-    seen = sample.mapInArrow(_cosines(sample.sparkSession.sparkContext.broadcast(model), text_col, lang_col),
+    seen = sample.mapInArrow(lean(_cosines(sample.sparkSession.sparkContext.broadcast(model), text_col, lang_col)),
                              "lang string, size int, whole boolean, cosine double")
     whole = F.when(F.col("whole"), F.col("cosine"))
     low = {(r["lang"], r["size"]): r["whole"] if r["n"] >= LEAST else r["any"] if r["m"] >= LEAST else None
@@ -214,13 +214,13 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", cen
     prepare(training.sparkSession)
     rows = training.select(text_col, F.col(lang_col).cast("string").alias(lang_col)).filter(
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    df = dict(rows.select(text_col).mapInArrow(_document_frequency(text_col), "slot long, n long")
+    df = dict(rows.select(text_col).mapInArrow(lean(_document_frequency(text_col)), "slot long, n long")
               .groupBy("slot").agg(F.sum("n")).collect())
     if not df.get(-1):
         return None
     idf = np.log((1.0 + df[-1]) / (1.0 + np.array([df[i] for i in range(BUCKETS)]))) + 1.0
     some = shared_table(distinct_sample(rows, text_col, lang_col, sample), "sample")
-    fitted = (some.select(lang_col, text_col).mapInArrow(_vectors(text_col, lang_col, idf), "lang string, v array<float>")
+    fitted = (some.select(lang_col, text_col).mapInArrow(lean(_vectors(text_col, lang_col, idf)), "lang string, v array<float>")
               .groupBy("lang").applyInArrow(_fit_language(centroids), "lang string, v array<float>")
               .orderBy("lang").collect())
     if not fitted:
@@ -270,7 +270,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                 .withColumn("rejected", F.lit(True)))
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    return docs.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), text_col), schema)
+    return docs.mapInArrow(lean(_predict(docs.sparkSession.sparkContext.broadcast(model), text_col)), schema)
 
 
 def held_out(id_col: Column) -> Column:

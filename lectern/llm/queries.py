@@ -131,8 +131,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sentence_pieces.encode(documents(spark, sf_dir).select("doc_id", "text"))
-    return sentence_pieces.decode(rows).select(
+    return sentence_pieces.encode_and_decode(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
         F.xxhash64("pieces").alias("pieces_hash"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

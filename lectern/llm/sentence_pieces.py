@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import wordhash as W
-from lectern.llm.common import prepare, text_slices
+from lectern.llm.common import lean, prepare, text_slices
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 TEMPERATURE = 1.0          # weights are raised to 1 / TEMPERATURE
 _BYTE_WEIGHT = -14.0       # log weight of a byte that stands for itself
 _LONG = 48                 # bytes up to which lattices are built together
-_SLICE = 1 << 18           # bytes of text encoded at once: lattices take some hundred times their unique segments
+_SLICE = 1 << 17           # bytes of text encoded at once: lattices take some hundred times their unique segments
 _PIECES = 1 << 17          # pieces decoded at once
 _FILTER_BITS = 18
 _FILTER = np.uint64((1 << _FILTER_BITS) - 1)
@@ -253,7 +253,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     vocab = spark.sparkContext.broadcast(Vocabulary.load(model_file, temperature))    # as large as the vocabulary
     rows = docs.withColumn("__seed", F.xxhash64(F.lit(seed), F.col(id_col)))
     schema = T.StructType([*docs.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(_encode(vocab, text_col), schema)
+    return rows.mapInArrow(lean(_encode(vocab, text_col)), schema)
 
 
 def _decode(spelled_bc, pieces_col: str, out_col: str):
@@ -284,14 +284,36 @@ def _decode(spelled_bc, pieces_col: str, out_col: str):
     return run
 
 
+def _spelled(spark, model_file: str):
+    """The bytes of all pieces, one after the other, and where each begins."""
+    spelled = Vocabulary.load(model_file).spelled
+    texts = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
+    return spark.sparkContext.broadcast(
+        (np.frombuffer(b"".join(texts), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])))
+
+
 def decode(rows: DataFrame, pieces_col: str = "pieces", out_col: str = "decoded",
            model_file: str = MODEL_FILE) -> DataFrame:
     """``rows`` with the text that the pieces spell; null pieces give null."""
     spark = rows.sparkSession
     prepare(spark)
     rows = rows.drop(out_col)
-    spelled = Vocabulary.load(model_file).spelled
-    texts = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
-    flat = (np.frombuffer(b"".join(texts), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
-    return rows.mapInArrow(_decode(spark.sparkContext.broadcast(flat), pieces_col, out_col),
+    return rows.mapInArrow(lean(_decode(_spelled(spark, model_file), pieces_col, out_col)),
                            T.StructType([*rows.schema.fields, T.StructField(out_col, T.StringType())]))
+
+
+def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str = MODEL_FILE,
+                      temperature: float = TEMPERATURE, seed: int = 0) -> DataFrame:
+    """``docs`` with the columns pieces and decoded, as ``decode(encode(docs))``, but in
+    one pass: a task keeps one Python worker, not two."""
+    spark = docs.sparkSession
+    prepare(spark)
+    docs = docs.drop("pieces", "decoded", "__seed")
+    forth = _encode(spark.sparkContext.broadcast(Vocabulary.load(model_file, temperature)), text_col)
+    back = _decode(_spelled(spark, model_file), "pieces", "decoded")
+
+    def run(batches):
+        yield from back(forth(batches))
+    schema = T.StructType([*docs.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.StringType())])
+    return docs.withColumn("__seed", F.xxhash64(F.lit(seed), F.col(id_col))).mapInArrow(lean(run), schema)
