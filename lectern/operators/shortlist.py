@@ -188,12 +188,18 @@ def build_lists(corpus: DataFrame, n_lists: int, seed: int = 42, vec_col: str =
     return centroids, assigned.select(*corpus.columns, "list_id")
 
 
-def write_lists(corpus: DataFrame, n_lists: int, path: str | None = None, **options) -> tuple[DataFrame, str]:
+LIST_FILE_ROWS = 1 << 17
+
+
+def write_lists(corpus: DataFrame, n_lists: int, path: str | None = None, vec_col: str = "embedding", **options) -> tuple[DataFrame, str]:
     """Build the lists and write them, one folder per list: (centroids, folder)."""
-    centroids, assigned = build_lists(corpus, n_lists, **options)
+    centroids, assigned = build_lists(corpus, n_lists, vec_col=vec_col, **options)
     spark = corpus.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/lists-{uuid.uuid4().hex}"
-    assigned.repartition("list_id").write.partitionBy("list_id").parquet(path)
+    sizes = assigned.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(LIST_FILE_ROWS)).cast("int").alias("_files"))
+    # a large list is written by several tasks
+    (assigned.join(sizes, "list_id").withColumn("_file", F.pmod(F.xxhash64(vec_col), F.col("_files")))
+     .repartition("list_id", "_file").drop("_files", "_file").write.partitionBy("list_id").parquet(path))
     return centroids, path
 
 
@@ -215,13 +221,45 @@ def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame,
     # where the lists are folders, those that no query probes are not read
     asked = [r["list_id"] for r in probe.select("list_id").distinct().collect()]     # as many as lists, at most
     indexed = indexed.where(F.col("list_id").isin(asked))
-    # candidates: the chunks of each probed list, paired with the query that probes it
-    cand = indexed.select(*id_cols, vec_col, "list_id").join(probe, "list_id")
-    qvec = queries.select("query_id", F.col("embedding").alias("_q"))
-    scored = cand.join(qvec, "query_id").select(
-        "query_id", *id_cols,
-        F.round(F.aggregate(F.zip_with(vec_col, "_q", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-                / (F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + x * x))
-                   * F.sqrt(F.aggregate("_q", F.lit(0.0), lambda s, x: s + x * x))), SCORE_DIGITS).alias("score"))
+    # a block is a piece of a list with the queries that probe it; only its best rows leave it
+    sizes = indexed.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(LIST_PIECE)).cast("int").alias("pieces"))
+    sizes = written(sizes, "list_sizes")                     # a row a list
+    members = indexed.select(*id_cols, vec_col, "list_id").join(sizes, "list_id").withColumn(
+        "piece", F.pmod(F.xxhash64(*id_cols), F.col("pieces")).cast("int")).drop("pieces")
+    asking = (probe.join(sizes, "list_id").join(queries.select("query_id", F.col("embedding").alias("_q")), "query_id")
+              .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces"))
+    types = {f.name: f.dataType.simpleString() for f in members.schema.fields}
+    near = members.groupBy("list_id", "piece").cogroup(asking.groupBy("list_id", "piece")).applyInArrow(
+        _best_of_block(k, list(id_cols), vec_col), "query_id long, " + ", ".join(f"{c} {types[c]}" for c in id_cols) + ", score double")
     rw = Window.partitionBy("query_id").orderBy(F.desc("score"), *[F.asc(c) for c in id_cols])
-    return scored.withColumn("rank", F.row_number().over(rw)).where(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(rw)).where(F.col("rank") <= k)
+
+
+LIST_PIECE = 4096           # vectors of a list that a task holds at once, about
+_PRODUCT = 1 << 22          # scores computed at once
+
+
+def _best_of_block(k: int, id_cols: list[str], vec_col: str):
+    """The ``k`` best vectors of a block for each of its queries, and all that tie with the last."""
+    def run(members: pa.Table, asking: pa.Table) -> pa.Table:
+        qids, rows, scores = [], [], []
+        if members.num_rows and asking.num_rows:
+            v, q = _matrix(members[vec_col], members.num_rows), _matrix(asking["_q"], asking.num_rows)
+            ids = asking["query_id"].to_numpy()
+            with np.errstate(invalid="ignore", divide="ignore"):
+                v = v / np.sqrt((v * v).sum(axis=1))[:, None]
+                q = q / np.sqrt((q * q).sum(axis=1))[:, None]
+            step = max(1, _PRODUCT // len(v))
+            for lo in range(0, len(q), step):
+                s = np.round(q[lo:lo + step] @ v.T, SCORE_DIGITS)
+                s = np.where(np.isnan(s), -np.inf, s)
+                last = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
+                own, at = np.nonzero((s >= last[:, None]) & np.isfinite(s))
+                qids.append(ids[lo + own])
+                rows.append(at)
+                scores.append(s[own, at])
+        take = pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64))
+        return pa.table({"query_id": pa.array(np.concatenate(qids) if qids else [], pa.int64()),
+                         **{c: members[c].take(take) for c in id_cols},
+                         "score": pa.array(np.concatenate(scores) if scores else [], pa.float64())})
+    return run

@@ -21,6 +21,7 @@ from lectern.config import (OUTLIER_TOPIC_ID, TOPIC_MIN_CLUSTER_SIZE, TOPIC_MIN_
                             TOPIC_PCA_COMPONENTS, TOPIC_TOP_TERMS)
 from lectern.functions.tokens import tokens
 from lectern.operators.termfreq import frequent_terms
+from lectern.session import written
 
 # Default English stop words of the term vectorizer (a short
 # list of function words; pass a longer one through ``stop_words``).
@@ -293,21 +294,50 @@ def reduce_vectors(vectors: DataFrame, k: int = TOPIC_PCA_COMPONENTS, id_col: st
     v = vectors.select(id_col, array_to_vector(F.col(vec_col)).alias("_v"))
     n = v.count()
     if n == 0:
-        raise ValueError("doc_embeddings must be a non-empty two-dimensional matrix")
+        raise ValueError("there are no vectors to reduce")
     d = len(vectors.select(vec_col).first()[0])
     kk = min(k, n, d)
     if kk <= 0:
-        raise ValueError("n_components must be greater than zero")
+        raise ValueError(f"cannot reduce to {k} components")
     pipe = Pipeline(stages=[StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False),
                             PCA(k=kk, inputCol="_c", outputCol="reduced")])
     model = pipe.fit(v)
     return model, model.transform(v).select(id_col, "reduced")
 
 
+def log_densities(gm, reduced: DataFrame, id_col: str = "article_id") -> DataFrame:
+    """(id, log_density): the logarithm of the mixture's density at every vector."""
+    parts = [(w, np.array(g["mean"].toArray()), np.array(g["cov"].toArray()))
+             for w, g in zip(gm.weights, gm.gaussiansDF.collect())]             # as many as clusters
+    roots = []
+    for w, mean, cov in parts:
+        factor = np.linalg.cholesky(cov + 1e-9 * max(np.trace(cov) / len(mean), 1e-9) * np.eye(len(mean)))
+        roots.append((np.log(max(w, 1e-300)) - np.log(np.diag(factor)).sum() - 0.5 * len(mean) * np.log(2 * np.pi), mean, np.linalg.inv(factor)))
+
+    def run(batches):
+        for b in batches:
+            x = b.column("v").flatten().to_numpy().reshape(b.num_rows, -1)
+            logs = np.stack([c - 0.5 * (((x - m) @ r.T) ** 2).sum(axis=1) for c, m, r in roots], axis=1)
+            top = logs.max(axis=1, keepdims=True)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array((top[:, 0] + np.log(np.exp(logs - top).sum(axis=1))))],
+                                             [id_col, "log_density"])
+    from pyspark.ml.functions import vector_to_array
+    rows = reduced.select(F.col(id_col).cast("long").alias(id_col), vector_to_array("reduced").alias("v"))
+    return rows.mapInArrow(run, f"{id_col} long, log_density double")
+
+
+def low_density(densities: DataFrame, share: float, accuracy: int = 10_000) -> DataFrame:
+    """``densities`` with ``outlier``: is the log density below the quantile of ``share``. The
+    quantile is a sketch that tasks fill and merge; no row is sorted."""
+    cut = densities.agg(F.percentile_approx("log_density", share, accuracy)).first()[0] if share > 0 else None
+    return densities.withColumn("outlier", F.col("log_density") < F.lit(cut) if cut is not None else F.lit(False))
+
+
 def fit_topics(vectors: DataFrame, n_topics: int = 10, min_cluster_size: int = TOPIC_MIN_CLUSTER_SIZE,
-               pca_k: int = TOPIC_PCA_COMPONENTS, seed: int = 42, id_col: str = "article_id"):
+               pca_k: int = TOPIC_PCA_COMPONENTS, seed: int = 42, id_col: str = "article_id", outlier_share: float = 0.0):
     """M6 (re-aimed): PCA then a Gaussian mixture; clusters below
-    ``min_cluster_size`` become outliers (-1); ids renumbered by size desc.
+    ``min_cluster_size`` become outliers (-1), and so does the ``outlier_share`` of
+    vectors at which the mixture is least dense; ids renumbered by size desc.
 
     Returns (models, assignments, probabilities long form)."""
     from pyspark.ml.clustering import GaussianMixture
@@ -318,13 +348,20 @@ def fit_topics(vectors: DataFrame, n_topics: int = 10, min_cluster_size: int = T
                           predictionCol="_c", maxIter=100)
     gm = gmm.fit(reduced)
     scored = gm.transform(reduced).select(id_col, "_c", vector_to_array("_p").alias("_p"))
-    sizes = scored.groupBy("_c").count()
+    if outlier_share > 0:
+        far = low_density(log_densities(gm, reduced, id_col), outlier_share).where("outlier").select(id_col, F.lit(True).alias("_far"))
+        scored = written(scored.join(far, id_col, "left"), "topic_scores")
+    else:
+        scored = scored.withColumn("_far", F.lit(None).cast("boolean"))
+    sizes = scored.where("_far is null").groupBy("_c").count()
     w = Window.orderBy(F.desc("count"), "_c")  # one row per cluster, at most n_topics rows
     ranked = sizes.withColumn("_new", F.when(F.col("count") >= min_cluster_size,
                                              F.row_number().over(w) - 1))
     keep = ranked.where(F.col("_new").isNotNull())
     remap = ranked.select("_c", F.coalesce(F.col("_new"), F.lit(OUTLIER_TOPIC_ID)).cast("int").alias("topic_id"))
-    primary = scored.join(F.broadcast(remap), "_c").select(id_col, "topic_id")
+    outlier = F.lit(OUTLIER_TOPIC_ID)
+    primary = scored.join(F.broadcast(remap), "_c", "left").select(
+        id_col, F.when(F.col("_far").isNull(), F.coalesce("topic_id", outlier)).otherwise(outlier).alias("topic_id"))
     long = scored.select(id_col, F.posexplode("_p").alias("_c", "probability")) \
         .join(F.broadcast(keep.select("_c", F.col("_new").cast("int").alias("topic_id"))), "_c") \
         .select(id_col, "topic_id", "probability")
@@ -333,6 +370,19 @@ def fit_topics(vectors: DataFrame, n_topics: int = 10, min_cluster_size: int = T
     return {"pca": pca_model, "gmm": gm}, assignments, long
 
 
+def fit_density_topics(vectors: DataFrame, eps: float, min_points: int, min_cluster_size: int = TOPIC_MIN_CLUSTER_SIZE,
+                       pca_k: int = TOPIC_PCA_COMPONENTS, id_col: str = "article_id"):
+    """M6 by density: PCA, then ``density_clusters`` in the reduced space.
+
+    Returns (models, (id, topic_id, core))."""
+    from pyspark.ml.functions import vector_to_array
+
+    from lectern.operators.density import density_clusters
+    pca_model, reduced = reduce_vectors(vectors, pca_k, id_col)
+    rows = written(reduced.select(id_col, vector_to_array("reduced").alias("embedding")), "reduced")
+    return {"pca": pca_model}, density_clusters(rows, eps, min_points, min_cluster_size, id_col)
+
+
 def save_models(models: dict, path: str) -> None:
     """M8: write the fitted stack."""
     for name, m in models.items():

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lectern.operators import shortlist as SL
 from lectern.operators import textindex as TI
 from lectern.operators.encode import encode_queries
+from lectern.functions.tokens import TOKEN_PATTERN
 from lectern.plans import corpus, evaluation as EV
 from lectern.plans import oracle_sql as O
 from lectern.plans.catalog import _QUOTE, _TONE_SQL, _TW_SQL, _search, normalize, register
@@ -34,7 +35,7 @@ def q_text_postings(spark, sf):
 SEARCH_TOP = 10
 
 
-@register("text_search", O.with_(O.ART, _TP) + f""",
+_SEARCH_SQL = f""",
 qt AS (SELECT item_id AS query_id, unnest(list_distinct(list_filter(regexp_extract_all(lower(text), '{O.TOK}'),
                                             lambda t: NOT list_contains({STOP_SQL}, t)))) AS term FROM benchmark),
 dfq AS (SELECT term, count(*) AS df FROM post GROUP BY term),
@@ -44,13 +45,50 @@ sc AS (SELECT q.query_id, p.article_id, round(sum(p.tf * ln(CAST((SELECT n FROM
        FROM qt q JOIN post p USING (term) JOIN dfq d USING (term) GROUP BY q.query_id, p.article_id)
 SELECT * FROM (SELECT query_id, article_id, score, matched,
                       row_number() OVER (PARTITION BY query_id ORDER BY score DESC, article_id) AS rank FROM sc)
-WHERE rank <= {SEARCH_TOP}""")
+WHERE rank <= {SEARCH_TOP}"""
+
+
+@register("text_search", O.with_(O.ART, _TP) + _SEARCH_SQL)
 def q_text_search(spark, sf):
     # the index is written once; hits, frequencies and the document count read its columns
     post = written(TI.postings(corpus.raw_articles(spark, sf)), "postings")
     return normalize(TI.search(queries_table(spark, sf), post, top=SEARCH_TOP))
 
 
+@register("text_search_blocks", O.with_(O.ART, _TP) + _SEARCH_SQL)
+def q_text_search_blocks(spark, sf):
+    """The same hits from postings in blocks, most of which are never read."""
+    post = written(TI.postings(corpus.raw_articles(spark, sf)), "postings")
+    blocks = written(TI.block_postings(post), "blocks")
+    n = post.select("article_id").distinct().count()
+    return normalize(TI.search_blocks(queries_table(spark, sf), blocks, n, top=SEARCH_TOP))
+
+
+PHRASE_WORDS = 4
+
+
+@register("phrase_search", O.with_(O.ART, _TP) + f""",
+ph AS (SELECT item_id AS query_id, list_slice(regexp_extract_all(lower(text), '{O.TOK}'), 1, {PHRASE_WORDS}) AS w FROM benchmark),
+asked AS (SELECT query_id, w FROM ph WHERE len(list_filter(w, lambda t: NOT list_contains({STOP_SQL}, t))) > 0),
+doc AS (SELECT article_id, regexp_extract_all(lower(text), '{O.TOK}') AS t FROM art),
+word AS (SELECT query_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS off FROM asked),
+kept AS (SELECT * FROM word WHERE NOT list_contains({STOP_SQL}, term)),
+need AS (SELECT query_id, count(*) AS n FROM kept GROUP BY query_id),
+place AS (SELECT article_id, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM doc),
+start AS (SELECT k.query_id, p.article_id, p.pos - k.off AS s FROM kept k JOIN place p USING (term)
+          GROUP BY k.query_id, p.article_id, p.pos - k.off
+          HAVING count(*) = (SELECT n FROM need WHERE need.query_id = k.query_id) AND p.pos - k.off >= 1)
+SELECT * FROM (SELECT query_id, article_id, count(*) AS occurrences, min(s) AS first_position,
+                      row_number() OVER (PARTITION BY query_id ORDER BY count(*) DESC, article_id) AS rank
+               FROM start GROUP BY query_id, article_id) WHERE rank <= {SEARCH_TOP}""")
+def q_phrase_search(spark, sf):
+    """Articles that hold the first words of a benchmark item in a row."""
+    q = queries_table(spark, sf)
+    q = q.select("query_id", F.array_join(F.slice(F.regexp_extract_all(F.lower("query"), F.lit(TOKEN_PATTERN), 0), 1, PHRASE_WORDS), " ").alias("query"))
+    post = written(TI.postings(corpus.raw_articles(spark, sf)), "postings")
+    return normalize(TI.phrase_search(q, post, top=SEARCH_TOP))
+
+
 @register("eval_hits", _QUOTE + f""",
 rel AS (SELECT h.query_id, min(h.hit_rank) AS first_relevant FROM hits h JOIN art a USING (article_id)
         JOIN qry q ON q.query_id = h.query_id WHERE contains(a.text, q.query) GROUP BY h.query_id)

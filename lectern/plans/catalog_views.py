@@ -430,3 +430,38 @@ def q_pca_variance(spark, sf):
     ev = model.stages[-1].explainedVariance.toArray().tolist()
     return spark.createDataFrame([(i, float(round(v, 6))) for i, v in enumerate(ev)],
                                  "component long, explained_variance double")
+
+
+DENSITY = (0.07, 5, 4)      # eps, points of a core neighbourhood, least size of a cluster
+DENSITY_COORDS = 4
+
+
+@register("density_clusters", f"""
+WITH RECURSIVE p AS (SELECT vec_id AS id, list_transform(embedding[1:{DENSITY_COORDS}], lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+pair AS (SELECT a.id AS a, b.id AS b, {" + ".join(f"(a.v[{k}] - b.v[{k}]) * (a.v[{k}] - b.v[{k}])" for k in range(1, DENSITY_COORDS + 1))} AS d
+         FROM p a, p b),
+near AS (SELECT * FROM pair WHERE d <= {DENSITY[0]} * {DENSITY[0]}),
+core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {DENSITY[1]}),
+link AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach AS (SELECT id AS a, id AS b FROM core UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+lab AS (SELECT a AS id, min(b) AS label FROM reach GROUP BY a),
+edge AS (SELECT a AS id, label FROM (SELECT n.a, l.label, row_number() OVER (PARTITION BY n.a ORDER BY n.d, n.b) AS r
+         FROM near n JOIN lab l ON l.id = n.b WHERE n.a NOT IN (SELECT id FROM core)) WHERE r = 1),
+member AS (SELECT * FROM lab UNION ALL SELECT * FROM edge),
+size AS (SELECT label, count(*) AS n FROM member GROUP BY label HAVING count(*) >= {DENSITY[2]}),
+numbered AS (SELECT label, row_number() OVER (ORDER BY n DESC, label) - 1 AS topic_id FROM size)
+SELECT p.id AS vec_id, CAST(coalesce(x.topic_id, -1) AS BIGINT) AS topic_id, p.id IN (SELECT id FROM core) AS core
+FROM p LEFT JOIN member m ON m.id = p.id LEFT JOIN numbered x ON x.label = m.label""")
+def q_density_clusters(spark, sf):
+    """Density clusters of the vectors' first coordinates, a space that SQL has too."""
+    from lectern.operators.density import density_clusters
+    e = table(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, DENSITY_COORDS).alias("embedding"))
+    return normalize(density_clusters(e, *DENSITY, id_col="vec_id"))
+
+
+@register("topic_outliers")
+def q_topic_outliers(spark, sf):
+    """The topic of every vector, the least likely fiftieth being outliers."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), "embedding")
+    _, assignments, _ = TP.fit_topics(e, pca_k=8, outlier_share=0.02)
+    return normalize(assignments.select("article_id", "topic_id"))
