@@ -27,9 +27,9 @@ from lectern.functions.tokens import tokens
 SCORE_DIGITS = 6
 
 
-def lexical_score(query: F.Column, window_text: F.Column) -> F.Column:
-    qd = F.array_distinct(tokens(query))
-    wt = tokens(window_text)
+def lexical_score(qd: F.Column, wt: F.Column) -> F.Column:
+    """From the query's distinct tokens and the window's tokens, columns that are
+    made beforehand: inside the branches below each would be cut again."""
     hits = F.size(F.array_intersect(qd, F.array_distinct(wt)))
     raw = F.when((F.size(wt) == 0) | (F.size(qd) == 0), F.lit(0.0)).otherwise(
         hits / F.size(qd) / F.sqrt(F.size(wt).cast("double")))
@@ -55,7 +55,8 @@ def _scorer_udf(factory, batch_size: int):
 def score_windows(pairs: DataFrame, scorer_factory=None, batch_size: int = 16) -> DataFrame:
     """pairs: (..., query, text) -> + score."""
     if scorer_factory is None:
-        return pairs.withColumn("score", lexical_score(F.col("query"), F.col("text")))
+        cut = pairs.withColumn("_qd", F.array_distinct(tokens(F.col("query")))).withColumn("_wt", tokens(F.col("text")))
+        return cut.withColumn("score", lexical_score(F.col("_qd"), F.col("_wt"))).drop("_qd", "_wt")
     return pairs.withColumn("score", _scorer_udf(scorer_factory, batch_size)(F.col("query"), F.col("text")))
 
 

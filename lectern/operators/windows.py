@@ -45,15 +45,17 @@ def sentences(docs: DataFrame, key: str = "article_id", text: str = "text") -> D
     pieces = docs.select(key, F.posexplode_outer(
         F.regexp_extract_all(F.col(text), F.lit(SENTENCE_PATTERN), 0)).alias("_pi", "piece")) \
         .where(F.col("_pi").isNotNull())
+    # lengths are taken before the rows are shuffled, so that readers of offsets alone shuffle no text
+    pieces = pieces.select(key, "_pi", "piece", F.length("piece").alias("_len"), _lead_ws(F.col("piece")).alias("_lead"),
+                           _trail_ws(F.col("piece")).alias("_trail"))
     w = Window.partitionBy(key).orderBy("_pi")
-    raw_start = F.coalesce(F.sum(F.length("piece")).over(
+    raw_start = F.coalesce(F.sum("_len").over(
         w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    s = (pieces.withColumn("raw_start", raw_start.cast("int"))
-         .where(F.regexp_replace("piece", r"^\s+|\s+\z", "") != ""))
+    s = pieces.withColumn("raw_start", raw_start.cast("int")).where(F.col("_lead") < F.col("_len"))
     s = s.select(
         key, "_pi", "piece", "raw_start",
-        (F.col("raw_start") + _lead_ws(F.col("piece"))).cast("int").alias("start"),
-        (F.col("raw_start") + F.length("piece") - _trail_ws(F.col("piece"))).cast("int").alias("end"),
+        (F.col("raw_start") + F.col("_lead")).cast("int").alias("start"),
+        (F.col("raw_start") + F.col("_len") - F.col("_trail")).cast("int").alias("end"),
     )
     return s.withColumn("sentence_index", (F.row_number().over(w) - 1).cast("int")).drop("_pi")
 
@@ -143,6 +145,12 @@ def cap_windows(selected: DataFrame, article_rank: DataFrame,
             .where(F.col("_wr") <= max_windows).drop("_wr"))
 
 
+def window_texts(windows: DataFrame, docs: DataFrame, key: str = "article_id", text: str = "text") -> DataFrame:
+    """Windows (key, start, end, ...) with their text, cut from the documents'."""
+    whole = docs.select(key, F.col(text).alias("_whole"))
+    return windows.join(whole, key).withColumn("text", F.expr("substring(_whole, start + 1, end - start)")).drop("_whole")
+
+
 def window_home_chunk(windows: DataFrame, spans: DataFrame, key: str = "article_id") -> DataFrame:
     """Chunk position overlapping each window the most, ties to the lower position.
 

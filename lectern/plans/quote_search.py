@@ -22,7 +22,7 @@ from lectern.operators.encode import encode_queries
 from lectern.operators.rerank import greedy_non_overlapping, score_windows, top_hits
 from lectern.operators.shortlist import shortlist
 from lectern.operators.windows import (cap_windows, explode_spans, sentence_windows, sentences,
-                                       window_home_chunk, windows_in_candidates)
+                                       window_home_chunk, window_texts, windows_in_candidates)
 from lectern.session import written
 
 
@@ -91,12 +91,14 @@ def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFra
 
     fetched = candidate_chunks(chunk_vectors.select("article_id", "position", "text"), cands)
     rebuilt = reconstruct_articles(fetched)
-    wins = sentence_windows(sentences(rebuilt))
     if materialize:
-        # rebuilt articles and their windows feed three branches (selection,
-        # the cap join, home-chunk mapping): written once, columns prunable
+        # rebuilt articles and their windows feed several branches (selection,
+        # the cap join, home-chunk mapping, texts): written once, columns prunable
         rebuilt = written(rebuilt, "rebuilt")
-        wins = written(sentence_windows(sentences(rebuilt)), "windows")
+    # windows are chosen by their offsets; only those that are scored get their text
+    wins = sentence_windows(sentences(rebuilt)).drop("text")
+    if materialize:
+        wins = written(wins, "windows")
     spans = explode_spans(rebuilt)
 
     cand_spans = cands.select("query_id", "article_id", "position").join(
@@ -104,8 +106,11 @@ def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFra
     selected = windows_in_candidates(wins, cand_spans)
     capped = cap_windows(selected, ranks, max_windows)
     capped = capped.join(wins, ["article_id", "window_index"])
+    if materialize:
+        capped = written(capped, "capped")      # at most max_windows rows a query, read by two branches
     home = window_home_chunk(capped.select("article_id", "window_index", "start", "end"), spans)
     capped = capped.join(home, ["article_id", "window_index"])
+    capped = window_texts(capped, rebuilt)
     pairs = capped.join(queries.select("query_id", "query"), "query_id")
     scored = score_windows(pairs, scorer_factory).drop("query")
     kept = greedy_non_overlapping(
