@@ -6,8 +6,8 @@ template, by the Dice coefficient of their sets of word bigrams,
 of neighbouring words that slide over the whole text across line ends. A
 coefficient of t needs t / (2 - t) of the template's bigrams and at most
 (2 - t) / t times as many, which bounds the windows. It also gives each template
-a few words of which one must occur: a text without any of them is dropped
-before its words are cut. A window begins and ends with a bigram of the
+a few words of which one must occur, and a part of its words that must: a
+text that lacks them for every template is dropped before its words are cut. A window begins and ends with a bigram of the
 template, since any other edge only lowers the coefficient.
 """
 
@@ -210,6 +210,22 @@ def key_words(known: list, threshold: float) -> list[list[str]]:
     return out
 
 
+def telling_words(known: list, threshold: float, long: int = 6, short: int = 16) -> list[tuple[list[tuple[str, int]], int]]:
+    """Per template its words (of a template of more than ``short`` those of ``long``
+    letters), each with the number of bigrams that it is in, and the sum of these
+    numbers that the words of a matching text reach.
+
+    A match lacks few of the template's bigrams, a word that is absent takes all
+    of its own with it, and a bigram has two words at most."""
+    out = []
+    for t in known:
+        least = long if len(t["words"]) > short else 1
+        degree = {w: sum(w in g.split() for g in t["grams"]) for w in dict.fromkeys(t["words"]) if len(w) >= least}
+        slack = len(t["grams"]) - _need(len(t["grams"]), threshold)
+        out.append((list(degree.items()), max(0, sum(degree.values()) - 2 * slack)))
+    return out
+
+
 def _once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are evaluated once a row, whatever reads them later.
     (A projection may be merged into what is above it, a generator not.)"""
@@ -266,12 +282,15 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prepare(spark)
     known = _templates(spark, templates)
     base = docs.select(id_col, F.col(text_col).alias("__text"))
-    kind = "array<struct<licence:string,template:string,grams:array<string>,need:int,most:int,keys:array<string>>>"
+    kind = ("array<struct<licence:string,template:string,grams:array<string>,need:int,most:int,keys:array<string>,"
+            "words:array<struct<word:string,degree:int>>,least:int>>")
     table = F.array(*[F.struct(
         F.lit(t["licence"]).alias("licence"), F.lit(t["template"]).alias("template"),
         F.array(*map(F.lit, t["grams"])).alias("grams"), F.lit(_need(len(t["grams"]), threshold)).alias("need"),
-        F.lit(_most(len(t["grams"]), threshold)).alias("most"), F.array(*map(F.lit, keys)).alias("keys"))
-        for t, keys in zip(known, key_words(known, threshold))]).cast(kind)
+        F.lit(_most(len(t["grams"]), threshold)).alias("most"), F.array(*map(F.lit, keys)).alias("keys"),
+        F.array(*[F.struct(F.lit(w).alias("word"), F.lit(d).alias("degree")) for w, d in words]).cast(
+            "array<struct<word:string,degree:int>>").alias("words"), F.lit(least).alias("least"))
+        for t, keys, (words, least) in zip(known, key_words(known, threshold), telling_words(known, threshold))]).cast(kind)
     # lower() also changes letters outside ASCII, so no text that has a key word is lost
     base = _once(base, __lower=F.lower("__text"))
     some = F.lit(False)
@@ -279,8 +298,11 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         some = some | F.contains(F.col("__lower"), F.lit(key))
     base = base.filter(some)
     text, lines = F.col("__text"), F.split(F.col("__text"), "\n")
-    base = _once(base, __templates=F.filter(table, lambda t: F.exists(t["keys"], lambda k: F.contains(F.col("__lower"), k))),
-                 __words=words_of(text), __lines=lines).drop("__lower")
+    def may_match(t):
+        found = F.aggregate(t["words"], F.lit(0), lambda n, x: n + F.when(F.contains(F.col("__lower"), x["word"]), x["degree"]).otherwise(0))
+        return F.exists(t["keys"], lambda k: F.contains(F.col("__lower"), k)) & (found >= t["least"])
+    base = _once(base, __templates=F.filter(table, may_match)).filter(F.size("__templates") > 0)
+    base = _once(base, __words=words_of(text), __lines=lines).drop("__lower")
     t = F.col("__templates")
     keys = F.flatten(F.transform(t, lambda x: x["keys"]))
     base = _once(base, __grams=F.zip_with(     # in order and with repeats; a single word is its own pair
