@@ -94,7 +94,7 @@ def chunk_articles(articles: DataFrame, size: int = CHUNK_SIZE,
     """Articles -> (article_id, *keep, idx, chunk_text), idx from 0 per article."""
     missing = {"article_id", text_col, *keep} - set(articles.columns)
     if missing:
-        raise ValueError(f"missing required columns: {', '.join(sorted(missing))}")
+        raise ValueError(f"the articles lack {', '.join(sorted(missing))}")
     chunked = articles.select(
         "article_id", *keep, _chunk_udf(size, overlap)(F.col(text_col)).alias("_chunks"))
     return chunked.select(

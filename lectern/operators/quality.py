@@ -48,7 +48,7 @@ def chunk_violations(df: DataFrame) -> DataFrame:
     """V1: columns present, no nulls, no blank text, unique (article_id, idx)."""
     miss = _missing(df, ("article_id", "title", "idx", "chunk_text"))
     if miss:
-        raise ValueError(f"missing chunk columns: {', '.join(miss)}")
+        raise ValueError(f"the chunks lack {', '.join(miss)}")
     key = F.concat_ws(",", F.col("article_id").cast("string"), F.col("idx").cast("string"))
     rows = _row_rules(df, key, [
         ("chunk_null", F.col("article_id").isNull() | F.col("idx").isNull() | F.col("chunk_text").isNull()
@@ -61,7 +61,7 @@ def chunk_violations(df: DataFrame) -> DataFrame:
 def vector_violations(df: DataFrame, dim: int, key_cols=("article_id",), check_title: bool = True) -> DataFrame:
     """V2/V4: integer id, not null, unique key, title present, length, finite."""
     if not _is_integral(df, key_cols[0]):
-        raise ValueError(f"{key_cols[0]} must use an integer dtype")
+        raise ValueError(f"{key_cols[0]} holds no whole numbers")
     key = F.concat_ws(",", *[F.col(c).cast("string") for c in key_cols])
     rules = [
         ("id_null", F.col(key_cols[0]).isNull()),
@@ -77,7 +77,7 @@ def vector_violations(df: DataFrame, dim: int, key_cols=("article_id",), check_t
 def document_violations(df: DataFrame, key: str = "article_id", text: str = "text") -> DataFrame:
     """V3/V7: integer id, no nulls, unique, not blank."""
     if not _is_integral(df, key):
-        raise ValueError(f"{key} must use an integer dtype")
+        raise ValueError(f"{key} holds no whole numbers")
     rows = _row_rules(df, F.col(key), [
         ("id_null", F.col(key).isNull()),
         ("text_null", F.col(text).isNull()),
@@ -90,7 +90,7 @@ def raw_article_violations(df: DataFrame) -> DataFrame:
     """V6: id, url, text present and not blank; id unique in the batch."""
     miss = _missing(df, ("article_id", "url", "title", "author", "published_at", "text", "tags"))
     if miss:
-        raise ValueError(f"missing required article columns: {', '.join(miss)}")
+        raise ValueError(f"the articles lack {', '.join(miss)}")
     rows = _row_rules(df, F.col("article_id"), [
         ("id_null", F.col("article_id").isNull()),
         ("url_null", F.col("url").isNull()),

@@ -82,6 +82,6 @@ def greedy_non_overlapping(scored: DataFrame, group: tuple[str, ...] = ("query_i
 def top_hits(kept: DataFrame, limit: int = DEFAULT_RESULT_LIMIT) -> DataFrame:
     """L4: best ``limit`` rows per query by score, ties in (article rank, window index)."""
     if limit <= 0:
-        raise ValueError("limit must be greater than zero")
+        raise ValueError(f"{limit} hits a query cannot be returned")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "article_rank", "window_index")
     return kept.withColumn("hit_rank", F.row_number().over(w)).where(F.col("hit_rank") <= limit)

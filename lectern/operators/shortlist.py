@@ -143,7 +143,7 @@ def shortlist(queries: DataFrame, corpus: DataFrame, k: int = RETRIEVAL_CANDIDAT
     ties broken by the id columns.
     """
     if k <= 0:
-        raise ValueError("limit must be greater than zero")
+        raise ValueError(f"a shortlist of {k} rows is empty")
     spark = corpus.sparkSession
     base = corpus.select(*id_cols, vec_col)
     id_types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
@@ -210,7 +210,7 @@ def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame,
     ranks exactly inside them. ``probes`` equal to the list count gives the
     exact shortlist."""
     if probes <= 0:
-        raise ValueError("probes must be greater than zero")
+        raise ValueError(f"{probes} lists cannot be probed")
     from lectern.operators.topics import centroid_scores
     qv = queries.select(F.col("query_id").alias("article_id"), "embedding")
     cs = centroid_scores(qv, centroids.select(F.col("list_id").alias("topic_id"), "embedding"))

@@ -28,11 +28,11 @@ from lectern.session import written
 
 def validate_request(limit: int, k: int, max_windows: int) -> None:
     if not 1 <= limit <= MAX_QUOTE_LIMIT:
-        raise ValueError(f"limit must be between 1 and {MAX_QUOTE_LIMIT}")
+        raise ValueError(f"{limit} hits were asked for, 1 to {MAX_QUOTE_LIMIT} can be")
     if k <= 0:
-        raise ValueError("limit must be greater than zero")
+        raise ValueError(f"a shortlist of {k} chunks is empty")
     if max_windows < 0:
-        raise ValueError("max_windows cannot be negative")
+        raise ValueError(f"{max_windows} windows cannot be scored")
 
 
 def require_queries(queries: DataFrame) -> None:

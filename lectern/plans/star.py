@@ -183,14 +183,14 @@ def get_article(detail: DataFrame, article_id: int):
     """L3: one article or LookupError."""
     rows = detail.where(F.col("id") == article_id).take(1)
     if not rows:
-        raise LookupError(f"no article with id {article_id}")
+        raise LookupError(f"article {article_id} is not in the store")
     return rows[0]
 
 
 def get_topic(topics: DataFrame, topic_id: int):
     rows = topics.where(F.col("id") == topic_id).take(1)
     if not rows:
-        raise LookupError(f"no topic with id {topic_id}")
+        raise LookupError(f"topic {topic_id} is not in the store")
     r = rows[0].asDict()
     r["top_terms"] = r.get("top_terms") or []
     return r
@@ -198,11 +198,11 @@ def get_topic(topics: DataFrame, topic_id: int):
 
 def check_page(limit: int, offset: int, max_limit: int) -> None:
     if limit <= 0:
-        raise ValueError("limit must be greater than zero")
+        raise ValueError(f"a page of {limit} rows is empty")
     if limit > max_limit:
-        raise ValueError(f"limit must be at most {max_limit}")
+        raise ValueError(f"a page holds up to {max_limit} rows, {limit} were asked for")
     if offset < 0:
-        raise ValueError("offset cannot be negative")
+        raise ValueError(f"a page cannot begin at {offset}")
 
 
 def articles_with_tag(s: dict, tag: str) -> DataFrame:

@@ -23,13 +23,13 @@ def _fs(spark: SparkSession, path: str):
 def parquet_files(spark: SparkSession, source: str) -> list[str]:
     """One .pq/.parquet file, or the sorted files of a flat directory."""
     if source is None or not str(source).strip():
-        raise ValueError("a Parquet file or directory must be defined")
+        raise ValueError("no path was given to read from")
     fs, p = _fs(spark, source)
     if not fs.exists(p):
         raise FileNotFoundError(f"Parquet source does not exist: {source}")
     if fs.isFile(p):
         if not str(source).lower().endswith(SUFFIXES):
-            raise ValueError(f"expected a Parquet file, got {source}")
+            raise ValueError(f"{source} is no Parquet file")
         return [str(source)]
     files = sorted(str(s.getPath().toString()) for s in fs.listStatus(p)
                    if s.isFile() and s.getPath().getName().lower().endswith(SUFFIXES))
@@ -85,7 +85,7 @@ def read_topic_assignments(spark: SparkSession, path: str) -> DataFrame | None:
     df = spark.read.parquet(path)
     missing = {"article_id", "topic_id", "topic_prob", "secondary_topics"} - set(df.columns)
     if missing:
-        raise ValueError(f"missing topic assignment columns: {', '.join(sorted(missing))}")
+        raise ValueError(f"the topic assignments lack {', '.join(sorted(missing))}")
     Q.require(Q.assignment_violations(df), "topic assignments")
     return df
 
