@@ -5,8 +5,10 @@ bounded sample of them and judge the urls that no rule covers. Features: length,
 path depth, digit ratio, entropy of the characters, number of parameters,
 hyphens, labels of the host, and statistics of the host's suffixes and of the
 first part of the path (how often it occurs, and the smoothed share of blocked
-ones among its labelled urls). Suffixes are hashed to a fixed number of buckets, so their statistics are a
-table of bounded size.
+ones among its labelled urls). A labelled url sees the shares without its own
+fold of urls, so that none finds its answer among its features. Suffixes are
+hashed to a fixed number of buckets, so their statistics are a table of bounded
+size.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import prepare
@@ -22,9 +24,10 @@ from lectern.llm.common import prepare
 #: (host and path prefix, verdict)
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block"))
-TRAIN_ROWS = 20_000        # labelled urls that the trees are fitted on, about, at most
+TRAIN_ROWS = 20_000        # distinct labelled urls that the trees are fitted on, at most
 SUFFIX_BUCKETS = 4096
 TREES, DEPTH, SEED = 10, 4, 11
+FOLDS = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ("f_length", "f_path", "f_depth", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_labels",
             "f_tld_seen", "f_tld_blocked", "f_site_seen", "f_site_blocked", "f_dir_seen", "f_dir_blocked")
@@ -81,11 +84,36 @@ def lexical_features(urls: DataFrame, url_col: str) -> DataFrame:
             .withColumn("f_labels", F.size(F.filter(labels, lambda p: p != "")).cast("double")))
 
 
-def _suffix_stats(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, seen, blocked) of at most SUFFIX_BUCKETS buckets."""
-    n, bad = F.count("__label"), F.coalesce(F.sum("__label"), F.lit(0.0))
-    return rows.groupBy(key).agg(F.log1p(F.count(F.lit(1))).alias(f"f_{name}_seen"),
-                                 ((bad + 1.0) / (n + 2.0)).alias(f"f_{name}_blocked"))
+def _suffix_stats(rows: DataFrame, key: str) -> DataFrame:
+    """(key, seen, n, bad, folds) of at most SUFFIX_BUCKETS buckets: rows, labelled
+    rows, blocked ones, and the last two by fold."""
+    each = rows.groupBy(key, "__fold").agg(F.count(F.lit(1)).alias("seen"), F.count("__label").alias("n"),
+                                           F.coalesce(F.sum("__label"), F.lit(0.0)).alias("bad"))
+    return each.groupBy(key).agg(
+        F.sum("seen").alias("__seen"), F.sum("n").alias("__n"), F.sum("bad").alias("__bad"),
+        F.map_from_entries(F.collect_list(F.struct("__fold", F.struct("n", "bad")))).alias("__folds"))
+
+
+def _with_suffix_stats(rows: DataFrame, stats: DataFrame, key: str, name: str) -> DataFrame:
+    own = F.when(F.col("__label").isNotNull(), F.element_at("__folds", F.col("__fold")))
+    bad = F.col("__bad") - F.coalesce(own["bad"], F.lit(0.0))
+    n = F.col("__n") - F.coalesce(own["n"], F.lit(0))
+    return (rows.join(F.broadcast(stats), key).withColumn(f"f_{name}_seen", F.log1p(F.col("__seen").cast("double")))
+            .withColumn(f"f_{name}_blocked", (bad + 1.0) / (n + 2.0)).drop("__seen", "__n", "__bad", "__folds"))
+
+
+def _drawn(rows: DataFrame, url_col: str, train_rows: int) -> DataFrame:
+    """Of each label the rows of half of ``train_rows`` distinct urls, or of all it has,
+    each url once: those of the smallest hash."""
+    rows = rows.filter("__label is not null").withColumn("__h", F.xxhash64(F.lit(SEED), F.col(url_col)))
+    keys = rows.select("__label", "__h").distinct()
+    counts = keys.groupBy("__label").agg(F.count(F.lit(1)).alias("__k"))       # two rows
+    place = F.pmod(F.xxhash64(F.lit(SEED), F.col("__h")), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    # about twice as many as are needed are put in order
+    near = keys.join(F.broadcast(counts), "__label").filter(place * F.col("__k") < train_rows + 50)
+    order = F.row_number().over(Window.partitionBy("__label").orderBy(place, "__h"))
+    few = near.withColumn("__r", order).filter(F.col("__r") <= max(1, train_rows // 2)).select("__label", "__h")
+    return rows.join(F.broadcast(few), ["__label", "__h"]).select("__label", "__h", *FEATURES).dropDuplicates(["__label", "__h"])
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,
@@ -113,6 +141,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         "__label", F.when(F.col("__verdict") == "block", 1.0).when(F.col("__verdict") == "allow", 0.0))
     if held_out is not None:
         base = base.withColumn("__label", F.when(~F.coalesce(held_out, F.lit(False)), F.col("__label")))
+    base = base.withColumn("__fold", F.pmod(F.xxhash64(F.lit(SEED + 1), F.col(url_col)), F.lit(FOLDS)).cast("int"))
     counts = {r[0]: r[1] for r in base.filter("__label is not null").groupBy("__label").count().collect()}
     out = [F.col(id_col), F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule")]
     if len(counts) < 2:
@@ -121,15 +150,11 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                            F.lit(only).alias("score"))
     rows = base
     for name in ("tld", "site", "dir"):
-        rows = rows.join(F.broadcast(_suffix_stats(base, f"__{name}", name)), f"__{name}")
-    # as many of either label, spread over all rows by the hash of the url
-    share = {k: min(1.0, train_rows / 2 / n) for k, n in counts.items()}
-    spread = F.pmod(F.xxhash64(F.lit(SEED), F.col(url_col)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    sample = rows.filter((F.col("__label") == 1.0) & (spread < share[1.0]) | (F.col("__label") == 0.0) & (spread < share[0.0]))
+        rows = _with_suffix_stats(rows, _suffix_stats(base, f"__{name}"), f"__{name}", name)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="__x")
     trees = GBTClassifier(featuresCol="__x", labelCol="__label", predictionCol="__p",
                           maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3)
-    model = trees.fit(vector.transform(sample).select("__x", "__label"))
+    model = trees.fit(vector.transform(_drawn(rows, url_col, train_rows)).select("__x", "__label"))
     model.setProbabilityCol("__prob").setRawPredictionCol("__raw")
     judged = model.transform(vector.transform(rows)).withColumn("score", vector_to_array("__prob")[1])
     return judged.select(*out, F.coalesce("__verdict", F.when(F.col("score") > 0.5, "block").otherwise("allow"))

@@ -252,3 +252,20 @@ def test_quality_on_held_out_rows(spark):
     got = QUERIES["op11_quality_classifier"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()
     held = got[got.held_out]
     assert len(held) > 50 and (held.predicted == held.quality).mean() > 0.96 and got.score.between(0, 1).all()
+
+
+# ---------------------------------------------------------------- urls that repeat
+
+def test_trees_learn_from_few_urls_that_repeat(spark):
+    from lectern.llm import url_filter
+    urls = [f"https://a{i}.com/{'fr' if i % 2 else 'de'}/p{i}" for i in range(10)]
+    rows = [(i, urls[i % 10]) for i in range(4000)] + [(5000 + i, f"https://b{i}.net/{'fr' if i % 2 else 'de'}/q{i}") for i in range(10)]
+    rows += [(6000, None), (6000, "no scheme"), (6001, "https://c.net/" + "x" * 100_000)]
+    pages = spark.createDataFrame([(i, u, "h", "v", 1.0) for i, u in rows], "page_id long, url string, host string, verdict string, score double")
+    got = url_filter.judge_urls(pages, train_rows=100).collect()
+    assert len(got) == len(rows) and {r.verdict for r in got if r.page_id < 4000 and r.page_id % 10 % 2} == {"allow"}
+    assert {r.verdict for r in got if r.page_id < 4000 and r.page_id % 2 == 0} == {"block"}
+    by_url = {}
+    for r in got:
+        by_url.setdefault((r.host, r.path), set()).add((r.verdict, r.score))
+    assert all(len(v) == 1 for k, v in by_url.items() if k[0].startswith("a"))       # copies are judged alike
