@@ -28,7 +28,7 @@ TOP = 200                   # terms that are reported of each source
 SHARD_ROWS = 200_000        # counts in a shard, about
 PAIRS = 1 << 19             # pairs of sources in the result of a shard, at most
 _GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_HELD = 1 << 17             # partial counts that a task merges before it passes them on
+_HELD = 1 << 19             # partial counts that a task merges before it passes them on
 _AT_ONCE = 1 << 20          # pairs of counts computed at once
 
 
