@@ -17,7 +17,7 @@ MIDDLE = "/root/testdata/sf0.01"
 
 def duck(sf):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "labels"):
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
     return con
 
