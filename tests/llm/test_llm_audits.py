@@ -269,3 +269,23 @@ def test_trees_learn_from_few_urls_that_repeat(spark):
     for r in got:
         by_url.setdefault((r.host, r.path), set()).add((r.verdict, r.score))
     assert all(len(v) == 1 for k, v in by_url.items() if k[0].startswith("a"))       # copies are judged alike
+
+
+# ---------------------------------------------------------------- pipeline stages on rows without an id
+
+def test_stages_tell_rows_without_an_id_apart(spark, tmp_path):
+    import corpus_pipeline as P
+    rng = random.Random(3)
+    def say(n):
+        return " ".join(f"word{rng.randrange(500)}" for _ in range(n))
+    base, leak = say(100), say(30)
+    near = base.rsplit(" ", 1)[0] + " other"
+    rows = [(7, base, "en", "s", 1), (None, near, "en", "s", 1), (None, say(90), "en", "s", 1), (7, say(80), "en", "s", 1),
+            (-5, say(70), "en", "s", 1), (None, leak + " " + say(40), "en", "s", 1), (8, leak, None, None, None), (8, say(60), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([("b", leak)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = P.drop_near_copies(spark, docs, str(tmp_path))
+    assert left.columns == list(P.COLUMNS)
+    assert {r.text for r in left.collect()} == {r[1] for r in rows} - {near}
+    clean = {r.text for r in P.drop_benchmark_copies(spark, docs, str(tmp_path)).collect()}
+    assert clean == {r[1] for r in rows if leak not in r[1]}
