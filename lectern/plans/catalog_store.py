@@ -159,12 +159,19 @@ def q_load_summary(spark, sf):
     return summary
 
 
-@register("unknown_source_ids", O.with_(O.ART) + """
-SELECT DISTINCT conv_id AS source_id FROM conversations WHERE conv_id NOT IN (SELECT article_id FROM art)""")
+PLANTED = 1_000_000_000      # added to some ids, which no article then has
+
+
+@register("unknown_source_ids", O.with_(O.ART) + f"""
+SELECT DISTINCT source_id FROM (SELECT conv_id AS source_id FROM conversations
+                                UNION ALL SELECT conv_id + {PLANTED} FROM conversations WHERE conv_id % 7 = 0)
+WHERE source_id NOT IN (SELECT article_id FROM art)""")
 def q_unknown_source_ids(spark, sf):
+    """Chunk ids without an article; some are planted."""
     c = table(spark, sf, "conversations").select(F.col("conv_id").alias("article_id"))
+    planted = c.where(F.col("article_id") % 7 == 0).select((F.col("article_id") + PLANTED).alias("article_id"))
     smap = corpus.raw_articles(spark, sf).select(F.col("article_id").alias("source_id"))
-    return S.unknown_source_ids(c, smap)
+    return S.unknown_source_ids(c.unionByName(planted), smap)
 
 
 @register("upsert_repeated_urls", O.with_(O.ART) + f""",
