@@ -88,6 +88,26 @@ def run_hashes_of(values: np.ndarray, lo: np.ndarray, n: int) -> np.ndarray:
     return mix(h + np.uint64(n * int(_SALT) & _WRAP))
 
 
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """The sums that ``common_runs`` compares runs by."""
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _tables(len(values) + 1)[0][:len(values)], out=total[1:])
+    return total
+
+
+def common_runs(total_a: np.ndarray, a: np.ndarray, total_b: np.ndarray, b: np.ndarray,
+                least: int, most: np.ndarray) -> np.ndarray:
+    """Length of the longest run that both sequences share from a[i] and from b[i]
+    on, known to be at least ``least`` and at most ``most[i]``; by halving."""
+    _, down = _tables(max(len(total_a), len(total_b)) + 1)
+    lo, hi = np.full(len(a), least, dtype=np.int64), np.maximum(most, least)
+    while (lo < hi).any():
+        n = (lo + hi + 1) // 2
+        same = (total_a[a + n] - total_a[a]) * down[a] == (total_b[b + n] - total_b[b]) * down[b]
+        lo, hi = np.where(same, n, lo), np.where(same, hi, n - 1)
+    return lo
+
+
 def windows(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(starts, hashes) of the runs of k words inside one text."""
     counts = np.diff(first)

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import filter_audit, quality, source_divergence
+from lectern.llm import decontaminate, filter_audit, quality, source_divergence
+from lectern.llm import wordhash as W
 from lectern.llm.queries import QUERIES
 
 SPACE = " \t\n\r\x0b\x0c"
@@ -289,3 +290,53 @@ def test_stages_tell_rows_without_an_id_apart(spark, tmp_path):
     assert {r.text for r in left.collect()} == {r[1] for r in rows} - {near}
     clean = {r.text for r in P.drop_benchmark_copies(spark, docs, str(tmp_path)).collect()}
     assert clean == {r[1] for r in rows if leak not in r[1]}
+
+
+# ------------------------------------------------------------------ benchmark passages
+
+
+def _words_of(texts):
+    buf = W.LOWER[np.frombuffer("".join(texts).encode(), dtype=np.uint8)]
+    off = np.cumsum([0] + [len(t.encode()) for t in texts])
+    starts, ends, first = W.find_words(buf, off, W.ALNUM)
+    return W.run_hashes(buf, starts, ends), first
+
+
+def test_matches_reach_as_far_as_any_item():
+    rng = random.Random(3)
+    for _ in range(60):
+        items = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.randint(0, 14)))) for i in range(rng.randint(0, 9))]
+        docs = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 40))) for _ in range(4)]
+        block = decontaminate._Block(items, 4)
+        words, first = _words_of(docs)
+        (text, start, end, item, at), (of, held) = decontaminate._matches(block, block.ids(words), first)
+        got = {}
+        for t, s, e, i, p in zip(text, start, end, item, at):
+            assert docs[t].split()[s:e] == items[i][1].split()[p:p + e - s]
+            got.setdefault(int(t), []).append((int(s), int(e)))
+        for d, doc in enumerate(docs):
+            w = doc.split()
+            spans, names = set(), set()
+            for i, (_, other) in enumerate(items):
+                o = other.split()
+                for s in range(len(w)):
+                    for p in range(len(o) if len(o) >= 4 else min(len(o), 1)):
+                        n = 0
+                        while s + n < len(w) and p + n < len(o) and w[s + n] == o[p + n]:
+                            n += 1
+                        if n >= 4 or n and n == len(o):
+                            spans.add((s, s + n))
+                            names.add(i)
+            most = sorted(x for x in spans if not any(y != x and y[0] <= x[0] and x[1] <= y[1] for y in spans))
+            assert got.get(d, []) == most
+            assert sorted(held[of == d].tolist()) == sorted(names)
+
+
+def test_a_preamble_of_many_items_is_matched_once_a_place():
+    opening = " ".join(f"p{i}" for i in range(10))
+    items = [(f"i{i:04}", f"{opening} own{i} words{i} here{i}") for i in range(2000)]
+    block = decontaminate._Block(items, 10)
+    words, first = _words_of([(opening + " and then ") * 2000])
+    (_, start, end, _, _), (of, held) = decontaminate._matches(block, block.ids(words), first)
+    assert len(start) == 2000 and set((end - start).tolist()) == {10}
+    assert len(held) == 2000 and not of.any()
