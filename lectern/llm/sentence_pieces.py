@@ -1,19 +1,25 @@
 """SentencePiece encoding by forward filtering, backward sampling; lossless decoding.
 
-A text is cut before each blank and around each line break. In the lattice of a
-segment an edge is a piece of the vocabulary or, at a low weight, a single byte.
+A text is cut before each run of blanks and around each line break, where no piece
+runs on. In the lattice of a segment an edge is a piece of the vocabulary or, at a
+low weight, a single byte.
 Forward filtering sums the weights of all paths to every position; backward
 sampling draws the last piece from the exact distribution, then the one before
 it, down to the start. The random numbers are a hash of the row's key and the
 place in the text, so a row's segmentation can be repeated anywhere. Pieces
 spell the text's bytes exactly, so decoding returns the text.
 
-All segments of a slice are handled at once: the lattice is built for distinct
-segments, the sampling walks all occurrences in step.
+All short segments of a slice are handled at once: the lattice is built for distinct
+segments, the sampling walks all occurrences in step. A long segment (a script
+without blanks, say) keeps the sum of each position alone; its edges are made a
+block at a time, once on the way forth and once on the way back. Both draw by the
+same rule.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +35,8 @@ TEMPERATURE = 1.0          # weights are raised to 1 / TEMPERATURE
 _BYTE_WEIGHT = -14.0       # log weight of a byte that stands for itself
 _LONG = 48                 # bytes up to which lattices are built together
 _SLICE = 1 << 17           # bytes of text encoded at once: lattices take some hundred times their unique segments
+_BLOCK = 1 << 14           # bytes of a long segment whose edges are held at once
+_LEVEL = 2.4               # log weights are raised by this for each byte, which cancels and keeps sums near 1
 _PIECES = 1 << 17          # pieces decoded at once
 _FILTER_BITS = 18
 _FILTER = np.uint64((1 << _FILTER_BITS) - 1)
@@ -84,13 +92,57 @@ class Vocabulary:
 
 
 def _segments(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Where segments begin: at texts, blanks, line breaks and behind those."""
+    """Where segments begin: at texts, runs of blanks, line breaks and behind those.
+    Pieces hold blanks in front alone, or nothing but blanks."""
     begin = (buf == 32) | (buf == 10)
+    begin[1:] &= (buf[1:] == 10) | (buf[:-1] != 32)
     begin[1:] |= buf[:-1] == 10
     begin[off[:-1][off[:-1] < len(buf)]] = True
     return np.flatnonzero(begin)
 
 
+def _edges(vocab: Vocabulary, buf: np.ndarray, place: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(number of the place, bytes, weight, id) of all edges from the places, none
+    of more than ``room`` bytes: single bytes first, then pieces by length."""
+    at = np.arange(len(place), dtype=np.int32)
+    # no piece from here is longer than the longest with the same two bytes
+    reach = np.minimum(room, vocab.longest(buf, place))
+    froms, sizes = [at], [np.ones(len(at), dtype=np.int32)]
+    logs, ids = [np.full(len(at), _BYTE_WEIGHT)], [vocab.byte_ids[buf[place]]]
+    for n in sorted(vocab.by_length):
+        at = at[reach[at] >= n]
+        hit, weight, piece = vocab.find(buf, place[at], n)
+        froms.append(at[hit])
+        sizes.append(np.full(len(hit), n, dtype=np.int32))
+        logs.append(weight)
+        ids.append(piece)
+    return np.concatenate(froms), np.concatenate(sizes), np.concatenate(logs), np.concatenate(ids)
+
+
+def _likely_first(share: np.ndarray, target: np.ndarray, n_nodes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the edges by node, likely ones first; where each node's begin; their
+    cumulated probabilities)."""
+    order = np.argsort(target + (1.0 - share) * 0.999)
+    share = share[order]
+    first = np.concatenate([[0], np.cumsum(np.bincount(target, minlength=n_nodes))])
+    count = np.diff(first)
+    begin, last = first[:-1][count > 0], first[1:][count > 0] - 1
+    summed = np.cumsum(share)
+    key = summed - np.repeat((summed - share)[begin], count[count > 0])
+    key[last] = 2.0                                         # rounding must not leave a gap
+    return order, first, key
+
+
+def _draw(first: np.ndarray, key: np.ndarray, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The edge into each node that the uniform numbers choose."""
+    edge = first[node]
+    more = np.flatnonzero(key[edge] <= u)
+    while len(more):
+        edge[more] += 1
+        more = more[key[edge[more]] <= u[more]]
+    return edge
+
+
 class _Lattice:
     """The lattices of several segments as one table of edges.
 
@@ -106,26 +158,10 @@ class _Lattice:
         n_nodes = int((size + 1).sum())
         seg = np.repeat(np.arange(len(lo), dtype=np.int32), size)
         depth = (np.arange(len(seg), dtype=np.int32) - np.repeat((np.cumsum(size) - size).astype(np.int32), size))
-        place = lo[seg] + depth
-        node = self.base[seg] + depth
-        # no piece from here is longer than the longest with the same two bytes
-        reach = np.minimum(size[seg] - depth, vocab.longest(buf, place))
-        froms, tos, logs = [node], [node + 1], [np.full(len(node), _BYTE_WEIGHT)]
-        ids, depths = [vocab.byte_ids[buf[place]]], [depth + 1]
-        at = np.arange(len(node), dtype=np.int32)
-        for n in sorted(vocab.by_length):
-            at = at[reach[at] >= n]
-            hit, weight, piece = vocab.find(buf, place[at], n)
-            own = at[hit]
-            froms.append(node[own])
-            tos.append(node[own] + n)
-            logs.append(weight)
-            ids.append(piece)
-            depths.append(depth[own] + n)
-        source, target, deep = np.concatenate(froms), np.concatenate(tos), np.concatenate(depths).astype(np.uint8)
-        # a constant factor per byte keeps sums near 1 and cancels within a segment
-        weight = np.exp(np.concatenate(logs) + 2.4 * (target - source))
-        piece = np.concatenate(ids)
+        at, step, log, piece = _edges(vocab, buf, lo[seg] + depth, size[seg] - depth)
+        source = (self.base[seg] + depth)[at]
+        target, deep = source + step, (depth[at] + step).astype(np.uint8)
+        weight = np.exp(log + _LEVEL * step)
         total = np.zeros(n_nodes)
         total[self.base] = 1.0
         turn = np.argsort(deep, kind="stable")              # forward filtering, one depth at a time
@@ -135,24 +171,8 @@ class _Lattice:
             e = turn[a:b]
             path[e] = total[source[e]] * weight[e]
             np.add.at(total, target[e], path[e])
-        share = path / total[target]
-        order = np.argsort(target + (1.0 - share) * 0.999)  # by node, then likely edges first
-        share, self.source, self.piece = share[order], source[order], piece[order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(target, minlength=n_nodes))])
-        count = np.diff(self.first)
-        begin, last = self.first[:-1][count > 0], self.first[1:][count > 0] - 1
-        summed = np.cumsum(share)
-        self.key = summed - np.repeat((summed - share)[begin], count[count > 0])
-        self.key[last] = 2.0                                # rounding must not leave a gap
-
-    def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """The edge into each node that the uniform numbers choose."""
-        edge = self.first[node]
-        more = np.flatnonzero(self.key[edge] <= u)
-        while len(more):
-            edge[more] += 1
-            more = more[self.key[edge[more]] <= u[more]]
-        return edge
+        order, self.first, self.key = _likely_first(path / total[target], target, n_nodes)
+        self.source, self.piece = source[order], piece[order]
 
 
 def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -162,29 +182,61 @@ def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(38)).astype(np.float64) / float(1 << 26)
 
 
-def _sample_long(vocab: Vocabulary, data: bytes, seed: int, at: int) -> tuple[list[int], list[int]]:
-    """Pieces and begins of one long segment; sums are kept as logarithms."""
-    size, longest = len(data), max(vocab.by_length)
-    alpha = np.full(size + 1, -np.inf)
-    alpha[0] = 0.0
-    edges: list[list[tuple[int, float, int]]] = [[] for _ in range(size + 1)]
-    for end in range(1, size + 1):
-        own = [(end - 1, alpha[end - 1] + _BYTE_WEIGHT, int(vocab.byte_ids[data[end - 1]]))]
-        for begin in range(max(0, end - longest), end):
-            if (found := vocab.pieces.get(data[begin:end])) is not None:
-                own.append((begin, alpha[begin] + found[0], found[1]))
-        logs = np.array([e[1] for e in own])
-        alpha[end] = logs.max() + np.log(np.exp(logs - logs.max()).sum())
-        edges[end] = own
-    ids, begins, end = [], [], size
-    while end:
-        u = float(_uniform(np.array([seed], dtype=np.uint64), np.array([at + end]))[0])
-        share = np.cumsum(np.exp(np.array([e[1] for e in edges[end]]) - alpha[end]))
-        begin, _, piece = edges[end][min(int(np.searchsorted(share, u, side="right")), len(share) - 1)]
-        ids.append(piece)
-        begins.append(begin)
-        end = begin
-    return ids[::-1], begins[::-1]
+def _forward_long(vocab: Vocabulary, buf: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Logarithm of the summed weights of all paths from lo to each place up to hi."""
+    most = max(vocab.by_length)
+    logs = np.empty(hi - lo + 1)
+    sums, level = [1.0] + [0.0] * most, 0.0                 # the sums of the next places, as far as they are known
+    for a in range(lo, hi, _BLOCK):
+        place = np.arange(a, min(a + _BLOCK, hi))
+        at, step, log, _ = _edges(vocab, buf, place, hi - place)
+        order = np.argsort(at, kind="stable")
+        steps, weights = step[order].tolist(), np.exp(log + _LEVEL * step)[order].tolist()
+        cuts = np.cumsum(np.bincount(at, minlength=len(place))).tolist()
+        sums += [0.0] * len(place)
+        seen, levels, e = [], [], 0
+        for i, cut in enumerate(cuts):
+            x = sums[i]
+            if not 1e-100 < x < 1e100:
+                for j in range(i, i + most + 1):
+                    sums[j] /= x
+                level += math.log(x)
+                x = 1.0
+            seen.append(x)
+            levels.append(level)
+            while e < cut:
+                sums[i + steps[e]] += x * weights[e]
+                e += 1
+        logs[a - lo:a - lo + len(place)] = np.log(seen) + levels
+        sums = sums[len(place):]
+    logs[hi - lo] = math.log(sums[0]) + level
+    return logs
+
+
+def _sample_long(vocab: Vocabulary, buf: np.ndarray, lo: int, hi: int, seed: int, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """(begins, ids) of the pieces of one long segment of the text that begins at ``start``."""
+    most = max(vocab.by_length)
+    logs = _forward_long(vocab, buf, lo, hi)
+    where, what, end = [], [], hi
+    while end > lo:
+        a = max(lo, end - _BLOCK)                           # the nodes a + 1 to end
+        place = np.arange(max(lo, a + 1 - most), end)
+        at, step, log, piece = _edges(vocab, buf, place, hi - place)
+        target = place[at] + step
+        own = np.flatnonzero((target > a) & (target <= end))
+        source, target, piece = place[at[own]], target[own], piece[own]
+        share = np.exp(logs[source - lo] + log[own] + _LEVEL * step[own] - logs[target - lo])
+        order, first, key = _likely_first(share, target - a - 1, end - a)
+        node = np.arange(end - a)
+        edge = order[_draw(first, key, node, _uniform(np.array([seed], dtype=np.uint64), node + (a + 1 - start)))]
+        before, picks, base = source[edge].tolist(), [], a + 1
+        while end > a:
+            picks.append(end - base)
+            end = before[end - base]
+        edge = edge[picks]
+        where.append(source[edge])
+        what.append(piece[edge])
+    return np.concatenate(where), np.concatenate(what)
 
 
 def encode_slice(vocab: Vocabulary, buf: np.ndarray, off: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,22 +248,24 @@ def encode_slice(vocab: Vocabulary, buf: np.ndarray, off: np.ndarray, seeds: np.
     size = hi - lo
     where, what = [], []                                    # begin of each piece in the slice, its id
     short = np.flatnonzero(size <= _LONG)
-    if len(short):
-        _, pick, back = np.unique(hashes[short], return_index=True, return_inverse=True)
-        table = _Lattice(vocab, buf, lo[short][pick], hi[short][pick])
+    # a very long text is a slice alone: its segments are taken a slice's bytes at a time
+    parts = np.flatnonzero(np.diff(np.cumsum(size[short]) // _SLICE, prepend=-1)) if len(short) else []
+    for own in np.split(short, parts[1:]) if len(short) else []:
+        _, pick, back = np.unique(hashes[own], return_index=True, return_inverse=True)
+        table = _Lattice(vocab, buf, lo[own][pick], hi[own][pick])
         node, floor = table.end[back.reshape(-1)], table.base[back.reshape(-1)]
-        shift, seed, start = lo[short] - floor, seeds[text[short]], off[text[short]]
+        shift, seed, start = lo[own] - floor, seeds[text[own]], off[text[own]]
         while len(node):
-            edge = table.draw(node, _uniform(seed, node + shift - start))
+            edge = _draw(table.first, table.key, node, _uniform(seed, node + shift - start))
             node = table.source[edge]
             where.append(node + shift)
             what.append(table.piece[edge])
             go = node > floor
             node, floor, shift, seed, start = node[go], floor[go], shift[go], seed[go], start[go]
     for s in np.flatnonzero(size > _LONG).tolist():
-        ids, begins = _sample_long(vocab, buf[lo[s]:hi[s]].tobytes(), int(seeds[text[s]]), int(lo[s] - off[text[s]]))
-        where.append(np.array(begins, dtype=np.int64) + lo[s])
-        what.append(np.array(ids, dtype=np.int32))
+        begins, ids = _sample_long(vocab, buf, int(lo[s]), int(hi[s]), int(seeds[text[s]]), int(off[text[s]]))
+        where.append(begins)
+        what.append(ids)
     if not where:
         return np.zeros(0, dtype=np.int32), np.zeros(len(off), dtype=np.int64)
     # the begins are distinct places of the slice: marking them sorts the pieces
