@@ -405,7 +405,7 @@ def _lex_sql():
     return f"lex(word, label) AS (VALUES {rows})"
 
 
-_TONE_SQL = _lex_sql() + f""",
+_SCORED_SQL = f""",
 wt AS (SELECT article_id, window_index, n_tokens, regexp_extract_all(lower(text), '{O.TOK}') AS w FROM twin),
 hits AS (SELECT article_id, window_index, label, count(*) AS h
          FROM (SELECT article_id, window_index, unnest(w) AS word FROM wt) JOIN lex USING (word) GROUP BY ALL),
@@ -420,6 +420,8 @@ tone AS (SELECT article_id,
   sum(CASE WHEN label = 'critical' THEN score * n_tokens END) / sum(CASE WHEN label = 'critical' THEN n_tokens END) AS critical
   FROM ws GROUP BY article_id)"""
 
+_TONE_SQL = _lex_sql() + _SCORED_SQL
+
 
 def _round_tone(df):
     return df.select("article_id", *[F.round(lb, 6).alias(lb) for lb in ("academic", "militant", "hopeful", "critical")])
@@ -432,6 +434,41 @@ def q_tone_scores(spark, sf):
     return _round_tone(TN.score_articles(corpus.raw_articles(spark, sf), lexicon=corpus.TONE_WORDS))
 
 
+_SEED_ROWS = ", ".join(f"('{w}', '{lb}')" for lb, ws in corpus.TONE_SEEDS.items() for w in ws)
+_LEARNED_SQL = f"""
+seed(word, label) AS (VALUES {_SEED_ROWS}),
+unit AS (SELECT article_id, window_index, list_distinct(regexp_extract_all(lower(text), '{O.TOK}')) AS w FROM twin),
+mark AS (SELECT article_id, window_index, label, list_has_any(w, words) AS f
+         FROM unit CROSS JOIN (SELECT label, list(word) AS words FROM seed GROUP BY label)),
+total AS (SELECT label, count(*) AS n, count(*) FILTER (f) AS n_in FROM mark GROUP BY label),
+pair AS (SELECT word, label, count(*) AS n_word, count(*) FILTER (f) AS n_windows
+         FROM (SELECT article_id, window_index, unnest(w) AS word FROM unit) JOIN mark USING (article_id, window_index)
+         GROUP BY word, label),
+assoc AS (SELECT label, word, n_windows,
+                 round(ln((n_windows + 1.0) / (n_in + 2.0)) - ln((n_word - n_windows + 1.0) / (n - n_in + 2.0)), 6) AS score
+          FROM pair JOIN total USING (label)
+          WHERE n_windows >= {TN.LEARNED_WINDOWS} AND length(word) >= {TN.LEARNED_CHARS} AND word NOT IN (SELECT word FROM seed)),
+learned AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, word) AS rank
+                           FROM assoc WHERE score > 0) WHERE rank <= {TN.LEARNED_WORDS})"""
+
+
+@register("tone_words", O.with_(O.ART, _TW_SQL, _LEARNED_SQL) + """
+SELECT label, word, n_windows, score, rank FROM learned""")
+def q_tone_words(spark, sf):
+    return normalize(TN.learn_tone_words(TN.token_windows(corpus.raw_articles(spark, sf)), corpus.TONE_SEEDS))
+
+
+@register("tone_scores_learned", O.with_(O.ART, _TW_SQL, _LEARNED_SQL, """
+lex AS (SELECT word, label FROM seed UNION SELECT word, label FROM learned)""" + _SCORED_SQL) + """
+SELECT article_id, round(academic, 6) AS academic, round(militant, 6) AS militant,
+       round(hopeful, 6) AS hopeful, round(critical, 6) AS critical FROM tone""")
+def q_tone_scores_learned(spark, sf):
+    """The tone of all articles by seeds and the words learned from them."""
+    windows = written(TN.token_windows(corpus.raw_articles(spark, sf)), "token_windows")
+    lexicon = TN.learned_lexicon(TN.learn_tone_words(windows, corpus.TONE_SEEDS), corpus.TONE_SEEDS)
+    return _round_tone(TN.tone_scores(TN.lexical_window_scores(windows, lexicon)))
+
+
 # more registrations live in sibling modules; importing them fills QUERIES / ORACLES
 from lectern.plans import catalog_views  # noqa: E402,F401
 from lectern.plans import catalog_store  # noqa: E402,F401

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from lectern.operators import bm25 as BM
 from lectern.operators import shortlist as SL
 from lectern.operators import textindex as TI
 from lectern.operators.encode import encode_queries
@@ -15,6 +16,7 @@ from lectern.plans import corpus, evaluation as EV
 from lectern.plans import oracle_sql as O
 from lectern.plans.catalog import _QUOTE, _TONE_SQL, _TW_SQL, _search, normalize, register
 from lectern.plans.catalog_views import STOP_SQL
+from lectern.plans.quote_search import quote_search
 from lectern.config import IVFFLAT_LISTS, IVFFLAT_PROBES, TONE_LABELS
 from lectern.session import ensure_checkpoint_dir, written
 from lectern.sources.tables import queries_table
@@ -108,6 +110,19 @@ def q_candidate_chunks(spark, sf):
     return normalize(stages["fetched"].select("article_id", "position"))
 
 
+@register("quote_hits_bm25", O.with_(O.ART, O.chunks_cte(), O.shortlist_cte(), O.quote_cte(
+    scorer=O.bm25_cte(BM.K1, BM.B, BM.PROXIMITY), score="bm.score")) + """
+SELECT h.query_id, h.hit_rank, h.chunk_position, h.window_index, h.text, h.score, h.article_id, a.url AS article_url
+FROM hits h JOIN art a USING (article_id)""")
+def q_quote_hits_bm25(spark, sf):
+    """E1 with windows scored by BM25 and proximity, from statistics of all chunks."""
+    cv = written(corpus.chunk_vectors(spark, sf), "chunk_vectors")
+    hits = quote_search(queries_table(spark, sf), cv, corpus.serving_articles(spark, sf),
+                        statistics=BM.corpus_statistics(cv))
+    return normalize(hits.select("query_id", "hit_rank", "chunk_position", "window_index", "text", "score",
+                                 "article_id", "article_url"))
+
+
 # Registered twice: the default number of lists and probes, and fewer of both.
 IVF_FEW = (16, 4)
 

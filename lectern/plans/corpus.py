@@ -26,6 +26,9 @@ TONE_WORDS = {
     "critical": ("enheit", "enkeit", "thanedble", "thedre", "the", "der"),
 }
 
+# Seeds from which the registered queries learn further tone words.
+TONE_SEEDS = {label: words[:2] for label, words in TONE_WORDS.items()}
+
 
 def scan_nonblank(articles: DataFrame) -> DataFrame:
     """Drop rows whose text is null or only spaces (SQL trim)."""

@@ -159,8 +159,47 @@ win AS (
   FROM sw2)"""
 
 
-def quote_cte(limit: int = DEFAULT_RESULT_LIMIT, max_windows: int = RERANK_MAX_WINDOWS) -> str:
-    """E1 after the shortlist: -> hits."""
+# M4 default: the share of the query's distinct tokens that the window holds, by its length
+OVERLAP_SCORE = f"""round(CASE WHEN len(regexp_extract_all(lower(w.text), '{TOK}')) = 0
+                      OR len(list_distinct(regexp_extract_all(lower(q.query), '{TOK}'))) = 0 THEN 0.0
+                    ELSE CAST(len(list_intersect(list_distinct(regexp_extract_all(lower(q.query), '{TOK}')),
+                                                 list_distinct(regexp_extract_all(lower(w.text), '{TOK}')))) AS DOUBLE)
+                         / len(list_distinct(regexp_extract_all(lower(q.query), '{TOK}')))
+                         / sqrt(CAST(len(regexp_extract_all(lower(w.text), '{TOK}')) AS DOUBLE)) END, 6)"""
+
+
+def bm25_cte(k1: float, b: float, proximity: float) -> str:
+    """M4, BM25 with proximity over the capped windows -> bm(query_id, article_id, window_index, score)."""
+    key = "query_id, article_id, window_index"
+    return f"""
+ctk AS (SELECT article_id, idx, regexp_extract_all(lower(chunk_text), '{TOK}') AS t FROM chunks),
+cst AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM ctk),
+cdf AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT article_id, idx, unnest(t) AS term FROM ctk) GROUP BY term),
+qtm AS (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(query), '{TOK}')) AS term FROM qry),
+qid AS (SELECT query_id, term, ln(1 + (n - coalesce(df, 0) + 0.5) / (coalesce(df, 0) + 0.5)) AS idf
+        FROM qtm LEFT JOIN cdf USING (term) CROSS JOIN cst),
+wtk AS (SELECT c.query_id, c.article_id, c.window_index, regexp_extract_all(lower(w.text), '{TOK}') AS t
+        FROM capped c JOIN win w USING (article_id, window_index)),
+wex AS (SELECT {key}, len(t) AS l, unnest(t) AS term, generate_subscripts(t, 1) AS p FROM wtk),
+occ AS (SELECT {key}, l, term, p, idf FROM wex JOIN qid USING (query_id, term)),
+tfs AS (SELECT {key}, term, any_value(idf) AS idf, any_value(l) AS l, count(*) AS tf FROM occ GROUP BY {key}, term),
+bms AS (SELECT {key}, count(*) AS m,
+               sum(idf * tf * {k1 + 1} / (tf + {k1} * (1 - {b} + {b} * l / (SELECT mean FROM cst)))) AS s
+        FROM tfs GROUP BY {key}),
+lst AS (SELECT e.query_id, e.article_id, e.window_index, e.p, o.term, max(o.p) AS q FROM occ e JOIN occ o
+          ON o.query_id = e.query_id AND o.article_id = e.article_id AND o.window_index = e.window_index AND o.p <= e.p
+        GROUP BY e.query_id, e.article_id, e.window_index, e.p, o.term),
+spn AS (SELECT {key}, min(width) AS span FROM (
+          SELECT {key}, l.p - min(l.q) + 1 AS width FROM lst l JOIN bms USING ({key})
+          GROUP BY {key}, l.p, bms.m HAVING count(*) = bms.m) GROUP BY {key}),
+bm AS (SELECT {key}, round(coalesce(CASE WHEN m > 1 THEN s * (1 + {proximity} * m / span) ELSE s END, 0.0), 6) AS score
+       FROM capped LEFT JOIN bms USING ({key}) LEFT JOIN spn USING ({key})),"""
+
+
+def quote_cte(limit: int = DEFAULT_RESULT_LIMIT, max_windows: int = RERANK_MAX_WINDOWS, scorer: str = "",
+              score: str = OVERLAP_SCORE) -> str:
+    """E1 after the shortlist: -> hits. ``scorer`` holds the CTEs of another scorer, which
+    end in bm, and ``score`` its column."""
     return f"""
 ar AS (SELECT query_id, article_id,
               row_number() OVER (PARTITION BY query_id ORDER BY max(score) DESC, min(rank)) AS article_rank
@@ -187,20 +226,15 @@ home AS (
     JOIN win w USING (article_id, window_index)
     JOIN rspan s ON s.article_id = w.article_id
     WHERE least(w."end", s."end") - greatest(w.start, s.start) > 0) WHERE r = 1),
-firstpos AS (SELECT article_id, min(position) AS fp FROM rspan GROUP BY article_id),
+firstpos AS (SELECT article_id, min(position) AS fp FROM rspan GROUP BY article_id),{scorer}
 scored AS (
   SELECT c.query_id, c.article_id, c.article_rank, c.window_index, w.window_count,
          coalesce(h.chunk_position, f.fp) AS chunk_position, w.start, w."end", w.text,
-         round(CASE WHEN len(regexp_extract_all(lower(w.text), '{TOK}')) = 0
-                      OR len(list_distinct(regexp_extract_all(lower(q.query), '{TOK}'))) = 0 THEN 0.0
-                    ELSE CAST(len(list_intersect(list_distinct(regexp_extract_all(lower(q.query), '{TOK}')),
-                                                 list_distinct(regexp_extract_all(lower(w.text), '{TOK}')))) AS DOUBLE)
-                         / len(list_distinct(regexp_extract_all(lower(q.query), '{TOK}')))
-                         / sqrt(CAST(len(regexp_extract_all(lower(w.text), '{TOK}')) AS DOUBLE)) END, 6) AS score
+         {score} AS score
   FROM capped c JOIN win w USING (article_id, window_index)
   LEFT JOIN home h USING (article_id, window_index)
   JOIN firstpos f USING (article_id)
-  JOIN qry q USING (query_id)),
+  JOIN qry q USING (query_id){' JOIN bm USING (query_id, article_id, window_index)' if scorer else ''}),
 gr AS (SELECT *, row_number() OVER (PARTITION BY query_id, article_id ORDER BY score DESC, window_index) AS g
        FROM scored),
 greedy AS (

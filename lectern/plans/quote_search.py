@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.config import DEFAULT_RESULT_LIMIT, MAX_QUERY_CHARS, MAX_QUOTE_LIMIT, RERANK_MAX_WINDOWS, RETRIEVAL_CANDIDATES
+from lectern.operators.bm25 import Statistics, score_bm25
 from lectern.operators.chunk import reconstruct_articles
 from lectern.operators.encode import encode_queries
 from lectern.operators.rerank import greedy_non_overlapping, score_windows, top_hits
@@ -76,11 +77,14 @@ def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFra
                  max_windows: int = RERANK_MAX_WINDOWS, encoder_factory=None,
                  scorer_factory=None, stages: dict | None = None, materialize: bool = True,
                  topic_id: int | None = None, tag: str | None = None,
-                 article_tags: DataFrame | None = None) -> DataFrame:
+                 article_tags: DataFrame | None = None, statistics: Statistics | None = None) -> DataFrame:
     """queries: (query_id, query); chunk_vectors: (article_id, position, text,
     embedding); articles: serving articles (id, title, url, author,
     published_at, topic_id). With ``topic_id`` or ``tag`` only chunks of such
-    articles are searched; a tag needs article_tags (article_id, name)."""
+    articles are searched; a tag needs article_tags (article_id, name). With
+    ``statistics`` of the chunks, windows are scored by BM25 with proximity."""
+    if statistics is not None and scorer_factory is not None:
+        raise ValueError("windows are scored by BM25 or by a scorer of one's own, not by both")
     validate_request(limit, k, max_windows)
     require_queries(queries)
     qv = encode_queries(queries, encoder_factory)
@@ -111,8 +115,11 @@ def quote_search(queries: DataFrame, chunk_vectors: DataFrame, articles: DataFra
     home = window_home_chunk(capped.select("article_id", "window_index", "start", "end"), spans)
     capped = capped.join(home, ["article_id", "window_index"])
     capped = window_texts(capped, rebuilt)
-    pairs = capped.join(queries.select("query_id", "query"), "query_id")
-    scored = score_windows(pairs, scorer_factory).drop("query")
+    asked = queries.select("query_id", "query")
+    if statistics is not None:
+        scored = score_bm25(capped, asked, statistics)
+    else:
+        scored = score_windows(capped.join(asked, "query_id"), scorer_factory).drop("query")
     kept = greedy_non_overlapping(
         scored.select("query_id", "article_id", "article_rank", "window_index", "window_count",
                       "chunk_position", "start", "end", "text", "score"))
