@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lectern.operators import bm25 as BM
 from lectern.operators import shortlist as SL
 from lectern.operators import textindex as TI
-from lectern.operators.encode import encode_queries
+from lectern.operators.encode import encode_chunks, encode_queries
+from lectern.operators.latent import fit_latent
 from lectern.functions.tokens import TOKEN_PATTERN
 from lectern.plans import corpus, evaluation as EV
 from lectern.plans import oracle_sql as O
@@ -102,6 +103,18 @@ def q_eval_hits(spark, sf):
     return EV.eval_hits(hits, queries_table(spark, sf), corpus.serving_articles(spark, sf))
 
 
+@register("eval_hits_latent")
+def q_eval_hits_latent(spark, sf):
+    """The evaluation with vectors of the encoder trained on all chunks (no SQL form:
+    pytest holds the model against plain numpy)."""
+    made = written(corpus.chunks(spark, sf), "chunks")
+    encoder = fit_latent(made, "chunk_text").encoder(spark)
+    cv = written(corpus.remap_chunks(encode_chunks(made, encoder)), "chunk_vectors")
+    arts = corpus.serving_articles(spark, sf)
+    hits = quote_search(queries_table(spark, sf), cv, arts, encoder_factory=encoder)
+    return EV.eval_hits(hits, queries_table(spark, sf), arts)
+
+
 @register("candidate_chunks", O.with_(O.ART, O.chunks_cte(), O.shortlist_cte()) + """
 SELECT article_id, idx AS position FROM chunks WHERE article_id IN (SELECT article_id FROM sl)""")
 def q_candidate_chunks(spark, sf):
