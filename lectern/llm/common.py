@@ -15,8 +15,6 @@ input column of such a name may be dropped.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -27,10 +25,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions.arrow import SLICE_BYTES, lean, row_slices  # noqa: F401  (used by the operators)
 from lectern.session import ensure_checkpoint_dir, ship_package
 
 SIEVE_BITS = 26            # 2**26 bits: 8 MB
-SLICE_BYTES = 1 << 20      # text handled at once by the numpy code (a longer text is a slice alone)
 _BITMAP_BITS = 32768       # bits of one bitmap of Spark's bitmap functions
 
 
@@ -149,33 +147,6 @@ def counted(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _tidy() -> None:
-    """Give freed memory back: idle workers must not hold what a task needed."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):       # not every C library can
-        ctypes.CDLL(None).malloc_trim(0)
-
-
-def lean(run):
-    """An Arrow stage whose worker gives its memory back when its task ends."""
-    def stage(batches):
-        try:
-            yield from run(batches)
-        finally:
-            _tidy()
-    return stage
-
-
-def row_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of whole rows with at most ``limit`` bytes of text, or one longer row."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(int(np.searchsorted(size, (size[lo - 1] if lo else 0) + limit, side="right")), lo + 1)
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES
                 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, past the last row, bytes, offsets) over a string column.

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.config import EMBEDDING_DIMENSION
+from lectern.functions.arrow import lean
 from lectern.functions.models import model_key, worker_model
 from lectern.functions.tokens import py_bucket, py_tokens
 
@@ -94,7 +95,7 @@ def encode_column(df: DataFrame, text_col: str, out_col: str = "embedding",
     factory = encoder_factory or hashed_encoder(dim)
     schema = T.StructType(df.schema.fields + [
         T.StructField(out_col, T.ArrayType(T.FloatType(), containsNull=False), True)])
-    return df.mapInArrow(_encode_batches(factory, dim, text_col, out_col), schema)
+    return df.mapInArrow(lean(_encode_batches(factory, dim, text_col, out_col)), schema)
 
 
 def encode_chunks(chunks: DataFrame, encoder_factory=None,
