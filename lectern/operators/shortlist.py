@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.config import BROADCAST_LIMIT_BYTES, RETRIEVAL_CANDIDATES
+from lectern.functions.arrow import lean
 from lectern.session import ensure_checkpoint_dir, written
 
 SCORE_DIGITS = 6
@@ -151,7 +152,7 @@ def shortlist(queries: DataFrame, corpus: DataFrame, k: int = RETRIEVAL_CANDIDAT
     parts = []
     for qids, qmat in collect_queries(queries):
         fn = _partial_topk(qids.astype(np.int64), qmat, k, list(id_cols), vec_col)
-        parts.append(base.mapInArrow(fn, schema))
+        parts.append(base.mapInArrow(lean(fn), schema))
     if not parts:
         return spark.createDataFrame([], schema + ", rank int")
     cand = parts[0]
@@ -169,25 +170,177 @@ def shortlist(queries: DataFrame, corpus: DataFrame, k: int = RETRIEVAL_CANDIDAT
 # ------------------------------------------------------------------ M9: inverted-file lists
 
 
-def build_lists(corpus: DataFrame, n_lists: int, seed: int = 42, vec_col: str = "embedding",
-                max_iter: int = 20):
-    """Cluster the corpus vectors into ``n_lists`` lists (cosine k-means).
-
-    Returns (centroids (list_id, embedding), corpus + list_id)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    v = corpus.withColumn("_v", array_to_vector(F.col(vec_col)))
-    v = v.where(F.aggregate(F.col(vec_col), F.lit(0.0), lambda a, x: a + F.abs(x)) > 0)
-    model = KMeans(k=n_lists, seed=seed, featuresCol="_v", predictionCol="list_id",
-                   distanceMeasure="cosine", maxIter=max_iter).fit(v)
-    assigned = model.transform(v).drop("_v").withColumn("list_id", F.col("list_id").cast("int"))
-    cents = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    spark = corpus.sparkSession
-    centroids = spark.createDataFrame(cents, "list_id int, embedding array<double>")
-    return centroids, assigned.select(*corpus.columns, "list_id")
+LIST_ROUNDS = 20
+_TOLERANCE = 1e-4          # no centre moved further in a round: the lists are settled
+
+
+def _unit_tiles(batches, vec_col: str):
+    """(rows, their vectors brought to length 1); vectors without length are left out."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, _LIST_TILE):
+            some = batch.slice(lo, _LIST_TILE)
+            mat = _matrix(some.column(vec_col), some.num_rows)
+            length = np.sqrt((mat * mat).sum(axis=1))
+            if not length.all():
+                some, mat, length = some.filter(pa.array(length > 0)), mat[length > 0], length[length > 0]
+            if len(mat):
+                yield some, (mat / length[:, None]).astype(np.float32)
+
+
+_LIST_TILE = 2048          # vectors compared with all centres at once
+
+
+def _list_sums(centres: np.ndarray, vec_col: str):
+    """(list_id, n, total): of a task's vectors, the sums by nearest centre."""
+    def run(batches):
+        total, n = np.zeros(centres.shape), np.zeros(len(centres), dtype=np.int64)
+        for _, x in _unit_tiles(batches, vec_col):
+            own = (x @ centres.T).argmax(axis=1)
+            order = np.argsort(own, kind="stable")
+            ids, first = np.unique(own[order], return_index=True)
+            total[ids] += np.add.reduceat(x[order].astype(np.float64), first, axis=0)
+            n += np.bincount(own, minlength=len(n))
+        ids = np.flatnonzero(n)
+        if len(ids):
+            yield _sum_rows(ids, n[ids], total[ids])
+    return run
+
+
+def _sum_rows(ids: np.ndarray, n: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array(np.arange(0, total.size + 1, total.shape[1], dtype=np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(n), pa.ListArray.from_arrays(
+        offsets, pa.array(total.reshape(-1)))], ["list_id", "n", "total"])
+
+
+def _merge_sums(batches):
+    n, total = {}, {}
+    for batch in batches:
+        mat = _matrix(batch.column("total"), batch.num_rows)
+        for i, k, row in zip(batch.column("list_id").to_pylist(), batch.column("n").to_pylist(), mat):
+            n[i], total[i] = n.get(i, 0) + k, total[i] + row if i in total else row
+    if n:
+        ids = sorted(n)
+        yield _sum_rows(np.array(ids), np.array([n[i] for i in ids]), np.stack([total[i] for i in ids]))
 
 
+def _first_centres(rows: DataFrame, n_lists: int, seed: int, vec_col: str) -> np.ndarray:
+    """Different vectors with length, those of the smallest hashes."""
+    keyed = rows.select(vec_col, F.xxhash64(F.lit(seed), F.col(vec_col)).alias("_h"))
+    spare = n_lists + 8                                    # one hash is that of vectors without length
+    keys = keyed.select("_h").distinct().orderBy("_h").limit(spare)
+    own = keyed.join(F.broadcast(keys), "_h").groupBy("_h").agg(F.first(vec_col).alias("v")).orderBy("_h").collect()
+    mat = np.array([r["v"] for r in own], dtype=np.float64)
+    length = np.sqrt((mat * mat).sum(axis=1)) if len(mat) else np.zeros(0)
+    return (mat[length > 0] / length[length > 0][:, None])[:n_lists].astype(np.float32)
+
+
+SEED_STEPS = 2             # passes that draw candidates for the first centres
+_SEED_ROUNDS = 30          # rounds of k-means over the candidates
+
+
+def _far(centres: np.ndarray, vec_col: str, scale: float | None):
+    """A task's sum of distances to the nearest centre or, with ``scale``, the unit
+    vectors whose draw ``_u`` is below the scaled distance."""
+    def run(batches):
+        total = 0.0
+        for some, x in _unit_tiles(batches, vec_col):
+            far = 1.0 - np.minimum((x @ centres.T).max(axis=1).astype(np.float64), 1.0)
+            total += far.sum()
+            if scale is not None:
+                x = x[some.column("_u").to_numpy() < far * scale]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(
+                        pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.reshape(-1)))], ["v"])
+        if scale is None:
+            yield pa.RecordBatch.from_arrays([pa.array([total])], ["far"])
+    return run
+
+
+def _best_seeds(x: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Weighted k-means over candidates, begun far apart (k-means++)."""
+    rng = np.random.default_rng(seed)
+    own = [int(rng.choice(len(x), p=weight / weight.sum()))]
+    far = 1.0 - np.minimum(x @ x[own[0]], 1.0)
+    while len(own) < min(k, len(x)):
+        p = np.maximum(far, 0.0) * weight
+        p[own] = 0.0
+        if p.sum() <= 0:
+            break
+        own.append(int(rng.choice(len(x), p=p / p.sum())))
+        far = np.minimum(far, 1.0 - np.minimum(x @ x[own[-1]], 1.0))
+    c = x[own]
+    for _ in range(_SEED_ROUNDS):
+        near = (x @ c.T).argmax(axis=1)
+        total = np.zeros(c.shape)
+        np.add.at(total, near, x * weight[:, None])
+        length = np.sqrt((total * total).sum(axis=1))
+        c = np.where(length[:, None] > 0, total / np.maximum(length, 1e-300)[:, None], c)
+    return c.astype(np.float32)
+
+
+def _seeds(rows: DataFrame, n_lists: int, seed: int, vec_col: str, tasks: int) -> np.ndarray:
+    """First centres from passes over all vectors (k-means||): in each, vectors far
+    from the candidates are likelier drawn, some twice as many as lists; candidates
+    then count the vectors that are nearest to them."""
+    found = _first_centres(rows, n_lists, seed, vec_col)
+    if len(found) < n_lists:
+        return found                                       # no more different vectors than lists
+    have = found[:1]
+    for step in range(SEED_STEPS):
+        far = (rows.select(vec_col).mapInArrow(lean(_far(have, vec_col, None)), "far double").agg(F.sum("far")).first()[0] or 0.0)
+        if far <= 0:
+            break
+        u = F.xxhash64(F.lit(seed + 1 + step), F.col(vec_col)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+        drawn = rows.select(vec_col, u.alias("_u")).mapInArrow(
+            lean(_far(have, vec_col, 2.0 * n_lists / far)), "v array<float>").distinct().collect()
+        if drawn:
+            have = np.concatenate([have, np.array([r["v"] for r in drawn], dtype=np.float32)])
+    have = np.unique(np.concatenate([have, found]), axis=0)
+    weight = np.zeros(len(have))
+    for r in _sums(rows, have, vec_col, tasks):
+        weight[r["list_id"]] = r["n"]
+    return _best_seeds(have.astype(np.float64), np.maximum(weight, 1e-9), n_lists, seed)
+
+
+def _sums(rows: DataFrame, centres: np.ndarray, vec_col: str, tasks: int) -> list:
+    return (rows.select(vec_col).mapInArrow(lean(_list_sums(centres, vec_col)), _SUMS)
+            .repartition(tasks, "list_id").mapInArrow(lean(_merge_sums), _SUMS).collect())
+
+
+def build_lists(corpus: DataFrame, n_lists: int, seed: int = 42, vec_col: str = "embedding",
+                max_iter: int = LIST_ROUNDS):
+    """Cluster the corpus vectors into ``n_lists`` lists (cosine k-means over all of them).
+
+    A round is one pass: each task multiplies its vectors with the centres and passes
+    on a sum per list; a list's sums meet in one task. As many centres as lists reach
+    the driver. Returns (centroids (list_id, embedding), corpus + list_id)."""
+    from pyspark.sql import types as T
+    spark = corpus.sparkSession
+    rows = corpus.where(F.col(vec_col).isNotNull())
+    tasks = max(1, min(n_lists, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    centres = _seeds(rows, n_lists, seed, vec_col, tasks)
+    for _ in range(max_iter if len(centres) else 0):
+        new = centres.astype(np.float64)
+        for r in _sums(rows, centres, vec_col, tasks):
+            total = np.array(r["total"])
+            length = np.sqrt((total * total).sum())
+            if length > 0:
+                new[r["list_id"]] = total / length
+        moved = np.sqrt(((new - centres) ** 2).sum(axis=1)).max()
+        centres = new.astype(np.float32)
+        if moved <= _TOLERANCE:
+            break
+
+    def assign(batches):
+        for some, x in _unit_tiles(batches, vec_col):
+            yield some.append_column("list_id", pa.array((x @ centres.T).argmax(axis=1).astype(np.int32)))
+    schema = T.StructType([*rows.schema.fields, T.StructField("list_id", T.IntegerType())])
+    centroids = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)],
+                                      "list_id int, embedding array<double>")
+    return centroids, rows.mapInArrow(lean(assign), schema)
+
+
+_SUMS = "list_id int, n long, total array<double>"
 LIST_FILE_ROWS = 1 << 17
 
 
@@ -196,10 +349,10 @@ def write_lists(corpus: DataFrame, n_lists: int, path: str | None = None, vec_co
     centroids, assigned = build_lists(corpus, n_lists, vec_col=vec_col, **options)
     spark = corpus.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/lists-{uuid.uuid4().hex}"
-    sizes = assigned.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(LIST_FILE_ROWS)).cast("int").alias("_files"))
-    # a large list is written by several tasks
-    (assigned.join(sizes, "list_id").withColumn("_file", F.pmod(F.xxhash64(vec_col), F.col("_files")))
-     .repartition("list_id", "_file").drop("_files", "_file").write.partitionBy("list_id").parquet(path))
+    # ranges of about as many rows each: a large list is written by several tasks, small ones share one
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-corpus.count() // LIST_FILE_ROWS))
+    (assigned.withColumn("_place", F.xxhash64(F.monotonically_increasing_id()))
+     .repartitionByRange(tasks, "list_id", "_place").drop("_place").write.partitionBy("list_id").parquet(path))
     return centroids, path
 
 
@@ -218,6 +371,7 @@ def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame,
     probe = (cs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= probes)
              .select(F.col("article_id").alias("query_id"), F.col("topic_id").alias("list_id")))
     probe = written(probe, "probes")
+    spark = queries.sparkSession
     # where the lists are folders, those that no query probes are not read
     asked = [r["list_id"] for r in probe.select("list_id").distinct().collect()]     # as many as lists, at most
     indexed = indexed.where(F.col("list_id").isin(asked))
@@ -229,6 +383,9 @@ def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame,
     asking = (probe.join(sizes, "list_id").join(queries.select("query_id", F.col("embedding").alias("_q")), "query_id")
               .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces"))
     types = {f.name: f.dataType.simpleString() for f in members.schema.fields}
+    # tasks grow in number with the pieces, not in size
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(sizes.agg(F.sum("pieces")).first()[0] or 0) // TASK_PIECES))
+    members, asking = (x.repartition(tasks, "list_id", "piece") for x in (members, asking))
     near = members.groupBy("list_id", "piece").cogroup(asking.groupBy("list_id", "piece")).applyInArrow(
         _best_of_block(k, list(id_cols), vec_col), "query_id long, " + ", ".join(f"{c} {types[c]}" for c in id_cols) + ", score double")
     rw = Window.partitionBy("query_id").orderBy(F.desc("score"), *[F.asc(c) for c in id_cols])
@@ -236,6 +393,7 @@ def ivf_shortlist(queries: DataFrame, indexed: DataFrame, centroids: DataFrame,
 
 
 LIST_PIECE = 4096           # vectors of a list that a task holds at once, about
+TASK_PIECES = 8             # pieces that a task reads, about
 _PRODUCT = 1 << 22          # scores computed at once
 
 
