@@ -181,10 +181,14 @@ loaded AS (SELECT a.article_id, trim(a.url, """ + O.WS + """) AS url, sha256(a.t
            FROM art a LEFT JOIN best b USING (article_id))""")
 
 
+LANDINGS = 2                # times that new shards land
+
+
 def _ingested(spark, sf):
-    """Land the raw articles as several shards and stream them, some shards a
-    micro-batch, into a store; then stream them all once more, which finds nothing
-    new. Topics come from centroids saved beforehand."""
+    """Land the raw articles in several goes, in the order of urls, each as several
+    shards, and stream every landing into a store as one micro-batch; then stream
+    them all once more, which finds nothing new. Topics come from centroids saved
+    beforehand."""
     from lectern.operators.buckets import read_store
     from lectern.operators.vectors import centroids, mean_pool
     from lectern.sources.files import write_raw_shards
@@ -195,21 +199,37 @@ def _ingested(spark, sf):
                     "saved_centroids")
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    write_raw_shards(corpus.raw_articles(spark, sf).repartition(shards, "url"), f"{base}/landing")
-    for run in ("first", "again"):
-        start_ingest(spark, f"{base}/landing", f"{base}/store", f"{base}/checkpoint-{run}", saved,
-                     lexicon=corpus.TONE_WORDS, max_files=max(1, shards // 2)).awaitTermination()
+    raw = corpus.raw_articles(spark, sf)
+
+    def ingest(run: str, max_files: int) -> None:
+        start_ingest(spark, f"{base}/landing/*", f"{base}/store", f"{base}/checkpoint-{run}", saved,
+                     lexicon=corpus.TONE_WORDS, max_files=max_files).awaitTermination()
+    # a url's landing is its place among the ranges, so that ids follow the order of urls over all landings
+    key = F.trim("url")
+    ranges = max(shards, LANDINGS)
+    placed = raw.select(key.alias("_url")).repartitionByRange(ranges, "_url").select("_url", F.spark_partition_id().alias("_p"))
+    ends = {r["_p"]: r["top"] for r in placed.groupBy("_p").agg(F.max("_url").alias("top")).collect()}   # a row a range
+    tops = [max((top for p, top in ends.items() if p < ranges * (k + 1) // LANDINGS and top is not None), default=None)
+            for k in range(LANDINGS - 1)]
+    for k in range(LANDINGS):
+        own = raw
+        if k and tops[k - 1] is not None:
+            own = own.where(key > tops[k - 1])
+        if k < LANDINGS - 1:
+            own = own.where(key.isNull() | (key <= tops[k])) if tops[k] is not None else own.where(key.isNull())
+        # files without a limit of rows: a landing has as many as shards, at most
+        write_raw_shards(own.repartition(shards, "url"), f"{base}/landing/{k}", rows_per_file=0)
+        ingest("first", shards)
+    ingest("again", shards)
     return read_store(spark, f"{base}/store")
 
 
-@register("incremental_ingest", _INGEST_SQL + """
-SELECT url, content_hash, topic_id, count(*) OVER () AS n_ids, count(*) OVER () AS max_id FROM loaded""")
+@register("incremental_ingest", _INGEST_SQL + f"""
+SELECT row_number() OVER (ORDER BY url) AS id, url, content_hash, topic_id FROM loaded""")
 def q_incremental_ingest(spark, sf):
-    """E5: the store after a stream of micro-batches and a replay. Ids follow the
-    order of arrival; they are dense and each is given once."""
-    a = _ingested(spark, sf)["articles"]
-    ids = a.agg(F.countDistinct("id").alias("n_ids"), F.max("id").alias("max_id"))
-    return normalize(a.select("url", "content_hash", "topic_id").join(F.broadcast(ids)))
+    """E5: the store after a stream of micro-batches and a replay, with every id: they
+    are dense, and as articles land in the order of urls, they follow it."""
+    return normalize(_ingested(spark, sf)["articles"].select("id", "url", "content_hash", "topic_id"))
 
 
 @register("ingest_views", _INGEST_SQL + "," + _TW_SQL + "," + _TONE_SQL + """
