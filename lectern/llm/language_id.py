@@ -4,10 +4,10 @@ A text is a vector of byte bigrams and trigrams (A-Z lower-cased, every other
 ASCII character that is no letter a blank), hashed to a fixed number of
 buckets, weighted by 1 + log tf and the inverse document frequency and brought
 to length 1. Each language has several centroids, found by spherical k-means
-over a bounded sample; a text gets the language of the nearest one by cosine. It
+over all distinct texts; a text gets the language of the nearest one by cosine. It
 is rejected where its cosine is below a floor of that language for texts of its
 size (the power of two of its distinct n-grams, since short texts are far from
-every centroid): a share of a low quantile of the sample's cosines, so that no
+every centroid): a share of a low quantile of the texts' cosines, so that no
 single odd text sets it.
 """
 
@@ -27,9 +27,8 @@ from lectern.llm.common import lean, prepare, shared_table, text_slices
 UNKNOWN = "und"
 BUCKETS = 2048
 CENTROIDS = 4              # per language
-SAMPLE = 1000              # distinct texts per language that the centroids are fitted on, at most
 ROUNDS = 10
-MARGIN = 0.5               # rejected below this share of the low quantile of the sample's cosines
+MARGIN = 0.5               # rejected below this share of the low quantile of the texts' cosines
 LOW = 0.05                 # that quantile
 LEAST = 30                 # cosines that a quantile is taken from, at least
 SIZES = BUCKETS.bit_length()    # classes of texts by the power of two of their distinct n-grams
@@ -98,95 +97,207 @@ def _document_frequency(text_col: str):
     return run
 
 
-def _vectors(text_col: str, lang_col: str, idf: np.ndarray):
+def _packed(text_col: str, lang_col: str):
+    """(lang, h, which, few, many): the n-gram counts of a text, packed: a bit a
+    bucket, a byte for each that occurs, and in full those that a byte cannot hold."""
     def run(batches):
         for batch, lo, hi, counts in _groups(batches, text_col):
-            flat = vectors(counts, idf)
-            rows = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dtype=np.int32) * BUCKETS),
-                                            pa.array(flat.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(lang_col)[lo:hi], rows], ["lang", "v"])
+            rows = np.flatnonzero((counts > 0).any(axis=1))
+            which = np.packbits(counts[rows] > 0, axis=1)
+            own = [c[c > 0] for c in counts[rows]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(lang_col)[lo:hi].take(pa.array(rows)), batch.column("__h")[lo:hi].take(pa.array(rows)),
+                 pa.array([w.tobytes() for w in which], pa.binary()),
+                 pa.array([np.minimum(c, 255).astype(np.uint8).tobytes() for c in own], pa.binary()),
+                 pa.array([c[c >= 255].astype(np.uint32).tobytes() for c in own], pa.binary())],
+                ["lang", "h", "which", "few", "many"])
     return run
 
 
-def k_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Spherical k-means; seeds are chosen farthest first from the mean."""
-    seeds = [x.mean(axis=0)]
-    while len(seeds) < min(k, len(x)) + 1:
-        near = (x @ np.array(seeds).T).max(axis=1)
-        seeds.append(x[int(near.argmin())])
-    c = np.array(seeds[1:])
-    for _ in range(rounds):
-        own = (x @ c.T).argmax(axis=1)
-        for j in range(len(c)):
-            if (own == j).any():
-                c[j] = x[own == j].sum(axis=0)
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return c
-
-
-def _fit_language(centroids: int):
-    def run(rows: pa.Table) -> pa.Table:
-        lang = rows.column("lang")[0].as_py()
-        x = rows.column("v").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, BUCKETS)
-        x = x[np.lexsort(x[:, :8].T)]                      # arrival order must not matter
-        x = x[np.linalg.norm(x, axis=1) > 0]
-        if not len(x):
-            return pa.table({"lang": pa.array([], pa.string()), "v": pa.array([], pa.list_(pa.float32()))})
-        c = k_means(x, centroids)
-        return pa.table({"lang": pa.array([lang] * len(c)), "v": pa.array(list(c.astype(np.float32)), pa.list_(pa.float32()))})
+def _unpacked(batches, idf: np.ndarray):
+    """(batch, vectors, size classes) of packed counts, some rows at a time."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(lo, _ROWS)
+            flat = {c: b"".join(batch.column(c).to_pylist()) for c in ("which", "few", "many")}
+            mask = np.unpackbits(np.frombuffer(flat["which"], np.uint8).reshape(batch.num_rows, -1), axis=1).astype(bool)
+            n = np.frombuffer(flat["few"], np.uint8).astype(np.float64)
+            n[n == 255] = np.frombuffer(flat["many"], np.uint32)
+            counts = np.zeros(mask.shape)
+            counts[mask] = n
+            yield batch, vectors(counts, idf), size_classes(counts)
+
+
+def _by_language(langs: pa.Array):
+    langs = np.array(langs.to_pylist(), dtype=object)
+    for lang in sorted(set(langs)):
+        yield lang, np.flatnonzero(langs == lang)
+
+
+def _sums(model_bc):
+    """(lang, j, n, total): a task's vectors summed by nearest centroid of their
+    language, or all under 0 where it has none yet."""
+    def run(batches):
+        idf, centroids = model_bc.value
+        total, n = {}, {}
+        for batch, x, _ in _unpacked(batches, idf):
+            for lang, rows in _by_language(batch.column("lang")):
+                c = centroids.get(lang)
+                own = (x[rows] @ c.T).argmax(axis=1) if c is not None else np.zeros(len(rows), dtype=np.int64)
+                for j in np.unique(own).tolist():
+                    some = x[rows[own == j]].sum(axis=0, dtype=np.float64)
+                    total[lang, j] = total[lang, j] + some if (lang, j) in total else some
+                    n[lang, j] = n.get((lang, j), 0) + int((own == j).sum())
+        yield from _sum_rows(total, n)
     return run
 
 
-def _cosines(model_bc, text_col: str, lang_col: str):
-    """(lang, size, whole, cosine): how near texts, and their first 8, 16, 32, ...
-    bytes, are to the nearest centroid of their own language."""
+def _sum_rows(total: dict, n: dict):
+    if total:
+        keys = sorted(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([n[k] for k in keys], pa.int64()), pa.array([total[k] for k in keys], pa.list_(pa.float64()))],
+            ["lang", "j", "n", "total"])
+
+
+def _merged(batches):
+    total, n = {}, {}
+    for batch in batches:
+        for lang, j, k, v in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            v = v.values.to_numpy(zero_copy_only=False)
+            total[lang, j] = total[lang, j] + v if (lang, j) in total else v.copy()
+            n[lang, j] = n.get((lang, j), 0) + k
+    yield from _sum_rows(total, n)
+
+
+def _farthest(model_bc):
+    """(lang, near, h, v): of a task and language, the vector that is farthest from the seeds."""
     def run(batches):
-        idf, languages, centroids = model_bc.value
-        own = {lang: centroids[[i for i, x in enumerate(languages) if x == lang]] for lang in set(languages)}
-
-        def near(langs, counts, whole):
-            flat, size = vectors(counts, idf), size_classes(counts)
-            rows = [i for i, lang in enumerate(langs) if lang in own and counts[i].any()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([langs[i] for i in rows], pa.string()), pa.array(size[rows], pa.int32()),
-                 pa.array([whole] * len(rows), pa.bool_()),
-                 pa.array([float((own[langs[i]] @ flat[i]).max()) for i in rows], pa.float64())],
-                ["lang", "size", "whole", "cosine"])
+        idf, seeds = model_bc.value
+        best = {}
+        for batch, x, _ in _unpacked(batches, idf):
+            h = batch.column("h").to_numpy()
+            for lang, rows in _by_language(batch.column("lang")):
+                near = np.round((x[rows] @ seeds[lang].T).max(axis=1).astype(np.float64), 6)
+                at = np.lexsort((h[rows], near))[0]
+                if lang not in best or (near[at], h[rows[at]]) < best[lang][:2]:
+                    best[lang] = (near[at], h[rows[at]], x[rows[at]])
+        if best:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(best), pa.string()), pa.array([b[0] for b in best.values()], pa.float64()),
+                 pa.array([b[1] for b in best.values()], pa.int64()), pa.array([b[2] for b in best.values()], pa.list_(pa.float32()))],
+                ["lang", "near", "h", "v"])
+    return run
+
+
+def _centroids(packed: DataFrame, idf: np.ndarray, k: int, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Spherical k-means of each language over all its texts, a pass a round; seeds
+    are chosen farthest first from the mean. A few vectors a language reach the driver."""
+    sc = packed.sparkSession.sparkContext
+
+    def passed(fn, state, schema, merge):
+        shared = sc.broadcast((idf, state))
+        out = merge(packed.mapInArrow(lean(fn(shared)), schema)).collect()
+        shared.destroy()
+        return out
+
+    def sums(state):
+        return passed(_sums, state, _SUM_ROWS, lambda d: d.repartition("lang", "j").mapInArrow(lean(_merged), _SUM_ROWS))
+    every = sums({})
+    seeds = {r["lang"]: np.array([r["total"]]) / r["n"] for r in every}
+    n = {r["lang"]: r["n"] for r in every}
+    for _ in range(min(k, max(n.values(), default=0))):
+        for r in passed(_farthest, seeds, "lang string, near double, h long, v array<float>",
+                        lambda d: d.groupBy("lang").agg(F.min_by("v", F.struct("near", "h")).alias("v"))):
+            if len(seeds[r["lang"]]) <= n[r["lang"]]:
+                seeds[r["lang"]] = np.vstack([seeds[r["lang"]], np.array(r["v"])])
+    found = {lang: v[1:] for lang, v in seeds.items()}
+    for _ in range(rounds if found else 0):
+        for r in sums(found):
+            found[r["lang"]][r["j"]] = r["total"]
+        found = {lang: c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12) for lang, c in found.items()}
+    return found
+
+
+_SUM_ROWS = "lang string, j int, n long, total array<double>"
+_SEEN = "lang string, h long, cut int, size int, cosine double"
+
+
+def _seen_rows(langs, h, cut, size, cosine) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(langs, pa.string()), pa.array(h, pa.int64()), pa.array([cut] * len(h), pa.int32()),
+         pa.array(size, pa.int32()), pa.array(cosine, pa.float64())], ["lang", "h", "cut", "size", "cosine"])
+
+
+def _cosines(model_bc):
+    """How near texts are to the nearest centroid of their own language."""
+    def run(batches):
+        idf, own = model_bc.value
+        for batch, x, size in _unpacked(batches, idf):
+            h = batch.column("h").to_numpy()
+            for lang, rows in _by_language(batch.column("lang")):
+                yield _seen_rows([lang] * len(rows), h[rows], 0, size[rows], (x[rows] @ own[lang].T).max(axis=1).astype(np.float64))
+    return run
+
+
+def _head_cosines(model_bc, text_col: str, lang_col: str):
+    """The same of the first 8, 16, 32, ... bytes of longer texts, for the size
+    classes of a language that have too few texts."""
+    def run(batches):
+        idf, own, few = model_bc.value
         for batch in batches:
             for lo, hi, buf, off in text_slices(batch, text_col):
                 for a in range(0, hi - lo, _ROWS):
                     b = min(a + _ROWS, hi - lo)
                     langs = batch.column(lang_col)[lo + a:lo + b].to_pylist()
-                    length = np.diff(off[a:b + 1])
-                    yield near(langs, term_counts(buf[off[a]:off[b]], off[a:b + 1] - off[a]), True)
-                    cut = 8
-                    while (length > cut).any():
-                        rows = np.flatnonzero(length > cut)
+                    h = batch.column("__h")[lo + a:lo + b].to_numpy()
+                    last = np.array([max(few.get(x, ()), default=-1) for x in langs])
+                    length, cut = np.diff(off[a:b + 1]), 8
+                    rows = np.flatnonzero((length > cut) & (last >= 0))
+                    while len(rows):
                         heads = buf[(off[a + rows][:, None] + np.arange(cut)).reshape(-1)]
-                        yield near([langs[i] for i in rows],
-                                   term_counts(heads, np.arange(len(rows) + 1, dtype=np.int64) * cut), False)
+                        counts = term_counts(heads, np.arange(len(rows) + 1, dtype=np.int64) * cut)
+                        size = size_classes(counts)
+                        ask = [i for i, r in enumerate(rows) if size[i] in few[langs[r]] and counts[i].any()]
+                        if ask:
+                            x = vectors(counts[ask], idf)
+                            yield _seen_rows([langs[r] for r in rows[ask]], h[rows[ask]], cut, size[ask],
+                                             [float((own[langs[r]] @ v).max()) for r, v in zip(rows[ask], x)])
+                        rows = rows[size <= last[rows]]          # a longer head has no smaller class
                         cut *= 2
+                        rows = rows[length[rows] > cut]
     return run
 
 
-def _floors(model, sample: DataFrame, text_col: str, lang_col: str) -> np.ndarray:
+def _low(seen: DataFrame) -> dict:
+    """(lang, size): number and low quantile of the cosines, exact to 6 digits."""
+    bins = seen.groupBy("lang", "size", F.round("cosine", 6).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    return {(r["lang"], r["size"]): (r["n"], r["q"]) for r in bins.groupBy("lang", "size").agg(
+        F.sum("n").alias("n"), F.percentile("c", F.lit(LOW), F.col("n")).alias("q")).collect()}
+
+
+def _floors(packed: DataFrame, rows: DataFrame, idf: np.ndarray, own: dict, text_col: str, lang_col: str) -> np.ndarray:
     """Floors of each centroid by size class. Where a language has few texts of a
     class, the heads of longer ones count too; where these are few, the floor of
     the class below holds, which is lower."""
-    seen = sample.mapInArrow(lean(_cosines(sample.sparkSession.sparkContext.broadcast(model), text_col, lang_col)),
-                             "lang string, size int, whole boolean, cosine double")
-    whole = F.when(F.col("whole"), F.col("cosine"))
-    low = {(r["lang"], r["size"]): r["whole"] if r["n"] >= LEAST else r["any"] if r["m"] >= LEAST else None
-           for r in seen.groupBy("lang", "size").agg(
-               F.count(whole).alias("n"), F.count("cosine").alias("m"),
-               F.percentile(whole, F.lit(LOW)).alias("whole"), F.percentile("cosine", F.lit(LOW)).alias("any")).collect()}
-    _, languages, _ = model
-    floors = np.zeros((len(languages), SIZES))
-    for i, lang in enumerate(languages):
+    sc = packed.sparkSession.sparkContext
+    seen = shared_table(packed.mapInArrow(lean(_cosines(sc.broadcast((idf, own)))), _SEEN), "cosines")
+    whole = _low(seen)
+    few = {lang: {k for k in range(max(s for x, s in whole if x == lang) + 1) if whole.get((lang, k), (0,))[0] < LEAST} for lang in own}
+    heads = rows.mapInArrow(lean(_head_cosines(sc.broadcast((idf, own, few)), text_col, lang_col)), _SEEN)
+    asked = F.lit(False)
+    for lang, sizes in few.items():
+        asked = asked | ((F.col("lang") == lang) & F.col("size").isin(*sorted(sizes)))
+    every = _low(heads.dropDuplicates(["lang", "h", "cut"]).unionByName(seen.filter(asked)))
+    floors = []
+    for lang in sorted(own):
+        line = np.zeros(SIZES)
         for k in range(SIZES):
-            own = low.get((lang, k))
-            floors[i, k] = MARGIN * own if own is not None else floors[i, k - 1] if k else 0.0
-    return floors
+            n, low = whole.get((lang, k), (0, None)) if k not in few[lang] else every.get((lang, k), (0, None))
+            line[k] = MARGIN * low if n >= LEAST else line[k - 1] if k else 0.0
+        floors += [line] * len(own[lang])
+    return np.array(floors)
 
 
 def distinct_sample(rows: DataFrame, text_col: str, lang_col: str, sample: int) -> DataFrame:
@@ -205,11 +316,11 @@ def distinct_sample(rows: DataFrame, text_col: str, lang_col: str, sample: int)
 
 
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", centroids: int = CENTROIDS,
-        sample: int = SAMPLE) -> Model | None:
+        sample: int | None = None) -> Model | None:
     """Learn from the rows with a language and a text; None where there are none.
 
-    Document frequencies cover all rows; the centroids are fitted on ``sample``
-    distinct texts per language, or all where there are fewer.
+    Document frequencies cover all rows, centroids and floors all distinct texts of
+    a language; only who asks for it fits these on ``sample`` texts per language.
     """
     prepare(training.sparkSession)
     rows = training.select(text_col, F.col(lang_col).cast("string").alias(lang_col)).filter(
@@ -219,14 +330,18 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", cen
     if not df.get(-1):
         return None
     idf = np.log((1.0 + df[-1]) / (1.0 + np.array([df[i] for i in range(BUCKETS)]))) + 1.0
-    some = shared_table(distinct_sample(rows, text_col, lang_col, sample), "sample")
-    fitted = (some.select(lang_col, text_col).mapInArrow(lean(_vectors(text_col, lang_col, idf)), "lang string, v array<float>")
-              .groupBy("lang").applyInArrow(_fit_language(centroids), "lang string, v array<float>")
-              .orderBy("lang").collect())
-    if not fitted:
+    if sample is not None:
+        rows = shared_table(distinct_sample(rows, text_col, lang_col, sample), "sample")
+    rows = rows.select(lang_col, text_col, F.xxhash64(F.lit(5), F.col(text_col)).alias("__h"))
+    # counts are packed once, one row a distinct text, and read by every pass
+    packed = shared_table(rows.mapInArrow(lean(_packed(text_col, lang_col)), "lang string, h long, which binary, few binary, many binary")
+                          .groupBy("lang", "h").agg(*(F.first(c).alias(c) for c in ("which", "few", "many"))), "packed")
+    own = _centroids(packed, idf, centroids)
+    if not own:
         return None
-    languages, means = [r["lang"] for r in fitted], np.array([r["v"] for r in fitted], dtype=np.float32)
-    return Model(idf, languages, means, _floors((idf, languages, means), some, text_col, lang_col))
+    own = {lang: c.astype(np.float32) for lang, c in sorted(own.items())}
+    return Model(idf, [lang for lang, c in own.items() for _ in c], np.concatenate(list(own.values())),
+                 _floors(packed, rows, idf, own, text_col, lang_col))
 
 
 def _has_letter(text: str) -> bool:

@@ -479,3 +479,22 @@ def test_url_filter(spark):
     assert {r["verdict"] for r in one.collect()} == {"allow"}
 
 
+
+
+def test_languages_are_learned_from_all_distinct_texts(spark):
+    """No text is left out: words that few of many texts hold still shape a centroid."""
+    made = [(f"{'abc def' if i % 500 else 'zzqx vvkj'} {i} words of this", "en") for i in range(2500)]
+    made += [(f"ein Text {i} mit Wörtern", "de") for i in range(50)] + [("ein Text 1 mit Wörtern", "de")] * 500
+    rows = spark.createDataFrame(made, "text string, lang string").repartition(3)
+    seen = []
+    for fn in ("_centroids", "_floors"):
+        kept = getattr(language_id, fn)
+        setattr(language_id, fn, lambda packed, *a, kept=kept: (seen.append(packed.groupBy("lang").count().collect()), kept(packed, *a))[1])
+        try:
+            model = language_id.fit(rows)
+        finally:
+            setattr(language_id, fn, kept)
+    assert [{r["lang"]: r["count"] for r in got} for got in seen] == [{"en": 2500, "de": 50}] * 2
+    assert set(model.languages) == {"en", "de"} and model.floors.shape == (len(model.languages), language_id.SIZES)
+    got = {r["lang"]: r["lang_pred"] for r in language_id.identify(rows, model).collect()}
+    assert got == {"en": "en", "de": "de"}
