@@ -3,7 +3,9 @@
 Each round hooks the label of every node, and of its current label, to the
 smallest label among its neighbours, then replaces labels by their own labels;
 the number of rounds grows with the logarithm of the longest chain. Every round
-is written to the shared folder.
+is written to the shared folder. A round has two joins, one that tells the nodes
+their neighbours' labels and one that jumps; the rest are counts by key, since
+each broadcast or shuffle costs the driver threads and heap.
 """
 
 from __future__ import annotations
@@ -20,16 +22,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     spark, own, last = links.sparkSession, [], []
     one = links.select(F.col(a).alias("u"), F.col(b).alias("v"))
     edges = shared_table(one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges", own)
+    kind = edges.schema["u"].dataType
     labels = shared_table(edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label"))
                           .withColumnRenamed("u", "node"), "labels", last)
     while True:
-        # (label of u, label of v) for every edge: hook u and its label
-        ends = (edges.join(labels.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u")
-                .join(labels.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v"))
-        hooks = (ends.select(F.col("u").alias("node"), "lv").unionByName(ends.select(F.col("lu").alias("node"), "lv"))
-                 .groupBy("node").agg(F.min("lv").alias("near")))
-        hooked = labels.join(hooks, "node", "left").select(
-            "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
+        # the smallest label among the neighbours of u, then hook u and its label to it
+        told = edges.join(labels.select(F.col("node").alias("v"), F.col("label").alias("near")), "v")
+        near = (told.select("u", F.lit(None).cast(kind).alias("old"), "near")
+                .unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("old"), F.col("label").alias("near")))
+                .groupBy("u").agg(F.min("old").alias("old"), F.min("near").alias("near")))
+        own_row = F.struct(F.col("u").alias("node"), F.col("old").alias("old"), F.col("near").alias("label"))
+        its_label = F.struct(F.col("old").alias("node"), F.lit(None).cast(kind).alias("old"), F.col("near").alias("label"))
+        hooked = (near.select(F.explode(F.array(own_row, its_label)).alias("r")).select("r.*")
+                  .groupBy("node").agg(F.min("old").alias("old"), F.min("label").alias("label")))
         old, last = last, []
         hooked = shared_table(hooked, "hooked", old)
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("above"))

@@ -479,7 +479,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     links: DataFrame | None = None
     for turn in range(PIVOT_ROUNDS):
-        open_rows = _labelled(postings, links, turn, similar)
+        open_rows = shared_table(_labelled(postings, links, turn, similar), "labelled", scratch)
         pivots = shared_table(_open_blocks(open_rows), "pivots", scratch)
         open_rows = shared_table(open_rows.join(pivots, ["h", "band"]).select(
             "h", "c", "n", "alone", "comp", F.col("pivot.c").alias("pc"), F.col("pivot.n").alias("pn"),
@@ -493,15 +493,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         postings = open_rows.select("h", "c", "n", "alone")
 
     # what is left: signature trees, in cells of bounded size
-    open_rows = _labelled(postings, links, PIVOT_ROUNDS, similar)
-    left = shared_table(_open_blocks(open_rows).select("h", "size").distinct(), "left", scratch)
+    open_rows = shared_table(_labelled(postings, links, PIVOT_ROUNDS, similar), "labelled", scratch)
+    left = _open_blocks(open_rows).select("h", "size").distinct()
+    open_rows = shared_table(open_rows.join(left, "h").select("h", "size", "c", "n", "comp"), "left", scratch)
     sides = F.ceil(F.col("size") / F.lit(CELL)).cast("int")
-    rest = (open_rows.join(left, "h").withColumn("sides", sides)
+    rest = (open_rows.withColumn("sides", sides)
             .withColumn("own", F.pmod(F.xxhash64("c", F.lit(7)), F.col("sides")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
             .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                     F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "comp", "n", "c"))
-    own = (open_rows.join(left, "h").groupBy("c").agg(F.collect_set("h").alias("blocks"))
+    own = (open_rows.groupBy("c").agg(F.collect_set("h").alias("blocks"))
            .join(sets.mapInArrow(lean(_bitmaps), "c long, bitmap binary"), "c"))
     cells = rest.join(shared_table(own, "members", scratch), "c").select("h", "i", "j", "side", "comp", "n", "c", "bitmap", "blocks")
     pairs = shared_table(cells.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
