@@ -11,6 +11,7 @@ load touches only some of it, is in ``buckets``.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from lectern.config import TONE_LABELS
 from lectern.functions.ids import key_ids
 from lectern.functions.text import content_hash, normalize_tags, parse_published_at
+from lectern.session import written
 
 SECONDARY_TYPE = "array<struct<topic_id:int,probability:double>>"
 
@@ -53,6 +55,19 @@ def latest_per_key(batch: DataFrame, key: list[str], order: str) -> DataFrame:
     return batch.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
 
 
+def latest_rows(batch: DataFrame, key: list[str], order: str) -> DataFrame:
+    """``latest_per_key`` for wide rows: keys are counted alone, and only rows
+    whose key repeats are shuffled and sorted."""
+    names = [f"_k{i}" for i in range(len(key))]
+    repeated = written(batch.groupBy(*[F.col(c).alias(n) for c, n in zip(key, names)]).count()
+                       .where("count > 1").select(*names), "repeated_keys")
+    if repeated.isEmpty():
+        return batch
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(key, names)])
+    return batch.join(repeated, same, "left_anti").unionByName(
+        latest_per_key(batch.join(repeated, same, "left_semi"), key, order))
+
+
 def repeated_urls(batch: DataFrame) -> DataFrame:
     """The report of urls that a batch holds more than once: (url, n_rows,
     kept_source_id). The row with the largest source id wins, as if the rows
@@ -89,7 +104,7 @@ def upsert_articles(articles: DataFrame, batch: DataFrame, load_ts: dt.datetime
     ``next_id`` is the first new id where ``articles`` does not hold the largest one.
     """
     ts = F.lit(load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-    b = latest_per_key(batch, ["url"], "source_id")
+    b = latest_rows(batch, ["url"], "source_id")
     fields = ("content_hash", "title", "author", "published_at", "body")
     # ids are given on the urls alone; bodies are joined last, on the url again
     fresh = batch.select("url").join(articles.select("url"), "url", "left_anti")
@@ -185,7 +200,7 @@ def upsert_chunks(chunks: DataFrame, batch: DataFrame, source_map: DataFrame,
     b = batch.join(source_map.select(F.col("source_id").alias("article_id"), F.col("id").alias("_db")),
                    "article_id").select(F.col("_db").alias("article_id"), F.col("article_id").alias("_source"),
                                         *[c for c in chunks.columns if c != "article_id"])
-    b = latest_per_key(b, ["article_id", "position"], "_source").drop("_source")
+    b = latest_rows(b, ["article_id", "position"], "_source").drop("_source")
     if expected_dimension is not None and "embedding" in b.columns:
         bad = b.where(F.size("embedding") != expected_dimension).limit(1).count()
         if bad:
@@ -194,7 +209,10 @@ def upsert_chunks(chunks: DataFrame, batch: DataFrame, source_map: DataFrame,
     if delete_missing:
         keep = keep.join(b.select("article_id").distinct(), "article_id", "left_anti")
     else:
-        keep = keep.join(b.select("article_id", "position"), ["article_id", "position"], "left_anti")
+        # only articles that had chunks replace any; their keys, written, are few in most loads
+        replaced = written(b.select("article_id", "position").join(
+            keep.select("article_id").distinct(), "article_id", "left_semi"), "replaced_chunks")
+        keep = keep.join(replaced, ["article_id", "position"], "left_anti")
     return keep.unionByName(b.select(*chunks.columns))
 
 

@@ -194,8 +194,9 @@ def _ingested(spark, sf):
     from lectern.sources.files import write_raw_shards
     from lectern.sources.tables import topic_of_article
     from lectern.streaming.ingest import start_ingest
-    labelled = topic_of_article(spark, sf).where("topic_id >= 0")
-    saved = written(centroids(mean_pool(corpus.chunk_vectors(spark, sf)).join(labelled, "article_id"), "topic_id"),
+    labelled = written(topic_of_article(spark, sf).where("topic_id >= 0"), "labelled_articles")
+    # only labelled articles count for a centroid: the others are not chunked and encoded for it
+    saved = written(centroids(mean_pool(corpus.chunk_vectors(spark, sf, of=labelled)).join(labelled, "article_id"), "topic_id"),
                     "saved_centroids")
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex[:12]}"
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))

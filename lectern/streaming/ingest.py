@@ -40,7 +40,9 @@ def new_or_changed(raw: DataFrame, store_articles: DataFrame) -> DataFrame:
     same = batch.join(store_articles.select("url", *[F.col(c).alias(f"_{c}") for c in fields]), "url")
     for c in fields:
         same = same.where(F.col(c).eqNullSafe(F.col(f"_{c}")))
-    return raw.join(same.select(F.col("source_id").alias("article_id")), "article_id", "left_anti")
+    # the ids alone, written: where few rows are unchanged, no text is shuffled to find them
+    same = written(same.select(F.col("source_id").alias("article_id")), "unchanged_articles")
+    return raw.join(same, "article_id", "left_anti")
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, store_root: str, centroids: DataFrame | None = None,
@@ -60,12 +62,13 @@ def process_batch(spark: SparkSession, batch: DataFrame, store_root: str, centro
                                                  encoder_factory)), "ingest_vectors", scratch)
         assignments = None
         if centroids is not None:
-            pooled = mean_pool(vec)
+            pooled = written(mean_pool(vec), "ingest_pooled", scratch)       # two readers
             primary = assign_topics(pooled, centroids).select("article_id", "topic_id")
             assignments = written(secondary_topics(primary, centroid_probabilities(centroid_scores(pooled, centroids))),
                                   "ingest_topics", scratch)
-        summary = B.merge_load(spark, store_root, raw, chunk_vectors=vec, assignments=assignments, load_ts=load_ts,
-                               tone=score_articles(raw.select("article_id", "text"), lexicon=lexicon))
+        # checked and merged by several jobs; score the texts once
+        tone = written(score_articles(raw.select("article_id", "text"), lexicon=lexicon), "ingest_tone", scratch)
+        summary = B.merge_load(spark, store_root, raw, chunk_vectors=vec, assignments=assignments, load_ts=load_ts, tone=tone)
     discard(spark, scratch)
     return summary
 
