@@ -16,6 +16,7 @@ but the number of tasks.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,20 @@ DIRECTIONS = 128
 OVERSAMPLE = 16             # directions beyond those that are kept, which speeds the iterations up
 ITERATIONS = 4
 _PARTS = 32                 # a sum travels in so many parts
-_ENTRIES = 1 << 14          # weights multiplied at once
+_ENTRIES = 1 << 14          # weights multiplied at once, at most,
+_ROWS = 16                  # and rows: their matrix over the buckets that they have stays in a core's cache
+_CHARS = 1 << 20            # characters of text hashed at once, or one longer text
+
+
+class _Known(dict):
+    """Buckets of words, each worked out once."""
+
+    def __init__(self, features: int):
+        self.features = features
+
+    def __missing__(self, word: str) -> int:
+        own = self[word] = py_bucket(word, self.features)
+        return own
 
 
 class _Hashed:
@@ -40,25 +54,31 @@ class _Hashed:
 
     def __init__(self, features: int):
         self.features = features
-        self._known: dict[str, int] = {}
+        self._known = _Known(features)
+
+    def _some(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(self._known) > 500_000:
+            self._known.clear()
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        own = np.fromiter(map(self._known.__getitem__, chain.from_iterable(words)), np.int64, int(n.sum()))
+        key, counts = np.unique(np.repeat(np.arange(len(words)) * self.features, n) + own, return_counts=True)
+        first = np.searchsorted(key, np.arange(1, len(words) + 1) * self.features)
+        return first, (key % self.features).astype(np.int32), counts.astype(np.int32)
 
     def rows(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(where each text begins, buckets in order, counts)."""
-        first, ids, counts = [0], [], []
-        for text in texts:
-            if len(self._known) > 500_000:
-                self._known.clear()
-            words = py_tokens(text)
-            own = [self._known.get(t, -1) for t in words]
-            for i, t in enumerate(words):
-                if own[i] < 0:
-                    own[i] = self._known[t] = py_bucket(t, self.features)
-            bucket, n = np.unique(np.array(own, dtype=np.int32), return_counts=True)
-            ids.append(bucket)
-            counts.append(n.astype(np.int32))
-            first.append(first[-1] + len(bucket))
-        empty = [np.zeros(0, dtype=np.int32)]
-        return np.array(first), np.concatenate(ids or empty), np.concatenate(counts or empty)
+        first, ids, counts = [np.zeros(1, dtype=np.int64)], [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int32)]
+        words, chars = [], 0
+        for k, text in enumerate(texts, 1):
+            words.append(py_tokens(text))
+            chars += len(text or "")
+            if chars >= _CHARS or k == len(texts):
+                ends, bucket, n = self._some(words)
+                first.append(first[-1][-1] + ends)
+                ids.append(bucket)
+                counts.append(n)
+                words, chars = [], 0
+        return np.concatenate(first), np.concatenate(ids), np.concatenate(counts)
 
 
 def _weights(first: np.ndarray, ids: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,23 +88,33 @@ def _weights(first: np.ndarray, ids: np.ndarray, counts: np.ndarray, idf: np.nda
     return row, w / np.sqrt(np.bincount(row, w * w, minlength=len(first) - 1))[row]
 
 
-def _project(first: np.ndarray, ids: np.ndarray, w: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(first) - 1, basis.shape[1]))
-    some = np.flatnonzero(np.diff(first))
-    if len(some):
-        out[some] = np.add.reduceat(w[:, None] * basis[ids], first[:-1][some], axis=0)
-    return out
-
-
 def _cuts(first: np.ndarray):
-    """(from, to) of neighbouring rows with at most _ENTRIES weights, or one row of more."""
+    """(from, to) of at most _ROWS neighbouring rows with at most _ENTRIES weights, or one row of more."""
     lo = 0
     while lo < len(first) - 1:
-        hi = max(int(np.searchsorted(first, first[lo] + _ENTRIES, side="right")) - 1, lo + 1)
+        hi = int(np.searchsorted(first, first[lo] + _ENTRIES, side="right")) - 1
+        hi = min(max(hi, lo + 1), lo + _ROWS, len(first) - 1)
         yield lo, hi
         lo = hi
 
 
+def _blocks(first: np.ndarray, ids: np.ndarray, row: np.ndarray, w: np.ndarray, features: int):
+    """(from, to, buckets, weights) of neighbouring rows that have words: the buckets
+    that they have, ascending, and their rows over those, as a full matrix."""
+    has, place = np.zeros(features, dtype=bool), np.zeros(features, dtype=np.int64)
+    for lo, hi in _cuts(first):
+        a, b = first[lo], first[hi]
+        if a == b:
+            continue
+        has[ids[a:b]] = True
+        buckets = np.flatnonzero(has)
+        has[buckets] = False
+        place[buckets] = np.arange(len(buckets))
+        full = np.zeros((hi - lo, len(buckets)))
+        full[row[a:b] - lo, place[ids[a:b]]] = w[a:b]
+        yield lo, hi, buckets, full
+
+
 class LatentEncoder:
     """``encode`` of texts by a fitted model; ``width`` numbers each, zeros behind the directions."""
 
@@ -96,10 +126,9 @@ class LatentEncoder:
     def encode(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.width), dtype=np.float32)
         first, ids, counts = self._words.rows(texts)
-        _, w = _weights(first, ids, counts, self.idf)
-        for lo, hi in _cuts(first):
-            a, b = first[lo], first[hi]
-            v = _project(first[lo:hi + 1] - a, ids[a:b], w[a:b], self.basis)
+        row, w = _weights(first, ids, counts, self.idf)
+        for lo, hi, buckets, full in _blocks(first, ids, row, w, len(self.idf)):
+            v = full @ self.basis[buckets]
             size = np.sqrt((v * v).sum(axis=1, keepdims=True))
             out[lo:hi, :v.shape[1]] = v / np.where(size > 0, size, 1.0)
         return out
@@ -139,14 +168,8 @@ def _gram_times(sent):
             first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))])
             ids, counts = lists.flatten().to_numpy(), batch.column("counts").flatten().to_numpy()
             row, w = _weights(first, ids, counts, idf)
-            for lo, hi in _cuts(first):
-                a, b = first[lo], first[hi]
-                if a == b:
-                    continue
-                y = _project(first[lo:hi + 1] - a, ids[a:b], w[a:b], q)
-                order = np.argsort(ids[a:b], kind="stable")
-                bucket, head = np.unique(ids[a:b][order], return_index=True)
-                total[bucket] += np.add.reduceat(w[a:b][order, None] * y[row[a:b][order] - lo], head, axis=0)
+            for _, _, buckets, full in _blocks(first, ids, row, w, len(idf)):
+                total[buckets] += full.T @ (full @ q[buckets])
         if any_rows:
             task = TaskContext.get().partitionId()
             parts = np.array_split(total, _PARTS)

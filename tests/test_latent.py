@@ -56,3 +56,49 @@ def test_model_of_little(spark):
     assert (np.abs(one.basis).sum(axis=0) > 0).tolist() == [True, False, False]
     with pytest.raises(ValueError):
         L.LatentEncoder(one.idf, one.basis, 2)
+
+
+def many_texts():
+    rng = random.Random(5)
+    return [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(rng.choice([0, 1, 60, 90]))) for _ in range(700)] + [None, "only " * 40_000]
+
+
+def test_products_stay_small(monkeypatch):
+    """A pass multiplies a few rows at a time: what it holds beside the sum does not grow with the weights."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    texts, rng = many_texts(), np.random.default_rng(1)
+    q = rng.standard_normal((2048, 100))
+    a = np.zeros((len(texts), 2048))
+    for i, t in enumerate(texts):
+        for b, n in Counter(py_bucket(w, 2048) for w in py_tokens(t)).items():
+            a[i, b] = 1 + math.log(n)
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
+    hashed = list(L._hash_texts("text", 2048)(iter([pa.record_batch({"text": pa.array(texts, pa.string())})])))
+    monkeypatch.setattr(L, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 7)))
+    tracemalloc.start()
+    [sums] = L._gram_times(SimpleNamespace(value=(np.ones(2048), q)))(iter(hashed))
+    peak = tracemalloc.get_traced_memory()[1]
+    made = L.LatentEncoder(np.ones(2048), q, 100).encode(texts)
+    encoded = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.concatenate([np.frombuffer(x.as_py()) for x in sums.column("sums")]).reshape(q.shape)
+    assert np.allclose(got, a.T @ (a @ q), rtol=1e-9, atol=1e-9) and set(sums.column("task").to_pylist()) == {7}
+    want = a @ q
+    assert np.allclose(made, want / np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-300), atol=1e-6)
+    assert peak < 12e6 and encoded < 12e6
+
+
+def test_hashing_goes_by_slices(monkeypatch):
+    texts = many_texts()
+    whole = L._Hashed(64).rows(texts)
+    monkeypatch.setattr(L, "_CHARS", 500)
+    cut = L._Hashed(64).rows(texts)
+    assert all((x == y).all() and x.dtype == y.dtype for x, y in zip(whole, cut))
+    for i, t in enumerate(texts):
+        own = Counter(py_bucket(w, 64) for w in py_tokens(t))
+        at = slice(whole[0][i], whole[0][i + 1])
+        assert dict(zip(whole[1][at].tolist(), whole[2][at].tolist())) == own and sorted(own) == whole[1][at].tolist()
+    assert [len(x) for x in L._Hashed(64).rows([])] == [1, 0, 0]
