@@ -70,3 +70,38 @@ def test_chunk_articles_columns(spark):
     df = spark.createDataFrame([(1, "t", "a b c"), (2, "u", None)], "article_id long, title string, text string")
     out = chunk_articles(df).collect()
     assert [(r.article_id, r.idx, r.chunk_text) for r in out] == [(1, 0, "a b c")]
+
+
+def test_packing_is_the_plain_rule():
+    """Chunks found by looking ends up are those of adding and dropping piece by piece."""
+    import random
+    import re
+
+    def plain(pieces, size, overlap):
+        out, run, total = [], [], 0
+        for piece in pieces:
+            if total + len(piece) > size and run:
+                out.append("".join(run).strip())
+                while total > overlap or (total + len(piece) > size and total > 0):
+                    total -= len(run.pop(0))
+            run.append(piece)
+            total += len(piece)
+        return [t for t in [*out, "".join(run).strip()] if t]
+
+    def whole(text, size, overlap):
+        if " " not in text:
+            return plain(text, size, overlap)
+        out, run = [], []
+        for piece in re.findall(r"^[^ ]+| [^ ]*", text):
+            if len(piece) < size:
+                run.append(piece)
+            else:
+                out += plain(run, size, overlap) + plain(piece, size, overlap)
+                run = []
+        return out + plain(run, size, overlap)
+    rng = random.Random(4)
+    for _ in range(3000):
+        size = rng.choice([1, 2, 3, 5, 13, 40])
+        overlap = min(rng.choice([0, 1, size // 3, size - 1, size]), size)
+        text = "".join(rng.choice(rng.choice(["ab ", "a  ", "\t\n é日", "abc", "a   b"])) for _ in range(rng.randint(0, rng.choice([3, 20, 90]))))
+        assert split_text(text, size, overlap) == whole(text, size, overlap), (text, size, overlap)
