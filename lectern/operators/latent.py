@@ -208,8 +208,12 @@ def fit_latent(docs: DataFrame, text: str = "text", directions: int = DIRECTIONS
     def gram_times(q: np.ndarray) -> np.ndarray:
         sent = spark.sparkContext.broadcast((idf, q))
         parts = hashed.mapInArrow(_gram_times(sent), "part int, task int, sums binary")
-        summed = parts.repartition("part").sortWithinPartitions("part", "task").mapInArrow(_add, "part int, sums binary").collect()
+        # written, so that what all tasks passed on goes before the next pass
+        added: list[str] = []
+        summed = written(parts.repartition("part").sortWithinPartitions("part", "task").mapInArrow(_add, "part int, sums binary"),
+                         "sums", added).collect()
         sent.destroy()
+        discard(spark, added)
         by = {r["part"]: np.frombuffer(bytes(r["sums"])) for r in summed}
         return np.concatenate([by[p] for p in sorted(by)]).reshape(q.shape) if by else np.zeros(q.shape)
 

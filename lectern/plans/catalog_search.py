@@ -19,7 +19,7 @@ from lectern.plans.catalog import _QUOTE, _TONE_SQL, _TW_SQL, _search, normalize
 from lectern.plans.catalog_views import STOP_SQL
 from lectern.plans.quote_search import quote_search
 from lectern.config import IVFFLAT_LISTS, IVFFLAT_PROBES, TONE_LABELS
-from lectern.session import ensure_checkpoint_dir, written
+from lectern.session import discard, ensure_checkpoint_dir, written
 from lectern.sources.tables import queries_table
 
 _TP = f"""tp AS (SELECT article_id, unnest(regexp_extract_all(lower(text), '{O.TOK}')) AS term,
@@ -107,9 +107,11 @@ def q_eval_hits(spark, sf):
 def q_eval_hits_latent(spark, sf):
     """The evaluation with vectors of the encoder trained on all chunks (no SQL form:
     pytest holds the model against plain numpy)."""
-    made = written(corpus.chunks(spark, sf), "chunks")
+    scratch: list[str] = []
+    made = written(corpus.chunks(spark, sf), "chunks", scratch)
     encoder = fit_latent(made, "chunk_text").encoder(spark)
     cv = written(corpus.remap_chunks(encode_chunks(made, encoder)), "chunk_vectors")
+    discard(spark, scratch)
     arts = corpus.serving_articles(spark, sf)
     hits = quote_search(queries_table(spark, sf), cv, arts, encoder_factory=encoder)
     return EV.eval_hits(hits, queries_table(spark, sf), arts)

@@ -102,3 +102,19 @@ def test_hashing_goes_by_slices(monkeypatch):
         at = slice(whole[0][i], whole[0][i + 1])
         assert dict(zip(whole[1][at].tolist(), whole[2][at].tolist())) == own and sorted(own) == whole[1][at].tolist()
     assert [len(x) for x in L._Hashed(64).rows([])] == [1, 0, 0]
+
+
+def test_a_fit_leaves_nothing_on_disk(spark):
+    import glob
+    import os
+
+    from lectern.session import ensure_checkpoint_dir
+    tables = f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/tables/*"
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def left():
+        return set(glob.glob(tables)) | {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data") if os.path.getsize(f) > 10_000}
+    docs, before = spark.createDataFrame([(t,) for t in some_texts()], "text string").repartition(5), left()
+    model = L.fit_latent(docs, directions=20, features=1024, iterations=2)
+    assert model.basis.any() and not {f for f in left() - before if os.path.isdir(f)}
+    assert len(left() - before) <= 1              # the count of documents by bucket, at most
